@@ -19,7 +19,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportlake.llm.common import GAP_CHARS, table, words_of
+from reportlake.llm.common import GAP_CHARS, Scratch, table, words_of
 
 WINDOW = 5
 ROUNDS = 12
@@ -38,11 +38,12 @@ RULES: Mapping[str, tuple[str, str]] = {
     "enough_words": ("n_words >= 40", "n_words < 10"),
     "word_length": ("word_chars >= 3 * n_words AND word_chars <= 9 * n_words", "word_chars < 2 * n_words OR word_chars > 12 * n_words"),
     "few_symbols": ("50 * n_symbols <= n_words", "10 * n_symbols > n_words"),
+    "symbol_share": ("200 * n_symbols <= word_chars", "25 * n_symbols > word_chars"),
     "distinct_lines": ("n_dup_lines = 0", "5 * n_dup_lines > n_lines"),
     "distinct_windows": ("50 * n_repeat_words <= n_words", "10 * n_repeat_words > n_words"),
     "lower_case": ("10 * n_upper <= word_chars", "4 * n_upper > word_chars"),
     "calm_marks": ("50 * n_shouts <= n_words", "10 * n_shouts > n_words"),
-    "function_words": ("20 * n_stop >= n_words", "n_stop = 0"),
+    "function_words": ("n_stop >= 2", "n_stop = 0 AND n_words >= 30"),
 }
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_shouts", "n_stop")
 
@@ -59,37 +60,59 @@ def _window_hashes(words: Column) -> Column:
     return F.transform(F.slice(zipped, 1, F.greatest(F.size(h) - (WINDOW - 1), F.lit(0))), lambda x: F.xxhash64(x))
 
 
-def _covered_words(grams: Column) -> Column:
-    """How many words lie in windows found at least twice, from the window hashes."""
+#: Up to so many different repeated windows, their places are found by membership; beyond it by sorting.
+FEW = 32
+
+
+def _steps(at: Column) -> Column:
+    """Words covered by windows that start at the ascending positions ``at``."""
+    gaps = F.zip_with(at, F.slice(at, 2, F.greatest(F.size(at), F.lit(1))), lambda a, b: F.coalesce(F.least(b - a, F.lit(WINDOW)), F.lit(WINDOW)))
+    return F.aggregate(gaps, F.lit(0), lambda acc, x: acc + x)
+
+
+def _repeated(grams: Column) -> Column:
+    """The different hashes found at least twice."""
+    s = F.sort_array(grams)
+    pairs = F.zip_with(s, F.slice(s, 2, F.greatest(F.size(s), F.lit(1))), lambda a, b: F.when(a == b, a))
+    return F.array_distinct(F.array_compact(pairs))
+
+
+def _places_of_few(grams: Column, repeated: Column) -> Column:
+    return F.array_compact(F.transform(grams, lambda g, i: F.when(F.array_contains(repeated, g), i)))
+
+
+def _places_of_many(grams: Column) -> Column:
     s = F.sort_array(F.transform(grams, lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
     none = F.lit(None).cast("struct<g:bigint,i:int>")
     around = F.arrays_zip(s.alias("c"), F.concat(F.array(none), s).alias("p"), F.slice(s, 2, F.greatest(F.size(s), F.lit(1))).alias("n"))
-    twice = F.filter(around, lambda e: F.coalesce((e["c"]["g"] == e["p"]["g"]) | F.coalesce(e["c"]["g"] == e["n"]["g"], F.lit(False)), e["c"]["g"] == e["n"]["g"], F.lit(False)))
-    at = F.array_sort(F.transform(twice, lambda e: e["c"]["i"]))
-    steps = F.zip_with(at, F.slice(at, 2, F.greatest(F.size(at), F.lit(1))), lambda a, b: F.coalesce(F.least(b - a, F.lit(WINDOW)), F.lit(WINDOW)))
-    return F.aggregate(steps, F.lit(0), lambda acc, x: acc + x)
+    twice = F.filter(around, lambda e: F.coalesce(e["c"]["g"] == e["p"]["g"], F.lit(False)) | F.coalesce(e["c"]["g"] == e["n"]["g"], F.lit(False)))
+    return F.sort_array(F.transform(twice, lambda e: e["c"]["i"]))
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds MEASURES (long) to every row, in one pass."""
     t = F.coalesce(F.col(text), F.lit(""))
-    keep = [c for c in docs.columns if c not in MEASURES and c not in ("_w", "_l", "_g", "_t")]
+    keep = [c for c in docs.columns if c not in MEASURES and c not in ("_w", "_l", "_g", "_t", "_r")]
     out = docs.select(*keep, t.alias("_t"), words_of(F.col(text)).alias("_w"))
     has_word = lambda x: F.length(F.translate(x, GAP_CHARS, "")) > 0
     out = out.select(*keep, "_t", "_w", F.filter(F.split("_t", "\n"), has_word).alias("_l"), _window_hashes(F.col("_w")).alias("_g"))
+    nothing = F.array().cast("array<bigint>")
+    out = out.select(*keep, "_t", "_w", "_l", "_g", F.when(_distinct_drop(F.col("_g")) > 0, _repeated(F.col("_g"))).otherwise(nothing).alias("_r"))
     bare = F.length("_t")
     stop = F.array(*[F.lit(w) for w in dict.fromkeys(STOP_WORDS)])
+    some = F.size("_r")
+    repeats = F.when(some == 0, 0).when(some <= FEW, _steps(_places_of_few(F.col("_g"), F.col("_r")))).otherwise(_steps(_places_of_many(F.col("_g"))))
     out = out.select(
         *keep,
         F.size("_w").cast("long").alias("n_words"),
         F.length(F.translate("_t", GAP_CHARS, "")).cast("long").alias("word_chars"),
         (bare - F.length(F.translate("_t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         _distinct_drop(F.col("_l")).cast("long").alias("n_dup_lines"),
-        F.when(_distinct_drop(F.col("_g")) > 0, _covered_words(F.col("_g"))).otherwise(F.lit(0)).cast("long").alias("n_repeat_words"),
+        repeats.cast("long").alias("n_repeat_words"),
         F.size("_l").cast("long").alias("n_lines"),
         (bare - F.length(F.translate("_t", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))).cast("long").alias("n_upper"),
         (bare - F.length(F.translate("_t", "!", ""))).cast("long").alias("n_shouts"),
-        F.size(F.filter("_w", lambda w: F.array_contains(stop, w))).cast("long").alias("n_stop"),
+        F.size(F.array_intersect("_w", stop)).cast("long").alias("n_stop"),
     )
     return out
 
@@ -132,12 +155,19 @@ def fit(patterns: Sequence[tuple[Sequence[int], int]], rounds: int = ROUNDS) ->
     return up, down, math.log(prior / (1 - prior))
 
 
-def judge(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
-    """Adds MEASURES, the votes, ``base_failed``, ``p_good`` (posterior) and ``kept`` to every row of ``docs``."""
+def judge(docs: DataFrame, text: str = "text", threshold: float = 0.5, keep_text: bool = True) -> DataFrame:
+    """Adds MEASURES, the votes, ``base_failed``, ``p_good`` (posterior) and ``kept`` to every row of ``docs``.
+
+    The texts are measured once: rows and measures are written to the shared folder, the pattern counts and the
+    verdicts read them from there. Give only the columns that the result needs.
+    """
     names = [f"v_{n}" for n in RULES]
     docs = docs.drop(*names, "base_failed", "p_good", "kept")
-    voted = measure(docs, text).select("*", *_votes())
-    counted = measure(docs.select(text), text).select(*_votes()).groupBy(*names).count()
+    measured = measure(docs, text)
+    if not keep_text:
+        measured = measured.drop(text)
+    voted = Scratch(docs.sparkSession, "quality").save(measured.select("*", *_votes()), "voted")
+    counted = voted.groupBy(*names).count()
     up, down, base = fit([(r[:-1], r[-1]) for r in counted.collect()])
     odds = F.lit(base)
     for name, u, d in zip(names, up, down):
@@ -148,7 +178,7 @@ def judge(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFr
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = judge(table(spark, sf_dir, "documents"))
+    out = judge(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
@@ -157,7 +187,7 @@ def oracle_op6() -> str:
     names = list(RULES)
     stop = ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
     sql = rf"""WITH t AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
-l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM t),
+l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM t),
 g AS (SELECT doc_id, i, list_aggregate(w[i:i+4], 'string_agg', ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM t WHERE len(w) >= 5)),
 d AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM g),
 r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM d WHERE c > 1) GROUP BY doc_id),
@@ -165,7 +195,7 @@ m AS MATERIALIZED (SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(leng
   CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
   CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words, CAST(len(l) AS BIGINT) AS n_lines,
   CAST(length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS BIGINT) AS n_upper, CAST(length(t) - length(regexp_replace(t, '!', '', 'g')) AS BIGINT) AS n_shouts,
-  CAST(len(list_filter(w, x -> x IN ({stop}))) AS BIGINT) AS n_stop
+  CAST(len(list_distinct(list_filter(w, lambda x: x IN ({stop})))) AS BIGINT) AS n_stop
   FROM t JOIN l USING (doc_id) LEFT JOIN r USING (doc_id)),
 v AS MATERIALIZED (SELECT *, {", ".join(f"CASE WHEN {g} THEN 1 WHEN {b} THEN -1 ELSE 0 END AS v{j}" for j, (g, b) in enumerate(RULES.values()))} FROM m),
 h AS MATERIALIZED (SELECT {", ".join(f"v{j}" for j in range(len(names)))}, count(*) AS n FROM v GROUP BY ALL),
