@@ -6,16 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reportlake.llm import quality
+from reportlake.llm import mixing, packing, quality, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_packing": packing.op3_packing,
         "op6_quality_rules": quality.op6_quality_rules,
+        "op7_mixing": mixing.op7_mixing,
+        "op10_warc": warc.op10_warc,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op6_quality_rules": quality.oracle_op6(),
+        "op10_warc": warc.ORACLE,
     }
