@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reportlake.llm import mixing, packing, quality, warc
+from reportlake.llm import linededup, mixing, packing, preference, quality, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_packing": packing.op3_packing,
         "op6_quality_rules": quality.op6_quality_rules,
         "op7_mixing": mixing.op7_mixing,
+        "op8_line_dedup": linededup.op8_line_dedup,
+        "op9_preference": preference.op9_preference,
         "op10_warc": warc.op10_warc,
     }
 
@@ -21,5 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op6_quality_rules": quality.oracle_op6(),
+        "op8_line_dedup": linededup.ORACLE,
+        "op9_preference": preference.ORACLE,
         "op10_warc": warc.ORACLE,
     }
