@@ -82,3 +82,12 @@ def words_of(text) -> F.Column:
 def n_words_of(text) -> F.Column:
     """Number of words of a text column (null: 0) without building them."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
+
+
+#: Row tables of up to so many ids are broadcast (16 MB of longs); larger ones meet by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def small(saved: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
+    """A saved narrow table, marked for broadcast if it has at most ``limit`` rows."""
+    return F.broadcast(saved) if saved.count() <= limit else saved
