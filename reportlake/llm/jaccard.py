@@ -7,12 +7,12 @@ A token is the 64-bit hash of five consecutive words. Steps, each a Spark job ov
    fixed order of tokens two sets with similarity 3/4 share one of each one's first quarter + 1 tokens. Equal
    sets collapse to their smallest id.
 3. Similar documents are partitioned into groups: documents with an equal minimum hash are compared with the
-   smallest and the largest id that have it, and join the hub they link with.
-4. The matrix: (token, group) entries of the prefixes, dealt by token. Groups of different components that share
-   an entry are candidate pairs.
+   smallest id that has it and with the one most like the others, and join the hub they are most similar to.
+4. The matrix: (token, group) entries of the prefixes, dealt by token. Groups that share an entry are candidate
+   pairs, unless they are all of one component.
 5. A group's token union is its hub's tokens and at most so many more for each member as its worst member has,
    which bounds the overlap of any two members of two groups. Only pairs of groups whose bound can reach 3/4 are
-   opened, members against hubs first, then those members that still can link.
+   opened, block by block, and only links that join something are given out.
 
 All links between different components are found, so the components are exact; no partner is capped. Hashes of
 64 bits stand for shingles.
@@ -45,6 +45,10 @@ COMMON = 6
 #: ... and so many of the most frequent are remembered. The order decides speed only, never the result.
 REMEMBERED = 250_000
 BATCH = 1000
+#: Documents this similar to a hub are in its group, linked or not.
+LOOSE = 0.4
+#: Tokens on either side of a block in which groups are opened; a longer document is a block by itself.
+BLOCK = 40_000
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 MIX, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 SALTS = np.array([xxhash.xxh64_intdigest(bytes([k])) | 1 for k in range(HASHES)], dtype=np.uint64)
@@ -164,21 +168,31 @@ def overlaps(pairs: DataFrame, sets: DataFrame, scratch: Scratch, name: str) ->
 LINKED = f"100 * both >= {PERCENT} * (na + nb - both)"
 
 
-def groups(reps: DataFrame, docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Hubs and their members: verified links (a, b), (id, hub, extra) of every member, and the token sets used."""
+def groups(reps: DataFrame, docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Verified links (a, b) of hubs, and (id, hub, extra, core) of every member.
+
+    A member is ``core`` if it links with its hub; ``extra`` counts its tokens that the hub lacks.
+    """
     buckets = reps.select("doc_id", "n", F.posexplode("low").alias("k", "v"))
-    ends = buckets.groupBy("k", "v").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    met = scratch.save(buckets.join(ends, ["k", "v"]).select("doc_id", "first", "last"), "met")
+    # A document whose minimum hashes are widespread lies in the middle of its like: it makes the best hub.
+    counts = scratch.save(buckets.groupBy("k", "v").agg(F.count("*").alias("c")).where("c > 1"), "bucket_counts")
+    shared = buckets.join(counts, ["k", "v"])
+    fame = shared.groupBy("doc_id").agg(F.sum("c").alias("fame"))
+    met = scratch.save(shared.join(fame, "doc_id").select("doc_id", "k", "v", "fame"), "met")
+    ends = met.groupBy("k", "v").agg(F.max(F.struct("fame", (-F.col("doc_id")).alias("i"))).alias("top"), F.min("doc_id").alias("first"))
+    met = met.join(ends.select("k", "v", "first", (-F.col("top.i")).alias("last")), ["k", "v"])
     hubs = met.select("doc_id", F.explode(F.array("first", "last")).alias("a")).where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
     size = reps.select("doc_id", "n")
     near = hubs.join(size.select(F.col("doc_id").alias("a"), F.col("n").alias("x")), "a").join(size.select(F.col("doc_id").alias("b"), F.col("n").alias("y")), "b")
     near = scratch.save(near.where(f"100 * least(x, y) >= {PERCENT} * greatest(x, y)").select("a", "b"), "hub_pairs")
     ids = scratch.save(near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).distinct(), "hub_ids")
     sets = scratch.save(token_sets(docs, ids).dropDuplicates(["id"]), "hub_sets")
-    links = overlaps(near, sets, scratch, "hub_overlaps").where(LINKED)
-    chosen = links.groupBy("b").agg(F.min(F.struct(F.col("a"), (F.col("nb") - F.col("both")).alias("extra"))).alias("h"))
-    member = chosen.select(F.col("b").alias("id"), F.col("h.a").alias("hub"), F.col("h.extra").alias("extra"))
-    return links.select("a", "b"), scratch.save(member, "members"), sets
+    met = overlaps(near, sets, scratch, "hub_overlaps")
+    alike = F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))
+    rank = F.struct(F.expr(LINKED).alias("core"), alike.alias("alike"), (-F.col("a")).alias("i"), (F.col("nb") - F.col("both")).alias("extra"))
+    chosen = met.where(alike >= LOOSE).groupBy("b").agg(F.max(rank).alias("h"))
+    member = chosen.select(F.col("b").alias("id"), (-F.col("h.i")).alias("hub"), F.col("h.extra").alias("extra"), F.col("h.core").alias("core"))
+    return met.where(LINKED).select("a", "b"), scratch.save(member, "members")
 
 
 def matrix_pairs(entries: DataFrame) -> DataFrame:
@@ -253,14 +267,18 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
         filled = described.where("n > 0 AND doc_id IS NOT NULL")
         same = scratch.save(filled.groupBy("mark").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("top")).select("mark", "doc_id", "top"), "same")
         reps = scratch.save(filled.join(same.select("doc_id", "mark"), ["doc_id", "mark"], "left_semi").select("doc_id", "n", "low", "head").dropDuplicates(["doc_id"]), "reps")
-        links, member, _ = groups(reps, docs, scratch)
+        links, member = groups(reps, docs, scratch)
         comp = scratch.save(components(links, scratch, "first"), "comp0")
-        # Documents outside any hub are groups of their own; hubs belong to the group that they lead or joined.
-        placed = reps.join(small(member.select(F.col("id").alias("doc_id"), "hub", "extra")), "doc_id", "left").join(small(comp.select(F.col("id").alias("doc_id"), F.col("component").alias("comp"))), "doc_id", "left")
-        placed = placed.select("doc_id", "n", F.coalesce("hub", "doc_id").alias("grp"), F.coalesce("extra", F.lit(0)).alias("extra"), F.coalesce("comp", "doc_id").alias("comp"), "head")
-        pairs = scratch.save(matrix_pairs(placed.select("grp", "comp", "head")), "matrix")
-        grouped = placed.drop("head")
-        more = _opened(pairs, grouped, docs, scratch)
+        # Documents without a hub are groups of their own, and so are hubs that joined no other.
+        placed = reps.join(small(member.withColumnRenamed("id", "doc_id")), "doc_id", "left")
+        placed = placed.select("doc_id", "n", F.coalesce("hub", "doc_id").alias("grp"), F.coalesce("extra", F.lit(0)).alias("extra"), F.coalesce("core", F.lit(True)).alias("core"), "head")
+        placed = placed.join(small(comp.select(F.col("id").alias("grp"), F.col("component").alias("comp"))), "grp", "left").withColumn("comp", F.coalesce("comp", "grp"))
+        mixed = scratch.save(member.where("NOT core").select(F.col("hub").alias("grp"), F.lit(True).alias("mixed")).distinct(), "mixed")
+        # Pairs within one component need no look, unless a group also has members that its hub does not link.
+        entries = placed.join(small(mixed), "grp", "left").withColumn("comp", F.when(F.col("mixed"), -1 - F.col("grp")).otherwise(F.col("comp")))
+        pairs = scratch.save(matrix_pairs(entries.select("grp", "comp", "head")), "matrix")
+        own = mixed.select(F.col("grp").alias("g"), F.col("grp").alias("h"))
+        more = _opened(pairs.unionByName(own), placed.drop("head"), docs, scratch)
     edges = links.unionByName(more)
     # Equal sets: every document hangs on the smallest of its set; repeated ids join what their rows join.
     copies = filled.join(same.where("top > doc_id").select("mark", F.col("doc_id").alias("b")), "mark").select(F.col("doc_id").alias("a"), "b").where("a <> b")
@@ -270,29 +288,81 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
 
 
 def _opened(pairs: DataFrame, grouped: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """Links (a, b) between members of different groups."""
-    need = lambda x, y: f"100 * ({x}) >= {PERCENT} * ({y})"
+    """Links (a, b) that join the components of pairs of groups, and those of a group's loose members.
+
+    Qualifying pairs are opened in blocks of a bounded number of tokens: a block holds some of one group's
+    members and the queries that meet them, and gives out only links that join what it has not joined yet.
+    """
     touched = scratch.save(pairs.select(F.col("g").alias("grp")).unionByName(pairs.select(F.col("h").alias("grp"))).distinct(), "touched")
     grouped = scratch.save(grouped.join(small(touched), "grp", "left_semi"), "grouped")
-    info = scratch.save(grouped.groupBy("grp").agg(F.max("extra").alias("e"), F.min("n").alias("lo"), F.max("n").alias("hi")), "info")
-    one, two = (info.select(F.col("grp").alias(p), F.col("e").alias(f"e{p}"), F.col("lo").alias(f"lo{p}"), F.col("hi").alias(f"hi{p}")) for p in "gh")
-    sized = pairs.join(one, "g").join(two, "h").where(need("hig", "loh") + " AND " + need("hih", "log"))
-    sized = scratch.save(sized.select(F.col("g").alias("a"), F.col("h").alias("b"), "eg", "eh", "log", "loh"), "sized")
-    ids = sized.select(F.col("a").alias("id")).unionByName(sized.select(F.col("b").alias("id")))
-    # Hubs and the members of the groups that may be opened.
-    ids = scratch.save(ids.unionByName(grouped.join(ids.select(F.col("id").alias("grp")), "grp", "left_semi").select(F.col("doc_id").alias("id"))).distinct(), "open_ids")
-    sets = scratch.save(token_sets(docs, ids).dropDuplicates(["id"]), "open_sets")
+    solo = (F.count("*") == 1) & (F.min("doc_id") == F.col("grp"))
+    info = scratch.save(grouped.groupBy("grp", "comp").agg(F.max("extra").alias("e"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.count("*").alias("c"), F.sum("n").alias("t"), F.count_if(~F.col("core")).alias("l"), solo.alias("solo")), "info")
+    one, two = (info.select(*[F.col(c).alias(p if c == "grp" else c + p) for c in info.columns]) for p in "gh")
+    sized = pairs.join(small(one), "g").join(small(two), "h").where(f"100 * hig >= {PERCENT} * loh AND 100 * hih >= {PERCENT} * log")
+    sized = sized.withColumns({"a": F.col("g"), "b": F.col("h")})
+    sized = scratch.save(sized.select("a", "b", "g", "h", "eg", "eh", "log", "loh", "cg", "ch", "lg", "lh", (F.col("compg") == F.col("comph")).alias("same"), (F.col("solog") & F.col("soloh")).alias("single")), "sized")
+    hubs = scratch.save(sized.select(F.col("a").alias("id")).unionByName(sized.select(F.col("b").alias("id"))).distinct(), "bound_ids")
+    sets = scratch.save(token_sets(docs, hubs).dropDuplicates(["id"]), "bound_sets")
     bound = overlaps(sized, sets, scratch, "bounds").where(f"100 * (both + eg + eh) >= {PERCENT} * greatest(log, loh)")
-    bound = scratch.save(bound.select(F.col("a").alias("g"), F.col("b").alias("h"), "eg", "eh", "log", "loh"), "qualifying")
-    # Members of g against the hub of h, and the other way round.
-    sides = []
+    singles = bound.where("single").where(LINKED).select("a", "b")
+    open_ = bound.where("NOT single")
+    # Who asks whom: of two components the smaller group; within one component only the loose members.
+    small_first = F.col("cg") <= F.col("ch")
+    asks = open_.where("NOT same").select(F.when(small_first, F.col("g")).otherwise(F.col("h")).alias("q"), F.when(small_first, F.col("h")).otherwise(F.col("g")).alias("t"), F.lit(False).alias("loose"))
     for p, q in ("gh", "hg"):
-        asked = bound.join(grouped.select(F.col("grp").alias(p), F.col("doc_id").alias("b")), p)
-        asked = asked.select(F.col(q).alias("a"), "b", "g", "h", F.col(f"e{q}").alias("e"), F.col(f"lo{q}").alias("lo"))
-        kept = overlaps(asked, sets, scratch, f"against_{q}").where(f"100 * (both + e) >= {PERCENT} * greatest(nb, lo)")
-        sides.append(kept.select("g", "h", F.col("b").alias(f"m{p}")))
-    both = sides[0].join(sides[1], ["g", "h"]).select(F.least("mg", "mh").alias("a"), F.greatest("mg", "mh").alias("b")).where("a <> b").distinct()
-    return overlaps(both, sets, scratch, "member_overlaps").where(LINKED).select("a", "b")
+        asks = asks.unionByName(open_.where(f"same AND l{p} > 0").select(F.col(p).alias("q"), F.col(q).alias("t"), F.lit(True).alias("loose")))
+    asks = scratch.save(asks.distinct(), "asks")
+    members = grouped.select("grp", "doc_id", "n", "core")
+    queries = asks.join(members.withColumnRenamed("grp", "q"), "q").where("NOT loose OR NOT core").select("t", F.col("doc_id").alias("id"), "n").distinct()
+    queries = scratch.save(queries, "queries")
+    cuts = queries.groupBy("t").agg(F.ceil(F.sum("n") / BLOCK).alias("kq")).join(info.select(F.col("grp").alias("t"), F.ceil(F.col("t") / BLOCK).alias("kt")), "t")
+    cuts = scratch.save(cuts, "cuts")
+    targets = scratch.save(cuts.join(members.withColumnRenamed("grp", "t"), "t").select("t", "kq", "kt", F.col("doc_id").alias("id"), "core"), "targets")
+    ids = scratch.save(queries.select("id").unionByName(targets.select("id")).distinct(), "open_ids")
+    sets = scratch.save(token_sets(docs, ids).dropDuplicates(["id"]), "open_sets").drop("n")
+    again = scratch.spark.read.parquet(scratch.path("open_sets")).drop("n")  # else both sides would name the same columns
+    part = lambda k: F.pmod(F.xxhash64("id"), F.col(k)).cast("int")
+    every = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1).cast("array<int>"))
+    left = queries.join(cuts, "t").select("t", part("kq").alias("i"), every("kt").alias("j"), "id").join(sets, "id")
+    right = targets.select("t", every("kq").alias("i"), part("kt").alias("j"), "id", "core").join(again, "id")
+    blocks = left.groupBy("t", "i", "j").cogroup(right.groupBy("t", "i", "j")).applyInArrow(_block, "a long, b long")
+    return singles.unionByName(scratch.save(blocks, "opened"))
+
+
+def _block(queries: pa.Table, members: pa.Table) -> pa.Table:
+    """Links of queries with members, as many as join all that is linked (core members are joined already)."""
+    q, m = queries.column("id").to_pylist(), members.column("id").to_pylist()
+    found: list[tuple[int, int]] = []
+    if q and m:
+        root = {x: x for x in (*q, *m)}
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        core = [x for x, c in zip(m, members.column("core").to_pylist()) if c]
+        for x in core:
+            root[find(x)] = find(core[0])
+        sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in members.column("tokens")]
+        n = np.array([len(x) for x in sets])
+        every, owner = np.concatenate(sets), np.repeat(np.arange(len(m)), n)
+        by = np.argsort(every, kind="stable")
+        every, owner = every[by], owner[by]
+        for x, value in zip(q, queries.column("tokens")):
+            t = np.frombuffer(value.as_buffer(), np.uint64)
+            lo, hi = np.searchsorted(every, t, "left"), np.searchsorted(every, t, "right")
+            k = hi - lo
+            at = np.repeat(lo - np.append(0, np.cumsum(k)[:-1]), k) + np.arange(k.sum())
+            both = np.bincount(owner[at], minlength=len(m))
+            for j in np.flatnonzero(100 * both >= PERCENT * (len(t) + n - both)):
+                u, v = find(x), find(m[j])
+                if u != v:
+                    root[u] = v
+                    found.append((x, m[j]))
+    a, b = zip(*found) if found else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
