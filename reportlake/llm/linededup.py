@@ -61,7 +61,8 @@ def remove_boilerplate(docs: DataFrame, text: str = "text", key: str = "doc_id",
     found = F.broadcast(found) if found.count() <= BROADCAST_LINES else found
     hits = lines.join(found, "line").where(~F.col("doc").eqNullSafe(F.col("first"))).groupBy("doc").agg(F.collect_set("line").alias("_hits"))
     hits = scratch.save(hits, "hits").withColumnRenamed("doc", "_doc")
-    joined = docs.join(hits, F.col(key).eqNullSafe(F.col("_doc")), "left")
+    # Always by a shuffle of the documents: a broadcast would only fit while few of them show boilerplate.
+    joined = docs.join(hits.hint("merge"), F.col(key).eqNullSafe(F.col("_doc")), "left")
     split = F.split(F.col(text), "\n")
     tested = F.transform(split, lambda x: F.struct(x.alias("l"), line_hash(x).alias("h"), (n_words_of(x) >= MIN_WORDS).alias("w")))
     kept = F.transform(F.filter(tested, lambda x: ~(x["w"] & F.array_contains("_hits", x["h"]))), lambda x: x["l"])
