@@ -45,6 +45,8 @@ COMMON = 6
 #: ... and so many of the most frequent are remembered. The order decides speed only, never the result.
 REMEMBERED = 250_000
 BATCH = 1000
+#: Minimum hashes a document must have in common with a hub to be compared with it.
+AGREE = 3
 #: Documents this similar to a hub are in its group, linked or not.
 LOOSE = 0.4
 #: Tokens on either side of a block in which groups are opened; a longer document is a block by itself.
@@ -130,13 +132,20 @@ def describe(docs: DataFrame, common: np.ndarray) -> DataFrame:
 
 
 def token_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, n, tokens binary) of the documents in ``ids`` (id), a saved table; repeated ids once."""
+    """(id, n, tokens binary) of the documents in ``ids`` (id), a saved table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        known, seen = WordHashes(), set()
         for batch in batches:
-            got = [tokens(v.as_py(), known) for v in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(t) for t in got], pa.int64()), pa.array([t.tobytes() for t in got], pa.binary())], ["id", "n", "tokens"])
+            out = []
+            for i, v in zip(batch.column(0).to_pylist(), batch.column(1)):
+                t = tokens(v.as_py(), known)
+                row = (i, len(t), t.tobytes())
+                if (mark := hash(row)) not in seen:  # a row that a task repeats is needed once
+                    seen.add(mark)
+                    out.append(row)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary()))], ["id", "n", "tokens"])
 
     wanted = docs.join(small(ids.withColumnRenamed("id", "doc_id")), "doc_id", "left_semi")
     return _batches(wanted, run, "id long, n long, tokens binary")
@@ -157,9 +166,11 @@ def overlaps(pairs: DataFrame, sets: DataFrame, scratch: Scratch, name: str) ->
             kept = [i for i in range(batch.num_columns) if i not in at.values()]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), pa.array(both, pa.int64())], [*(batch.schema.names[i] for i in kept), "both"])
 
-    # Members' sets travel to the hub's partition once; the hub's set is not copied per member by a shuffle.
-    left = pairs.join(sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb")), "b")
-    full = left.join(sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta")), "a")
+    # The sets of the b side travel once for each pair, to where the sets of the a side are.
+    pairs = scratch.save(pairs, f"{name}_pairs")
+    sets_a = sets.join(small(scratch.save(pairs.select(F.col("a").alias("id")).distinct(), f"{name}_a")), "id", "left_semi")
+    left = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb")).join(small(pairs), "b")
+    full = left.join(sets_a.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta")), "a")
     names = [c for c in full.columns if c not in ("ta", "tb")]
     fields = ", ".join(f"`{c}` {full.schema[c].dataType.simpleString()}" for c in names)
     return scratch.save(full.mapInArrow(run, fields + ", both long"), name)
@@ -181,12 +192,13 @@ def groups(reps: DataFrame, docs: DataFrame, scratch: Scratch) -> tuple[DataFram
     met = scratch.save(shared.join(fame, "doc_id").select("doc_id", "k", "v", "fame"), "met")
     ends = met.groupBy("k", "v").agg(F.max(F.struct("fame", (-F.col("doc_id")).alias("i"))).alias("top"), F.min("doc_id").alias("first"))
     met = met.join(ends.select("k", "v", "first", (-F.col("top.i")).alias("last")), ["k", "v"])
-    hubs = met.select("doc_id", F.explode(F.array("first", "last")).alias("a")).where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
-    size = reps.select("doc_id", "n")
-    near = hubs.join(size.select(F.col("doc_id").alias("a"), F.col("n").alias("x")), "a").join(size.select(F.col("doc_id").alias("b"), F.col("n").alias("y")), "b")
-    near = scratch.save(near.where(f"100 * least(x, y) >= {PERCENT} * greatest(x, y)").select("a", "b"), "hub_pairs")
+    hubs = met.select("doc_id", F.explode(F.array_distinct(F.array("first", "last"))).alias("a")).where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
+    size = reps.select("doc_id", "low")
+    near = hubs.join(size.select(F.col("doc_id").alias("a"), F.col("low").alias("x")), "a").join(size.select(F.col("doc_id").alias("b"), F.col("low").alias("y")), "b")
+    agree = F.aggregate(F.zip_with("x", "y", lambda x, y: (x == y).cast("int")), F.lit(0), lambda acc, v: acc + v)
+    near = scratch.save(near.where(agree >= AGREE).select("a", "b").distinct(), "hub_pairs")
     ids = scratch.save(near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).distinct(), "hub_ids")
-    sets = scratch.save(token_sets(docs, ids).dropDuplicates(["id"]), "hub_sets")
+    sets = scratch.save(token_sets(docs, ids), "hub_sets")
     met = overlaps(near, sets, scratch, "hub_overlaps")
     alike = F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))
     rank = F.struct(F.expr(LINKED).alias("core"), alike.alias("alike"), (-F.col("a")).alias("i"), (F.col("nb") - F.col("both")).alias("extra"))
@@ -196,7 +208,7 @@ def groups(reps: DataFrame, docs: DataFrame, scratch: Scratch) -> tuple[DataFram
 
 
 def matrix_pairs(entries: DataFrame) -> DataFrame:
-    """Pairs of groups (g, h) of different components that share a token, from (grp, comp, head) rows.
+    """Pairs of groups (g, h) of different components, with how many tokens they share, from (grp, comp, head) rows.
 
     Tasks pack entries by token range, each (token, group) once; the next tasks sort theirs by token and pair the
     groups of a token. Nothing but pairs of different components is ever emitted.
@@ -209,52 +221,62 @@ def matrix_pairs(entries: DataFrame) -> DataFrame:
             n = [len(x) for x in heads]
             if not sum(n):
                 continue
-            t = np.concatenate(heads)
-            g, c = (np.repeat(batch.column(i).to_numpy(), n) for i in (0, 1))
+            grp, row = np.unique(batch.column(0).to_numpy(), return_index=True)
+            comp = batch.column(1).to_numpy()[row]
+            t, g = np.concatenate(heads), np.repeat(np.searchsorted(grp, batch.column(0).to_numpy()), n)
             by = np.lexsort((g, t))
-            t, g, c = t[by], g[by], c[by]
+            t, g = t[by], g[by]
             new = np.append(True, (t[1:] != t[:-1]) | (g[1:] != g[:-1]))
-            t, g, c = t[new], g[new], c[new]
+            t, g = t[new], g[new]
             part = (t >> np.uint64(40)).astype(np.int64) % parts
             by = np.argsort(part, kind="stable")
             ends = np.searchsorted(part[by], np.arange(parts + 1))
-            at = [k for k in range(parts) if ends[k] < ends[k + 1]]
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *(pa.array([x[by[ends[k] : ends[k + 1]]].tobytes() for k in at], pa.binary()) for x in (t, g, c))], ["part", "t", "g", "c"])
+            out = []
+            for k in np.flatnonzero(np.diff(ends)):
+                i = by[ends[k] : ends[k + 1]]
+                used, index = np.unique(g[i], return_inverse=True)
+                out.append((int(k), t[i].tobytes(), index.astype(np.uint16).tobytes(), grp[used].tobytes(), comp[used].tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [pa.int32(), *[pa.binary()] * 4])], ["part", "t", "i", "g", "c"])
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = [[], [], []]
         for batch in batches:
-            for i, kind in enumerate((np.uint64, np.int64, np.int64)):
-                held[i] += [np.frombuffer(v.as_buffer(), kind).copy() for v in batch.column(i + 1)]
+            for t, i, g, c in zip(*(batch.column(k) for k in range(1, 5))):
+                i = np.frombuffer(i.as_buffer(), np.uint16)
+                held[0].append(np.frombuffer(t.as_buffer(), np.uint64).copy())
+                held[1].append(np.frombuffer(g.as_buffer(), np.int64)[i])
+                held[2].append(np.frombuffer(c.as_buffer(), np.int64)[i])
         if not held[0]:
             return
         t, g, c = map(np.concatenate, held)
         by = np.lexsort((g, t))
         t, g, c = t[by], g[by], c[by]
+        new = np.append(True, (t[1:] != t[:-1]) | (g[1:] != g[:-1]))
+        t, g, c = t[new], g[new], c[new]
         begin = np.flatnonzero(np.append(True, t[1:] != t[:-1]))
         end = np.append(begin[1:], len(t))
         many = (end - begin) > 1
-        found, n = [], 0
-        for i, j in zip(begin[many], end[many]):
-            gs, first = np.unique(g[i:j], return_index=True)
-            cs = c[i:j][first]
-            for k in range(len(gs) - 1):
-                other = cs[k + 1 :] != cs[k]
-                if other.any():
-                    found.append(np.column_stack([np.full(other.sum(), gs[k]), gs[k + 1 :][other]]))
-                    n += len(found[-1])
-            if n > 200_000:
-                found = [np.unique(np.concatenate(found), axis=0)]
-                if len(found[0]) > 100_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(found[0][:, 0]), pa.array(found[0][:, 1])], ["g", "h"])
-                    found = []
-                n = len(found[0]) if found else 0
+        found: dict[tuple[int, int], int] = {}
+        for i, j in zip(begin[many].tolist(), end[many].tolist()):
+            gs, cs = g[i:j].tolist(), c[i:j].tolist()
+            for k in range(j - i - 1):
+                for m in range(k + 1, j - i):
+                    if cs[k] != cs[m]:
+                        key = (gs[k], gs[m])
+                        found[key] = found.get(key, 0) + 1
+            if len(found) > 200_000:
+                yield _counted(found)
+                found = {}
         if found:
-            found = np.unique(np.concatenate(found), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["g", "h"])
+            yield _counted(found)
+
+    packed = entries.select("grp", "comp", "head").mapInArrow(pack, "part int, t binary, i binary, g binary, c binary")
+    return packed.repartition(parts, "part").mapInArrow(pair, "g long, h long, shared long").groupBy("g", "h").agg(F.sum("shared").alias("shared"))
 
-    packed = entries.select("grp", "comp", "head").mapInArrow(pack, "part int, t binary, g binary, c binary")
-    return packed.repartition(parts, "part").mapInArrow(pair, "g long, h long").distinct()
+
+def _counted(found: dict[tuple[int, int], int]) -> pa.RecordBatch:
+    g, h = zip(*found)
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (g, h, list(found.values()))], ["g", "h", "shared"])
 
 
 def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -264,26 +286,36 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=BATCH):
         described = scratch.save(describe(docs, common_tokens(docs, scratch)), "described")
-        filled = described.where("n > 0 AND doc_id IS NOT NULL")
-        same = scratch.save(filled.groupBy("mark").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("top")).select("mark", "doc_id", "top"), "same")
-        reps = scratch.save(filled.join(same.select("doc_id", "mark"), ["doc_id", "mark"], "left_semi").select("doc_id", "n", "low", "head").dropDuplicates(["doc_id"]), "reps")
+        sizes = scratch.save(described.select("doc_id", "n", "mark"), "sizes")
+        filled = sizes.where("n > 0 AND doc_id IS NOT NULL")
+        same = scratch.save(filled.groupBy("mark").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("top")), "same")
+        heads = described.where("n > 0").join(small(same.select("doc_id", "mark")), ["doc_id", "mark"], "left_semi")
+        heads = scratch.save(heads.select("doc_id", "mark", "n", "low", "head"), "heads")
+        scratch.drop("described")
+        reps = scratch.save(heads.select("doc_id", "mark", "n", "low").distinct(), "reps")
         links, member = groups(reps, docs, scratch)
         comp = scratch.save(components(links, scratch, "first"), "comp0")
         # Documents without a hub are groups of their own, and so are hubs that joined no other.
-        placed = reps.join(small(member.withColumnRenamed("id", "doc_id")), "doc_id", "left")
-        placed = placed.select("doc_id", "n", F.coalesce("hub", "doc_id").alias("grp"), F.coalesce("extra", F.lit(0)).alias("extra"), F.coalesce("core", F.lit(True)).alias("core"), "head")
-        placed = placed.join(small(comp.select(F.col("id").alias("grp"), F.col("component").alias("comp"))), "grp", "left").withColumn("comp", F.coalesce("comp", "grp"))
+        label = small(comp.select(F.col("id").alias("grp"), F.col("component").alias("comp")))
+
+        def place(rows: DataFrame) -> DataFrame:
+            out = rows.join(small(member.withColumnRenamed("id", "doc_id")), "doc_id", "left")
+            out = out.withColumns({"grp": F.coalesce("hub", "doc_id"), "extra": F.coalesce("extra", F.lit(0)), "core": F.coalesce("core", F.lit(True))})
+            return out.join(label, "grp", "left").withColumn("comp", F.coalesce("comp", "grp"))
+
         mixed = scratch.save(member.where("NOT core").select(F.col("hub").alias("grp"), F.lit(True).alias("mixed")).distinct(), "mixed")
         # Pairs within one component need no look, unless a group also has members that its hub does not link.
-        entries = placed.join(small(mixed), "grp", "left").withColumn("comp", F.when(F.col("mixed"), -1 - F.col("grp")).otherwise(F.col("comp")))
+        entries = place(heads.select("doc_id", "head")).join(small(mixed), "grp", "left").withColumn("comp", F.when(F.col("mixed"), -1 - F.col("grp")).otherwise(F.col("comp")))
         pairs = scratch.save(matrix_pairs(entries.select("grp", "comp", "head")), "matrix")
-        own = mixed.select(F.col("grp").alias("g"), F.col("grp").alias("h"))
-        more = _opened(pairs.unionByName(own), placed.drop("head"), docs, scratch)
+        scratch.drop("heads")
+        own = mixed.select(F.col("grp").alias("g"), F.col("grp").alias("h"), F.lit(None).cast("long").alias("shared"))
+        placed = place(reps.select("doc_id", "n")).select("doc_id", "n", "grp", "extra", "core", "comp")
+        more = _opened(pairs.unionByName(own), placed, docs, scratch)
     edges = links.unionByName(more)
     # Equal sets: every document hangs on the smallest of its set; repeated ids join what their rows join.
     copies = filled.join(same.where("top > doc_id").select("mark", F.col("doc_id").alias("b")), "mark").select(F.col("doc_id").alias("a"), "b").where("a <> b")
     final = scratch.save(components(edges.unionByName(copies), scratch, "last"), "comp1")
-    out = described.select("doc_id", F.col("n").alias("n_shingles"))
+    out = sizes.select("doc_id", F.col("n").alias("n_shingles"))
     return out.join(small(final.withColumnRenamed("id", "doc_id")), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
@@ -299,10 +331,15 @@ def _opened(pairs: DataFrame, grouped: DataFrame, docs: DataFrame, scratch: Scra
     info = scratch.save(grouped.groupBy("grp", "comp").agg(F.max("extra").alias("e"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.count("*").alias("c"), F.sum("n").alias("t"), F.count_if(~F.col("core")).alias("l"), solo.alias("solo")), "info")
     one, two = (info.select(*[F.col(c).alias(p if c == "grp" else c + p) for c in info.columns]) for p in "gh")
     sized = pairs.join(small(one), "g").join(small(two), "h").where(f"100 * hig >= {PERCENT} * loh AND 100 * hih >= {PERCENT} * log")
+    # Common tokens lie in both prefixes, or behind the one that ends first, among three quarters of its set. What is
+    # shared and these must make up a link of sizes that the groups have.
+    most, least = F.greatest("hig", "hih"), F.least("log", "loh")
+    can = (100 * least <= PERCENT * most) | (4 * 175 * F.col("shared") + 225 * most >= 300 * least)
+    sized = sized.where(F.col("shared").isNull() | can)
     sized = sized.withColumns({"a": F.col("g"), "b": F.col("h")})
     sized = scratch.save(sized.select("a", "b", "g", "h", "eg", "eh", "log", "loh", "cg", "ch", "lg", "lh", (F.col("compg") == F.col("comph")).alias("same"), (F.col("solog") & F.col("soloh")).alias("single")), "sized")
     hubs = scratch.save(sized.select(F.col("a").alias("id")).unionByName(sized.select(F.col("b").alias("id"))).distinct(), "bound_ids")
-    sets = scratch.save(token_sets(docs, hubs).dropDuplicates(["id"]), "bound_sets")
+    sets = scratch.save(token_sets(docs, hubs), "bound_sets")
     bound = overlaps(sized, sets, scratch, "bounds").where(f"100 * (both + eg + eh) >= {PERCENT} * greatest(log, loh)")
     singles = bound.where("single").where(LINKED).select("a", "b")
     open_ = bound.where("NOT single")
@@ -319,7 +356,7 @@ def _opened(pairs: DataFrame, grouped: DataFrame, docs: DataFrame, scratch: Scra
     cuts = scratch.save(cuts, "cuts")
     targets = scratch.save(cuts.join(members.withColumnRenamed("grp", "t"), "t").select("t", "kq", "kt", F.col("doc_id").alias("id"), "core"), "targets")
     ids = scratch.save(queries.select("id").unionByName(targets.select("id")).distinct(), "open_ids")
-    sets = scratch.save(token_sets(docs, ids).dropDuplicates(["id"]), "open_sets").drop("n")
+    sets = scratch.save(token_sets(docs, ids), "open_sets").drop("n")
     again = scratch.spark.read.parquet(scratch.path("open_sets")).drop("n")  # else both sides would name the same columns
     part = lambda k: F.pmod(F.xxhash64("id"), F.col(k)).cast("int")
     every = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1).cast("array<int>"))
