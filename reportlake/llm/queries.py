@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reportlake.llm import jaccard, linededup, mixing, packing, preference, quality, toxicity, warc
+from reportlake.llm import jaccard, linededup, mixing, packing, preference, quality, suffix, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_toxicity": toxicity.op1_toxicity,
         "op3_packing": packing.op3_packing,
         "op4_jaccard_join": jaccard.op4_jaccard_join,
+        "op5_suffix_dedup": suffix.op5_suffix_dedup,
         "op6_quality_rules": quality.op6_quality_rules,
         "op7_mixing": mixing.op7_mixing,
         "op8_line_dedup": linededup.op8_line_dedup,
