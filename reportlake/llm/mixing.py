@@ -5,7 +5,7 @@ node, by multivariate-hypergeometric draws, so that every shard holds a random,
 shard then draws its disjoint run of the source's permuted blocks and shuffles locally.
 
 A block is a fixed share of its source in a random but repeatable order (a hash of the document): ``BLOCKS``
-blocks for each full pass over a source. What the driver sees is one row per source (names, totals) and the
+blocks, or more with many shards, for each full pass over a source. What the driver sees is one row per source (names, totals) and the
 tree's counts (sources x shards); documents never leave the executors, and a source that holds a third of all
 rows is spread over its blocks.
 
@@ -24,10 +24,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from reportlake.llm.common import Scratch, n_words_of, table
+from reportlake.llm.common import Scratch, n_words_of, shuffle_partitions, table
 
+#: Words of a shard; from this follow the number of shards and, at least twice as many, of blocks.
+SHARD_WORDS = 4_000_000
+SHARDS = (16, 32_768)
 BLOCKS = 256
-SHARDS = 16
 WEIGHTS = (5, 2, 1)
 TOTAL = Fraction(3, 2)
 MOST = 2
@@ -81,7 +83,7 @@ def hypergeometric(rng: random.Random, good: int, bad: int, draws: int) -> int:
     return got
 
 
-def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", seed: int = 7, blocks: int = BLOCKS, shards: int = SHARDS, weights: Sequence[int] = WEIGHTS, keep_text: bool = True) -> DataFrame:
+def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", seed: int = 7, shard_words: int = SHARD_WORDS, weights: Sequence[int] = WEIGHTS, keep_text: bool = True) -> DataFrame:
     """Every row of ``docs`` with its size, its source's size and target, ``copies`` and the output ``shards`` of the copies.
 
     A source whose target is r whole passes and a rest takes every document r times and, for the rest, the
@@ -93,9 +95,13 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", seed: int = 7,
     scratch = Scratch(spark, "mixing")
     # The sources are few and known to the driver, which numbers them; a hash of the key gives the order within one.
     order = F.xxhash64(F.col(key).cast("string"), F.lit(seed))
-    slot = F.pmod(order, F.lit(blocks)).cast("int")
-    named = docs.select(F.col(key).alias("_key"), F.col("source").alias("_source"), n_words_of(F.col(text)).alias("size"), order.alias("_order"), slot.alias("block"))
+    named = docs.select(F.col(key).alias("_key"), F.col("source").alias("_source"), n_words_of(F.col(text)).alias("size"), order.alias("_order"))
     sized = scratch.save(named, "sized")
+    words = sized.agg(F.sum("size")).first()[0] or 0
+    shards = min(max(-(-int(TOTAL * words) // shard_words), SHARDS[0]), SHARDS[1])
+    blocks = max(BLOCKS, 2 * shards)
+    slot = lambda order: F.pmod(order, F.lit(blocks)).cast("int")
+    sized = sized.withColumn("block", slot(F.col("_order")))
     per_block = scratch.save(sized.groupBy("_source", "block").agg(F.sum("size").alias("words")), "blocks")
     found = per_block.groupBy("_source").agg(F.sum("words").alias("words")).collect()
     found.sort(key=lambda r: (r["_source"] is None, [ord(c) for c in r["_source"] or ""]))
@@ -146,7 +152,7 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", seed: int = 7,
     info = info.select(F.col("i._source").alias("is"), F.col("block").alias("ib"), "source_size", "target", "passes", "whole", "edge", "cut_part", "cut_order", "_shards")
     if keep_text:
         kept = [c for c in docs.columns if c not in OWN]
-        base = docs.select(*kept, F.col("source").alias("_source"), n_words_of(F.col(text)).alias("_size"), order.alias("_order"), slot.alias("_block"))
+        base = docs.select(*kept, F.col("source").alias("_source"), n_words_of(F.col(text)).alias("_size"), order.alias("_order"), slot(order).alias("_block"))
     else:
         kept = [key, "source"]
         base = sized.select(F.col("_key").alias(key), F.col("_source").alias("source"), "_source", F.col("size").alias("_size"), "_order", F.col("block").alias("_block"))
@@ -161,10 +167,12 @@ def _range(order):
     return F.shiftrightunsigned(order, 52)
 
 
-def emit(mixed: DataFrame, columns: Sequence[str], seed: int = 7) -> DataFrame:
-    """One row per copy, in its shard (column ``shard``) and in the shard's local random order (``shuffle_key``)."""
-    out = mixed.where("copies > 0").select(*columns, F.posexplode("shards").alias("copy", "shard"))
-    return out.withColumn("shuffle_key", F.xxhash64(F.col("doc_id").cast("string"), F.col("copy"), F.lit(seed + 1)))
+def emit(mixed: DataFrame, columns: Sequence[str], key: str = "doc_id", seed: int = 7) -> DataFrame:
+    """``columns`` of the drawn rows, one for each copy, shards apart and each shuffled locally, by hash."""
+    out = mixed.where("copies > 0").select(*columns, F.posexplode("shards").alias("_copy", "_shard"))
+    out = out.withColumn("_at", F.xxhash64(F.col(key).cast("string"), F.col("_copy"), F.lit(seed + 1)))
+    dealt = out.repartition(shuffle_partitions(mixed.sparkSession), "_shard").sortWithinPartitions("_shard", "_at")
+    return dealt.select(*columns)
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

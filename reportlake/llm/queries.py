@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reportlake.llm import jaccard, linededup, mixing, packing, preference, quality, suffix, toxicity, warc
+from reportlake.llm import capjoin, jaccard, linededup, mixing, packing, preference, quality, suffix, toxicity, warc
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five stages of corpus_pipeline.py over documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": toxicity.op1_toxicity,
+        "op2_cap_filters": capjoin.op2_cap_filters,
         "op3_packing": packing.op3_packing,
         "op4_jaccard_join": jaccard.op4_jaccard_join,
         "op5_suffix_dedup": suffix.op5_suffix_dedup,
@@ -20,11 +28,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_line_dedup": linededup.op8_line_dedup,
         "op9_preference": preference.op9_preference,
         "op10_warc": warc.op10_warc,
+        "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_cap_filters": capjoin.ORACLE,
         "op6_quality_rules": quality.oracle_op6(),
         "op8_line_dedup": linededup.ORACLE,
         "op9_preference": preference.ORACLE,
