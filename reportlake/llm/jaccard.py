@@ -41,9 +41,9 @@ WIDTH = 5
 PERCENT = 75
 HASHES = 8
 #: Tokens that at least so many documents of one Arrow batch share are counted for the order ...
-COMMON = 6
+COMMON = 2
 #: ... and so many of the most frequent are remembered. The order decides speed only, never the result.
-REMEMBERED = 250_000
+REMEMBERED = 500_000
 BATCH = 1000
 #: Minimum hashes a document must have in common with a hub to be compared with it.
 AGREE = 3
@@ -103,7 +103,7 @@ def common_tokens(docs: DataFrame, scratch: Scratch) -> np.ndarray:
 
     seen = _batches(docs, count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     seen = scratch.save(seen, "common").orderBy(F.desc("n"), "token").limit(REMEMBERED)
-    return np.array([r[0] for r in seen.collect()], np.int64).view(np.uint64)[::-1].copy()
+    return seen.toArrow().column("token").to_numpy().view(np.uint64)[::-1].copy()
 
 
 def describe(docs: DataFrame, common: np.ndarray) -> DataFrame:
