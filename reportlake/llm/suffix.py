@@ -39,6 +39,8 @@ LENGTH = 100
 GRAM = 32
 LEFT = LENGTH - GRAM
 BATCH = 1000
+#: Contexts of one suffix array, beyond which whole anchors start another.
+CONTEXTS = 4096
 NO_ID = -(1 << 63)
 BASE = np.uint64(0x9E3779B97F4A7C15)
 VALUES = np.frombuffer(hashlib.shake_256(b"byte values").digest(256 * 8), np.uint64)
@@ -257,13 +259,15 @@ def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     near = np.zeros(len(h), bool)
     half = LEFT // 2
     roller = Roller()
-    sums = roller.sums(text.ravel())
-    at = np.arange(len(h)) * wide + lead
-    for lo, hi in ((at - half, at + GRAM), (at, at + LENGTH - half)):
-        inside = (lo >= np.arange(len(h)) * wide) & (hi <= np.arange(len(h)) * wide + size)
+    for before, after in ((half, GRAM), (0, LENGTH - half)):
+        key, inside = np.zeros(len(h), np.uint64), (lead >= before) & (lead + after <= size)
+        for k in range(0, len(h), CONTEXTS):
+            part = slice(k, k + CONTEXTS)
+            at = np.arange(len(h[part])) * wide + lead[part]
+            i = np.flatnonzero(inside[part])
+            key[k + i] = roller.hashes(roller.sums(text[part].ravel()), at[i] - before, at[i] + after)
         i = np.flatnonzero(inside)
-        key = roller.hashes(sums, lo[i], hi[i]) ^ _mix(h[i].view(np.uint64))
-        _, back, n = np.unique(key, return_inverse=True, return_counts=True)
+        _, back, n = np.unique(key[i] ^ _mix(h[i].view(np.uint64)), return_inverse=True, return_counts=True)
         near[i[n[back] > 1]] = True
     # Anchors in one document may share windows with themselves only by another anchor of the same hash.
     doc, begin, text, size, h = doc[near], begin[near], text[near], size[near], h[near]
@@ -272,7 +276,7 @@ def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     # Suffix arrays over runs of whole anchors, so that memory stays bounded.
     i = 0
     while i < len(ends) - 1:
-        j = max(i + 1, int(np.searchsorted(ends, ends[i] + 20_000, "right")) - 1)
+        j = max(i + 1, int(np.searchsorted(ends, ends[i] + CONTEXTS, "right")) - 1)
         rows = by[ends[i] : ends[j]]
         d, p, _, first, _ = repeat_groups(doc[rows], begin[rows], text[rows], size[rows])
         d, p = d[~first], p[~first]
