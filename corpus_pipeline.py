@@ -52,8 +52,8 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Of each group of near duplicates the document with the smallest id stays."""
     scratch = Scratch(spark, "near")
     gone = jaccard.join(docs.select("doc_id", "text")).where("component_id <> doc_id").select("doc_id").distinct()
-    out = docs.join(small(scratch.save(gone, "gone")), "doc_id", "left_anti").select(*docs.columns)
-    twice = scratch.save(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "twice")
+    out = docs.join(small(scratch.save(gone, "gone", narrow=True)), "doc_id", "left_anti").select(*docs.columns)
+    twice = scratch.save(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "twice", narrow=True)
     if twice.isEmpty():
         return out
     ones = out.join(small(twice), "doc_id", "left_semi").dropDuplicates(["doc_id"])

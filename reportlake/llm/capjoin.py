@@ -172,7 +172,7 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
         # A rep's id may stand for several marks if ids repeat; then the marks share a component.
         caps = scratch.save(_caps(reps.drop("mark"), t, b), "caps")
         entries = caps.select("id", "label", "d", F.explode("caps").alias("cap"))
-        sizes = scratch.save(entries.groupBy("label", "d", "cap").agg(F.count("*").alias("n")).where("n > 1").withColumn("k", F.ceil(F.col("n") / BLOCK).cast("int")), "sizes")
+        sizes = scratch.save(entries.groupBy("label", "d", "cap").agg(F.count("*").alias("n")).where("n > 1").withColumn("k", F.ceil(F.col("n") / BLOCK).cast("int")), "sizes", narrow=True)
         held = caps.select("*", F.explode("caps").alias("cap")).join(sizes, ["label", "d", "cap"])
         held = held.withColumn("block", F.pmod(F.xxhash64("id"), F.col("k")).cast("int"))
         # Block x meets every block y: in the group of both, the smaller number first.
@@ -184,7 +184,7 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     comps = components(found.where("kind = 1").select("a", "b"), scratch)
     # The narrow result of every copy class, met by the class's mark; hot classes are split by adaptive execution.
     info = reps.select("mark", "id", "weight").join(counts, "id", "left").join(comps, "id", "left")
-    info = scratch.save(info.select("mark", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n"), F.coalesce("component", "id").alias("c")), "info")
+    info = scratch.save(info.select("mark", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n"), F.coalesce("component", "id").alias("c")), "info", narrow=True)
     out = rows.select("vec_id", "mark").join(info, "mark", "left")
     component = F.coalesce("c", "vec_id")
     return out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))

@@ -45,11 +45,11 @@ def boilerplate(lines: DataFrame, scratch: Scratch, min_sites: int = MIN_SITES)
     """(line, first) of the lines shown by at least ``min_sites`` distinct sites."""
     sketch = F.hll_sketch_estimate(F.hll_sketch_agg("site", LG_REGISTERS))
     spread = lines.groupBy("line").agg(F.count("*").alias("n"), sketch.alias("sites"), F.min("doc").alias("first"))
-    maybe = scratch.save(spread.where((F.col("n") >= min_sites) & (F.col("sites") >= min_sites * (1 - NEAR))), "spread")
+    maybe = scratch.save(spread.where((F.col("n") >= min_sites) & (F.col("sites") >= min_sites * (1 - NEAR))), "spread", narrow=True)
     sure = maybe.where(F.col("sites") > min_sites * (1 + NEAR)).select("line", "first")
     near = maybe.where(F.col("sites") <= min_sites * (1 + NEAR)).select("line", "first")
     counted = lines.join(near, "line").groupBy("line", "first").agg(F.countDistinct("site").alias("sites"))
-    return scratch.save(sure.unionByName(counted.where(F.col("sites") >= min_sites).select("line", "first")), "boilerplate")
+    return scratch.save(sure.unionByName(counted.where(F.col("sites") >= min_sites).select("line", "first")), "boilerplate", narrow=True)
 
 
 def remove_boilerplate(docs: DataFrame, text: str = "text", key: str = "doc_id", site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
@@ -60,7 +60,7 @@ def remove_boilerplate(docs: DataFrame, text: str = "text", key: str = "doc_id",
     found = boilerplate(lines, scratch, min_sites)
     found = F.broadcast(found) if found.count() <= BROADCAST_LINES else found
     hits = lines.join(found, "line").where(~F.col("doc").eqNullSafe(F.col("first"))).groupBy("doc").agg(F.collect_set("line").alias("_hits"))
-    hits = scratch.save(hits, "hits").withColumnRenamed("doc", "_doc")
+    hits = scratch.save(hits, "hits", narrow=True).withColumnRenamed("doc", "_doc")
     # Always by a shuffle of the documents: a broadcast would only fit while few of them show boilerplate.
     joined = docs.join(hits.hint("merge"), F.col(key).eqNullSafe(F.col("_doc")), "left")
     split = F.split(F.col(text), "\n")

@@ -102,7 +102,7 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", seed: int = 7,
     blocks = max(BLOCKS, 2 * shards)
     slot = lambda order: F.pmod(order, F.lit(blocks)).cast("int")
     sized = sized.withColumn("block", slot(F.col("_order")))
-    per_block = scratch.save(sized.groupBy("_source", "block").agg(F.sum("size").alias("words")), "blocks")
+    per_block = scratch.save(sized.groupBy("_source", "block").agg(F.sum("size").alias("words")), "blocks", narrow=True)
     found = per_block.groupBy("_source").agg(F.sum("words").alias("words")).collect()
     found.sort(key=lambda r: (r["_source"] is None, [ord(c) for c in r["_source"] or ""]))
     sizes = [r["words"] for r in found]
@@ -117,7 +117,7 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", seed: int = 7,
     upto = per_block.withColumn("upto", F.sum("words").over(W.partitionBy("_source").orderBy("block").rowsBetween(W.unboundedPreceding, 0)))
     cut = upto.alias("b").join(F.broadcast(plan).alias("p"), F.col("b._source").eqNullSafe(F.col("p._source"))).select("b._source", "block", "passes", "source_size", "target", (F.col("upto") <= F.col("rest")).alias("whole"), (F.col("rest") - (F.col("upto") - F.col("words"))).alias("space"))
     cut = cut.withColumn("edge", ~F.col("whole") & (F.col("space") > 0))
-    drawn = scratch.save(cut, "drawn")
+    drawn = scratch.save(cut, "drawn", narrow=True)
     # Quotas in blocks: each pass draws all of a source's blocks, the rest those that it reaches.
     quota = {r["_source"]: r["n"] for r in drawn.groupBy("_source").agg(F.sum(F.col("passes") + (F.col("whole") | F.col("edge")).cast("int")).alias("n")).collect()}
     tree = split_tree([quota.get(r["_source"], 0) for r in found], shards, seed)
@@ -134,12 +134,12 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", seed: int = 7,
     placed = placed.alias("d").join(F.broadcast(runs).alias("r"), F.col("d._source").eqNullSafe(F.col("r._source")) & (F.col("nth") >= F.col("first")) & (F.col("nth") < F.col("last")))
     placed = placed.groupBy("d._source", "block").agg(F.transform(F.array_sort(F.collect_list(F.struct("copy", "shard"))), lambda x: x["shard"]).alias("_shards"))
     info = drawn.alias("c").join(placed.alias("s"), F.col("c._source").eqNullSafe(F.col("s._source")) & (F.col("c.block") == F.col("s.block")), "left").select("c.*", "_shards")
-    info = scratch.save(info, "info")
+    info = scratch.save(info, "info", narrow=True)
     # Of each edge block the leading documents: hash ranges first, then the one range where the space ends, by
     # exact hash (rows of one key share it, and go in or stay out together). The cut is one row per source.
     bound = F.broadcast(info.where("edge").select(F.col("_source").alias("es"), F.col("block").alias("eb"), "space"))
     edge = sized.join(bound, F.col("_source").eqNullSafe(F.col("es")) & (F.col("block") == F.col("eb")))
-    edge = scratch.save(edge.groupBy("_source", _range(F.col("_order")).alias("part"), "_order", "space").agg(F.sum("size").alias("w")), "edge")
+    edge = scratch.save(edge.groupBy("_source", _range(F.col("_order")).alias("part"), "_order", "space").agg(F.sum("size").alias("w")), "edge", narrow=True)
     upto = F.sum("w").over(W.partitionBy("_source").orderBy("part").rowsBetween(W.unboundedPreceding, 0))
     ranges = edge.groupBy("_source", "part").agg(F.sum("w").alias("w"), F.first("space").alias("space")).withColumn("upto", upto)
     ends = ranges.where("upto > space AND upto - w <= space").select(F.col("_source").alias("es"), F.col("part").alias("ep"), (F.col("space") - (F.col("upto") - F.col("w"))).alias("room"))

@@ -150,8 +150,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         begin += n
     large = ranked.join(F.broadcast(spark.createDataFrame(opened, "length long, _begin long")), "length")
     large = large.withColumns({"sequence_id": F.col("_begin") + F.col("rank"), "offset": F.lit(0).cast("long")}).drop("_begin")
-    small = scratch.save(ranked.where(2 * F.col("length") <= capacity), "small") if left else None
-    gaps = scratch.save(large.where(F.col("length") < capacity).select("sequence_id", (capacity - F.col("length")).alias("gap"), F.col("rank").alias("nth")), "gaps0")
+    small = scratch.save(ranked.where(2 * F.col("length") <= capacity), "small", narrow=True) if left else None
+    gaps = scratch.save(large.where(F.col("length") < capacity).select("sequence_id", (capacity - F.col("length")).alias("gap"), F.col("rank").alias("nth")), "gaps0", narrow=True)
     done, turn = [large.drop("rank")], 0
     while left:
         flows, turn = sweep(left, counts), turn + 1
@@ -162,7 +162,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         elif left:
             n = -(-sum(k * (b - a) for k, (a, b) in left.items()) // capacity)
             fresh = spark.range(n).select((F.col("id") + begin).alias("sequence_id"), F.lit(capacity).cast("long").alias("gap"), F.col("id").alias("nth"))
-            gaps, begin, counts = scratch.save(gaps.unionByName(fresh), f"gaps{turn}"), begin + n, counts | {capacity: n}
+            gaps, begin, counts = scratch.save(gaps.unionByName(fresh), f"gaps{turn}", narrow=True), begin + n, counts | {capacity: n}
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
@@ -188,11 +188,11 @@ def _round(small: DataFrame, gaps: DataFrame, counts: dict[int, int], flows: lis
     match = small.alias("s").join(runs.alias("f"), (F.col("s.length") == F.col("f.size")) & (F.col("s.rank") >= F.col("f.lo")) & (F.col("s.rank") < F.col("f.hi")))
     n = F.col("s.rank") - F.col("f.lo")
     match = match.select("s.*", F.col("f.gap").alias("gap"), (F.col("f.first") + F.floor(n / F.col("f.each"))).alias("nth"), (capacity - F.col("f.gap") + F.pmod(n, F.col("f.each")) * F.col("s.length")).alias("offset"))
-    placed = scratch.save(match.join(gaps, ["gap", "nth"]).drop("gap", "nth"), f"placed{turn}")
+    placed = scratch.save(match.join(gaps, ["gap", "nth"]).drop("gap", "nth"), f"placed{turn}", narrow=True)
     moved = gaps.alias("g").join(runs.alias("f"), (F.col("g.gap") == F.col("f.gap")) & (F.col("g.nth") >= F.col("f.first")) & (F.col("g.nth") < F.col("f.last")))
     moved = moved.where("f.new > 0").select("g.sequence_id", F.col("f.new").alias("gap"), (F.col("f.base") + F.col("g.nth") - F.col("f.first")).alias("nth"))
     after.pop(0, None)
-    return placed, scratch.save(moved, f"gaps{turn}"), after
+    return placed, scratch.save(moved, f"gaps{turn}", narrow=True), after
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, **options: object) -> DataFrame:
