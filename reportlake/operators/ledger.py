@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from reportlake.schema import LEDGER, LOCKS
+
 
 def watermarks(loads: DataFrame) -> DataFrame:
     """Per (extract, app_id): the last day of its successful loads. Pairs without any have no row."""
@@ -13,8 +18,6 @@ def watermarks(loads: DataFrame) -> DataFrame:
 
 def contiguous_watermarks(loads: DataFrame, start: Column) -> DataFrame:
     """Like ``watermarks``, but only up to the first day from ``start`` on that no successful load covers."""
-    from pyspark.sql import Window as W
-
     spans = loads.where("status = 'success'").select("extract", "app_id", "from_date", "to_date").where(F.col("to_date") >= start)
     pair = W.partitionBy("extract", "app_id").orderBy("from_date", "to_date").rowsBetween(W.unboundedPreceding, -1)
     reach = F.coalesce(F.max("to_date").over(pair), F.date_sub(start, 1))
@@ -45,3 +48,47 @@ def active_locks(locks: DataFrame, now: Column) -> DataFrame:
     held = latest(locks, "lock_key", "updated_at", "run_id").where("status = 'running'")
     age = F.timestamp_diff("SECOND", F.col("updated_at"), now)
     return held.withColumns({"age_seconds": age, "stale": age > F.col("timeout_seconds")})
+
+
+def append(rows: DataFrame, path: str) -> None:
+    """Adds rows to a ledger or lock folder; earlier rows are never touched."""
+    rows.coalesce(1).write.mode("append").parquet(path)
+
+
+def read_loads(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(LEDGER).parquet(path)
+
+
+class Locks:
+    """Advisory locks in an append-only folder: write, then confirm by reading back who came last."""
+
+    def __init__(self, spark: SparkSession, path: str, run_id: str, owner: str) -> None:
+        self.spark, self.path, self.run_id, self.owner = spark, path, run_id, owner
+        append(spark.createDataFrame([], LOCKS), path)
+
+    def rows(self) -> DataFrame:
+        return self.spark.read.schema(LOCKS).parquet(self.path)
+
+    def _write(self, key: str, status: str, now: datetime, timeout: int) -> None:
+        append(self.spark.createDataFrame([(key, self.run_id, status, self.owner, now, now, timeout)], LOCKS), self.path)
+
+    def holder(self, key: str, now: datetime) -> dict | None:
+        """Who holds the key, with age and staleness by the holder's own timeout."""
+        row = active_locks(self.rows().where(F.col("lock_key") == key), F.lit(now).cast("timestamp_ntz")).first()
+        return row.asDict() if row else None
+
+    def acquire(self, key: str, now: datetime, timeout: int, force: bool = False) -> bool:
+        """Takes a free or stale lock (``force``: any); False if another run holds it or came in between."""
+        held = self.holder(key, now)
+        if held and held["run_id"] != self.run_id and not held["stale"] and not force:
+            return False
+        self._write(key, "running", now, timeout)
+        return self.holder(key, now)["run_id"] == self.run_id
+
+    def release(self, key: str, now: datetime, force: bool = False) -> bool:
+        """Gives the lock back; only the run that holds it may, or anyone with ``force``. False if none was held."""
+        held = self.holder(key, now)
+        if not held or (held["run_id"] != self.run_id and not force):
+            return False
+        self._write(key, "released", now, held["timeout_seconds"])
+        return True

@@ -60,11 +60,11 @@ class Parsed:
         return r[1], r[2], r[3]
 
 
-def parse_report(headers: Sequence[str], raw: DataFrame, context: Context, days: tuple[date, date] | None = None, exclude: Iterable[str] = (), keep_unknown: bool = False) -> Parsed:
+def parse_report(headers: Sequence[str], raw: DataFrame, context: Context, days: tuple[date, date] | None = None, exclude: Iterable[str] = (), keep_unknown: bool = False, carry: Sequence[str] = ()) -> Parsed:
     """Reads ``raw``, whose columns belong to ``headers`` in order.
 
     Of repeated headers the last holds. A report without a date column is an error. Rows are neither merged nor
-    deduplicated.
+    deduplicated. The context's texts may be columns of ``raw`` behind the cells, and ``carry`` names more of them.
     """
     read = [read_header(h) for h in headers]
     cells = [F.col(c) for c in raw.columns]
@@ -81,7 +81,7 @@ def parse_report(headers: Sequence[str], raw: DataFrame, context: Context, days:
         "date": to_day(by_column["date"]),
         "report_type": F.lit(context.report_type),
         "category": F.lit(context.category),
-        "is_retargeting": F.lit(int(context.is_retargeting)),
+        "is_retargeting": F.lit(context.is_retargeting).cast("int"),
         "currency": F.lit(currency),
         "_extract": F.lit(context.extract),
         "_run_id": F.lit(context.run_id),
@@ -99,7 +99,7 @@ def parse_report(headers: Sequence[str], raw: DataFrame, context: Context, days:
         out[name] = event_map(_legs(name, read, cells), kind)
     if keep_unknown:
         out["extra"] = event_map([(h, to_text(c)) for h, r, c in zip(headers, read, cells) if r.kind == "unknown"], "string")
-    rows = raw.select(*[out[c].alias(c) for c in COLUMN_NAMES])
+    rows = raw.select(*[out[c].alias(c) for c in COLUMN_NAMES], *carry)
     return Parsed(rows, report_format(headers), currency, unknown, notes, days, tuple(exclude))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from reportlake.functions import coerce, dates, maps
 from reportlake.operators import ledger, rebuild
 from reportlake.operators.parse import Context, parse_report
-from reportlake.plans import checks, windows
+from reportlake.plans import checks, selection, summary, windows
 from reportlake.schema import partition_id
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -382,3 +382,15 @@ def extract_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.when(F.col("o_orderstatus") == "F", "success").when(F.col("o_orderstatus") == "O", "failed").otherwise("skipped")
     jobs = read(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("extract"), status.alias("status"), F.floor("o_totalprice").cast("long").alias("rows"))
     return checks.status_totals(jobs, "extract")
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE (p_name LIKE 'small %' OR p_type = 'PROMO') AND p_name NOT LIKE '% ring'")
+def extract_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = read(spark, sf_dir, "part").withColumn("tags", F.array("p_type"))
+    return selection.selected(parts, "small*, tag:PROMO", "* ring".replace(" ", "?"), name="p_name", tags="tags").select("p_partkey", "p_name")
+
+
+@query(f"""WITH {G_SQL} SELECT extract, count(*) FILTER (status = 'success') AS success, count(*) FILTER (status = 'failed') AS failed, count(*) FILTER (status = 'skipped') AS skipped,
+  CAST(sum(event_id) AS BIGINT) AS rows, CAST(sum(api_calls) AS BIGINT) AS api_calls, min(to_date) AS from_date, max(to_date) AS to_date FROM g WHERE status <> 'running' GROUP BY ROLLUP (extract)""")
+def run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summary.totals(_loads(spark, sf_dir).withColumns({"rows": F.col("event_id"), "from_date": F.col("to_date")}))

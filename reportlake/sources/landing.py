@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: How reports are written: quoted cells may hold line breaks, quotes are doubled.
+CSV = {"multiLine": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "enforceSchema": True, "mode": "PERMISSIVE"}
+
+
 def read_report(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:
     """Headers, and all records as text columns c0, c1, ... in their order.
 
@@ -16,11 +20,10 @@ def read_report(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:
     first = spark.read.option("wholetext", True).text(path).select(F.trim("value").alias("v")).where("v <> ''").limit(1)
     if first.isEmpty():
         raise ValueError(f"empty report: {path}")
-    options = {"multiLine": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "header": False}
-    head = spark.read.options(**options).csv(path).limit(1).first()
-    names = [(h or "").lstrip("﻿") for h in head]
+    head = spark.read.options(**CSV).csv(path).limit(1).first()
+    names = [(h or "").lstrip("\ufeff") for h in head]
     schema = ", ".join(f"c{i} string" for i in range(len(names)))
-    return names, spark.read.options(**options | {"header": True, "enforceSchema": True, "mode": "PERMISSIVE"}).schema(schema).csv(path)
+    return names, spark.read.options(**CSV | {"header": True}).schema(schema).csv(path)
 
 
 def read_app_pages(spark: SparkSession, path: str) -> DataFrame:
