@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +38,18 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once, unless they find it by PYTHONPATH or their folder anyway."""
+    root = Path(__file__).resolve().parents[2]
+    found = [Path.cwd(), *(Path(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p)]
+    context = spark.sparkContext
+    if root in (p.resolve() for p in found) or getattr(context, "_reportlake_shipped", False):
+        return
+    base = os.path.join(tempfile.mkdtemp(prefix="reportlake-"), "reportlake_code")
+    context.addPyFile(shutil.make_archive(base, "zip", root, "reportlake"))
+    context._reportlake_shipped = True
+
+
 class Scratch:
     """Tables written once to the shared folder, so that a lost executor costs no recomputation of earlier steps.
 
@@ -43,6 +58,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, name: str) -> None:
+        ship(spark)
         self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:

@@ -35,6 +35,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_cap_filters": capjoin.ORACLE,
+        "op4_jaccard_join": jaccard.ORACLE,
+        "op5_suffix_dedup": suffix.ORACLE,
         "op6_quality_rules": quality.oracle_op6(),
         "op8_line_dedup": linededup.ORACLE,
         "op9_preference": preference.ORACLE,

@@ -340,3 +340,15 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: Bytes as hexadecimal digits, two each, since DuckDB has no substrings of blobs.
+ORACLE = f"""WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, p, md5(substr(h, 2 * p + 1, {2 * LENGTH})) AS m FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - {LENGTH - 1})) AS p FROM d)),
+s AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY m ORDER BY doc_id, p) AS k FROM w) WHERE k > 1),
+j AS (SELECT doc_id, p, sum(CASE WHEN p - coalesce(before, -{LENGTH + 1}) > {LENGTH} THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM (SELECT *, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM s)),
+r AS (SELECT doc_id, run, min(p) AS a, max(p) + {LENGTH} AS b FROM j GROUP BY ALL),
+g AS (SELECT doc_id, run, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS z FROM r),
+k AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS top, string_agg(substr(h, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) AS kept FROM g JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(top, 0) + 1))) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)"""

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportlake.llm.common import settings, table
+from reportlake.llm.common import settings, ship, table
 
 SAMPLE = 12_000
 FEATURES = 4096
@@ -104,6 +104,7 @@ def _sparse(rows: list, index: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
 
 def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, lists: Sequence[Sequence[str]] = IDENTITY, fairness: float = FAIRNESS) -> tuple[dict[int, float], float]:
     """Weights by feature number, and the bias."""
+    ship(docs.sparkSession)
     chosen = sampled(labels, size)
     data = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     with settings(docs.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch=500):
@@ -166,6 +167,7 @@ def score(docs: DataFrame, weights: dict[int, float], bias: float) -> DataFrame:
                 out.append(1 / (1 + math.exp(-max(-40.0, min(40.0, z)))))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], ["doc_id", "score"])
 
+    ship(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
 
 

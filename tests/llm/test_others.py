@@ -212,7 +212,7 @@ def test_false_magic_and_limits(spark):
 
 
 @needs_data
-@pytest.mark.parametrize("name", ["op8_line_dedup", "op9_preference", "op10_warc"])
+@pytest.mark.parametrize("name", ["op4_jaccard_join", "op5_suffix_dedup", "op8_line_dedup", "op9_preference", "op10_warc"])
 def test_sql(spark, name):
     from reportlake.llm import queries
 
