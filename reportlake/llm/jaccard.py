@@ -40,10 +40,10 @@ WIDTH = 5
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 75
 HASHES = 8
-#: Tokens that at least so many documents of one Arrow batch share are counted for the order ...
-COMMON = 2
+#: Tokens that at least so many of ``COUNTED`` documents in a row share are counted for the order ...
+COMMON, COUNTED = 3, 8000
 #: ... and so many of the most frequent are remembered. The order decides speed only, never the result.
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 BATCH = 1000
 #: Minimum hashes a document must have in common with a hub to be compared with it.
 AGREE = 3
@@ -90,16 +90,25 @@ def _batches(docs: DataFrame, run, schema: str) -> DataFrame:
 
 
 def common_tokens(docs: DataFrame, scratch: Scratch) -> np.ndarray:
-    """The REMEMBERED most frequent tokens, ascending by frequency, as far as batches see them often."""
+    """The REMEMBERED most frequent tokens, ascending by frequency, as far as runs of documents hold them often."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        known, got, size = WordHashes(), [], 0
+
+        def often() -> pa.RecordBatch:
+            value, n = np.unique(np.concatenate(got), return_counts=True)
+            value, n = value[n >= COMMON], n[n >= COMMON]
+            return pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n)], ["token", "n"])
+
         for batch in batches:
-            got = [tokens(v.as_py(), known) for v in batch.column(1)]
-            if got:
-                value, n = np.unique(np.concatenate(got), return_counts=True)
-                often = n >= COMMON
-                yield pa.RecordBatch.from_arrays([pa.array(value[often].view(np.int64)), pa.array(n[often])], ["token", "n"])
+            for v in batch.column(1):
+                got.append(tokens(v.as_py(), known))
+                size += len(got[-1])
+                if len(got) >= COUNTED or size >= 500 * COUNTED:  # some 30 MB of hashes at most
+                    yield often()
+                    got, size = [], 0
+        if got:
+            yield often()
 
     seen = _batches(docs, count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     seen = scratch.save(seen, "common", narrow=True).orderBy(F.desc("n"), "token").limit(REMEMBERED)
@@ -208,7 +217,8 @@ def groups(reps: DataFrame, docs: DataFrame, scratch: Scratch) -> tuple[DataFram
 
 
 def matrix_pairs(entries: DataFrame) -> DataFrame:
-    """Pairs of groups (g, h) of different components, with how many tokens they share, from (grp, comp, head) rows.
+    """Pairs of groups (g, h) of different components and near sizes, with how many tokens they share, from (grp, comp,
+    lo, hi, head) rows; lo and hi are the sizes of the group's smallest and largest set.
 
     Tasks pack entries by token range, each (token, group) once; the next tasks sort theirs by token and pair the
     groups of a token. Nothing but pairs of different components is ever emitted.
@@ -222,7 +232,7 @@ def matrix_pairs(entries: DataFrame) -> DataFrame:
             if not sum(n):
                 continue
             grp, row = np.unique(batch.column(0).to_numpy(), return_index=True)
-            comp = batch.column(1).to_numpy()[row]
+            comp, lo, hi = (batch.column(k).to_numpy()[row] for k in (1, 3, 4))
             t, g = np.concatenate(heads), np.repeat(np.searchsorted(grp, batch.column(0).to_numpy()), n)
             by = np.lexsort((g, t))
             t, g = t[by], g[by]
@@ -235,42 +245,41 @@ def matrix_pairs(entries: DataFrame) -> DataFrame:
             for k in np.flatnonzero(np.diff(ends)):
                 i = by[ends[k] : ends[k + 1]]
                 used, index = np.unique(g[i], return_inverse=True)
-                out.append((int(k), t[i].tobytes(), index.astype(np.uint16).tobytes(), grp[used].tobytes(), comp[used].tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [pa.int32(), *[pa.binary()] * 4])], ["part", "t", "i", "g", "c"])
+                out.append((int(k), t[i].tobytes(), index.astype(np.uint16).tobytes(), *(x[used].tobytes() for x in (grp, comp, lo, hi))))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [pa.int32(), *[pa.binary()] * 6])], ["part", "t", "i", "g", "c", "lo", "hi"])
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = [[], [], []]
+        held: list[list[np.ndarray]] = [[] for _ in range(5)]
         for batch in batches:
-            for t, i, g, c in zip(*(batch.column(k) for k in range(1, 5))):
+            for t, i, *groups_ in zip(*(batch.column(k) for k in range(1, 7))):
                 i = np.frombuffer(i.as_buffer(), np.uint16)
                 held[0].append(np.frombuffer(t.as_buffer(), np.uint64).copy())
-                held[1].append(np.frombuffer(g.as_buffer(), np.int64)[i])
-                held[2].append(np.frombuffer(c.as_buffer(), np.int64)[i])
+                for x, v in zip(held[1:], groups_):
+                    x.append(np.frombuffer(v.as_buffer(), np.int64)[i])
         if not held[0]:
             return
-        t, g, c = map(np.concatenate, held)
+        t, g = np.concatenate(held[0]), np.concatenate(held[1])
         by = np.lexsort((g, t))
-        t, g, c = t[by], g[by], c[by]
-        new = np.append(True, (t[1:] != t[:-1]) | (g[1:] != g[:-1]))
-        t, g, c = t[new], g[new], c[new]
+        by = by[np.append(True, (t[by][1:] != t[by][:-1]) | (g[by][1:] != g[by][:-1]))]
+        t, g, c, lo, hi = (np.concatenate(x)[by] for x in held)
         begin = np.flatnonzero(np.append(True, t[1:] != t[:-1]))
         end = np.append(begin[1:], len(t))
         many = (end - begin) > 1
         found: dict[tuple[int, int], int] = {}
         for i, j in zip(begin[many].tolist(), end[many].tolist()):
-            gs, cs = g[i:j].tolist(), c[i:j].tolist()
-            for k in range(j - i - 1):
-                for m in range(k + 1, j - i):
-                    if cs[k] != cs[m]:
-                        key = (gs[k], gs[m])
-                        found[key] = found.get(key, 0) + 1
+            for k in range(i, j - 1):
+                rest = slice(k + 1, j)
+                near = (c[rest] != c[k]) & (100 * hi[rest] >= PERCENT * lo[k]) & (100 * hi[k] >= PERCENT * lo[rest])
+                for other in g[rest][near].tolist():
+                    key = (int(g[k]), other)
+                    found[key] = found.get(key, 0) + 1
             if len(found) > 200_000:
                 yield _counted(found)
                 found = {}
         if found:
             yield _counted(found)
 
-    packed = entries.select("grp", "comp", "head").mapInArrow(pack, "part int, t binary, i binary, g binary, c binary")
+    packed = entries.select("grp", "comp", "head", "lo", "hi").mapInArrow(pack, "part int, t binary, i binary, g binary, c binary, lo binary, hi binary")
     return packed.repartition(parts, "part").mapInArrow(pair, "g long, h long, shared long").groupBy("g", "h").agg(F.sum("shared").alias("shared"))
 
 
@@ -305,11 +314,13 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
 
         mixed = scratch.save(member.where("NOT core").select(F.col("hub").alias("grp"), F.lit(True).alias("mixed")).distinct(), "mixed", narrow=True)
         # Pairs within one component need no look, unless a group also has members that its hub does not link.
-        entries = place(heads.select("doc_id", "head")).join(small(mixed), "grp", "left").withColumn("comp", F.when(F.col("mixed"), -1 - F.col("grp")).otherwise(F.col("comp")))
-        pairs = scratch.save(matrix_pairs(entries.select("grp", "comp", "head")), "matrix", narrow=True)
+        placed = scratch.save(place(reps.select("doc_id", "n")).select("doc_id", "n", "grp", "extra", "core", "comp"), "placed", narrow=True)
+        sizes_of = scratch.save(placed.groupBy("grp").agg(F.min("n").alias("lo"), F.max("n").alias("hi")).where("lo < hi"), "spans", narrow=True)
+        entries = place(heads.select("doc_id", "n", "head")).join(small(sizes_of), "grp", "left").withColumns({"lo": F.coalesce("lo", "n"), "hi": F.coalesce("hi", "n")})
+        entries = entries.join(small(mixed), "grp", "left").withColumn("comp", F.when(F.col("mixed"), -1 - F.col("grp")).otherwise(F.col("comp")))
+        pairs = scratch.save(matrix_pairs(entries), "matrix", narrow=True)
         scratch.drop("heads")
         own = mixed.select(F.col("grp").alias("g"), F.col("grp").alias("h"), F.lit(None).cast("long").alias("shared"))
-        placed = place(reps.select("doc_id", "n")).select("doc_id", "n", "grp", "extra", "core", "comp")
         more = _opened(pairs.unionByName(own), placed, docs, scratch)
     edges = links.unionByName(more)
     # Equal sets: every document hangs on the smallest of its set; repeated ids join what their rows join.
