@@ -40,9 +40,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 def ship(spark: SparkSession) -> None:
     """Sends this package to the Python workers, once, unless they find it by PYTHONPATH or their folder anyway."""
-    root = Path(__file__).resolve().parents[2]
-    found = [Path.cwd(), *(Path(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p)]
-    context = spark.sparkContext
+    root, context = Path(__file__).resolve().parents[2], spark.sparkContext
+    found = [Path(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if context.master.startswith("local") and "cluster" not in context.master:
+        found.append(Path.cwd())  # local workers start in the driver's folder
     if root in (p.resolve() for p in found) or getattr(context, "_reportlake_shipped", False):
         return
     base = os.path.join(tempfile.mkdtemp(prefix="reportlake-"), "reportlake_code")
