@@ -15,7 +15,11 @@ so two equal windows always meet under one anchor's hash. Steps:
    is known, and all but the first are repeats.
 4. The spans found are merged per document and cut.
 
-Bytes are compared in step 3; in steps 1 and 2 hashes of 64 bits stand for contexts. A task holds its share of
+Anchors that many documents hold (a passage or a line in a good part of the corpus) would meet in one task where
+their contexts differ. They are found in a pass before, and settled window by window instead: windows are dealt by
+their own hash, after all but the first of a batch have been settled.
+
+Bytes are compared in step 3; elsewhere hashes of 64 bits stand for contexts and windows. A task holds its share of
 anchors (28 bytes each) and of contexts; the number of shuffle partitions bounds it.
 
 Null texts are empty; texts under LENGTH bytes are kept whole. Rows with equal ids (null is one id) share their
@@ -41,6 +45,11 @@ LEFT = LENGTH - GRAM
 BATCH = 1000
 #: Contexts of one suffix array, beyond which whole anchors start another.
 CONTEXTS = 4096
+#: Least documents of a batch that make an anchor hot, and how many hot anchors are told to all tasks at most. What is
+#: hot decides how it is settled, never the result.
+HOT, HOTTEST = 20, 50_000
+#: In place of the bytes right of an anchor: the entry is one window.
+WINDOW = 255
 NO_ID = -(1 << 63)
 BASE = np.uint64(0x9E3779B97F4A7C15)
 VALUES = np.frombuffer(hashlib.shake_256(b"byte values").digest(256 * 8), np.uint64)
@@ -80,11 +89,11 @@ def _sliding(x: np.ndarray, width: int, least: np.ufunc) -> np.ndarray:
     return x
 
 
-def anchors(data: np.ndarray, roller: Roller) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Positions of the anchors, their hashes and their contexts' hashes."""
+def anchors(data: np.ndarray, roller: Roller) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Positions of the anchors, their hashes and their contexts' hashes; and the text's running sums."""
     n = len(data)
     if n < LENGTH:
-        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64), np.zeros(1, np.uint64)
     sums = roller.sums(data)
     h = _mix((sums[GRAM:] - sums[:-GRAM]) * roller.down[: n - GRAM + 1] + np.uint64(GRAM))
     short = (h >> np.uint64(32)).astype(np.uint32)
@@ -94,7 +103,48 @@ def anchors(data: np.ndarray, roller: Roller) -> tuple[np.ndarray, np.ndarray, n
     edge = np.zeros(width - 1, np.uint32)
     at = np.flatnonzero(_sliding(np.concatenate([edge, low, edge]), width, np.maximum) == short)
     begin, end = np.maximum(at - LEFT, 0), np.minimum(at + LENGTH, n)
-    return at, h[at], _mix(roller.hashes(sums, begin, end) + (at - begin).astype(np.uint64))
+    return at, h[at], _mix(roller.hashes(sums, begin, end) + (at - begin).astype(np.uint64)), sums
+
+
+def windows(at: np.ndarray, n: int, roller: Roller, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of all windows of a text of n bytes that hold any of the anchors ``at``."""
+    p = np.unique((at[:, None] - np.arange(LEFT + 1)).ravel())
+    p = p[(p >= 0) & (p <= n - LENGTH)]
+    return p, ~roller.hashes(sums, p, p + LENGTH)
+
+
+def _spans(at: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of a whole context, or of a single window."""
+    one, right = right == WINDOW, right.astype(np.int64)
+    return np.where(one, at, np.maximum(at - LEFT, 0)), at + np.where(one, LENGTH, right)
+
+
+def _joined(doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans of a document that touch, as one."""
+    by = np.lexsort((begin, doc))
+    doc, begin, end = doc[by], begin[by], end[by]
+    opens = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (begin[1:] > end[:-1])))
+    return doc[opens], begin[opens], np.maximum.reduceat(end, opens)
+
+
+def _bytes(value) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), np.uint8) if value.is_valid else np.empty(0, np.uint8)
+
+
+def hot_anchors(docs: DataFrame) -> np.ndarray:
+    """Hashes of anchors that a fiftieth of any batch's documents hold; there are few at any size of the corpus."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        roller = Roller()
+        for batch in batches:
+            got = [np.unique(anchors(_bytes(v), roller)[1]) for v in batch.column(1)]
+            if got:
+                h, n = np.unique(np.concatenate(got), return_counts=True)
+                hot = n >= max(HOT, len(got) // 50)
+                yield pa.RecordBatch.from_arrays([pa.array(h[hot].view(np.int64)), pa.array(n[hot])], ["h", "n"])
+
+    seen = docs.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "h").limit(HOTTEST)
+    return np.sort(seen.toArrow().column("h").to_numpy().view(np.uint64))
 
 
 def _first(doc: np.ndarray, pos: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,22 +156,31 @@ def _first(doc: np.ndarray, pos: np.ndarray, *keys: np.ndarray) -> tuple[np.ndar
     return by, new
 
 
-def find_anchors(docs: DataFrame, parts: int) -> DataFrame:
-    """Packed anchors by partition; rows with part -1 hold spans settled within a batch (packed doc, begin, end)."""
+def find_anchors(docs: DataFrame, parts: int, hot: np.ndarray) -> DataFrame:
+    """Packed anchors by partition; rows with part -1 hold spans settled within a batch (packed doc, begin, end).
+
+    Of hot anchors not the context goes on but each window, dealt by its own hash: windows that many documents share
+    are settled within batches, and the many different ones at the edges of a passage spread over all tasks.
+    """
+    told = docs.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roller = Roller()
         for batch in batches:
             got: list[list[np.ndarray]] = [[], [], [], [], []]
             for doc, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                data = np.frombuffer(value.as_buffer(), np.uint8) if value.is_valid else np.empty(0, np.uint8)
-                at, h, context = anchors(data, roller)
-                for held, x in zip(got, (h, context, np.full(len(at), doc, np.int64), at, np.full(len(at), len(data), np.int64))):
+                data = _bytes(value)
+                at, h, context, sums = anchors(data, roller)
+                right = np.minimum(LENGTH, len(data) - at).astype(np.uint8)
+                if (busy := np.isin(h, told.value)).any():
+                    p, w = windows(at[busy], len(data), roller, sums)
+                    at, h, context = np.append(at[~busy], p), np.append(h[~busy], w), np.append(context[~busy], w)
+                    right = np.append(right[~busy], np.full(len(p), WINDOW, np.uint8))
+                for held, x in zip(got, (h, context, np.full(len(at), doc, np.int64), at, right)):
                     held.append(x)
             if not got[0]:
                 continue
-            h, context, doc, at, n = map(np.concatenate, got)
-            right = np.minimum(LENGTH, n - at)
+            h, context, doc, at, right = map(np.concatenate, got)
             by, new = _first(doc, at, context, h)
             # Of equal anchors in equal contexts the first goes on; the others are repeats of it.
             lead = by[new][np.cumsum(new) - 1]
@@ -129,13 +188,13 @@ def find_anchors(docs: DataFrame, parts: int) -> DataFrame:
             keep = np.sort(by[new])
             out: list[tuple] = []
             if len(again):
-                out.append((-1, b"", b"", doc[again].tobytes(), (np.maximum(at[again] - LEFT, 0)).tobytes(), (at[again] + right[again]).tobytes()))
+                out.append((-1, b"", b"", *(x.tobytes() for x in _joined(doc[again], *_spans(at[again], right[again])))))
             part = (h[keep] >> np.uint64(33)).astype(np.int64) % parts
             order = np.argsort(part, kind="stable")
             keep, ends = keep[order], np.searchsorted(part[order], np.arange(parts + 1))
             for k in np.flatnonzero(np.diff(ends)):
                 i = keep[ends[k] : ends[k + 1]]
-                out.append((int(k), h[i].tobytes(), context[i].tobytes(), doc[i].tobytes(), at[i].astype(np.uint32).tobytes(), right[i].astype(np.uint8).tobytes()))
+                out.append((int(k), h[i].tobytes(), context[i].tobytes(), doc[i].tobytes(), at[i].astype(np.uint32).tobytes(), right[i].tobytes()))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), [pa.int32(), *[pa.binary()] * 5])], ["part", "h", "context", "doc", "at", "right"])
 
@@ -161,7 +220,7 @@ def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     lead = by[new][np.cumsum(new) - 1]
     again = by[~new & ((doc[by] != doc[lead]) | (at[by] != at[lead]))]
     if len(again):
-        yield _rows(0, doc[again], np.maximum(at[again] - LEFT, 0), at[again] + right[again])
+        yield _rows(0, *_joined(doc[again], *_spans(at[again], right[again])))
     heads = by[new]
     same = h[heads][1:] == h[heads][:-1]
     ask = heads[np.append(False, same) | np.append(same, False)]
@@ -181,7 +240,7 @@ def cut_contexts(docs: DataFrame, asked: DataFrame, parts: int) -> DataFrame:
         for batch in batches:
             h, doc, begin, text, size, lead = [], [], [], [], [], []
             for d, value, places in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                data = np.frombuffer(value.as_buffer(), np.uint8) if value.is_valid else np.empty(0, np.uint8)
+                data = _bytes(value)
                 at = np.asarray(places.values.field("begin"))
                 ok = at + GRAM <= len(data)
                 at, key = at[ok], np.asarray(places.values.field("end"))[ok]
@@ -325,7 +384,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     scratch, parts = Scratch(spark, "suffix"), shuffle_partitions(spark)
     docs = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("doc"), F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8").alias("data"))
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=BATCH):
-        found = find_anchors(docs, parts)
+        found = find_anchors(docs, parts, hot_anchors(docs))
         # Settled spans may lie anywhere: they are spread evenly.
         dealt = found.repartition(parts, F.when(F.col("part") < 0, F.xxhash64("doc")).otherwise(F.col("part")))
         settled = scratch.save(dealt.mapInArrow(settle, "kind int, " + SPAN), "settled")

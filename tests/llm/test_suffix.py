@@ -52,6 +52,17 @@ def test_overlapping_passages_of_many_lengths(spark):
         suffix.CONTEXTS = contexts
 
 
+def test_hot_passages_are_settled_by_windows(spark):
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    passage, line = word(260), word(70)
+    rows = [(i, f"{word(rng.randrange(150))}{passage if i % 2 else passage[: rng.randrange(90, 260)]}{word(rng.randrange(150))} {line} {word(40)}", "en", "s", 0) for i in range(80)]
+    df = spark.createDataFrame(rows, DOC).coalesce(1)
+    data = df.selectExpr("doc_id AS doc", "encode(text, 'UTF-8') AS data")
+    assert len(suffix.hot_anchors(data)) >= 5
+    assert result(df) == brute(rows) == result(df.repartition(4))
+
+
 def test_repeated_ids_null_ids_and_empty(spark):
     rows = documents()[:4]
     df = spark.createDataFrame([*rows, rows[3], (None, rows[3][1], "en", "s", 0)], DOC)
