@@ -280,7 +280,7 @@ def matrix_pairs(entries: DataFrame) -> DataFrame:
             yield _counted(found)
 
     packed = entries.select("grp", "comp", "head", "lo", "hi").mapInArrow(pack, "part int, t binary, i binary, g binary, c binary, lo binary, hi binary")
-    return packed.repartition(parts, "part").mapInArrow(pair, "g long, h long, shared long").groupBy("g", "h").agg(F.sum("shared").alias("shared"))
+    return packed.repartitionById(parts, "part").mapInArrow(pair, "g long, h long, shared long").groupBy("g", "h").agg(F.sum("shared").alias("shared"))
 
 
 def _counted(found: dict[tuple[int, int], int]) -> pa.RecordBatch:

@@ -171,7 +171,7 @@ def emit(mixed: DataFrame, columns: Sequence[str], key: str = "doc_id", seed: in
     """``columns`` of the drawn rows, one for each copy, shards apart and each shuffled locally, by hash."""
     out = mixed.where("copies > 0").select(*columns, F.posexplode("shards").alias("_copy", "_shard"))
     out = out.withColumn("_at", F.xxhash64(F.col(key).cast("string"), F.col("_copy"), F.lit(seed + 1)))
-    dealt = out.repartition(shuffle_partitions(mixed.sparkSession), "_shard").sortWithinPartitions("_shard", "_at")
+    dealt = out.repartitionById(shuffle_partitions(mixed.sparkSession), "_shard").sortWithinPartitions("_shard", "_at")
     return dealt.select(*columns)
 
 

@@ -386,10 +386,11 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=BATCH):
         found = find_anchors(docs, parts, hot_anchors(docs))
         # Settled spans may lie anywhere: they are spread evenly.
-        dealt = found.repartition(parts, F.when(F.col("part") < 0, F.xxhash64("doc")).otherwise(F.col("part")))
+        anywhere = F.pmod(F.xxhash64("doc"), F.lit(parts)).cast("int")
+        dealt = found.repartitionById(parts, F.when(F.col("part") < 0, anywhere).otherwise(F.col("part")))
         settled = scratch.save(dealt.mapInArrow(settle, "kind int, " + SPAN), "settled")
         contexts = cut_contexts(docs, settled.where("kind = 1"), parts)
-        scanned = scratch.save(contexts.repartition(parts, "part").mapInArrow(scan, "kind int, " + SPAN), "scanned")
+        scanned = scratch.save(contexts.repartitionById(parts, "part").mapInArrow(scan, "kind int, " + SPAN), "scanned")
         spans = settled.where("kind = 0").unionByName(scanned).drop("kind")
         # Written here, so that the batch setting holds for this step too.
         out = cut(docs, spans)
