@@ -200,7 +200,9 @@ def groups(reps: DataFrame, docs: DataFrame, scratch: Scratch) -> tuple[DataFram
     fame = shared.groupBy("doc_id").agg(F.sum("c").alias("fame"))
     met = scratch.save(shared.join(fame, "doc_id").select("doc_id", "k", "v", "fame"), "met", narrow=True)
     ends = met.groupBy("k", "v").agg(F.max(F.struct("fame", (-F.col("doc_id")).alias("i"))).alias("top"), F.min("doc_id").alias("first"))
-    met = met.join(ends.select("k", "v", "first", (-F.col("top.i")).alias("last")), ["k", "v"])
+    # Written first: only a join of two plain shuffles can be split where one minimum hash has very many documents.
+    ends = scratch.save(ends.select("k", "v", "first", (-F.col("top.i")).alias("last")), "ends", narrow=True)
+    met = met.join(ends, ["k", "v"])
     hubs = met.select("doc_id", F.explode(F.array_distinct(F.array("first", "last"))).alias("a")).where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
     size = reps.select("doc_id", "low")
     near = hubs.join(size.select(F.col("doc_id").alias("a"), F.col("low").alias("x")), "a").join(size.select(F.col("doc_id").alias("b"), F.col("low").alias("y")), "b")
