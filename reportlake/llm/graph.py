@@ -22,13 +22,14 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFram
             break
         mark, turn = now, turn + 1
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        # The minima are written first: only joins of two plain shuffles can be split at a hub.
+        low = scratch.save(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), f"{name}{turn}m", narrow=True)
         big = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").distinct()
         big = scratch.save(big, f"{name}{turn}l", narrow=True)
-        low = big.groupBy("a").agg(F.min("b").alias("m"))
+        low = scratch.save(big.groupBy("a").agg(F.min("b").alias("m")), f"{name}{turn}n", narrow=True)
         near = big.join(low, "a")
         near = near.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").unionByName(low.select("a", F.col("m").alias("b"))).distinct()
         e = scratch.save(near, f"{name}{turn}", narrow=True)
-        scratch.drop(f"{name}{turn - 1}", f"{name}{turn}l")
+        scratch.drop(f"{name}{turn - 1}", *(f"{name}{turn}{x}" for x in "lmn"))
     roots = e.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     return e.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots)

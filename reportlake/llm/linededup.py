@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportlake.llm.common import GAP_CHARS, Scratch, n_words_of, table
+from reportlake.llm.common import GAP_CHARS, Scratch, n_words_of, small, table
 
 MIN_SITES = 10
 MIN_WORDS = 3
@@ -48,7 +48,9 @@ def boilerplate(lines: DataFrame, scratch: Scratch, min_sites: int = MIN_SITES)
     maybe = scratch.save(spread.where((F.col("n") >= min_sites) & (F.col("sites") >= min_sites * (1 - NEAR))), "spread", narrow=True)
     sure = maybe.where(F.col("sites") > min_sites * (1 + NEAR)).select("line", "first")
     near = maybe.where(F.col("sites") <= min_sites * (1 + NEAR)).select("line", "first")
-    counted = lines.join(near, "line").groupBy("line", "first").agg(F.countDistinct("site").alias("sites"))
+    # Each task hands on a line's distinct sites, not its occurrences.
+    shown = lines.join(small(near), "line").select("line", "first", "site").distinct()
+    counted = shown.groupBy("line", "first").agg(F.count("*").alias("sites"))
     return scratch.save(sure.unionByName(counted.where(F.col("sites") >= min_sites).select("line", "first")), "boilerplate", narrow=True)
 
 
