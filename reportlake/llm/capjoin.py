@@ -104,9 +104,9 @@ def _caps(reps: DataFrame, t: float, b: int) -> DataFrame:
                 part = batch.filter(pa.array(dims == d))
                 code = known.setdefault(int(d), codes(int(d), b))
                 caps = list_decode(_units(part.column("v")), t, code)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(caps, pa.list_(pa.int64()))], [*part.schema.names, "caps"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(caps, pa.list_(pa.int32()))], [*part.schema.names, "caps"])
 
-    return reps.mapInArrow(run, "id long, label long, d int, weight long, v array<double>, caps array<bigint>")
+    return reps.mapInArrow(run, f"id long, label long, d int, weight long, v {dict(reps.dtypes)['v']}, caps array<int>")
 
 
 def _verify(threshold: float):
@@ -157,7 +157,9 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     """(vec_id, n_links, component_id, kept) for every row."""
     spark = vectors.sparkSession
     scratch = Scratch(spark, "caps")
-    v = F.col(vector).cast("array<double>")
+    # Single precision travels as such; cosines are computed in double from the same values.
+    single = vectors.schema[vector].dataType.simpleString() == "array<float>"
+    v = F.col(vector) if single else F.col(vector).cast("array<double>")
     good = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists(v, lambda x: x != 0)
     usable = F.coalesce(good, F.lit(False)) & F.col(label).isNotNull() & F.col(key).isNotNull()
     # -0.0 + 0.0 is 0.0, so that equal vectors have equal text.
