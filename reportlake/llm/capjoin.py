@@ -1,11 +1,13 @@
 """Embedding near-duplicates by spherical-cap filters.
 
-Filter directions are a product code: after a fixed random rotation a direction is one of B random unit vectors in
-the first half of the dimensions and one of B in the second, B * B directions in all. A vector is list-decoded to
-every direction whose inner product with it exceeds the cap's bound; vectors of one label that share a direction
-are verified by their cosine in double precision. The bound is set so that a cap of directions holds about ``BUCKET``
-unrelated vectors of the largest label, and B so that two vectors just at the threshold are expected to share
-``SHARED`` directions; so a vector is in some forty caps at any size of the table.
+Filter directions are product codes: after a fixed random rotation a direction is one of B random unit vectors in
+one half of the dimensions and one of B in the other, B * B directions in all, and this for several independent
+splits into halves. A vector is list-decoded to every direction whose inner product with it exceeds the cap's bound;
+vectors of one label that share a direction are verified by their cosine in double precision. The bound is set so
+that a cap holds about ``BUCKET`` unrelated vectors of the largest label, and B so that two vectors just at the
+threshold are expected to share ``SHARED`` directions over all splits, both from the exact law of inner products in
+the table's number of dimensions; so recall does not fall as labels grow, while the caps that a vector is in grow
+slowly (of 64 dimensions, from some 45 to 90 at 30 million vectors in a label).
 
 Equal vectors collapse first and count by their number. Caps are cut into blocks of at most ``BLOCK`` vectors, and
 every two blocks of a cap meet in a group of their own. A group gives out, for each vector, how many others it
@@ -20,6 +22,7 @@ give an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -35,57 +38,114 @@ BUCKET = 48
 SHARED = 28.0
 LEAST_CAPS = 16
 BLOCK = 384
+#: Inner products of a step of the decoding.
+DECODED = 1 << 20
 SEED = 11
 
 
-def both_exceed(t: float, rho: float, steps: int = 4000) -> tuple[float, float]:
-    """P(X > t) and P(X > t, Y > t) for standard normal X, Y of correlation rho, by integration."""
-    x = t + (np.arange(steps) + 0.5) * (10.0 / steps)
-    density = np.exp(-x * x / 2) / math.sqrt(2 * math.pi) * (10.0 / steps)
-    tail = np.array([0.5 * math.erfc((t - rho * v) / math.sqrt(2 * (1 - rho * rho))) for v in x])
-    return float(density.sum()), float((density * tail).sum())
+@functools.lru_cache(64)
+def _angles(d: int) -> tuple[np.ndarray, np.ndarray]:
+    """Angles to a fixed direction, and the share of the unit sphere of ``d`` dimensions within each of them."""
+    angle = np.linspace(0, math.pi, 100_001)
+    share = np.append(0.0, np.cumsum(np.sin((angle[1:] + angle[:-1]) / 2) ** (d - 2)))
+    return angle, share / share[-1]
+
+
+def both_exceed(cosine: float, d: int, rho: float) -> tuple[float, float]:
+    """Shares of directions in ``d`` dimensions whose inner product exceeds ``cosine`` with a unit vector, and with both of two of cosine rho."""
+    angle, share = _angles(d)
+    edge = np.linspace(0, math.acos(cosine), 4001)
+    mid = (edge[1:] + edge[:-1]) / 2
+    # The second inner product is rho * the first + a rest along a direction of d - 1 dimensions.
+    least = (cosine - rho * np.cos(mid)) / (math.sqrt(1 - rho * rho) * np.sin(mid))
+    tail = np.where(least > 1, 0.0, np.where(least <= -1, 1.0, 0.5)) if d == 2 else np.interp(np.arccos(np.clip(least, -1, 1)), *_angles(d - 1))
+    within = np.interp(edge, angle, share)
+    return float(within[-1]), float((np.diff(within) * tail).sum())
+
+
+def rotations(d: int) -> int:
+    """Splits into halves: a pair that one split treats badly meets in others. Few dimensions have few directions a split."""
+    return 128 if d < 4 else 64 if d < 12 else 16
+
+
+@functools.lru_cache(256)
+def plan(n: int, threshold: float = THRESHOLD, d: int = 64) -> tuple[float, int]:
+    """Bound in standard deviations of an inner product, and B, for labels of up to ``n`` vectors of ``d`` dimensions.
+
+    The inner product of a random unit vector with a direction of the product code has the exact law of the sphere of
+    all ``d`` dimensions. Caps of about ``BUCKET`` vectors are the aim; larger ones are taken where so small caps
+    would be shared so seldom that their number costs more.
+    """
+    d, rho = max(d, 2), min(threshold, 1 - 1e-6)
+    share, best = min(0.02, BUCKET / max(n, 1)), None
+    while share < 0.5:
+        cosine = math.cos(np.interp(share, *_angles(d)[::-1]))
+        both = both_exceed(cosine, d, rho)[1]
+        cost = (1 + share * n / BUCKET) * share / both if both > 0 else math.inf
+        if cost < (best[0] if best else math.inf):
+            b = max(2, math.ceil(math.sqrt(SHARED / rotations(d) / both)))
+            if rotations(d) * b * b < 2**31:  # numbers of directions are ints
+                best = cost, cosine * math.sqrt(d), b
+        share *= 2
+    return best[1:]
+
+
+def codes(d: int, b: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each split a rotation, the order of its coordinates and the two halves' codes, the same wherever they are made."""
+    rng = np.random.default_rng([SEED, d, b])
+    out = []
+    for m in range(rotations(d)):
+        # Of many dimensions one rotation is enough: its coordinates fall into other halves each time.
+        rotation = np.linalg.qr(rng.standard_normal((d, d)))[0] if m == 0 or d <= 256 else out[0][0]
+        halves = []
+        for k in (d // 2, d - d // 2):
+            c = rng.standard_normal((b, max(k, 1)))
+            halves.append((c / np.linalg.norm(c, axis=1, keepdims=True))[:, :k])
+        out.append((rotation, rng.permutation(d), *halves))
+    return out
 
 
-def plan(n: int, threshold: float = THRESHOLD) -> tuple[float, int]:
-    """Bound in standard deviations of an inner product, and B, for labels of up to ``n`` vectors."""
-    share = min(0.02, BUCKET / max(n, 1))
-    lo, hi = 0.0, 8.0
-    for _ in range(60):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if 0.5 * math.erfc(mid / math.sqrt(2)) > share else (lo, mid)
-    return lo, max(8, math.ceil(math.sqrt(SHARED / both_exceed(lo, threshold)[1])))
+def _best(x: np.ndarray, y: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums and numbers of the best pairs, which are among the best few of either half."""
+    i, j = (np.argsort(-v, kind="stable")[:least] for v in (x, y))
+    s = (x[i][:, None] + y[j][None, :]).ravel()
+    k = np.argsort(-s, kind="stable")[:least]
+    return s[k], i[k // len(j)] * len(x) + j[k % len(j)]
 
 
-def codes(d: int, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rotation and the two halves' codes, the same wherever they are made."""
-    rng = np.random.default_rng([SEED, d, b])
-    rotation = np.linalg.qr(rng.standard_normal((d, d)))[0]
-    halves = []
-    for k in (d // 2, d - d // 2):
-        c = rng.standard_normal((b, max(k, 1)))
-        halves.append((c / np.linalg.norm(c, axis=1, keepdims=True))[:, :k])
-    return rotation, halves[0], halves[1]
-
-
-def list_decode(unit: np.ndarray, t: float, code: tuple, least: int = LEAST_CAPS) -> list[np.ndarray]:
-    """Numbers i * B + j of all directions that each vector exceeds; the ``least`` best if there are fewer."""
-    rotation, one, two = code
-    d, b = unit.shape[1], len(one)
-    turned = unit @ rotation
-    a, c = turned[:, : d // 2] @ one.T, turned[:, d // 2 :] @ two.T
+def list_decode(unit: np.ndarray, t: float, code: list, least: int = LEAST_CAPS) -> list[np.ndarray]:
+    """Numbers (m * B + i) * B + j of all directions that each vector exceeds; the ``least`` best if there are fewer."""
+    d, b = unit.shape[1], len(code[0][2])
     bound = t / math.sqrt(d) * math.sqrt(2)
     out = []
-    for x, y in zip(a, c):
-        i = np.flatnonzero(x >= bound - y.max())
-        r, j = np.nonzero(y[None, :] >= bound - x[i, None])
-        found = i[r] * b + j
-        if len(found) < least:
-            # The best pairs are among the best few of either half.
-            i, j = (np.argsort(-v, kind="stable")[:least] for v in (x, y))
-            s = (x[i][:, None] + y[j][None, :]).ravel()
-            k = np.argsort(-s, kind="stable")[:least]
-            found = i[k // len(j)] * b + j[k % len(j)]
-        out.append(np.sort(found))
+    step = max(1, DECODED // b)
+    for begin in range(0, len(unit), step):
+        part, at, number = unit[begin : begin + step], [np.empty(0, int)], [np.empty(0, int)]
+        last = turned = None
+        for m, (rotation, order, one, two) in enumerate(code):
+            turned, last = (turned if rotation is last else part @ rotation), rotation
+            x, y = turned[:, order[: d // 2]] @ one.T, turned[:, order[d // 2 :]] @ two.T
+            row, i = np.nonzero(x >= bound - y.max(axis=1, keepdims=True))
+            for k in range(0, len(row), step):
+                r, c = row[k : k + step], i[k : k + step]
+                near, j = np.nonzero(y[r] >= bound - x[r, c][:, None])
+                at.append(r[near])
+                number.append((m * b + c[near]) * b + j)
+        at, number = np.concatenate(at), np.concatenate(number)
+        number = number[np.argsort(at, kind="stable")]
+        found = np.split(number, np.cumsum(np.bincount(at, minlength=len(part)))[:-1])
+        few = [r for r, v in enumerate(found) if len(v) < least]
+        tops: dict[int, list] = {r: [] for r in few}
+        for m, (rotation, order, one, two) in enumerate(code if few else []):
+            turned = part[few] @ rotation
+            x, y = turned[:, order[: d // 2]] @ one.T, turned[:, order[d // 2 :]] @ two.T
+            for r, v, w in zip(few, x, y):
+                s, k = _best(v, w, least)
+                tops[r].append((s, m * b * b + k))
+        for r, top in tops.items():
+            s, k = map(np.concatenate, zip(*top))
+            found[r] = np.union1d(found[r], k[np.argsort(-s, kind="stable")[:least]])
+        out += found
     return out
 
 
@@ -95,15 +155,17 @@ def _units(values: pa.Array) -> np.ndarray:
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
-def _caps(reps: DataFrame, t: float, b: int) -> DataFrame:
+def _caps(reps: DataFrame, n: int, threshold: float) -> DataFrame:
     def run(batches):
-        known: dict[int, tuple] = {}
+        known: dict[int, tuple] = {}  # bound and code by dimensions
         for batch in batches:
             dims = np.asarray(batch.column("d"))
             for d in np.unique(dims):
                 part = batch.filter(pa.array(dims == d))
-                code = known.setdefault(int(d), codes(int(d), b))
-                caps = list_decode(_units(part.column("v")), t, code)
+                if d not in known:
+                    t, b = plan(n, threshold, int(d))
+                    known[d] = t, codes(int(d), b)
+                caps = list_decode(_units(part.column("v")), *known[d])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(caps, pa.list_(pa.int32()))], [*part.schema.names, "caps"])
 
     return reps.mapInArrow(run, f"id long, label long, d int, weight long, v {dict(reps.dtypes)['v']}, caps array<int>")
@@ -169,10 +231,9 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     same = rows.where("mark IS NOT NULL").groupBy("mark").agg(F.min("vec_id").alias("id"), F.count("*").alias("weight"), F.first("label").alias("label"), F.first("v").alias("v"))
     reps = scratch.save(same.select("mark", "id", "label", F.size("v").alias("d"), "weight", "v"), "reps")
     largest = reps.groupBy("label", "d").count().agg(F.max("count")).first()[0] or 0
-    t, b = plan(largest, threshold)
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=2000):
         # A rep's id may stand for several marks if ids repeat; then the marks share a component.
-        caps = scratch.save(_caps(reps.drop("mark"), t, b), "caps")
+        caps = scratch.save(_caps(reps.drop("mark"), largest, threshold), "caps")
         entries = caps.select("id", "label", "d", F.explode("caps").alias("cap"))
         sizes = scratch.save(entries.groupBy("label", "d", "cap").agg(F.count("*").alias("n")).where("n > 1").withColumn("k", F.ceil(F.col("n") / BLOCK).cast("int")), "sizes", narrow=True)
         held = caps.select("*", F.explode("caps").alias("cap")).join(sizes, ["label", "d", "cap"])

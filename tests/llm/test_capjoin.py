@@ -82,6 +82,26 @@ def test_pairs_at_the_threshold_share_caps(n):
     assert np.mean([s > 0 for s in shared]) > 0.99
 
 
+@pytest.mark.parametrize(("d", "n"), [(2, 1_000_000), (3, 10_000), (8, 1_000_000), (16, 1_000_000), (64, 1_000_000), (64, 30_000_000), (384, 1_000_000)])
+def test_recall_does_not_fall_with_labels_and_dimensions(d, n):
+    t, b = capjoin.plan(n, d=d)
+    rng = np.random.default_rng(d)
+    u, w = rng.standard_normal((2, 600, d))
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    w -= (w * u).sum(1, keepdims=True) * u
+    w /= np.linalg.norm(w, axis=1, keepdims=True)
+    v = 0.93 * u + np.sqrt(1 - 0.93**2) * w
+    code = capjoin.codes(d, b)
+    shared = np.array([len(np.intersect1d(x, y)) for x, y in zip(capjoin.list_decode(u, t, code, 0), capjoin.list_decode(v, t, code, 0))])
+    assert np.mean(shared == 0) < 0.005
+    assert shared.mean() > 0.9 * capjoin.SHARED
+
+
+def test_one_dimension(spark):
+    rows = [(i, [float(x)], 0) for i, x in enumerate([1, 2, 2, -1, -3])]
+    assert {r[0]: tuple(r[1:]) for r in capjoin.near_duplicates(spark.createDataFrame(rows, VEC)).collect()} == brute(rows)
+
+
 @pytest.mark.skipif(not DATA.exists(), reason="needs the given tables")
 def test_sql(spark):
     sf = str(DATA / "sf0.001")
