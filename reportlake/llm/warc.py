@@ -116,16 +116,24 @@ def scan_range(file, begin: int, end: int) -> Iterator[bytes]:
 
 
 def _member(w: _Window) -> tuple[bytes, int] | None:
-    """The member at the window's start, inflated, and its length; None if none with a WARC header starts there."""
+    """The member at the window's start, inflated, and its length; None if none with a WARC header starts there.
+
+    Once a WARC header is seen, a member that breaks or ends early is an error.
+    """
     unpack, out, used = zlib.decompressobj(31), [], 0
     checked = False
     while not unpack.eof:
         if used >= len(w.data) and not w.more():
+            if checked:
+                raise ValueError(f"record at byte {w.at} is truncated")
             return None
         part = w.data[used : used + BLOCK]
         try:
             out.append(unpack.decompress(part))
-        except zlib.error:
+        except zlib.error as e:
+            # What a part inflates to before it breaks is lost with the error, so the header is looked for anew.
+            if checked or _begins(w.data[:BLOCK]):
+                raise ValueError(f"record at byte {w.at} is damaged: {e}") from e
             return None
         used += len(part) - len(unpack.unused_data)
         if not checked and (unpack.eof or sum(map(len, out)) >= 5):
@@ -135,6 +143,14 @@ def _member(w: _Window) -> tuple[bytes, int] | None:
     return b"".join(out), used
 
 
+def _begins(data: bytes) -> bool:
+    """Whether the member at the start of ``data``, whole or not, inflates to a WARC header."""
+    try:
+        return zlib.decompressobj(31).decompress(data, 5) == b"WARC/"
+    except zlib.error:
+        return False
+
+
 def write_archives(pages: DataFrame, scratch: Scratch, dedupe_from: int = 0) -> DataFrame:
     """Writes every row (page_id, url, html) as a record and returns the manifest of the files.
 
@@ -169,17 +185,18 @@ def write_archives(pages: DataFrame, scratch: Scratch, dedupe_from: int = 0) ->
 
 
 def read_archives(manifest: DataFrame, root: str, split_bytes: int = SPLIT_BYTES, with_payload: bool = True) -> DataFrame:
-    """RECORD rows of the archives that ``manifest`` (path, bytes) lists; ``root`` names their file system.
+    """RECORD rows of the archives that ``manifest`` (path, bytes, records) lists; ``root`` names their file system.
 
-    Each byte range is a row; ranges are dealt evenly to tasks, so one large file is read by many.
+    Each byte range is a row; ranges are dealt evenly to tasks, so one large file is read by many. The rows are
+    written once; a file of fewer or more records than the manifest says is an error.
     """
     begin = F.explode(F.sequence(F.lit(0), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split_bytes))).alias("begin")
     ranges = manifest.select("path", "bytes", begin).select("path", "begin", F.least(F.col("begin") + split_bytes, F.col("bytes")).alias("end"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, _ = fs.FileSystem.from_uri(root)
-        names = ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", "payload"]
-        kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
+        names = ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", "payload", "path"]
+        kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.string()]
 
         def pack(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
@@ -190,7 +207,7 @@ def read_archives(manifest: DataFrame, root: str, split_bytes: int = SPLIT_BYTES
                     rows, held = [], 0
                     for record in scan_range(file, first, last):
                         row = decode_record(record)
-                        rows.append(row if with_payload else (*row[:-1], None))
+                        rows.append((*(row if with_payload else (*row[:-1], None)), path))
                         held += len(record)
                         if held > 4 << 20:
                             yield pack(rows)
@@ -199,7 +216,13 @@ def read_archives(manifest: DataFrame, root: str, split_bytes: int = SPLIT_BYTES
                         yield pack(rows)
 
     spark = manifest.sparkSession
-    return ranges.repartition(max(shuffle_partitions(spark), 8)).mapInArrow(read, RECORD)
+    rows = ranges.repartition(max(shuffle_partitions(spark), 8)).mapInArrow(read, RECORD + ", path string")
+    rows = Scratch(spark, "warc-rows").save(rows, "rows")
+    found = manifest.select("path", "records").join(rows.groupBy("path").agg(F.count("*").alias("found")), "path", "left")
+    wrong = found.where(F.coalesce("found", F.lit(0)) != F.col("records")).limit(3).collect()
+    if wrong:
+        raise ValueError("records found and in the manifest differ: " + ", ".join(f"{r['path']} {r['found'] or 0} of {r['records']}" for r in wrong))
+    return rows.drop("path")
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -208,6 +208,26 @@ def test_false_magic_and_limits(spark):
     assert {r["record_type"] for r in back.collect()} == {"response"}
 
 
+def test_broken_members_and_missing_records_are_errors(spark):
+    records = [warc.encode_record(i, "u", bytes(random.Random(i).randrange(32, 127) for _ in range(3000)), None) for i in range(3)]
+    whole, cut = b"".join(records), len(records[0]) + len(records[1])
+    for begin in (0, len(records[0])):
+        with pytest.raises(ValueError, match="truncated"):
+            list(warc.scan_range(io.BytesIO(whole[:-20]), begin, len(whole) - 20))
+    for at in (cut - 4, cut - len(records[1]) // 2):  # the checksum, the data
+        bad = whole[:at] + bytes(b ^ 0xFF for b in whole[at : at + 4]) + whole[at + 4 :]
+        with pytest.raises(ValueError, match="damaged|truncated|digest"):
+            [warc.decode_record(r) for r in warc.scan_range(io.BytesIO(bad), 0, len(bad))]
+    scratch = Scratch(spark, "warc")
+    manifest = warc.write_archives(spark.createDataFrame([(i, "u", f"page {i}") for i in range(5)], PAGE).coalesce(1), scratch)
+    assert warc.read_archives(manifest, scratch.root).count() == 5
+    path = manifest.where("records > 0").first()["path"]
+    data = open(path, "rb").read()
+    open(path, "wb").write(b"\0" + data[1:])  # the first record's magic is gone: nothing but the count tells
+    with pytest.raises(ValueError, match="differ"):
+        warc.read_archives(manifest, scratch.root).count()
+
+
 # SQL
 
 
