@@ -9,10 +9,9 @@ so two equal windows always meet under one anchor's hash. Steps:
 2. Anchors, packed and dealt by hash: of equal contexts all but the first are repeats. Where one anchor has
    different contexts, the first of each is asked for.
 3. The contexts asked for are cut from the documents, and dealt by the anchor's hash. Each task builds an enhanced
-   suffix array over all window starts of its contexts (rank doubling over bytes, down to LENGTH), scans it for
-   common-prefix intervals of depth LENGTH (the only open level of the interval tree that matters here) and tests
-   which of these repeat groups have diverse left extensions, that is, are maximal. Every occurrence of a group
-   is known, and all but the first are repeats.
+   suffix array over all window starts of its contexts (rank doubling over bytes, down to LENGTH) and takes the
+   groups of equal windows; all but the first of a group are repeats. Intervals of other depths are not built, and
+   ``repeat_groups`` tests left extensions without any effect on the result.
 4. The spans found are merged per document and cut.
 
 Anchors that many documents hold (a passage or a line in a good part of the corpus) would meet in one task where
