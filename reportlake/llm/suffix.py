@@ -21,8 +21,9 @@ their own hash, after all but the first of a batch have been settled.
 Bytes are compared in step 3; elsewhere hashes of 64 bits stand for contexts and windows. A task holds its share of
 anchors (28 bytes each) and of contexts; the number of shuffle partitions bounds it.
 
-Null texts are empty; texts under LENGTH bytes are kept whole. Rows with equal ids (null is one id) share their
-places: copies of a row are not repeats of each other, and if their texts differ each is cut at the spans of all.
+Null texts are empty; texts under LENGTH bytes are kept whole. Rows of equal ids and texts share
+their places: copies of a row are not repeats of each other. Different texts under one id are documents of their own,
+and so is each row with a null id; nulls come first. A row is cut only at spans found in its own text.
 Empty tables give an empty result; extra columns are ignored.
 """
 
@@ -49,7 +50,6 @@ CONTEXTS = 4096
 HOT, HOTTEST = 20, 50_000
 #: In place of the bytes right of an anchor: the entry is one window.
 WINDOW = 255
-NO_ID = -(1 << 63)
 BASE = np.uint64(0x9E3779B97F4A7C15)
 VALUES = np.frombuffer(hashlib.shake_256(b"byte values").digest(256 * 8), np.uint64)
 SPAN = "doc long, begin long, end long"
@@ -377,11 +377,33 @@ def cut(docs: DataFrame, spans: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "doc long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
+def _keyed(docs: DataFrame, scratch: Scratch, parts: int) -> tuple[DataFrame, DataFrame]:
+    """The rows under keys of their own, in the order of ids, and the id of each key.
+
+    A null id's rows have a key each; rows of equal ids and texts share one, rows of one id and different texts do not.
+    """
+    row = F.when(F.col("doc").isNull(), F.monotonically_increasing_id())
+    raw = docs.select(F.col("doc").alias("id"), F.md5("data").alias("digest"), row.alias("row"), "data")
+    mark = F.concat_ws("/", F.col("id").cast("string"), F.col("row").cast("string"), F.col("id").isNull().cast("string"), "digest")
+    raw = scratch.save(raw.withColumn("mark", F.md5(mark.cast("binary"))).drop("row"), "raw")
+    order = [F.col("id").asc_nulls_first(), F.col("digest"), F.col("mark")]
+    names = raw.groupBy("mark").agg(F.first("id").alias("id"), F.first("digest").alias("digest"))
+    # Ranges in order, and rows in order within each: the numbers rise with the ids.
+    names = names.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("doc", F.monotonically_increasing_id())
+    names = scratch.save(names.select("mark", "id", "doc"), "names")
+    keyed = scratch.save(raw.join(names.select("mark", "doc"), "mark").select("doc", "data"), "keyed")
+    scratch.drop("raw")
+    return keyed, names.select("doc", "id")
+
+
 def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept) of every row; ``kept`` is what is left of the text's bytes."""
     spark = docs.sparkSession
     scratch, parts = Scratch(spark, "suffix"), shuffle_partitions(spark)
-    docs = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("doc"), F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8").alias("data"))
+    docs = docs.select(F.col(key).cast("long").alias("doc"), F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8").alias("data"))
+    names = None
+    if not docs.groupBy("doc").count().where("doc IS NULL OR count > 1").isEmpty():
+        docs, names = _keyed(docs, scratch, parts)
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=BATCH):
         found = find_anchors(docs, parts, hot_anchors(docs))
         # Settled spans may lie anywhere: they are spread evenly.
@@ -393,7 +415,9 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
         spans = settled.where("kind = 0").unionByName(scanned).drop("kind")
         # Written here, so that the batch setting holds for this step too.
         out = cut(docs, spans)
-    return out.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept")
+    if names is not None:
+        out = out.join(names, "doc").drop("doc").withColumnRenamed("id", "doc")
+    return out.select(F.col("doc").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept")
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

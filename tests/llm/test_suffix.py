@@ -74,6 +74,17 @@ def test_repeated_ids_null_ids_and_empty(spark):
     assert suffix.remove_repeats(df.where("false")).collect() == []
 
 
+def test_rows_without_an_id_or_of_one_id_are_cut_at_their_own_spans(spark):
+    rng = random.Random(12)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    passage, twin = word(150), word(400)
+    texts = [(None, word(400)), (None, word(50) + passage + word(200)), (None, twin), (None, twin), (1, passage + word(250)), (7, word(300)), (7, word(60) + passage + word(90)), (7, twin), (9, word(300))]
+    texts += [texts[-1]]
+    got = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_removed"], bytes(r["kept"]).decode()) for r in suffix.remove_repeats(spark.createDataFrame([(i, t, "en", "s", 0) for i, t in texts], DOC).repartition(3)).collect())
+    want = [(-1, 0, texts[0][1]), (-1, 0, texts[1][1]), (-1, 0, twin), (-1, 400, ""), (1, 150, texts[4][1][150:]), (7, 0, texts[5][1]), (7, 150, texts[6][1][:60] + texts[6][1][210:]), (7, 400, ""), (9, 0, texts[8][1]), (9, 0, texts[8][1])]
+    assert got == sorted(want)
+
+
 def test_equal_windows_choose_equal_anchors():
     rng = np.random.default_rng(0)
     data = rng.integers(97, 101, 500, dtype=np.uint8)
