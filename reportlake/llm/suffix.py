@@ -1,30 +1,30 @@
 """Suffix-array dedup: cut every byte that lies in a 100-byte string which also starts earlier in the corpus.
 
-Sorting all suffixes of a corpus is out of reach, so suffixes meet by content-chosen anchors. In every window of
-``LENGTH`` bytes the ``GRAM``-byte string with the smallest hash is an anchor; equal windows choose equal anchors,
-so two equal windows always meet under one anchor's hash. Steps:
-
-1. Tasks find the anchors of whole texts and hash each one's context, all windows that can hold it. Within a
-   batch anchors with equal contexts are settled at once: all but the first are repeats.
-2. Anchors, packed and dealt by hash: of equal contexts all but the first are repeats. Where one anchor has
-   different contexts, the first of each is asked for.
-3. The contexts asked for are cut from the documents, and dealt by the anchor's hash. Each task builds an enhanced
-   suffix array over all window starts of its contexts (rank doubling over bytes, down to LENGTH) and takes the
-   groups of equal windows; all but the first of a group are repeats. Intervals of other depths are not built, and
-   ``repeat_groups`` tests left extensions without any effect on the result.
-4. The spans found are merged per document and cut.
-
-Anchors that many documents hold (a passage or a line in a good part of the corpus) would meet in one task where
-their contexts differ. They are found in a pass before, and settled window by window instead: windows are dealt by
-their own hash, after all but the first of a batch have been settled.
-
-Bytes are compared in step 3; elsewhere hashes of 64 bits stand for contexts and windows. A task holds its share of
-anchors (28 bytes each) and of contexts; the number of shuffle partitions bounds it.
-
-Null texts are empty; texts under LENGTH bytes are kept whole. Rows of equal ids and texts share
-their places: copies of a row are not repeats of each other. Different texts under one id are documents of their own,
-and so is each row with a null id; nulls come first. A row is cut only at spans found in its own text.
-Empty tables give an empty result; extra columns are ignored.
+Sorting all suffixes of a corpus is out of reach, so suffixes meet by content-chosen anchors. The anchor of a window
+of ``LENGTH`` bytes is its ``GRAM``-byte string of the smallest hash, the first of equals; equal windows choose equal
+anchors. An anchor's context is the union of the windows that choose it, at most ``LEFT`` bytes before it and
+``LENGTH`` from it on. A string of LENGTH bytes or more inside the contexts of two equal anchors chooses this anchor
+wherever it occurs, so an anchor's contexts hold all its occurrences. Steps:
+
+1. Tasks find the anchors of whole texts. Anchors are counted by their hash, with partial sums, and those found once go.
+2. Equal contexts of an anchor are one class, with its first occurrence and its number of occurrences.
+3. The contexts of an anchor that has several classes are cut from the documents, one for each class, and dealt by the
+   anchor. Each task builds an enhanced suffix array over them: the suffixes that start at the anchor and the strings
+   that end before it, both sorted, with the common-prefix lengths of neighbours. A stack scan of the common prefixes
+   gives the tree of their intervals. An interval of suffixes is a maximal repeat if it is left-diverse (its members
+   continue differently to the left, or their contexts end) and LENGTH bytes long; it is put out with all its classes.
+4. An anchor of more than ``DISTINCT`` classes goes to no single task: its windows are dealt one by one, by their own
+   hash, as rows of joins and aggregates that adaptive execution splits.
+5. All occurrences of a group but the first are cut. Per class only the longest stretch is needed, since all groups of
+   a class hold the anchor; the occurrences meet their class by an equi-join, and the documents their own spans.
+
+Hashes of 64 bits stand for anchors, for contexts of an anchor and, in step 4, for windows of an anchor; bytes are
+compared in step 3. A task holds at most ``CONTEXTS`` contexts and one batch of texts.
+
+Null texts are empty; texts under LENGTH bytes are kept whole; very long texts are read whole, one batch of bounded
+bytes at a time. Rows of equal ids and texts share their places: copies of a row are not repeats of each other.
+Different texts under one id are documents of their own, and so is each row with a null id; nulls come first. A row is
+cut only at spans found in its own text. Empty tables give an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -43,16 +43,13 @@ LENGTH = 100
 GRAM = 32
 LEFT = LENGTH - GRAM
 BATCH = 1000
-#: Contexts of one suffix array, beyond which whole anchors start another.
-CONTEXTS = 4096
-#: Least documents of a batch that make an anchor hot, and how many hot anchors are told to all tasks at most. What is
-#: hot decides how it is settled, never the result.
-HOT, HOTTEST = 20, 50_000
-#: In place of the bytes right of an anchor: the entry is one window.
-WINDOW = 255
+#: Different contexts of an anchor that one task takes, and contexts that it holds at a time.
+DISTINCT, CONTEXTS = 2048, 4096
 BASE = np.uint64(0x9E3779B97F4A7C15)
 VALUES = np.frombuffer(hashlib.shake_256(b"byte values").digest(256 * 8), np.uint64)
-SPAN = "doc long, begin long, end long"
+LOW = np.uint64(0xFFFFFFFF)
+ANCHOR = "h long, context long, doc long, at int, back int, ahead int"
+GROUP = "`group` long, h long, context long, doc long, at int, back int, ahead int, leads boolean"
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -78,273 +75,253 @@ class Roller:
         return _mix((sums[end] - sums[begin]) * self.down[begin] + (end - begin).astype(np.uint64))
 
 
-def _sliding(x: np.ndarray, width: int, least: np.ufunc) -> np.ndarray:
-    """Minimum or maximum of every ``width`` neighbours, by doubling."""
+def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
+    """Minimum of every ``width`` neighbours, by doubling."""
     span = 1
     while span < width:
         step = min(span, width - span)
-        x = least(x[:-step], x[step:])
+        x = np.minimum(x[:-step], x[step:])
         span += step
     return x
 
 
-def anchors(data: np.ndarray, roller: Roller) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Positions of the anchors, their hashes and their contexts' hashes; and the text's running sums."""
+def anchors(data: np.ndarray, roller: Roller) -> tuple[np.ndarray, ...]:
+    """Of a text's anchors: hash, hash of the context, position, bytes of the context before it and from it on."""
     n = len(data)
     if n < LENGTH:
-        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64), np.zeros(1, np.uint64)
+        none = np.empty(0, np.int64)
+        return none.view(np.uint64), none.view(np.uint64), none, none, none
     sums = roller.sums(data)
     h = _mix((sums[GRAM:] - sums[:-GRAM]) * roller.down[: n - GRAM + 1] + np.uint64(GRAM))
-    short = (h >> np.uint64(32)).astype(np.uint32)
-    width = LENGTH - GRAM + 1
-    low = _sliding(short, width, np.minimum)
-    # A place is chosen if it is the smallest of any window that holds it.
-    edge = np.zeros(width - 1, np.uint32)
-    at = np.flatnonzero(_sliding(np.concatenate([edge, low, edge]), width, np.maximum) == short)
-    begin, end = np.maximum(at - LEFT, 0), np.minimum(at + LENGTH, n)
-    return at, h[at], _mix(roller.hashes(sums, begin, end) + (at - begin).astype(np.uint64)), sums
+    # The place behind the hash makes the first of equals the least; a run of windows chooses one place.
+    chosen = _sliding_least((h & ~LOW) | np.arange(len(h), dtype=np.uint64), LEFT + 1) & LOW
+    begin = np.flatnonzero(np.append(True, chosen[1:] != chosen[:-1]))
+    end = np.append(begin[1:], len(chosen)) - 1 + LENGTH
+    at = chosen[begin].astype(np.int64)
+    return h[at], _mix(roller.hashes(sums, begin, end) + (at - begin).astype(np.uint64)), at, at - begin, end - at
 
 
-def windows(at: np.ndarray, n: int, roller: Roller, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and hashes of all windows of a text of n bytes that hold any of the anchors ``at``."""
-    p = np.unique((at[:, None] - np.arange(LEFT + 1)).ravel())
-    p = p[(p >= 0) & (p <= n - LENGTH)]
-    return p, ~roller.hashes(sums, p, p + LENGTH)
+def _bytes(value) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), np.uint8) if value.is_valid else np.empty(0, np.uint8)
 
 
-def _spans(at: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Begin and end of a whole context, or of a single window."""
-    one, right = right == WINDOW, right.astype(np.int64)
-    return np.where(one, at, np.maximum(at - LEFT, 0)), at + np.where(one, LENGTH, right)
+def _batch(schema: str, *columns: np.ndarray) -> pa.RecordBatch:
+    """Arrow columns of a schema's names; unsigned numbers are read as signed."""
+    names = [c.split()[0].strip("`") for c in schema.split(", ")]
+    kinds = {"long": np.int64, "int": np.int32, "boolean": np.bool_}
+    wanted = [kinds[c.split()[1]] for c in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c.astype(k, copy=False)) for c, k in zip(columns, wanted)], names)
 
 
-def _joined(doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Spans of a document that touch, as one."""
-    by = np.lexsort((begin, doc))
-    doc, begin, end = doc[by], begin[by], end[by]
-    opens = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (begin[1:] > end[:-1])))
-    return doc[opens], begin[opens], np.maximum.reduceat(end, opens)
+def find_anchors(docs: DataFrame) -> DataFrame:
+    """ANCHOR rows of the documents (doc, data)."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        roller = Roller()
+        for batch in batches:
+            found = [anchors(_bytes(v), roller) for v in batch.column(1)]
+            if found:
+                h, context, at, back, ahead = map(np.concatenate, zip(*found))
+                yield _batch(ANCHOR, h, context, np.repeat(np.asarray(batch.column(0)), [len(x[0]) for x in found]), at, back, ahead)
 
-def _bytes(value) -> np.ndarray:
-    return np.frombuffer(value.as_buffer(), np.uint8) if value.is_valid else np.empty(0, np.uint8)
+    return docs.select("doc", "data").mapInArrow(run, ANCHOR)
 
 
-def hot_anchors(docs: DataFrame) -> np.ndarray:
-    """Hashes of anchors that a fiftieth of any batch's documents hold; there are few at any size of the corpus."""
+def cut_contexts(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``classes`` with the bytes of their contexts, read where each class occurs first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        roller = Roller()
         for batch in batches:
-            got = [np.unique(anchors(_bytes(v), roller)[1]) for v in batch.column(1)]
-            if got:
-                h, n = np.unique(np.concatenate(got), return_counts=True)
-                hot = n >= max(HOT, len(got) // 50)
-                yield pa.RecordBatch.from_arrays([pa.array(h[hot].view(np.int64)), pa.array(n[hot])], ["h", "n"])
-
-    seen = docs.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "h").limit(HOTTEST)
-    return np.sort(seen.toArrow().column("h").to_numpy().view(np.uint64))
+            places = batch.column(2).flatten().flatten()
+            texts = []
+            for value, asked in zip(batch.column(1), batch.column(2)):
+                data = value.as_py()
+                at, back, ahead = (asked.values.field(c).to_pylist() for c in ("at", "back", "ahead"))
+                texts += [data[a - b : a + c] for a, b, c in zip(at, back, ahead)]
+            if texts:
+                doc = pa.array(np.repeat(np.asarray(batch.column(0)), [len(x) for x in batch.column(2)]))
+                yield pa.RecordBatch.from_arrays([*places, doc, pa.array(texts, pa.binary())], ["h", "context", "at", "back", "ahead", "weight", "m", "doc", "data"])
 
+    asked = classes.groupBy("doc").agg(F.collect_list(F.struct("h", "context", "at", "back", "ahead", "weight", "m")).alias("places"))
+    joined = docs.join(asked.hint("merge"), "doc").select("doc", "data", "places")
+    return joined.mapInArrow(run, "h long, context long, at int, back int, ahead int, weight long, m long, doc long, data binary")
 
-def _first(doc: np.ndarray, pos: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order by keys, document and position; and, in that order, where a new key begins."""
-    by = np.lexsort((pos, doc, *keys))
-    new = np.ones(len(by), bool)
-    if len(by):
-        new[1:] = np.logical_or.reduce([k[by][1:] != k[by][:-1] for k in keys])
-    return by, new
 
+def intervals(lcp: np.ndarray | list, least: int = 0) -> Iterator[tuple[int, int, int]]:
+    """(common prefix, first, last) of the intervals of sorted strings; ``lcp[i]`` is what i - 1 and i have in common.
 
-def find_anchors(docs: DataFrame, parts: int, hot: np.ndarray) -> DataFrame:
-    """Packed anchors by partition; rows with part -1 hold spans settled within a batch (packed doc, begin, end).
-
-    Of hot anchors not the context goes on but each window, dealt by its own hash: windows that many documents share
-    are settled within batches, and the many different ones at the edges of a passage spread over all tasks.
+    A stack scan: an interval closes where a neighbour has less in common. Children come before their parents.
+    """
+    stack: list[tuple[int, int]] = []
+    for i in range(1, len(lcp) + 1):
+        depth, first = (lcp[i] if i < len(lcp) else -1), i - 1
+        while stack and stack[-1][0] > depth:
+            common, first = stack.pop()
+            yield common, first, i - 1
+        if depth >= least and (not stack or stack[-1][0] < depth):
+            stack.append((depth, first))
+
+
+def _sorted(bucket: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the rows by bucket and bytes, and what each has in common with the one before (-1: another bucket)."""
+    n, width = text.shape
+    key = np.concatenate([bucket.astype(">u4").view(np.uint8).reshape(n, 4), text], axis=1)
+    order = np.argsort(np.ascontiguousarray(key).view(f"S{width + 4}").ravel(), kind="stable")
+    x, b = text[order], bucket[order]
+    same = (x[1:] == x[:-1]) & (x[1:] > 0)
+    common = np.where(same.all(axis=1), width, same.argmin(axis=1))
+    return order, np.append(-1, np.where(b[1:] == b[:-1], common, -1))
+
+
+def repeat_groups(left: np.ndarray, left_lcp: list, rank: np.ndarray, right_lcp: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(bytes before the anchor, bytes from it on, members) of the maximal repeats of one anchor's contexts.
+
+    ``left``: contexts in the order of what lies before the anchor, read backwards; ``rank``: each context's place in
+    the order of what lies from it on. An interval of the left order holds the suffixes that start so far before the
+    anchor; those with enough in common to the right are the intervals of its right order.
     """
-    told = docs.sparkSession.sparkContext.broadcast(hot)
+    most = int(right_lcp.max())
+    for back, i, j in intervals(left_lcp):
+        if back + most < LENGTH:
+            continue
+        rows = left[i : j + 1]
+        child = np.append(0, np.cumsum(np.equal(left_lcp[i + 1 : j + 1], back)))
+        by = np.argsort(rank[rows])
+        at, rows, child = rank[rows][by], rows[by], child[by]
+        common = np.minimum.reduceat(right_lcp[: at[-1] + 1], at[:-1] + 1)
+        for ahead, x, y in intervals([-1, *common.tolist()], LENGTH - back):
+            if _diverse(child[x : y + 1]):
+                yield back, ahead, rows[x : y + 1]
+
+
+def _diverse(child: np.ndarray) -> bool:
+    """Whether suffixes continue differently to the left: they are of several branches there."""
+    return bool((child != child[0]).any())
+
+
+def scan_anchors(rows: pa.Table) -> pa.RecordBatch:
+    """GROUP rows of the contexts of whole anchors, which are sorted by anchor."""
+    rows = rows.combine_chunks()
+    h, context, doc, at, back, ahead, weight = (np.asarray(rows.column(c)) for c in ("h", "context", "doc", "at", "back", "ahead", "weight"))
+    n = len(h)
+    # One is added to every byte: zero is the end of a context, and UTF-8 has no 255.
+    data = np.frombuffer(b"".join(rows.column("data").to_pylist()), np.uint8) + np.uint8(1)
+    begin = np.append(0, np.cumsum(back + ahead))[:-1] + back
+    before, after = np.arange(LEFT), np.arange(LENGTH)
+    data = np.append(data, np.zeros(LENGTH, np.uint8))
+    one = np.where(before < back[:, None], data[np.maximum(begin[:, None] - 1 - before, 0)], 0)
+    two = np.where(after < ahead[:, None], data[begin[:, None] + after], 0)
+    bucket = np.cumsum(np.append(False, h[1:] != h[:-1]))
+    (left, left_lcp), (right, right_lcp) = _sorted(bucket, one), _sorted(bucket, two)
+    rank = np.empty(n, np.int64)
+    rank[right] = np.arange(n)
+    # A context whose best neighbours on either side are too short together is in no group of several.
+    best = []
+    for order, lcp in ((left, left_lcp), (right, right_lcp)):
+        x = np.empty(n, np.int64)
+        x[order] = np.maximum(lcp, np.append(lcp[1:], -1))
+        best.append(x)
+    some = best[0] + best[1] >= LENGTH
+    opens = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    found: list[tuple[int, int, np.ndarray]] = []
+    for first, last in zip(opens.tolist(), np.append(opens[1:], n).tolist()):
+        if some[first:last].any():
+            part = slice(first, last)
+            found += [(b, a, m + first) for b, a, m in repeat_groups(left[part] - first, left_lcp[part].tolist(), rank[part] - first, right_lcp[part])]
+    whole = np.zeros(n, bool)  # members of a group that is their whole context
+    for b, a, m in found:
+        whole[m[(back[m] == b) & (ahead[m] == a)]] = True
+    # A class of several occurrences is a leaf that is an interval by itself.
+    found += [(int(back[i]), int(ahead[i]), np.array([i])) for i in np.flatnonzero((weight > 1) & ~whole)]
+    size = np.array([len(m) for _, _, m in found], np.int64)
+    member = np.concatenate([m for _, _, m in found]) if found else np.empty(0, np.int64)
+    b, a = (np.repeat(np.array([f[k] for f in found], np.int64), size) for k in (0, 1))
+    nth = np.repeat(np.arange(len(found)), size)
+    by = np.lexsort((at[member], doc[member], nth))
+    member, leads = member[by], np.append(True, nth[1:] != nth[:-1])[: len(member)]
+    lead = member[leads][nth] if len(member) else member
+    name = _mix(_mix(h[lead].view(np.uint64) + doc[lead].view(np.uint64) * BASE) + (at[lead].astype(np.uint64) << np.uint64(16)) + (b * 256 + a).astype(np.uint64))
+    return _batch(GROUP, name, h[member], context[member], doc[member], at[member], b, a, leads)
+
+
+def scan(contexts: int = CONTEXTS):
+    """Step 3 over rows sorted by anchor, some ``contexts`` at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        roller = Roller()
+        held: list[pa.RecordBatch] = []
+        n = 0
         for batch in batches:
-            got: list[list[np.ndarray]] = [[], [], [], [], []]
-            for doc, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                data = _bytes(value)
-                at, h, context, sums = anchors(data, roller)
-                right = np.minimum(LENGTH, len(data) - at).astype(np.uint8)
-                if (busy := np.isin(h, told.value)).any():
-                    p, w = windows(at[busy], len(data), roller, sums)
-                    at, h, context = np.append(at[~busy], p), np.append(h[~busy], w), np.append(context[~busy], w)
-                    right = np.append(right[~busy], np.full(len(p), WINDOW, np.uint8))
-                for held, x in zip(got, (h, context, np.full(len(at), doc, np.int64), at, right)):
-                    held.append(x)
-            if not got[0]:
-                continue
-            h, context, doc, at, right = map(np.concatenate, got)
-            by, new = _first(doc, at, context, h)
-            # Of equal anchors in equal contexts the first goes on; the others are repeats of it.
-            lead = by[new][np.cumsum(new) - 1]
-            again = by[~new & ((doc[by] != doc[lead]) | (at[by] != at[lead]))]
-            keep = np.sort(by[new])
-            out: list[tuple] = []
-            if len(again):
-                out.append((-1, b"", b"", *(x.tobytes() for x in _joined(doc[again], *_spans(at[again], right[again])))))
-            part = (h[keep] >> np.uint64(33)).astype(np.int64) % parts
-            order = np.argsort(part, kind="stable")
-            keep, ends = keep[order], np.searchsorted(part[order], np.arange(parts + 1))
-            for k in np.flatnonzero(np.diff(ends)):
-                i = keep[ends[k] : ends[k + 1]]
-                out.append((int(k), h[i].tobytes(), context[i].tobytes(), doc[i].tobytes(), at[i].astype(np.uint32).tobytes(), right[i].tobytes()))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), [pa.int32(), *[pa.binary()] * 5])], ["part", "h", "context", "doc", "at", "right"])
-
-    return docs.mapInArrow(run, "part int, h binary, context binary, doc binary, at binary, right binary")
-
-
-def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Step 2: spans (kind 0: doc, begin, end) and contexts asked for (kind 1: doc, position, anchor hash)."""
-    kinds = (np.uint64, np.uint64, np.int64, np.uint32, np.uint8)
-    held: list[list[np.ndarray]] = [[] for _ in kinds]
-    for batch in batches:
-        for part, *values in zip(batch.column(0).to_pylist(), *(batch.column(i) for i in range(1, 6))):
-            if part < 0:
-                yield _rows(0, *(np.frombuffer(v.as_buffer(), np.int64) for v in values[2:]))
-            else:
-                for x, v, kind in zip(held, values, kinds):
-                    x.append(np.frombuffer(v.as_buffer(), kind).copy())
-    if not held[0]:
-        return
-    h, context, doc, at, right = map(np.concatenate, held)
-    at = at.astype(np.int64)
-    by, new = _first(doc, at, context, h)
-    lead = by[new][np.cumsum(new) - 1]
-    again = by[~new & ((doc[by] != doc[lead]) | (at[by] != at[lead]))]
-    if len(again):
-        yield _rows(0, *_joined(doc[again], *_spans(at[again], right[again])))
-    heads = by[new]
-    same = h[heads][1:] == h[heads][:-1]
-    ask = heads[np.append(False, same) | np.append(same, False)]
-    if len(ask):
-        yield _rows(1, doc[ask], at[ask], h[ask].view(np.int64))
-
-
-def _rows(kind: int, doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(doc), kind, np.int32)), pa.array(doc), pa.array(begin), pa.array(end)], ["kind", "doc", "begin", "end"])
-
-
-def cut_contexts(docs: DataFrame, asked: DataFrame, parts: int) -> DataFrame:
-    """Contexts packed by partition: anchor hash, doc, start of the context, bytes padded to one width, lengths."""
-    wide = LEFT + LENGTH
+            held.append(batch)
+            n += batch.num_rows
+            if n >= contexts:
+                rows = pa.Table.from_batches(held)
+                h = np.asarray(rows.column("h"))
+                whole = int(np.flatnonzero(h != h[-1])[-1]) + 1 if (h != h[-1]).any() else 0
+                if whole:
+                    yield scan_anchors(rows.slice(0, whole))
+                    held, n = rows.slice(whole).to_batches(), n - whole
+        if n:
+            yield scan_anchors(pa.Table.from_batches(held))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h, doc, begin, text, size, lead = [], [], [], [], [], []
-            for d, value, places in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                data = _bytes(value)
-                at = np.asarray(places.values.field("begin"))
-                ok = at + GRAM <= len(data)
-                at, key = at[ok], np.asarray(places.values.field("end"))[ok]
-                lo, hi = np.maximum(at - LEFT, 0), np.minimum(at + LENGTH, len(data))
-                padded = np.append(data, np.zeros(wide, np.uint8))
-                text.append(padded[lo[:, None] + np.arange(wide)])
-                for held, x in zip((h, doc, begin, size, lead), (key, np.full(len(at), d, np.int64), lo, hi - lo, at - lo)):
-                    held.append(x)
-            if not h:
-                continue
-            h, doc, begin, size, lead, text = map(np.concatenate, (h, doc, begin, size, lead, text))
-            part = (h.view(np.uint64) >> np.uint64(17)).astype(np.int64) % parts
-            order = np.argsort(part, kind="stable")
-            ends = np.searchsorted(part[order], np.arange(parts + 1))
-            out = []
-            for k in np.flatnonzero(np.diff(ends)):
-                i = order[ends[k] : ends[k + 1]]
-                out.append((int(k), *(x[i].tobytes() for x in (h, doc, begin, size, lead, text))))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), [pa.int32(), *[pa.binary()] * 6])], ["part", "h", "doc", "begin", "size", "lead", "text"])
-
-    places = asked.groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias("places"))
-    joined = docs.join(places.hint("merge"), "doc").select("doc", "data", "places")
-    return joined.mapInArrow(run, "part int, h binary, doc binary, begin binary, size binary, lead binary, text binary")
-
-
-def suffix_ranks(text: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rank of every LENGTH-byte window of the contexts, in suffix order: (context, start, rank), by rank doubling."""
-    rows, wide = text.shape
-    where = np.arange(wide)[None, :] + 1 <= size[:, None]
-    rank, span = text.astype(np.int64), 1
-    while span < LENGTH:
-        step = min(span, LENGTH - span)
-        n = wide - (span + step) + 1
-        pair = rank[:, :n] * (int(rank.max(initial=0)) + 1) + rank[:, step : step + n]
-        where = np.arange(n)[None, :] + span + step <= size[:, None]
-        # Only windows that lie inside their context take part in the next level.
-        _, dense = np.unique(pair[where], return_inverse=True)
-        rank = np.zeros(pair.shape, np.int64)
-        rank[where] = dense
-        span += step
-    context, start = np.nonzero(where)
-    return context, start, rank[where]
-
-
-def repeat_groups(doc: np.ndarray, begin: np.ndarray, text: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Occurrences in suffix order: (doc, start, group, is first, group is left-diverse), groups of two or more places."""
-    context, start, rank = suffix_ranks(text, size)
-    place_doc, place = doc[context], begin[context] + start
-    left = np.where(start > 0, text[context, np.maximum(start - 1, 0)].astype(np.int64), -1 - np.arange(len(start)))
-    order = np.lexsort((place, place_doc, rank))
-    rank, place_doc, place, left = rank[order], place_doc[order], place[order], left[order]
-    new = np.append(True, rank[1:] != rank[:-1])  # a common-prefix interval of depth LENGTH closes here
-    opens = np.flatnonzero(new)
-    group = np.cumsum(new) - 1
-    diverse = np.minimum.reduceat(left, opens) != np.maximum.reduceat(left, opens)
-    first = (place_doc == place_doc[opens][group]) & (place == place[opens][group])
-    many = np.add.reduceat(~first, opens) > 0
-    some = many[group]
-    return place_doc[some], place[some], group[some], first[some], diverse[group][some]
-
-
-def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Step 3: spans of the contexts' windows that start earlier elsewhere."""
-    held: list[list[np.ndarray]] = [[] for _ in range(6)]
-    wide = LEFT + LENGTH
-    for batch in batches:
-        for i in range(6):
-            held[i] += [np.frombuffer(v.as_buffer(), np.uint8 if i == 5 else np.int64).copy() for v in batch.column(i + 1)]
-    if not held[0]:
-        return
-    h, doc, begin, size, lead, text = map(np.concatenate, held)
-    text = text.reshape(-1, wide)
-    # Every window spans [anchor - 34, anchor + 32) or [anchor, anchor + 66): contexts that share neither are alone.
-    near = np.zeros(len(h), bool)
-    half = LEFT // 2
+    return run
+
+
+WINDOW = "h long, context long, doc long, at int, weight long, back int, w long"
+
+
+def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Step 4: every window of the contexts, with its hash."""
     roller = Roller()
-    for before, after in ((half, GRAM), (0, LENGTH - half)):
-        key, inside = np.zeros(len(h), np.uint64), (lead >= before) & (lead + after <= size)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        h, context, doc, at, back, ahead, weight = (np.asarray(batch.column(batch.schema.get_field_index(c))) for c in ("h", "context", "doc", "at", "back", "ahead", "weight"))
+        data = batch.column(batch.schema.get_field_index("data")).to_pylist()
         for k in range(0, len(h), CONTEXTS):
             part = slice(k, k + CONTEXTS)
-            at = np.arange(len(h[part])) * wide + lead[part]
-            i = np.flatnonzero(inside[part])
-            key[k + i] = roller.hashes(roller.sums(text[part].ravel()), at[i] - before, at[i] + after)
-        i = np.flatnonzero(inside)
-        _, back, n = np.unique(key[i] ^ _mix(h[i].view(np.uint64)), return_inverse=True, return_counts=True)
-        near[i[n[back] > 1]] = True
-    # Anchors in one document may share windows with themselves only by another anchor of the same hash.
-    doc, begin, text, size, h = doc[near], begin[near], text[near], size[near], h[near]
-    by = np.argsort(h, kind="stable")
-    ends = np.append(np.flatnonzero(np.append(True, h[by][1:] != h[by][:-1])), len(by)) if len(by) else np.zeros(1, np.int64)
-    # Suffix arrays over runs of whole anchors, so that memory stays bounded.
-    i = 0
-    while i < len(ends) - 1:
-        j = max(i + 1, int(np.searchsorted(ends, ends[i] + CONTEXTS, "right")) - 1)
-        rows = by[ends[i] : ends[j]]
-        d, p, _, first, _ = repeat_groups(doc[rows], begin[rows], text[rows], size[rows])
-        d, p = d[~first], p[~first]
-        order = np.lexsort((p, d))
-        d, p = d[order], p[order]
-        if len(d):
-            new = np.append(True, (d[1:] != d[:-1]) | (p[1:] > p[:-1] + 1))
-            opens = np.flatnonzero(new)
-            yield _rows(0, d[opens], p[opens], p[np.append(opens[1:], len(p)) - 1] + LENGTH)
-        i = j
+            sums = roller.sums(np.frombuffer(b"".join(data[part]), np.uint8))
+            size = (back + ahead)[part]
+            begin = np.append(0, np.cumsum(size))[:-1]
+            many = size - LENGTH + 1
+            row = np.repeat(np.arange(len(size)), many)
+            start = np.arange(len(row)) - np.repeat(np.append(0, np.cumsum(many))[:-1], many)
+            w = roller.hashes(sums, begin[row] + start, begin[row] + start + LENGTH)
+            yield _batch(WINDOW, *(x[part][row] for x in (h, context, doc, at, weight)), back[part][row] - start, w)
+
+
+def _hot_groups(hot: DataFrame, scratch: Scratch) -> DataFrame:
+    """GROUP rows of anchors with too many classes for one task: each window that occurs twice is a group."""
+    found = hot.mapInArrow(windows, WINDOW)
+    shared = found.groupBy("h", "w", "back").agg(F.sum("weight").alias("n"), F.min(F.struct("doc", "at")).alias("first")).where("n > 1")
+    shared = scratch.save(shared.select("h", "w", "back", "first"), "shared")
+    met = found.join(shared, ["h", "w", "back"])
+    return met.select(F.xxhash64("h", "w", "back").alias("group"), "h", "context", "doc", "at", "back", (F.lit(LENGTH) - F.col("back")).alias("ahead"), (F.struct("doc", "at") == F.col("first")).alias("leads"))
+
+
+def find_groups(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """ANCHOR rows of the anchors found twice or more, and the GROUP rows of their maximal repeats, of documents (doc,
+    data) each with a key of its own. A group's row stands for all occurrences of one class of contexts."""
+    found = find_anchors(docs)
+    twice = scratch.save(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "twice")
+    rows = scratch.save(found.join(twice, "h").select("h", "context", "doc", "at", "back", "ahead"), "anchors")
+    first = F.min(F.struct("doc", "at")).alias("f")
+    same = rows.groupBy("h", "context").agg(F.count("*").alias("weight"), first, F.first("back").alias("back"), F.first("ahead").alias("ahead"))
+    same = scratch.save(same.select("h", "context", "f.doc", "f.at", "back", "ahead", "weight"), "same")
+    several = scratch.save(same.groupBy("h").agg(F.count("*").alias("m")).where("m > 1"), "several")
+    classes = scratch.save(same.join(several, "h", "left").withColumn("m", F.coalesce("m", F.lit(1).cast("long"))), "classes")
+    scratch.drop("twice", "same", "several")
+    # An anchor of one class is a suffix array of one leaf: its context is the group.
+    name = F.xxhash64("h", "context", "doc", "at").alias("group")
+    alone = classes.where("m = 1").select(name, "h", "context", "doc", "at", "back", "ahead", F.lit(True).alias("leads"))
+    contexts = scratch.save(cut_contexts(docs, classes.where("m > 1")), "contexts")
+    dealt = contexts.where(F.col("m") <= DISTINCT).repartition("h").sortWithinPartitions("h", "doc", "at")
+    groups = alone.unionByName(dealt.mapInArrow(scan(CONTEXTS), GROUP))
+    hot = contexts.where(F.col("m") > DISTINCT)
+    if not hot.isEmpty():
+        groups = groups.unionByName(_hot_groups(hot, scratch))
+    groups = scratch.save(groups, "groups")
+    scratch.drop("classes", "contexts", "shared")
+    return rows, groups
 
 
 def cut(docs: DataFrame, spans: DataFrame) -> DataFrame:
@@ -377,11 +354,13 @@ def cut(docs: DataFrame, spans: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "doc long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
-def _keyed(docs: DataFrame, scratch: Scratch, parts: int) -> tuple[DataFrame, DataFrame]:
-    """The rows under keys of their own, in the order of ids, and the id of each key.
+def _keyed(docs: DataFrame, scratch: Scratch, parts: int) -> tuple[DataFrame, DataFrame | None]:
+    """The rows under keys of their own, in the order of ids, and the id of each key (None: the ids are keys).
 
     A null id's rows have a key each; rows of equal ids and texts share one, rows of one id and different texts do not.
     """
+    if docs.groupBy("doc").count().where("doc IS NULL OR count > 1").isEmpty():
+        return docs, None
     row = F.when(F.col("doc").isNull(), F.monotonically_increasing_id())
     raw = docs.select(F.col("doc").alias("id"), F.md5("data").alias("digest"), row.alias("row"), "data")
     mark = F.concat_ws("/", F.col("id").cast("string"), F.col("row").cast("string"), F.col("id").isNull().cast("string"), "digest")
@@ -396,25 +375,39 @@ def _keyed(docs: DataFrame, scratch: Scratch, parts: int) -> tuple[DataFrame, Da
     return keyed, names.select("doc", "id")
 
 
+def _prepared(docs: DataFrame, text: str, key: str, scratch: Scratch) -> tuple[DataFrame, DataFrame | None, DataFrame, DataFrame]:
+    """The keyed rows, the ids of their keys, and what ``find_groups`` finds."""
+    docs = docs.select(F.col(key).cast("long").alias("doc"), F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8").alias("data"))
+    docs, names = _keyed(docs, scratch, shuffle_partitions(docs.sparkSession))
+    with settings(docs.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch=BATCH):
+        return docs, names, *find_groups(docs if names is None else docs.dropDuplicates(["doc"]), scratch)
+
+
+def maximal_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(group, doc_id, begin, end): all occurrences, in bytes, of every repeated string of LENGTH bytes or more that is
+    maximal within the reach of its anchor. A longer repeat is a chain of groups that overlap."""
+    scratch = Scratch(docs.sparkSession, "repeats")
+    _, names, rows, groups = _prepared(docs, text, key, scratch)
+    met = groups.select("group", "h", "context", F.col("back").alias("b"), F.col("ahead").alias("a")).distinct().join(rows, ["h", "context"])
+    out = met.select("group", "doc", (F.col("at") - F.col("b")).alias("begin"), (F.col("at") + F.col("a")).alias("end"))
+    named = out.withColumn("id", F.col("doc")) if names is None else out.join(names, "doc")
+    return named.select("group", F.col("id").alias("doc_id"), "begin", "end")
+
+
 def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept) of every row; ``kept`` is what is left of the text's bytes."""
-    spark = docs.sparkSession
-    scratch, parts = Scratch(spark, "suffix"), shuffle_partitions(spark)
-    docs = docs.select(F.col(key).cast("long").alias("doc"), F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8").alias("data"))
-    names = None
-    if not docs.groupBy("doc").count().where("doc IS NULL OR count > 1").isEmpty():
-        docs, names = _keyed(docs, scratch, parts)
-    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=BATCH):
-        found = find_anchors(docs, parts, hot_anchors(docs))
-        # Settled spans may lie anywhere: they are spread evenly.
-        anywhere = F.pmod(F.xxhash64("doc"), F.lit(parts)).cast("int")
-        dealt = found.repartitionById(parts, F.when(F.col("part") < 0, anywhere).otherwise(F.col("part")))
-        settled = scratch.save(dealt.mapInArrow(settle, "kind int, " + SPAN), "settled")
-        contexts = cut_contexts(docs, settled.where("kind = 1"), parts)
-        scanned = scratch.save(contexts.repartitionById(parts, "part").mapInArrow(scan, "kind int, " + SPAN), "scanned")
-        spans = settled.where("kind = 0").unionByName(scanned).drop("kind")
-        # Written here, so that the batch setting holds for this step too.
-        out = cut(docs, spans)
+    scratch = Scratch(docs.sparkSession, "suffix")
+    docs, names, rows, groups = _prepared(docs, text, key, scratch)
+    # What leads a group stays there, but may follow in another: the first occurrence of a class and its others differ.
+    follows = [F.max(F.when(~F.col("leads"), F.col(c))).alias(f"first_{c}") for c in ("back", "ahead")]
+    most = groups.groupBy("h", "context").agg(F.first("doc").alias("d"), F.first("at").alias("p"), *follows, *[F.max(c).alias(f"most_{c}") for c in ("back", "ahead")])
+    most = scratch.save(most, "most")
+    own = (F.col("doc") == F.col("d")) & (F.col("at") == F.col("p"))
+    back, ahead = (F.when(own, F.col(f"first_{c}")).otherwise(F.col(f"most_{c}")) for c in ("back", "ahead"))
+    spans = rows.join(most, ["h", "context"]).select("doc", (F.col("at") - back).alias("begin"), (F.col("at") + ahead).alias("end"))
+    spans = scratch.save(spans.where("begin IS NOT NULL"), "spans")
+    scratch.drop("anchors", "groups", "most")
+    out = cut(docs, spans)
     if names is not None:
         out = out.join(names, "doc").drop("doc").withColumnRenamed("id", "doc")
     return out.select(F.col("doc").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept")
