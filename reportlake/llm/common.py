@@ -27,22 +27,30 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir; a fresh local one only where that is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir; where that is unset a fresh local one, on a local master only."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
         scala = spark.sparkContext._jsc.sc().getCheckpointDir()
         found = scala.get() if scala.isDefined() else None
     if not found:
+        if not is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="reportlake-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether the driver is the only executor."""
+    master = spark.sparkContext.master
+    return master.startswith("local") and "cluster" not in master
+
+
 def ship(spark: SparkSession) -> None:
     """Sends this package to the Python workers, once, unless they find it by PYTHONPATH or their folder anyway."""
     root, context = Path(__file__).resolve().parents[2], spark.sparkContext
     found = [Path(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if context.master.startswith("local") and "cluster" not in context.master:
+    if is_local(spark):
         found.append(Path.cwd())  # local workers start in the driver's folder
     if root in (p.resolve() for p in found) or getattr(context, "_reportlake_shipped", False):
         return
@@ -65,11 +73,10 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def save(self, df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
-        """``narrow`` tables (a few ids or numbers a row) go to an eighth of the shuffle partitions: fewer, fuller files."""
-        if narrow:
-            df = df.repartition(max(4, shuffle_partitions(self.spark) // 8))
-        df.write.mode("overwrite").parquet(self.path(name))
+    def save(self, df: DataFrame, name: str) -> DataFrame:
+        """The shuffle files of the job go with its end: what it wrote is all that later steps read."""
+        with settings(self.spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+            df.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:

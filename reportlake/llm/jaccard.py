@@ -111,7 +111,7 @@ def common_tokens(docs: DataFrame, scratch: Scratch) -> np.ndarray:
             yield often()
 
     seen = _batches(docs, count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    seen = scratch.save(seen, "common", narrow=True).orderBy(F.desc("n"), "token").limit(REMEMBERED)
+    seen = scratch.save(seen, "common").orderBy(F.desc("n"), "token").limit(REMEMBERED)
     return seen.toArrow().column("token").to_numpy().view(np.uint64)[::-1].copy()
 
 
@@ -176,13 +176,13 @@ def overlaps(pairs: DataFrame, sets: DataFrame, scratch: Scratch, name: str) ->
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), pa.array(both, pa.int64())], [*(batch.schema.names[i] for i in kept), "both"])
 
     # The sets of the b side travel once for each pair, to where the sets of the a side are.
-    pairs = scratch.save(pairs, f"{name}_pairs", narrow=True)
-    sets_a = sets.join(small(scratch.save(pairs.select(F.col("a").alias("id")).distinct(), f"{name}_a", narrow=True)), "id", "left_semi")
+    pairs = scratch.save(pairs, f"{name}_pairs")
+    sets_a = sets.join(small(scratch.save(pairs.select(F.col("a").alias("id")).distinct(), f"{name}_a")), "id", "left_semi")
     left = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb")).join(small(pairs), "b")
     full = left.join(sets_a.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta")), "a")
     names = [c for c in full.columns if c not in ("ta", "tb")]
     fields = ", ".join(f"`{c}` {full.schema[c].dataType.simpleString()}" for c in names)
-    return scratch.save(full.mapInArrow(run, fields + ", both long"), name, narrow=True)
+    return scratch.save(full.mapInArrow(run, fields + ", both long"), name)
 
 
 LINKED = f"100 * both >= {PERCENT} * (na + nb - both)"
@@ -195,27 +195,27 @@ def groups(reps: DataFrame, docs: DataFrame, scratch: Scratch) -> tuple[DataFram
     """
     buckets = reps.select("doc_id", "n", F.posexplode("low").alias("k", "v"))
     # A document whose minimum hashes are widespread lies in the middle of its like: it makes the best hub.
-    counts = scratch.save(buckets.groupBy("k", "v").agg(F.count("*").alias("c")).where("c > 1"), "bucket_counts", narrow=True)
+    counts = scratch.save(buckets.groupBy("k", "v").agg(F.count("*").alias("c")).where("c > 1"), "bucket_counts")
     shared = buckets.join(counts, ["k", "v"])
     fame = shared.groupBy("doc_id").agg(F.sum("c").alias("fame"))
-    met = scratch.save(shared.join(fame, "doc_id").select("doc_id", "k", "v", "fame"), "met", narrow=True)
+    met = scratch.save(shared.join(fame, "doc_id").select("doc_id", "k", "v", "fame"), "met")
     ends = met.groupBy("k", "v").agg(F.max(F.struct("fame", (-F.col("doc_id")).alias("i"))).alias("top"), F.min("doc_id").alias("first"))
     # Written first: only a join of two plain shuffles can be split where one minimum hash has very many documents.
-    ends = scratch.save(ends.select("k", "v", "first", (-F.col("top.i")).alias("last")), "ends", narrow=True)
+    ends = scratch.save(ends.select("k", "v", "first", (-F.col("top.i")).alias("last")), "ends")
     met = met.join(ends, ["k", "v"])
     hubs = met.select("doc_id", F.explode(F.array_distinct(F.array("first", "last"))).alias("a")).where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
     size = reps.select("doc_id", "low")
     near = hubs.join(size.select(F.col("doc_id").alias("a"), F.col("low").alias("x")), "a").join(size.select(F.col("doc_id").alias("b"), F.col("low").alias("y")), "b")
     agree = F.aggregate(F.zip_with("x", "y", lambda x, y: (x == y).cast("int")), F.lit(0), lambda acc, v: acc + v)
-    near = scratch.save(near.where(agree >= AGREE).select("a", "b").distinct(), "hub_pairs", narrow=True)
-    ids = scratch.save(near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).distinct(), "hub_ids", narrow=True)
+    near = scratch.save(near.where(agree >= AGREE).select("a", "b").distinct(), "hub_pairs")
+    ids = scratch.save(near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).distinct(), "hub_ids")
     sets = scratch.save(token_sets(docs, ids), "hub_sets")
     met = overlaps(near, sets, scratch, "hub_overlaps")
     alike = F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))
     rank = F.struct(F.expr(LINKED).alias("core"), alike.alias("alike"), (-F.col("a")).alias("i"), (F.col("nb") - F.col("both")).alias("extra"))
     chosen = met.where(alike >= LOOSE).groupBy("b").agg(F.max(rank).alias("h"))
     member = chosen.select(F.col("b").alias("id"), (-F.col("h.i")).alias("hub"), F.col("h.extra").alias("extra"), F.col("h.core").alias("core"))
-    return met.where(LINKED).select("a", "b"), scratch.save(member, "members", narrow=True)
+    return met.where(LINKED).select("a", "b"), scratch.save(member, "members")
 
 
 def matrix_pairs(entries: DataFrame) -> DataFrame:
@@ -299,13 +299,13 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
         described = scratch.save(describe(docs, common_tokens(docs, scratch)), "described")
         sizes = scratch.save(described.select("doc_id", "n", "mark"), "sizes")
         filled = sizes.where("n > 0 AND doc_id IS NOT NULL")
-        same = scratch.save(filled.groupBy("mark").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("top")), "same", narrow=True)
+        same = scratch.save(filled.groupBy("mark").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("top")), "same")
         heads = described.where("n > 0").join(small(same.select("doc_id", "mark")), ["doc_id", "mark"], "left_semi")
         heads = scratch.save(heads.select("doc_id", "mark", "n", "low", "head"), "heads")
         scratch.drop("described")
         reps = scratch.save(heads.select("doc_id", "mark", "n", "low").distinct(), "reps")
         links, member = groups(reps, docs, scratch)
-        comp = scratch.save(components(links, scratch, "first"), "comp0", narrow=True)
+        comp = scratch.save(components(links, scratch, "first"), "comp0")
         # Documents without a hub are groups of their own, and so are hubs that joined no other.
         label = small(comp.select(F.col("id").alias("grp"), F.col("component").alias("comp")))
 
@@ -314,20 +314,20 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
             out = out.withColumns({"grp": F.coalesce("hub", "doc_id"), "extra": F.coalesce("extra", F.lit(0)), "core": F.coalesce("core", F.lit(True))})
             return out.join(label, "grp", "left").withColumn("comp", F.coalesce("comp", "grp"))
 
-        mixed = scratch.save(member.where("NOT core").select(F.col("hub").alias("grp"), F.lit(True).alias("mixed")).distinct(), "mixed", narrow=True)
+        mixed = scratch.save(member.where("NOT core").select(F.col("hub").alias("grp"), F.lit(True).alias("mixed")).distinct(), "mixed")
         # Pairs within one component need no look, unless a group also has members that its hub does not link.
-        placed = scratch.save(place(reps.select("doc_id", "n")).select("doc_id", "n", "grp", "extra", "core", "comp"), "placed", narrow=True)
-        sizes_of = scratch.save(placed.groupBy("grp").agg(F.min("n").alias("lo"), F.max("n").alias("hi")).where("lo < hi"), "spans", narrow=True)
+        placed = scratch.save(place(reps.select("doc_id", "n")).select("doc_id", "n", "grp", "extra", "core", "comp"), "placed")
+        sizes_of = scratch.save(placed.groupBy("grp").agg(F.min("n").alias("lo"), F.max("n").alias("hi")).where("lo < hi"), "spans")
         entries = place(heads.select("doc_id", "n", "head")).join(small(sizes_of), "grp", "left").withColumns({"lo": F.coalesce("lo", "n"), "hi": F.coalesce("hi", "n")})
         entries = entries.join(small(mixed), "grp", "left").withColumn("comp", F.when(F.col("mixed"), -1 - F.col("grp")).otherwise(F.col("comp")))
-        pairs = scratch.save(matrix_pairs(entries), "matrix", narrow=True)
+        pairs = scratch.save(matrix_pairs(entries), "matrix")
         scratch.drop("heads")
         own = mixed.select(F.col("grp").alias("g"), F.col("grp").alias("h"), F.lit(None).cast("long").alias("shared"))
         more = _opened(pairs.unionByName(own), placed, docs, scratch)
     edges = links.unionByName(more)
     # Equal sets: every document hangs on the smallest of its set; repeated ids join what their rows join.
     copies = filled.join(same.where("top > doc_id").select("mark", F.col("doc_id").alias("b")), "mark").select(F.col("doc_id").alias("a"), "b").where("a <> b")
-    final = scratch.save(components(edges.unionByName(copies), scratch, "last"), "comp1", narrow=True)
+    final = scratch.save(components(edges.unionByName(copies), scratch, "last"), "comp1")
     out = sizes.select("doc_id", F.col("n").alias("n_shingles"))
     return out.join(small(final.withColumnRenamed("id", "doc_id")), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
@@ -338,10 +338,10 @@ def _opened(pairs: DataFrame, grouped: DataFrame, docs: DataFrame, scratch: Scra
     Qualifying pairs are opened in blocks of a bounded number of tokens: a block holds some of one group's
     members and the queries that meet them, and gives out only links that join what it has not joined yet.
     """
-    touched = scratch.save(pairs.select(F.col("g").alias("grp")).unionByName(pairs.select(F.col("h").alias("grp"))).distinct(), "touched", narrow=True)
-    grouped = scratch.save(grouped.join(small(touched), "grp", "left_semi"), "grouped", narrow=True)
+    touched = scratch.save(pairs.select(F.col("g").alias("grp")).unionByName(pairs.select(F.col("h").alias("grp"))).distinct(), "touched")
+    grouped = scratch.save(grouped.join(small(touched), "grp", "left_semi"), "grouped")
     solo = (F.count("*") == 1) & (F.min("doc_id") == F.col("grp"))
-    info = scratch.save(grouped.groupBy("grp", "comp").agg(F.max("extra").alias("e"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.count("*").alias("c"), F.sum("n").alias("t"), F.count_if(~F.col("core")).alias("l"), solo.alias("solo")), "info", narrow=True)
+    info = scratch.save(grouped.groupBy("grp", "comp").agg(F.max("extra").alias("e"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.count("*").alias("c"), F.sum("n").alias("t"), F.count_if(~F.col("core")).alias("l"), solo.alias("solo")), "info")
     one, two = (info.select(*[F.col(c).alias(p if c == "grp" else c + p) for c in info.columns]) for p in "gh")
     sized = pairs.join(small(one), "g").join(small(two), "h").where(f"100 * hig >= {PERCENT} * loh AND 100 * hih >= {PERCENT} * log")
     # Common tokens lie in both prefixes, or behind the one that ends first, among three quarters of its set. What is
@@ -350,8 +350,8 @@ def _opened(pairs: DataFrame, grouped: DataFrame, docs: DataFrame, scratch: Scra
     can = (100 * least <= PERCENT * most) | (4 * 175 * F.col("shared") + 225 * most >= 300 * least)
     sized = sized.where(F.col("shared").isNull() | can)
     sized = sized.withColumns({"a": F.col("g"), "b": F.col("h")})
-    sized = scratch.save(sized.select("a", "b", "g", "h", "eg", "eh", "log", "loh", "cg", "ch", "lg", "lh", (F.col("compg") == F.col("comph")).alias("same"), (F.col("solog") & F.col("soloh")).alias("single")), "sized", narrow=True)
-    hubs = scratch.save(sized.select(F.col("a").alias("id")).unionByName(sized.select(F.col("b").alias("id"))).distinct(), "bound_ids", narrow=True)
+    sized = scratch.save(sized.select("a", "b", "g", "h", "eg", "eh", "log", "loh", "cg", "ch", "lg", "lh", (F.col("compg") == F.col("comph")).alias("same"), (F.col("solog") & F.col("soloh")).alias("single")), "sized")
+    hubs = scratch.save(sized.select(F.col("a").alias("id")).unionByName(sized.select(F.col("b").alias("id"))).distinct(), "bound_ids")
     sets = scratch.save(token_sets(docs, hubs), "bound_sets")
     bound = overlaps(sized, sets, scratch, "bounds").where(f"100 * (both + eg + eh) >= {PERCENT} * greatest(log, loh)")
     singles = bound.where("single").where(LINKED).select("a", "b")
@@ -361,14 +361,14 @@ def _opened(pairs: DataFrame, grouped: DataFrame, docs: DataFrame, scratch: Scra
     asks = open_.where("NOT same").select(F.when(small_first, F.col("g")).otherwise(F.col("h")).alias("q"), F.when(small_first, F.col("h")).otherwise(F.col("g")).alias("t"), F.lit(False).alias("loose"))
     for p, q in ("gh", "hg"):
         asks = asks.unionByName(open_.where(f"same AND l{p} > 0").select(F.col(p).alias("q"), F.col(q).alias("t"), F.lit(True).alias("loose")))
-    asks = scratch.save(asks.distinct(), "asks", narrow=True)
+    asks = scratch.save(asks.distinct(), "asks")
     members = grouped.select("grp", "doc_id", "n", "core")
     queries = asks.join(members.withColumnRenamed("grp", "q"), "q").where("NOT loose OR NOT core").select("t", F.col("doc_id").alias("id"), "n").distinct()
-    queries = scratch.save(queries, "queries", narrow=True)
+    queries = scratch.save(queries, "queries")
     cuts = queries.groupBy("t").agg(F.ceil(F.sum("n") / BLOCK).alias("kq")).join(info.select(F.col("grp").alias("t"), F.ceil(F.col("t") / BLOCK).alias("kt")), "t")
-    cuts = scratch.save(cuts, "cuts", narrow=True)
-    targets = scratch.save(cuts.join(members.withColumnRenamed("grp", "t"), "t").select("t", "kq", "kt", F.col("doc_id").alias("id"), "core"), "targets", narrow=True)
-    ids = scratch.save(queries.select("id").unionByName(targets.select("id")).distinct(), "open_ids", narrow=True)
+    cuts = scratch.save(cuts, "cuts")
+    targets = scratch.save(cuts.join(members.withColumnRenamed("grp", "t"), "t").select("t", "kq", "kt", F.col("doc_id").alias("id"), "core"), "targets")
+    ids = scratch.save(queries.select("id").unionByName(targets.select("id")).distinct(), "open_ids")
     sets = scratch.save(token_sets(docs, ids), "open_sets").drop("n")
     again = scratch.spark.read.parquet(scratch.path("open_sets")).drop("n")  # else both sides would name the same columns
     part = lambda k: F.pmod(F.xxhash64("id"), F.col(k)).cast("int")
@@ -376,7 +376,7 @@ def _opened(pairs: DataFrame, grouped: DataFrame, docs: DataFrame, scratch: Scra
     left = queries.join(cuts, "t").select("t", part("kq").alias("i"), every("kt").alias("j"), "id").join(sets, "id")
     right = targets.select("t", every("kq").alias("i"), part("kt").alias("j"), "id", "core").join(again, "id")
     blocks = left.groupBy("t", "i", "j").cogroup(right.groupBy("t", "i", "j")).applyInArrow(_block, "a long, b long")
-    return singles.unionByName(scratch.save(blocks, "opened", narrow=True))
+    return singles.unionByName(scratch.save(blocks, "opened"))
 
 
 def _block(queries: pa.Table, members: pa.Table) -> pa.Table:

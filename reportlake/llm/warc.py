@@ -160,7 +160,7 @@ def write_archives(pages: DataFrame, scratch: Scratch, dedupe_from: int = 0) ->
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"), payload.alias("payload"), F.sha1(payload).alias("digest"))
     same = rows.where(F.octet_length("payload") >= dedupe_from).groupBy("digest").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    same = scratch.save(same, "same", narrow=True)  # so that the join is one of two plain shuffles
+    same = scratch.save(same, "same")  # so that the join is one of two plain shuffles
     # By a shuffle at every size: a broadcast would only fit while few payloads repeat.
     joined = rows.join(same.hint("merge"), "digest", "left").select("page_id", "url", "payload", F.when(F.col("page_id").eqNullSafe(F.col("first")), None).otherwise(F.col("first")).alias("refers_to"))
     folder = scratch.path("archives")
