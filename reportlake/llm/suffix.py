@@ -19,7 +19,7 @@ wherever it occurs, so an anchor's contexts hold all its occurrences. Steps:
    a class hold the anchor; the occurrences meet their class by an equi-join, and the documents their own spans.
 
 Hashes of 64 bits stand for anchors, for contexts of an anchor and, in step 4, for windows of an anchor; bytes are
-compared in step 3. A task holds at most ``CONTEXTS`` contexts and one batch of texts.
+compared in step 3. A task holds at most ``CONTEXTS`` contexts (``DISTINCT`` of one anchor) and one batch of texts.
 
 Null texts are empty; texts under LENGTH bytes are kept whole; very long texts are read whole, one batch of bounded
 bytes at a time. Rows of equal ids and texts share their places: copies of a row are not repeats of each other.
@@ -43,8 +43,9 @@ LENGTH = 100
 GRAM = 32
 LEFT = LENGTH - GRAM
 BATCH = 1000
-#: Different contexts of an anchor that one task takes, and contexts that it holds at a time.
-DISTINCT, CONTEXTS = 2048, 4096
+#: Different contexts of an anchor that one task takes (measured: 3 seconds at the worst), and contexts of several
+#: anchors that it scans at a time.
+DISTINCT, CONTEXTS = 32_768, 4096
 BASE = np.uint64(0x9E3779B97F4A7C15)
 VALUES = np.frombuffer(hashlib.shake_256(b"byte values").digest(256 * 8), np.uint64)
 LOW = np.uint64(0xFFFFFFFF)
@@ -199,8 +200,11 @@ def _diverse(child: np.ndarray) -> bool:
     return bool((child != child[0]).any())
 
 
-def scan_anchors(rows: pa.Table) -> pa.RecordBatch:
-    """GROUP rows of the contexts of whole anchors, which are sorted by anchor."""
+def scan_anchors(rows: pa.Table, every: bool = True) -> pa.RecordBatch:
+    """GROUP rows of the contexts of whole anchors, which are sorted by anchor.
+
+    Without ``every`` not of each group but of each class, led or not: the most bytes on either side in any group.
+    """
     rows = rows.combine_chunks()
     h, context, doc, at, back, ahead, weight = (np.asarray(rows.column(c)) for c in ("h", "context", "doc", "at", "back", "ahead", "weight"))
     n = len(h)
@@ -239,12 +243,19 @@ def scan_anchors(rows: pa.Table) -> pa.RecordBatch:
     nth = np.repeat(np.arange(len(found)), size)
     by = np.lexsort((at[member], doc[member], nth))
     member, leads = member[by], np.append(True, nth[1:] != nth[:-1])[: len(member)]
-    lead = member[leads][nth] if len(member) else member
+    if not every and len(member):
+        by = np.lexsort((leads, member))
+        opens = np.flatnonzero(np.append(True, (member[by][1:] != member[by][:-1]) | (leads[by][1:] != leads[by][:-1])))
+        b, a = np.maximum.reduceat(b[by], opens), np.maximum.reduceat(a[by], opens)
+        member, leads = member[by][opens], leads[by][opens]
+        lead = member
+    else:
+        lead = member[leads][nth] if len(member) else member
     name = _mix(_mix(h[lead].view(np.uint64) + doc[lead].view(np.uint64) * BASE) + (at[lead].astype(np.uint64) << np.uint64(16)) + (b * 256 + a).astype(np.uint64))
     return _batch(GROUP, name, h[member], context[member], doc[member], at[member], b, a, leads)
 
 
-def scan(contexts: int = CONTEXTS):
+def scan(contexts: int = CONTEXTS, every: bool = True):
     """Step 3 over rows sorted by anchor, some ``contexts`` at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,10 +269,10 @@ def scan(contexts: int = CONTEXTS):
                 h = np.asarray(rows.column("h"))
                 whole = int(np.flatnonzero(h != h[-1])[-1]) + 1 if (h != h[-1]).any() else 0
                 if whole:
-                    yield scan_anchors(rows.slice(0, whole))
+                    yield scan_anchors(rows.slice(0, whole), every)
                     held, n = rows.slice(whole).to_batches(), n - whole
         if n:
-            yield scan_anchors(pa.Table.from_batches(held))
+            yield scan_anchors(pa.Table.from_batches(held), every)
 
     return run
 
@@ -298,9 +309,10 @@ def _hot_groups(hot: DataFrame, scratch: Scratch) -> DataFrame:
     return met.select(F.xxhash64("h", "w", "back").alias("group"), "h", "context", "doc", "at", "back", (F.lit(LENGTH) - F.col("back")).alias("ahead"), (F.struct("doc", "at") == F.col("first")).alias("leads"))
 
 
-def find_groups(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+def find_groups(docs: DataFrame, scratch: Scratch, every: bool = True) -> tuple[DataFrame, DataFrame]:
     """ANCHOR rows of the anchors found twice or more, and the GROUP rows of their maximal repeats, of documents (doc,
-    data) each with a key of its own. A group's row stands for all occurrences of one class of contexts."""
+    data) each with a key of its own. A group's row stands for all occurrences of one class of contexts; without
+    ``every`` a row may stand for a class in all its groups of one task, which is what the cuts need."""
     found = find_anchors(docs)
     twice = scratch.save(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "twice")
     rows = scratch.save(found.join(twice, "h").select("h", "context", "doc", "at", "back", "ahead"), "anchors")
@@ -315,7 +327,7 @@ def find_groups(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame
     alone = classes.where("m = 1").select(name, "h", "context", "doc", "at", "back", "ahead", F.lit(True).alias("leads"))
     contexts = scratch.save(cut_contexts(docs, classes.where("m > 1")), "contexts")
     dealt = contexts.where(F.col("m") <= DISTINCT).repartition("h").sortWithinPartitions("h", "doc", "at")
-    groups = alone.unionByName(dealt.mapInArrow(scan(CONTEXTS), GROUP))
+    groups = alone.unionByName(dealt.mapInArrow(scan(CONTEXTS, every), GROUP))
     hot = contexts.where(F.col("m") > DISTINCT)
     if not hot.isEmpty():
         groups = groups.unionByName(_hot_groups(hot, scratch))
@@ -375,19 +387,19 @@ def _keyed(docs: DataFrame, scratch: Scratch, parts: int) -> tuple[DataFrame, Da
     return keyed, names.select("doc", "id")
 
 
-def _prepared(docs: DataFrame, text: str, key: str, scratch: Scratch) -> tuple[DataFrame, DataFrame | None, DataFrame, DataFrame]:
+def _prepared(docs: DataFrame, text: str, key: str, scratch: Scratch, every: bool) -> tuple[DataFrame, DataFrame | None, DataFrame, DataFrame]:
     """The keyed rows, the ids of their keys, and what ``find_groups`` finds."""
     docs = docs.select(F.col(key).cast("long").alias("doc"), F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8").alias("data"))
     docs, names = _keyed(docs, scratch, shuffle_partitions(docs.sparkSession))
     with settings(docs.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch=BATCH):
-        return docs, names, *find_groups(docs if names is None else docs.dropDuplicates(["doc"]), scratch)
+        return docs, names, *find_groups(docs if names is None else docs.dropDuplicates(["doc"]), scratch, every)
 
 
 def maximal_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(group, doc_id, begin, end): all occurrences, in bytes, of every repeated string of LENGTH bytes or more that is
     maximal within the reach of its anchor. A longer repeat is a chain of groups that overlap."""
     scratch = Scratch(docs.sparkSession, "repeats")
-    _, names, rows, groups = _prepared(docs, text, key, scratch)
+    _, names, rows, groups = _prepared(docs, text, key, scratch, every=True)
     met = groups.select("group", "h", "context", F.col("back").alias("b"), F.col("ahead").alias("a")).distinct().join(rows, ["h", "context"])
     out = met.select("group", "doc", (F.col("at") - F.col("b")).alias("begin"), (F.col("at") + F.col("a")).alias("end"))
     named = out.withColumn("id", F.col("doc")) if names is None else out.join(names, "doc")
@@ -397,7 +409,7 @@ def maximal_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
 def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept) of every row; ``kept`` is what is left of the text's bytes."""
     scratch = Scratch(docs.sparkSession, "suffix")
-    docs, names, rows, groups = _prepared(docs, text, key, scratch)
+    docs, names, rows, groups = _prepared(docs, text, key, scratch, every=False)
     # What leads a group stays there, but may follow in another: the first occurrence of a class and its others differ.
     follows = [F.max(F.when(~F.col("leads"), F.col(c))).alias(f"first_{c}") for c in ("back", "ahead")]
     most = groups.groupBy("h", "context").agg(F.first("doc").alias("d"), F.first("at").alias("p"), *follows, *[F.max(c).alias(f"most_{c}") for c in ("back", "ahead")])
