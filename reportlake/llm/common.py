@@ -100,6 +100,28 @@ def settings(spark: SparkSession, **values: object):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """Names like the given ones that no column of ``docs`` has."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def named(name: str) -> F.Column:
+    """The column of exactly this name, whatever characters it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def without(docs: DataFrame, *names: str) -> list[str]:
+    """The columns of ``docs`` but those that an operator puts out itself, in any case."""
+    own = {n.lower() for n in names}
+    return [c for c in docs.columns if c.lower() not in own]
+
+
 def words_of(text) -> F.Column:
     """Array of the words of a text column; null and blank texts give an empty array."""
     bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(GAP_CHARS))

@@ -9,7 +9,8 @@ shows it, so each line stays in the corpus once.
 Only (line hash, site, id) is shuffled for counting, pre-aggregated per task. The documents meet their own list
 of removed line hashes by an equi-join on the id.
 
-Null texts stay null and have no lines; empty texts stay empty; lines without words are never removed. A null
+Null texts stay null and have no lines; empty texts stay empty; a very long text is one row, its lines are counted
+like others; lines without words are never removed. A null
 site counts as one site of its own. Documents without an id are never first unless no document that shows the
 line has an id, when all keep it. Rows with equal ids are treated alike. A document may end empty and still
 stays. An empty table gives an empty result; extra columns pass through.
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportlake.llm.common import GAP_CHARS, Scratch, n_words_of, small, table
+from reportlake.llm.common import GAP_CHARS, Scratch, n_words_of, named, small, table, without
 
 MIN_SITES = 10
 MIN_WORDS = 3
@@ -37,7 +38,7 @@ def line_hash(line: Column) -> Column:
 
 def shown_lines(docs: DataFrame, text: str, key: str, site: str) -> DataFrame:
     """(doc, site, line) for every line that is long enough to be compared."""
-    lines = docs.select(F.col(key).alias("doc"), F.coalesce(F.col(site), F.lit("\0")).alias("site"), F.explode(F.split(F.col(text), "\n")).alias("l"))
+    lines = docs.select(named(key).alias("doc"), F.coalesce(named(site), F.lit("\0")).alias("site"), F.explode(F.split(named(text), "\n")).alias("l"))
     return lines.where(n_words_of(F.col("l")) >= MIN_WORDS).select("doc", "site", line_hash(F.col("l")).alias("line"))
 
 
@@ -54,24 +55,26 @@ def boilerplate(lines: DataFrame, scratch: Scratch, min_sites: int = MIN_SITES)
     return scratch.save(sure.unionByName(counted.where(F.col("sites") >= min_sites).select("line", "first")), "boilerplate")
 
 
-def remove_boilerplate(docs: DataFrame, text: str = "text", key: str = "doc_id", site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
+def remove_boilerplate(docs: DataFrame, text: str = "text", key: str = "doc_id", site: str = "source", min_sites: int = MIN_SITES, broadcast_lines: int = BROADCAST_LINES) -> DataFrame:
     """``docs`` with boilerplate lines cut from ``text``, and long columns ``n_lines`` and ``n_removed``."""
     scratch = Scratch(docs.sparkSession, "lines")
-    columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    columns = without(docs, "n_lines", "n_removed")
     lines = scratch.save(shown_lines(docs, text, key, site), "shown")
     found = boilerplate(lines, scratch, min_sites)
-    found = F.broadcast(found) if found.count() <= BROADCAST_LINES else found
+    found = small(found, broadcast_lines)
     hits = lines.join(found, "line").where(~F.col("doc").eqNullSafe(F.col("first"))).groupBy("doc").agg(F.collect_set("line").alias("_hits"))
-    hits = scratch.save(hits, "hits").withColumnRenamed("doc", "_doc")
-    # Always by a shuffle of the documents: a broadcast would only fit while few of them show boilerplate.
-    joined = docs.join(hits.hint("merge"), F.col(key).eqNullSafe(F.col("_doc")), "left")
-    split = F.split(F.col(text), "\n")
+    hits = scratch.save(hits, "hits")
+    # Always by a shuffle of the documents: a broadcast would only fit while few of them show boilerplate. The rows
+    # travel as structs, so their columns may have any names.
+    rows = docs.select(named(key).alias("_key"), named(text).alias("_text"), F.struct(*[named(c) for c in columns if c != text]).alias("_row"))
+    joined = rows.join(hits.hint("merge"), F.col("_key").eqNullSafe(F.col("doc")), "left")
+    split = F.split(F.col("_text"), "\n")
     tested = F.transform(split, lambda x: F.struct(x.alias("l"), line_hash(x).alias("h"), (n_words_of(x) >= MIN_WORDS).alias("w")))
     kept = F.transform(F.filter(tested, lambda x: ~(x["w"] & F.array_contains("_hits", x["h"]))), lambda x: x["l"])
-    joined = joined.withColumns({"n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.size(split)).cast("long"), "_kept": F.when(F.col("_hits").isNotNull(), kept)})
+    joined = joined.withColumns({"n_lines": F.when(F.col("_text").isNull(), 0).otherwise(F.size(split)).cast("long"), "_kept": F.when(F.col("_hits").isNotNull(), kept)})
     joined = joined.withColumn("n_removed", F.when(F.col("_kept").isNull(), 0).otherwise(F.col("n_lines") - F.size("_kept")).cast("long"))
-    joined = joined.withColumn(text, F.when(F.col("_kept").isNull(), F.col(text)).otherwise(F.array_join("_kept", "\n")))
-    return joined.select(*columns, "n_lines", "n_removed")
+    left = F.when(F.col("_kept").isNull(), F.col("_text")).otherwise(F.array_join("_kept", "\n"))
+    return joined.select(*[left.alias(c) if c == text else F.col("_row")[c].alias(c) for c in columns], "n_lines", "n_removed")
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,25 +6,29 @@ shard then draws its disjoint run of the source's permuted blocks and shuffles l
 
 A block is a fixed share of its source in a random but repeatable order (a hash of the document): ``BLOCKS``
 blocks, or more with many shards, for each full pass over a source. What the driver sees is one row per source (names, totals) and the
-tree's counts (sources x shards); documents never leave the executors, and a source that holds a third of all
-rows is spread over its blocks.
+tree's counts (sources x shards): as many as sources allow, and ``BLOCKS`` or more blocks a source that are joined by
+a shuffle beyond a counted size. Documents never leave the executors, and a source that holds a third of all rows is
+spread over its blocks.
 
 Null and blank texts have size 0; a source that has only those has target 0. A null source is a source of its
-own, last in order. Repeated rows (equal document ids) count each; they get equal draws. An empty table gives
-an empty result. Extra columns pass through ``mix``; its own output columns replace clashing ones.
+own, last in order. The order within a source is a hash of id and text, so rows without an id, or of one id and
+different texts, are drawn apart; rows equal in both count each and get equal draws. Very long texts count like
+others; the miss of a source's target is at most half of one document. An empty table gives an empty result. Extra
+columns of any name pass through ``mix``; its own output columns replace clashing ones.
 """
 
 from __future__ import annotations
 
-import random
+import zlib
 from collections.abc import Sequence
 from fractions import Fraction
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from reportlake.llm.common import Scratch, n_words_of, shuffle_partitions, table
+from reportlake.llm.common import Scratch, n_words_of, named, shuffle_partitions, small, table, without
 
 #: Words of a shard; from this follow the number of shards and, at least twice as many, of blocks.
 SHARD_WORDS = 4_000_000
@@ -33,7 +37,7 @@ BLOCKS = 256
 WEIGHTS = (5, 2, 1)
 TOTAL = Fraction(3, 2)
 MOST = 2
-OWN = ("size", "source_size", "target", "taken", "copies", "shards", "block")
+OWN = ("size", "source_size", "target", "taken", "copies", "shards")
 
 
 def targets(sizes: Sequence[int], weights: Sequence[int], total: Fraction = TOTAL, most: int = MOST) -> list[Fraction]:
@@ -57,30 +61,31 @@ def split_tree(quotas: Sequence[int], shards: int, seed: int) -> list[list[int]]
     """Block quotas per shard and source: halves the shards, drawing each half's blocks without replacement."""
     if shards == 1:
         return [list(quotas)]
-    rng = random.Random(f"{seed}/{shards}/{tuple(quotas)}")
+    rng = np.random.default_rng([seed, shards, zlib.crc32(repr(tuple(quotas)).encode())])
     first = shards // 2
-    total = sum(quotas)
-    want = total * first // shards
-    left: list[int] = []
-    for q in quotas:  # a multivariate-hypergeometric draw, one source after the other
-        got = hypergeometric(rng, q, total - q, want)
-        left.append(got)
-        total, want = total - q, want - got
+    left = hypergeometric(rng, quotas, sum(quotas) * first // shards)
     rest = [q - x for q, x in zip(quotas, left)]
     return split_tree(left, first, seed * 2 + 1) + split_tree(rest, shards - first, seed * 2 + 2)
 
 
-def hypergeometric(rng: random.Random, good: int, bad: int, draws: int) -> int:
-    """How many of ``draws`` blocks, drawn without replacement, are good."""
-    if draws > (good + bad) // 2:
-        return good - hypergeometric(rng, good, bad, good + bad - draws)
-    got = 0
-    for _ in range(draws):
-        if rng.random() * (good + bad) < good:
-            good, got = good - 1, got + 1
-        else:
-            bad -= 1
-    return got
+#: What one draw of numpy's takes at most.
+DRAWN = 10**9
+
+
+def hypergeometric(rng: np.random.Generator, quotas: Sequence[int], draws: int) -> list[int]:
+    """How many of ``draws`` blocks, drawn without replacement, are of each source; of very many blocks part by part."""
+    if sum(quotas) < DRAWN:
+        return [int(x) for x in rng.multivariate_hypergeometric(np.asarray(quotas, np.int64), draws, method="marginals")]
+    # Beyond it every source's blocks are dealt to parts evenly, and each part gets its share of the draws.
+    parts = -(-2 * sum(quotas) // DRAWN)
+    out = [0] * len(quotas)
+    left, done = sum(quotas), 0
+    for k in range(parts):
+        part = [(q * (k + 1)) // parts - (q * k) // parts for q in quotas]
+        want = (draws - done) * sum(part) // left if left else 0
+        got = hypergeometric(rng, part, want)
+        out, left, done = [x + y for x, y in zip(out, got)], left - sum(part), done + want
+    return out
 
 
 def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", seed: int = 7, shard_words: int = SHARD_WORDS, weights: Sequence[int] = WEIGHTS, keep_text: bool = True) -> DataFrame:
@@ -94,9 +99,9 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", seed: int = 7,
     spark = docs.sparkSession
     scratch = Scratch(spark, "mixing")
     # The sources are few and known to the driver, which numbers them; a hash of the key gives the order within one.
-    order = F.xxhash64(F.col(key).cast("string"), F.lit(seed))
-    named = docs.select(F.col(key).alias("_key"), F.col("source").alias("_source"), n_words_of(F.col(text)).alias("size"), order.alias("_order"))
-    sized = scratch.save(named, "sized")
+    order = F.xxhash64(named(key).cast("string"), named(text), F.lit(seed))
+    sized = docs.select(named(key).alias("_key"), F.col("source").alias("_source"), n_words_of(named(text)).alias("size"), order.alias("_order"))
+    sized = scratch.save(sized, "sized")
     words = sized.agg(F.sum("size")).first()[0] or 0
     shards = min(max(-(-int(TOTAL * words) // shard_words), SHARDS[0]), SHARDS[1])
     blocks = max(BLOCKS, 2 * shards)
@@ -112,10 +117,9 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", seed: int = 7,
         passes = int(g // r["words"]) if r["words"] else 0
         rows.append((r["_source"], r["words"], float(g), passes, float(g - passes * r["words"])))
     plan = spark.createDataFrame(rows, "_source string, source_size long, target double, passes int, rest double")
-    same = lambda a, b: a["_source"].eqNullSafe(b["_source"])
     # Leading blocks of each source that fit its rest whole; `edge` is the one that fits in part.
     upto = per_block.withColumn("upto", F.sum("words").over(W.partitionBy("_source").orderBy("block").rowsBetween(W.unboundedPreceding, 0)))
-    cut = upto.alias("b").join(F.broadcast(plan).alias("p"), F.col("b._source").eqNullSafe(F.col("p._source"))).select("b._source", "block", "passes", "source_size", "target", (F.col("upto") <= F.col("rest")).alias("whole"), (F.col("rest") - (F.col("upto") - F.col("words"))).alias("space"))
+    cut = upto.alias("b").join(small(scratch.save(plan, "plan")).alias("p"), F.col("b._source").eqNullSafe(F.col("p._source"))).select("b._source", "block", "passes", "source_size", "target", (F.col("upto") <= F.col("rest")).alias("whole"), (F.col("rest") - (F.col("upto") - F.col("words"))).alias("space"))
     cut = cut.withColumn("edge", ~F.col("whole") & (F.col("space") > 0))
     drawn = scratch.save(cut, "drawn")
     # Quotas in blocks: each pass draws all of a source's blocks, the rest those that it reaches.
@@ -131,36 +135,36 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", seed: int = 7,
     # A source's block draws in permuted order; every shard takes its own run of them.
     draw = drawn.withColumn("n", F.col("passes") + (F.col("whole") | F.col("edge")).cast("int")).select("_source", "block", F.explode(F.sequence(F.lit(1), F.greatest("n", F.lit(1)))).alias("copy"), "n").where("n > 0")
     placed = draw.withColumn("nth", F.row_number().over(W.partitionBy("_source").orderBy(F.xxhash64("block", "copy", F.lit(seed)), "block", "copy")) - 1)
-    placed = placed.alias("d").join(F.broadcast(runs).alias("r"), F.col("d._source").eqNullSafe(F.col("r._source")) & (F.col("nth") >= F.col("first")) & (F.col("nth") < F.col("last")))
+    placed = placed.alias("d").join(small(scratch.save(runs, "runs")).alias("r"), F.col("d._source").eqNullSafe(F.col("r._source")) & (F.col("nth") >= F.col("first")) & (F.col("nth") < F.col("last")))
     placed = placed.groupBy("d._source", "block").agg(F.transform(F.array_sort(F.collect_list(F.struct("copy", "shard"))), lambda x: x["shard"]).alias("_shards"))
     info = drawn.alias("c").join(placed.alias("s"), F.col("c._source").eqNullSafe(F.col("s._source")) & (F.col("c.block") == F.col("s.block")), "left").select("c.*", "_shards")
     info = scratch.save(info, "info")
     # Of each edge block the leading documents: hash ranges first, then the one range where the space ends, by
     # exact hash (rows of one key share it, and go in or stay out together). The cut is one row per source.
-    bound = F.broadcast(info.where("edge").select(F.col("_source").alias("es"), F.col("block").alias("eb"), "space"))
-    edge = sized.join(bound, F.col("_source").eqNullSafe(F.col("es")) & (F.col("block") == F.col("eb")))
+    bound = info.where("edge").select(F.col("_source").alias("es"), F.col("block").alias("eb"), "space")
+    edge = sized.join(small(bound), F.col("_source").eqNullSafe(F.col("es")) & (F.col("block") == F.col("eb")))
     edge = scratch.save(edge.groupBy("_source", _range(F.col("_order")).alias("part"), "_order", "space").agg(F.sum("size").alias("w")), "edge")
     upto = F.sum("w").over(W.partitionBy("_source").orderBy("part").rowsBetween(W.unboundedPreceding, 0))
     ranges = edge.groupBy("_source", "part").agg(F.sum("w").alias("w"), F.first("space").alias("space")).withColumn("upto", upto)
     ends = ranges.where("upto > space AND upto - w <= space").select(F.col("_source").alias("es"), F.col("part").alias("ep"), (F.col("space") - (F.col("upto") - F.col("w"))).alias("room"))
-    last = edge.join(F.broadcast(ends), F.col("_source").eqNullSafe(F.col("es")) & (F.col("part") == F.col("ep")))
+    last = edge.join(small(scratch.save(ends, "ends")), F.col("_source").eqNullSafe(F.col("es")) & (F.col("part") == F.col("ep")))
     last = last.withColumn("upto", F.sum("w").over(W.partitionBy("_source").orderBy("_order").rowsBetween(W.unboundedPreceding, 0)))
     # The document that crosses the end goes in where that misses the target by less.
     fits = (F.col("upto") <= F.col("room")) | ((F.col("upto") - F.col("w") < F.col("room")) & (2 * F.col("upto") - F.col("w") <= 2 * F.col("room")))
     cuts = last.groupBy("_source").agg(F.first("part").alias("cut_part"), F.max(F.when(fits, F.col("_order"))).alias("cut_order"))
-    info = info.alias("i").join(F.broadcast(cuts).alias("c"), F.col("i._source").eqNullSafe(F.col("c._source")), "left")
-    info = info.select(F.col("i._source").alias("is"), F.col("block").alias("ib"), "source_size", "target", "passes", "whole", "edge", "cut_part", "cut_order", "_shards")
-    if keep_text:
-        kept = [c for c in docs.columns if c not in OWN]
-        base = docs.select(*kept, F.col("source").alias("_source"), n_words_of(F.col(text)).alias("_size"), order.alias("_order"), slot(order).alias("_block"))
+    info = info.alias("i").join(small(scratch.save(cuts, "cuts")).alias("c"), F.col("i._source").eqNullSafe(F.col("c._source")), "left")
+    info = info.select(F.col("i._source").alias("_is"), F.col("block").alias("_ib"), "source_size", "target", "passes", "whole", "edge", "cut_part", "cut_order", "_shards")
+    if keep_text:  # rows travel as structs, so their columns may have any names
+        kept = without(docs, *OWN)
+        base = docs.select(F.struct(*map(named, kept)).alias("_row"), F.col("source").alias("_source"), n_words_of(named(text)).alias("_size"), order.alias("_order"), slot(order).alias("_block"))
     else:
         kept = [key, "source"]
-        base = sized.select(F.col("_key").alias(key), F.col("_source").alias("source"), "_source", F.col("size").alias("_size"), "_order", F.col("block").alias("_block"))
-    out = base.join(F.broadcast(info), F.col("_source").eqNullSafe(F.col("is")) & (F.col("_block") == F.col("ib")), "left")
+        base = sized.select(F.struct(F.col("_key").alias(key), F.col("_source").alias("source")).alias("_row"), "_source", F.col("size").alias("_size"), "_order", F.col("block").alias("_block"))
+    out = base.join(small(scratch.save(info, "told")), F.col("_source").eqNullSafe(F.col("_is")) & (F.col("_block") == F.col("_ib")), "left")
     before = (_range(F.col("_order")) < F.col("cut_part")) | ((_range(F.col("_order")) == F.col("cut_part")) & (F.col("_order") <= F.col("cut_order")))
     copies = F.col("passes") + F.when(F.col("whole") | (F.col("edge") & F.coalesce(before, F.lit(False))), 1).otherwise(0)
     out = out.withColumn("copies", copies)
-    return out.select(*kept, F.col("_size").alias("size"), "source_size", "target", "copies", (F.col("copies") * F.col("_size")).alias("taken"), F.slice(F.coalesce("_shards", F.array().cast("array<int>")), 1, F.greatest("copies", F.lit(0))).alias("shards"))
+    return out.select(*[F.col("_row")[c].alias(c) for c in kept], F.col("_size").alias("size"), "source_size", "target", "copies", (F.col("copies") * F.col("_size")).alias("taken"), F.slice(F.coalesce("_shards", F.array().cast("array<int>")), 1, F.greatest("copies", F.lit(0))).alias("shards"))
 
 
 def _range(order):
@@ -169,10 +173,11 @@ def _range(order):
 
 def emit(mixed: DataFrame, columns: Sequence[str], key: str = "doc_id", seed: int = 7) -> DataFrame:
     """``columns`` of the drawn rows, one for each copy, shards apart and each shuffled locally, by hash."""
-    out = mixed.where("copies > 0").select(*columns, F.posexplode("shards").alias("_copy", "_shard"))
-    out = out.withColumn("_at", F.xxhash64(F.col(key).cast("string"), F.col("_copy"), F.lit(seed + 1)))
+    row = F.struct(*map(named, columns)).alias("_row")
+    out = mixed.where("copies > 0").select(row, named(key).cast("string").alias("_key"), F.posexplode("shards").alias("_copy", "_shard"))
+    out = out.withColumn("_at", F.xxhash64("_key", "_copy", F.lit(seed + 1)))
     dealt = out.repartitionById(shuffle_partitions(mixed.sparkSession), "_shard").sortWithinPartitions("_shard", "_at")
-    return dealt.select(*columns)
+    return dealt.select(*[F.col("_row")[c].alias(c) for c in columns])
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

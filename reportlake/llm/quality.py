@@ -6,7 +6,8 @@ by one aggregation (at most 3 ** number of rules rows, whatever the input size),
 these counts estimates each rule's rates on good and on bad documents, and every document's posterior
 probability of being good decides.
 
-Nulls and blank texts have no words: all counts 0, ``base_failed`` true. Repeated rows are judged each for
+Nulls and blank texts have no words: all counts 0, ``base_failed`` true. Very long texts are judged whole, each as one
+row. Repeated rows are judged each for
 itself and count each in the statistics. An empty table gives an empty result. Extra columns pass through
 ``judge``; columns of the operator's own names are replaced.
 """
@@ -19,7 +20,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportlake.llm.common import GAP_CHARS, Scratch, table, words_of
+from reportlake.llm.common import GAP_CHARS, Scratch, fresh, named, table, without, words_of
 
 WINDOW = 5
 ROUNDS = 12
@@ -91,28 +92,29 @@ def _places_of_many(grams: Column) -> Column:
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds MEASURES (long) to every row, in one pass."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    keep = [c for c in docs.columns if c not in MEASURES and c not in ("_w", "_l", "_g", "_t", "_r")]
-    out = docs.select(*keep, t.alias("_t"), words_of(F.col(text)).alias("_w"))
+    t = F.coalesce(named(text), F.lit(""))
+    keep = [named(c) for c in without(docs, *MEASURES)]
+    t_, w, l, g, r = fresh(docs, "_t", "_w", "_l", "_g", "_r")
+    out = docs.select(*keep, t.alias(t_), words_of(named(text)).alias(w))
     has_word = lambda x: F.length(F.translate(x, GAP_CHARS, "")) > 0
-    out = out.select(*keep, "_t", "_w", F.filter(F.split("_t", "\n"), has_word).alias("_l"), _window_hashes(F.col("_w")).alias("_g"))
+    out = out.select(*keep, t_, w, F.filter(F.split(t_, "\n"), has_word).alias(l), _window_hashes(F.col(w)).alias(g))
     nothing = F.array().cast("array<bigint>")
-    out = out.select(*keep, "_t", "_w", "_l", "_g", F.when(_distinct_drop(F.col("_g")) > 0, _repeated(F.col("_g"))).otherwise(nothing).alias("_r"))
-    bare = F.length("_t")
+    out = out.select(*keep, t_, w, l, g, F.when(_distinct_drop(F.col(g)) > 0, _repeated(F.col(g))).otherwise(nothing).alias(r))
+    bare = F.length(t_)
     stop = F.array(*[F.lit(w) for w in dict.fromkeys(STOP_WORDS)])
-    some = F.size("_r")
-    repeats = F.when(some == 0, 0).when(some <= FEW, _steps(_places_of_few(F.col("_g"), F.col("_r")))).otherwise(_steps(_places_of_many(F.col("_g"))))
+    some = F.size(r)
+    repeats = F.when(some == 0, 0).when(some <= FEW, _steps(_places_of_few(F.col(g), F.col(r)))).otherwise(_steps(_places_of_many(F.col(g))))
     out = out.select(
         *keep,
-        F.size("_w").cast("long").alias("n_words"),
-        F.length(F.translate("_t", GAP_CHARS, "")).cast("long").alias("word_chars"),
-        (bare - F.length(F.translate("_t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        _distinct_drop(F.col("_l")).cast("long").alias("n_dup_lines"),
+        F.size(w).cast("long").alias("n_words"),
+        F.length(F.translate(t_, GAP_CHARS, "")).cast("long").alias("word_chars"),
+        (bare - F.length(F.translate(t_, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        _distinct_drop(F.col(l)).cast("long").alias("n_dup_lines"),
         repeats.cast("long").alias("n_repeat_words"),
-        F.size("_l").cast("long").alias("n_lines"),
-        (bare - F.length(F.translate("_t", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))).cast("long").alias("n_upper"),
-        (bare - F.length(F.translate("_t", "!", ""))).cast("long").alias("n_shouts"),
-        F.size(F.array_intersect("_w", stop)).cast("long").alias("n_stop"),
+        F.size(l).cast("long").alias("n_lines"),
+        (bare - F.length(F.translate(t_, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))).cast("long").alias("n_upper"),
+        (bare - F.length(F.translate(t_, "!", ""))).cast("long").alias("n_shouts"),
+        F.size(F.array_intersect(w, stop)).cast("long").alias("n_stop"),
     )
     return out
 
@@ -162,7 +164,7 @@ def judge(docs: DataFrame, text: str = "text", threshold: float = 0.5, keep_text
     verdicts read them from there. Give only the columns that the result needs.
     """
     names = [f"v_{n}" for n in RULES]
-    docs = docs.drop(*names, "base_failed", "p_good", "kept")
+    docs = docs.select(*[named(c) for c in without(docs, *names, "base_failed", "p_good", "kept")])
     measured = measure(docs, text)
     if not keep_text:
         measured = measured.drop(text)
