@@ -5,7 +5,7 @@ stages but the last return the columns of their input. Columns that an operator
 struct, so their names cannot clash with its own.
 
 Nulls, empty and very long texts, ties, repeated rows and empty tables have the results that the operators'
-docstrings state; of rows with equal ids the Jaccard stage keeps one.
+docstrings state. In the Jaccard stage rows without an id or of one id are documents of their own.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportlake.llm import jaccard, linededup, mixing, packing, quality
-from reportlake.llm.common import Scratch, small, table
+from reportlake.llm.common import Scratch, fresh, shuffle_partitions, table
 
 #: DuckDB cannot express tokenisation and packing; the stages are tested against brute force.
 ORACLE_SQL = None
@@ -49,15 +49,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
+    """Of each group of near duplicates the document with the smallest id stays; documents that are alike to none stay."""
     scratch = Scratch(spark, "near")
-    gone = jaccard.join(docs.select("doc_id", "text")).where("component_id <> doc_id").select("doc_id").distinct()
-    out = docs.join(small(scratch.save(gone, "gone")), "doc_id", "left_anti").select(*docs.columns)
-    twice = scratch.save(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "twice")
-    if twice.isEmpty():
-        return out
-    ones = out.join(small(twice), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return out.join(small(twice), "doc_id", "left_anti").select(*docs.columns).unionByName(ones.select(*docs.columns))
+    if docs.groupBy("doc_id").count().where("doc_id IS NULL OR count > 1").isEmpty():
+        gone = jaccard.join(docs.select("doc_id", "text")).where("component_id <> doc_id").select("doc_id")
+        return docs.join(scratch.save(gone, "gone"), "doc_id", "left_anti").select(*docs.columns)
+    # Rows get numbers of their own, in the order of ids, texts and places: the ranges are in order, and so are their rows.
+    place, number = fresh(docs, "_place", "_number")
+    rows = scratch.save(docs.withColumn(place, F.monotonically_increasing_id()), "rows")
+    by = [F.col("doc_id").asc_nulls_last(), F.col("digest"), F.col(place)]
+    names = rows.select("doc_id", F.md5("text").alias("digest"), place).repartitionByRange(shuffle_partitions(spark), *by).sortWithinPartitions(*by)
+    names = scratch.save(names.select(place, F.monotonically_increasing_id().alias(number)), "names")
+    known = scratch.save(rows.join(names, place).select(F.col(number).alias("doc_id"), "text"), "known")
+    stay = jaccard.join(known).where("component_id = doc_id").select(F.col("doc_id").alias(number))
+    return rows.join(scratch.save(names.join(stay, number).select(place), "stay"), place, "left_semi").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
