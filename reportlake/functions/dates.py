@@ -17,7 +17,7 @@ def from_ordinal(n: Column) -> Column:
     return F.date_from_unix_date((n - EPOCH_ORDINAL).cast("int"))
 
 
-def chunk_index(day: Column, chunk_days: int) -> Column:
+def chunk_index(day: Column, chunk_days: int | Column) -> Column:
     return F.floor(ordinal(day) / F.lit(chunk_days)).cast("int")
 
 

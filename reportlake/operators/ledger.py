@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+import secrets
+import time
+from contextlib import contextmanager
+from datetime import datetime, timedelta
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -55,21 +59,38 @@ def append(rows: DataFrame, path: str) -> None:
     rows.coalesce(1).write.mode("append").parquet(path)
 
 
+def ensure(spark: SparkSession, path: str, schema: str = LEDGER) -> None:
+    """Makes an empty ledger or lock folder, so that it can be read before the first row."""
+    append(spark.createDataFrame([], schema), path)
+
+
 def read_loads(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LEDGER).parquet(path)
 
 
+def new_run_id(now: datetime) -> str:
+    """Sorts by time; six random hexadecimal digits tell runs of one second apart."""
+    return f"{now:%Y%m%dT%H%M%SZ}-{secrets.token_hex(3)}"
+
+
+class LockHeld(RuntimeError):
+    """Another run holds the lock."""
+
+
 class Locks:
     """Advisory locks in an append-only folder: write, then confirm by reading back who came last."""
 
     def __init__(self, spark: SparkSession, path: str, run_id: str, owner: str) -> None:
         self.spark, self.path, self.run_id, self.owner = spark, path, run_id, owner
-        append(spark.createDataFrame([], LOCKS), path)
+        ensure(spark, path, LOCKS)
 
     def rows(self) -> DataFrame:
         return self.spark.read.schema(LOCKS).parquet(self.path)
 
     def _write(self, key: str, status: str, now: datetime, timeout: int) -> None:
+        # Always behind what is there, so that the order of rows is that of the writes.
+        last = self.rows().where(F.col("lock_key") == key).agg(F.max("updated_at")).first()[0]
+        now = max(now, last + timedelta(microseconds=1)) if last else now
         append(self.spark.createDataFrame([(key, self.run_id, status, self.owner, now, now, timeout)], LOCKS), self.path)
 
     def holder(self, key: str, now: datetime) -> dict | None:
@@ -92,3 +113,15 @@ class Locks:
             return False
         self._write(key, "released", now, held["timeout_seconds"])
         return True
+
+    @contextmanager
+    def held(self, key: str, now: datetime, timeout: int, force: bool = False) -> Any:
+        """Holds the lock inside; an error if another run has it. It is given back whatever happens inside."""
+        if not self.acquire(key, now, timeout, force):
+            holder = self.holder(key, now) or {}
+            raise LockHeld(f"{key} is held by run {holder.get('run_id')} of {holder.get('owner')} for {holder.get('age_seconds')} seconds")
+        begin = time.monotonic()
+        try:
+            yield
+        finally:
+            self.release(key, now + timedelta(seconds=time.monotonic() - begin))

@@ -1,4 +1,4 @@
-"""One wave of landed reports into the destination: parse, guard, rebuild, then the ledger.
+"""Waves of landed reports into the destination: parse, guard, rebuild, then the ledger.
 
 Reports are read together, one scan for all files of equal headers, so a wave of a thousand files is a few jobs. The
 ledger's success rows are written after the rebuild: a crash in between pulls the days again instead of skipping them.
@@ -7,20 +7,24 @@ ledger's success rows are written after the rebuild: a crash in between pulls th
 from __future__ import annotations
 
 import csv
+import time
 from collections.abc import Iterable, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportlake.operators.ledger import append
+from reportlake.functions.dates import duration_ms
+from reportlake.operators.ledger import Locks, append
 from reportlake.operators.parse import Context, parse_report
 from reportlake.operators.rebuild import covered_days, guarded
 from reportlake.operators.store import Destination
 from reportlake.schema import LEDGER
-from reportlake.sources.landing import CSV
+from reportlake.sources.headers import read_header
+from reportlake.sources.landing import CSV, first_lines
 
 
 @dataclass(frozen=True)
@@ -41,13 +45,21 @@ class Landed:
     api_calls: int = 1
 
 
+#: Longest error text in the ledger.
+EXCERPT = 300
+
+
 def _plain(path) -> F.Column:
     """File URIs are written with one slash or three."""
     return F.regexp_replace(path, "^file:/+", "file:/")
 
 
 def read_wave(spark: SparkSession, jobs: Sequence[Landed], run_id: str, loaded_at: datetime, keep_unknown: bool = False) -> tuple[DataFrame, dict[int, str], list[str]]:
-    """Destination rows with ``job`` (its place in ``jobs``), errors by job, and warnings."""
+    """Destination rows with ``job`` (its place in ``jobs``), errors by job, and warnings.
+
+    Of the files only the first lines are looked at beforehand. Rows carry ``_nth``, which rises with the lines of a file,
+    and ``_day``, the date's cell as it came.
+    """
     conf = spark._jsc.hadoopConfiguration()
 
     def qualified(p: str) -> str:
@@ -56,23 +68,25 @@ def read_wave(spark: SparkSession, jobs: Sequence[Landed], run_id: str, loaded_a
 
     places = spark.createDataFrame([(i, qualified(j.path), j.extract, j.app_id, j.report_type, j.category, j.is_retargeting, j.from_date, j.to_date) for i, j in enumerate(jobs)], "job int, p string, _e string, _a string, _t string, _c string, _r boolean, _from date, _to date")
     places = places.withColumn("p", _plain(F.col("p")))
-    lines = spark.read.option("wholetext", True).text([j.path for j in jobs]).select(_plain(F.col("_metadata.file_path")).alias("p"), F.substring_index("value", "\n", 1).alias("h"))
-    heads = {r["job"]: r["h"] for r in places.join(lines, "p").select("job", "h").collect()}
+    heads = first_lines(spark, [j.path for j in jobs])
     errors, groups, warnings = {}, {}, []
     for i, j in enumerate(jobs):
-        names = next(csv.reader([heads.get(i, "").lstrip("﻿").rstrip("\r")]), [])
+        names = next(csv.reader([heads[i].lstrip("\ufeff").rstrip("\r")]), [])
         if not names:
             errors[i] = "empty report"
         else:
             groups.setdefault((tuple(names), j.currency), []).append(i)
     parts = []
     for (names, currency), members in groups.items():
+        days = [k for k, h in enumerate(names) if read_header(h).column == "date"]
         schema = ", ".join(f"c{k} string" for k in range(len(names)))
         raw = spark.read.options(**CSV | {"header": True}).schema(schema).csv([jobs[i].path for i in members])
-        raw = raw.select("*", _plain(F.col("_metadata.file_path")).alias("p")).join(F.broadcast(places), "p").select(*raw.columns, *[c for c in places.columns if c != "p"])
+        # A file is read by one task, so the numbers of its rows follow each other.
+        raw = raw.select("*", _plain(F.col("_metadata.file_path")).alias("p"), F.monotonically_increasing_id().alias("_nth"), F.col(f"c{days[-1]}" if days else "c0").alias("_day"))
+        raw = raw.join(F.broadcast(places), "p").select(*[f"c{k}" for k in range(len(names))], "_nth", "_day", *[c for c in places.columns if c != "p"])
         context = Context(F.col("_a"), F.col("_t"), F.col("_c"), F.col("_r"), F.col("_e"), run_id, loaded_at, currency)
         try:
-            parsed = parse_report(names, raw, context, keep_unknown=keep_unknown, carry=("job", "_from", "_to"))
+            parsed = parse_report(names, raw, context, keep_unknown=keep_unknown, carry=("job", "_from", "_to", "_nth", "_day"))
         except ValueError as e:
             errors |= dict.fromkeys(members, str(e))
             continue
@@ -81,9 +95,50 @@ def read_wave(spark: SparkSession, jobs: Sequence[Landed], run_id: str, loaded_a
     return reduce(DataFrame.unionByName, parts) if parts else None, errors, warnings
 
 
-def load_wave(spark: SparkSession, jobs: Sequence[Landed], table: Destination, ledger: str, run_id: str, now: datetime, exclude: Iterable[str] = (), allow_empty: bool = False, keep_unknown: bool = False) -> dict[int, tuple[str, int, str | None]]:
-    """Loads the reports and returns (status, rows, reason) by job: success, skipped (guarded) or failed."""
-    table.ensure()
+def _after_failures(jobs: Sequence[Landed], failed: Iterable[int]) -> dict[int, str]:
+    """Jobs of which an earlier chunk of the same pair failed: loading them would let the watermark pass a hole."""
+    holes: dict[tuple[str, str], date] = {}
+    for i in failed:
+        pair = (jobs[i].extract, jobs[i].app_id)
+        holes[pair] = min(jobs[i].from_date, holes.get(pair, date.max))
+    return {i: "earlier chunk failed" for i, j in enumerate(jobs) if j.from_date > holes.get((j.extract, j.app_id), date.max)}
+
+
+def load_wave(spark: SparkSession, jobs: Sequence[Landed], table: Destination, ledger: str, run_id: str, now: datetime, exclude: Iterable[str] = (), allow_empty: bool = False, keep_unknown: bool = False, per_day: bool = False, locks: Locks | None = None, lock_seconds: int = 3600) -> dict[int, tuple[str, int, str | None]]:
+    """Loads the reports and returns (status, rows, reason) by job: success, skipped or failed.
+
+    The ledger gets a row of every job before (running) and after. A report that cannot be read fails alone, an error of
+    the rebuild fails all that it was to load; chunks behind a failed one of their pair are skipped. With ``locks`` the
+    table is locked meanwhile; without, the caller sees to it that no other run rebuilds it.
+    """
+    with locks.held(f"table:{table.name}", now, lock_seconds) if locks else nullcontext():
+        table.ensure()
+        begin = time.monotonic()
+        _log(spark, jobs, dict.fromkeys(range(len(jobs)), ("running", 0, None)), ledger, run_id, now, None)
+        result = _load(spark, jobs, table, run_id, now, tuple(exclude), allow_empty, keep_unknown, per_day)
+        _log(spark, jobs, result, ledger, run_id, now, now + timedelta(seconds=time.monotonic() - begin))
+        return result
+
+
+def load_waves(spark: SparkSession, waves: Iterable[Sequence[Landed]], table: Destination, ledger: str, run_id: str, now: datetime, **options: object) -> list[dict[int, tuple[str, int, str | None]]]:
+    """Wave after wave; pairs of which a chunk failed are skipped in all later waves."""
+    failed: set[tuple[str, str]] = set()
+    out = []
+    for jobs in waves:
+        stuck = [i for i, j in enumerate(jobs) if (j.extract, j.app_id) in failed]
+        free = [i for i in range(len(jobs)) if i not in set(stuck)]
+        result = dict.fromkeys(stuck, ("skipped", 0, "earlier chunk failed"))
+        if stuck:
+            _log(spark, [jobs[i] for i in stuck], {k: result[i] for k, i in enumerate(stuck)}, ledger, run_id, now, now, calls=False)
+        if free:
+            got = load_wave(spark, [jobs[i] for i in free], table, ledger, run_id, now, **options)
+            result |= {i: got[k] for k, i in enumerate(free)}
+        failed |= {(jobs[i].extract, jobs[i].app_id) for i, r in result.items() if r[0] == "failed"}
+        out.append(dict(sorted(result.items())))
+    return out
+
+
+def _load(spark: SparkSession, jobs: Sequence[Landed], table: Destination, run_id: str, now: datetime, exclude: tuple[str, ...], allow_empty: bool, keep_unknown: bool, per_day: bool) -> dict[int, tuple[str, int, str | None]]:
     rows, errors, _ = read_wave(spark, jobs, run_id, now, keep_unknown)
     names = [f.name for f in table.schema]
     if rows is not None:
@@ -92,33 +147,54 @@ def load_wave(spark: SparkSession, jobs: Sequence[Landed], table: Destination, l
         kept: dict[int, int] = {}
         if rows is not None:
             inside, out = F.col("date").between(F.col("_from"), F.col("_to")), F.col("media_source").isin(*exclude)
-            counts = rows.groupBy("job").agg(F.count_if(F.col("date").isNull()).alias("bad"), F.count_if(inside & ~out).alias("n")).collect()
-            errors |= {r["job"]: f"{r['bad']} rows without a readable date" for r in counts if r["bad"]}
+            bad = F.col("date").isNull()
+            first_bad = F.min_by("_day", F.when(bad, F.col("_nth")))
+            counts = rows.groupBy("job").agg(F.count_if(bad).alias("bad"), F.count_if(inside & ~out).alias("n"), (F.min(F.when(bad, F.col("_nth"))) - F.min("_nth") + 2).alias("line"), first_bad.alias("cell")).collect()
+            errors |= {r["job"]: f"row {r['line']}: {r['cell'] or ''!r} is no date ({r['bad']} such rows)" for r in counts if r["bad"]}
             kept = {r["job"]: r["n"] for r in counts}
-        good = [i for i in range(len(jobs)) if i not in errors]
         result = {i: ("failed", 0, e) for i, e in errors.items()}
+        result |= {i: ("skipped", 0, why) for i, why in _after_failures(jobs, errors).items() if i not in errors}
+        good = [i for i in range(len(jobs)) if i not in result]
         if good:
             asked = spark.createDataFrame([(jobs[i].extract, jobs[i].app_id, jobs[i].from_date, jobs[i].to_date) for i in good], "_extract string, app_id string, from_date date, to_date date")
             if rows is None:
                 fresh = spark.createDataFrame([], table.schema)
             else:
                 fresh = rows.where(inside & ~out & F.col("job").isin(good)).select(*names)
-            coverage = covered_days(asked)
-            marked = guarded(coverage, table.rows().select("date", "_extract", "app_id"), fresh, asked).persist()
-            held = set() if allow_empty else {tuple(r) for r in marked.where("guarded").select("_extract", "app_id", "date").collect()}
-            table.rebuild(marked.where(F.lit(allow_empty) | ~F.col("guarded")).drop("guarded"), fresh)
-            marked.unpersist()
-            for i in good:
-                j = jobs[i]
-                stuck = kept.get(i, 0) == 0 and any(e == j.extract and a == j.app_id and j.from_date <= d <= j.to_date for e, a, d in held)
-                result[i] = ("skipped", 0, "empty answer over existing rows") if stuck else ("success", kept.get(i, 0), None)
+            try:
+                result |= _rebuild(jobs, good, kept, table, asked, fresh, allow_empty, per_day)
+            except Exception as e:  # whatever stops the rebuild fails its jobs, whose calls are spent
+                result |= {i: ("failed", 0, f"rebuild: {e}") for i in good}
+        return result
     finally:
         if rows is not None:
             rows.unpersist()
-    append(spark.createDataFrame([_entry(j, *result[i], run_id, now) for i, j in enumerate(jobs)], LEDGER), ledger)
+
+
+def _rebuild(jobs: Sequence[Landed], good: list[int], kept: dict[int, int], table: Destination, asked: DataFrame, fresh: DataFrame, allow_empty: bool, per_day: bool) -> dict[int, tuple[str, int, str | None]]:
+    coverage = covered_days(asked)
+    existing = table.rows(table.touched(coverage)).select("date", "_extract", "app_id")
+    marked = guarded(coverage, existing, fresh, asked, per_day).persist()
+    try:
+        held = set() if allow_empty else {tuple(r) for r in marked.where("guarded").select("_extract", "app_id", "date").collect()}
+        table.rebuild(marked.where(F.lit(allow_empty) | ~F.col("guarded")).drop("guarded"), fresh)
+    finally:
+        marked.unpersist()
+    result = {}
+    for i in good:
+        j = jobs[i]
+        stuck = kept.get(i, 0) == 0 and any(e == j.extract and a == j.app_id and j.from_date <= d <= j.to_date for e, a, d in held)
+        result[i] = ("skipped", 0, "empty answer over existing rows") if stuck else ("success", kept.get(i, 0), None)
     return result
 
 
-def _entry(j: Landed, status: str, n: int, reason: str | None, run_id: str, now: datetime) -> tuple:
+def _log(spark: SparkSession, jobs: Sequence[Landed], result: dict[int, tuple[str, int, str | None]], ledger: str, run_id: str, start: datetime, end: datetime | None, calls: bool = True) -> None:
+    rows = spark.createDataFrame([_entry(j, *result[i], run_id, start, end, calls) for i, j in enumerate(jobs)], LEDGER)
+    append(rows.withColumn("duration_ms", F.when(F.col("finished_at").isNotNull(), duration_ms(F.col("started_at"), F.col("finished_at")))), ledger)
+
+
+def _entry(j: Landed, status: str, n: int, reason: str | None, run_id: str, start: datetime, end: datetime | None, calls: bool) -> tuple:
+    reason = reason[:EXCERPT] if reason else None
     error, skip = (reason, None) if status == "failed" else (None, reason)
-    return (run_id, j.extract, j.app_id, j.report_type, j.from_date, j.to_date, j.chunk_days, int(j.is_long), status, n, j.api_calls, None, now, now, 0, error, skip, "1")
+    spent = j.api_calls if calls and status != "running" else 0
+    return (run_id, j.extract, j.app_id, j.report_type, j.from_date, j.to_date, j.chunk_days, int(j.is_long), status, n, spent, None, start, end, None, error, skip, "1")

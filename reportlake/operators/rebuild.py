@@ -46,7 +46,7 @@ def guarded(coverage: DataFrame, existing: DataFrame, fresh: DataFrame, jobs: Da
     counts come from one aggregation each.
     """
     keys = list(COVERAGE)
-    has = existing.groupBy(*keys).agg(F.count("*").alias("n_existing"))
+    has = existing.join(coverage.select(*keys), keys, "left_semi").groupBy(*keys).agg(F.count("*").alias("n_existing"))
     day_fresh = fresh.groupBy(*keys).agg(F.count("*").alias("n_fresh"))
     spans = jobs.select("_extract", "app_id", "from_date", "to_date", F.explode(days_between(F.col("from_date"), F.col("to_date"))).alias("date"))
     if not per_day:

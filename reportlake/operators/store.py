@@ -1,7 +1,7 @@
 """The destination as a partitioned Parquet table whose partitions are swapped by location.
 
 A rebuild writes all touched partitions in one job into a new version folder, then points each partition there:
-readers that have planned a query keep the old files. Old versions stay until the caller deletes them.
+readers that have planned a query keep the old files. ``vacuum`` deletes versions that no partition points to.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ class Destination:
 
     def ensure(self) -> None:
         """Creates the table, or checks its columns and granularity; never alters it."""
+        if "." in self.name:
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.name.split('.')[0]}")
         if not self.spark.catalog.tableExists(self.name):
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema)
             self.spark.sql(f"CREATE TABLE {self.name} ({columns}, pid INT) USING parquet PARTITIONED BY (pid) LOCATION '{self.root}/table' TBLPROPERTIES ('granularity' = '{self.granularity}')")
@@ -41,6 +43,11 @@ class Destination:
     def partitions(self) -> set[int]:
         return {int(r[0].split("=")[1]) for r in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()}
 
+    def touched(self, coverage: DataFrame) -> list[int]:
+        """Ids of the partitions that covered days fall in."""
+        pid = partition_id(self.day, self.granularity).alias("pid")
+        return sorted(r[0] for r in coverage.select(pid).distinct().collect())
+
     def rows(self, pids: Sequence[int] | None = None) -> DataFrame:
         out = self.spark.table(self.name)
         return out if pids is None else out.where(F.col("pid").isin(*pids) if pids else F.lit(False))
@@ -51,7 +58,7 @@ class Destination:
         Fresh rows in a partition that the coverage does not touch are an error: they would not replace anything.
         """
         pid = partition_id(self.day, self.granularity).alias("pid")
-        touched = sorted(r[0] for r in coverage.select(pid).distinct().collect())
+        touched = self.touched(coverage)
         incoming = {r["pid"]: r["n"] for r in fresh.groupBy(pid).agg(F.count("*").alias("n")).collect()}
         if stray := sorted(set(incoming) - set(touched)):
             raise ValueError(f"fresh rows outside the covered partitions: {stray}")
@@ -80,3 +87,17 @@ class Destination:
             out.append((p, n - incoming.get(p, 0), incoming.get(p, 0), action))
         self.spark.catalog.refreshTable(self.name)
         return out
+
+    def vacuum(self) -> int:
+        """Deletes the version folders that no partition points to, and says how many; run it when no query reads them."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        used = set()
+        for p in self.partitions():
+            told = self.spark.sql(f"DESCRIBE FORMATTED {self.name} PARTITION (pid = {p})").where("col_name = 'Location'")
+            used |= {r["data_type"].rstrip("/").rsplit("/", 2)[1] for r in told.collect()}  # the partition's, and the table's
+        root = jvm.org.apache.hadoop.fs.Path(f"{self.root}/versions")
+        store = root.getFileSystem(conf)
+        old = [f.getPath() for f in store.listStatus(root) if f.getPath().getName() not in used] if store.exists(root) else []
+        for path in old:
+            store.delete(path, True)
+        return len(old)

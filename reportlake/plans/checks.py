@@ -19,6 +19,27 @@ def owner_overlaps(names: DataFrame, name: str) -> DataFrame:
     return met.select(F.least("n", "m").alias("a"), F.greatest("n", "m").alias("b")).distinct()
 
 
+def double_owners(extracts: DataFrame) -> DataFrame:
+    """(table, base, other, media_source): an extract of all media sources that does not exclude one which another
+    extract of the same table pulls, so that both may bring its rows.
+
+    ``extracts``: name, table, media_source (null: all), exclude_media_sources (array). A source counts as excluded if
+    its plain name begins with that of an excluded one, or the other way round.
+    """
+    all_ = extracts.where("media_source IS NULL").select("table", F.col("name").alias("base"), "exclude_media_sources")
+    one = extracts.where("media_source IS NOT NULL").select("table", F.col("name").alias("other"), "media_source")
+    met = all_.join(one, "table")
+    source = plain_name(F.col("media_source"))
+    covers = lambda e: (F.length(plain_name(e)) > 0) & (F.length(source) > 0) & (plain_name(e).startswith(source) | source.startswith(plain_name(e)))
+    covered = F.coalesce(F.exists("exclude_media_sources", covers), F.lit(False))
+    return met.where(~covered).select("table", "base", "other", "media_source")
+
+
+def long_chunks(extracts: DataFrame, long_from: int) -> DataFrame:
+    """(name, chunk_days) of extracts whose chunks count against the daily budgets of long calls."""
+    return extracts.where(F.col("chunk_days") >= long_from).select("name", "chunk_days")
+
+
 def granularity_conflicts(extracts: DataFrame, table: str, granularity: str) -> DataFrame:
     """Tables that extracts want in more than one granularity."""
     found = extracts.groupBy(table).agg(F.sort_array(F.collect_set(granularity)).alias("granularities"))

@@ -2,16 +2,43 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reportlake.functions.dates import chunk_index, from_ordinal, length
+from reportlake.operators.ledger import watermarks
 
 
-def with_windows(pairs: DataFrame, today: date, start: date, lookback: int, include_today: bool = True, first: date | None = None, last: date | None = None, full: bool = False) -> DataFrame:
+def pairs_of(extracts: DataFrame, apps: DataFrame, default_exclude: Sequence[str] = ()) -> DataFrame:
+    """One row per enabled extract and app of its choice, with the extract's columns, app_id and the app's currency.
+
+    ``extracts``: name, platforms, apps, exclude_apps (arrays; null or empty: all, all, none), enabled (null: yes), and
+    any others; ``apps``: id, platform, currency. Exclusions are the defaults and the extract's own, each once.
+    """
+    every = lambda c: F.coalesce(F.size(c), F.lit(0)) <= 0
+    wanted = F.when(every("platforms"), F.array(F.lit("*"))).otherwise(F.array_distinct(F.transform("platforms", F.lower)))
+    none = F.array().cast("array<string>")
+    barred = F.array_distinct(F.concat(F.array(*map(F.lit, default_exclude)).cast("array<string>"), F.coalesce("exclude_apps", none)))
+    asked = extracts.where(F.coalesce("enabled", F.lit(True))).withColumn("exclude_apps", barred).withColumn("_p", F.explode(wanted))
+    # Apps answer to their platform and to "all", so that the pairs come from an equi-join.
+    known = apps.select(F.col("id").alias("app_id"), F.coalesce("currency", F.lit("")).alias("currency"), F.explode(F.array(F.lower("platform"), F.lit("*"))).alias("_p"))
+    met = asked.join(known, "_p").drop("_p")
+    return met.where((every("apps") | F.array_contains("apps", F.col("app_id"))) & ~F.array_contains("exclude_apps", F.col("app_id")))
+
+
+def plan_jobs(extracts: DataFrame, apps: DataFrame, loads: DataFrame, today: date, default_exclude: Sequence[str] = (), **options: object) -> DataFrame:
+    """Extracts x apps x chunks: every job of a run. Start, lookback and chunk_days are columns of ``extracts``."""
+    pairs = pairs_of(extracts, apps, default_exclude)
+    marks = watermarks(loads).withColumnRenamed("extract", "name")
+    windows = with_windows(pairs.join(marks, ["name", "app_id"], "left"), today, F.col("start"), F.col("lookback"), **options)
+    return with_chunks(windows, F.col("chunk_days"))
+
+
+def with_windows(pairs: DataFrame, today: date, start: date | Column, lookback: int | Column, include_today: bool = True, first: date | None = None, last: date | None = None, full: bool = False) -> DataFrame:
     """Adds from_date and to_date to rows with a ``watermark`` (null: never loaded); empty windows go.
 
     The start is ``first`` if given; ``start`` on a full pull or without watermark; else the earlier of the rolling
@@ -24,15 +51,15 @@ def with_windows(pairs: DataFrame, today: date, start: date, lookback: int, incl
     elif full:
         begin = F.lit(start)
     else:
-        rolling = F.least(F.lit(today - timedelta(days=lookback)), F.date_sub("watermark", lookback - 1))
+        rolling = F.least(F.date_sub(F.lit(today), lookback), F.date_sub("watermark", lookback - 1))
         begin = F.when(F.col("watermark").isNull(), F.lit(start)).otherwise(rolling)
     out = pairs.withColumns({"from_date": F.greatest(begin, F.lit(start)), "to_date": F.lit(end)})
     return out.where("from_date <= to_date")
 
 
-def with_chunks(windows: DataFrame, chunk_days: int, long_from: int = 3) -> DataFrame:
+def with_chunks(windows: DataFrame, chunk_days: int | Column, long_from: int = 3) -> DataFrame:
     """One row per chunk: wave (the chunk's index), its days clipped to the window, and whether it is a long call."""
-    if chunk_days < 1:
+    if isinstance(chunk_days, int) and chunk_days < 1:
         raise ValueError(f"chunk_days is at least 1, not {chunk_days}")
     every = F.sequence(chunk_index(F.col("from_date"), chunk_days), chunk_index(F.col("to_date"), chunk_days))
     out = windows.withColumn("wave", F.explode(every))

@@ -7,6 +7,8 @@ for extract definitions.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -15,9 +17,12 @@ from pyspark.sql import functions as F
 
 from reportlake.functions import coerce, dates, maps
 from reportlake.operators import ledger, rebuild
+from reportlake.operators.load import Landed, load_waves
 from reportlake.operators.parse import Context, parse_report
+from reportlake.operators.store import Destination
 from reportlake.plans import checks, selection, summary, windows
 from reportlake.schema import partition_id
+from reportlake.sources import landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -278,12 +283,12 @@ TYPES = ("click", "error", "purchase", "signup", "view")
 
 
 def _event_maps(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
-    """One row per key with the maps event -> count and event -> amount."""
+    """One row per key with the maps event -> count and event -> amount; events that a key lacks are left out."""
     rows = _events(spark, sf_dir).withColumn("amount", money("value"))
-    each = rows.groupBy(key, "_extract").agg(F.count("*").alias("n"), F.sum("amount").cast("double").alias("v"))
-    entries = F.sort_array(F.collect_list(F.struct("_extract", "n", "v")))
-    out = each.groupBy(key).agg(entries.alias("x"))
-    return out.select(key, F.map_from_arrays(F.col("x._extract"), F.col("x.n")).alias("event_counter"), F.map_from_arrays(F.col("x._extract"), F.col("x.v")).alias("event_sales"))
+    mine = {t: F.col("_extract") == t for t in TYPES}
+    counts = [F.nullif(F.count_if(m), F.lit(0)).alias(f"n_{t}") for t, m in mine.items()]
+    wide = rows.groupBy(key).agg(*counts, *[F.sum(F.when(m, F.col("amount"))).alias(f"v_{t}") for t, m in mine.items()])
+    return wide.select(key, maps.event_map([(t, F.col(f"n_{t}")) for t in TYPES], "bigint").alias("event_counter"), maps.event_map([(t, F.col(f"v_{t}")) for t in TYPES], "double").alias("event_sales"))
 
 
 @query(f"WITH {E_SQL} SELECT app_id, _extract AS event, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS amount FROM e GROUP BY ALL")
@@ -343,25 +348,25 @@ def campaign_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT CAST(l_shipdate AS DATE) AS date, n_name AS media_source, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS spend, count(*) AS n
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL""")
 def spend_by_day_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = read(spark, sf_dir, "lineitem").select("l_suppkey", F.to_date("l_shipdate").alias("date"), money("l_extendedprice").alias("price"))
-    nations = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("media_source"))
+    lines = read(spark, sf_dir, "lineitem").select("l_suppkey", F.to_date("l_shipdate").cast("string").alias("c0"), money("l_extendedprice").cast("string").alias("c2"))
+    nations = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("c1"))
     joined = lines.join(read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"), "l_suppkey").join(nations, "s_nationkey")
-    return joined.groupBy("date", "media_source").agg(F.sum("price").cast("double").alias("spend"), F.count("*").alias("n"))
+    rows = parse_report(["Date", "Media Source (pid)", "Total Cost"], joined.select("c0", "c1", "c2"), CONTEXT).rows
+    return rows.groupBy("date", "media_source").agg(F.sum(money("total_cost")).cast("double").alias("spend"), F.count("*").alias("n"))
 
 
 @query("SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders) AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')")
 def apps_intersection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderpriority")
-    urgent = orders.where("o_orderpriority = '1-URGENT'")
-    customers = read(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    return customers.join(orders, "c_custkey", "left_semi").join(urgent, "c_custkey", "left_anti")
+    orders = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id"), "o_orderpriority")
+    apps = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), "c_name")
+    return landing.pick_apps(apps, exclude=orders.where("o_orderpriority = '1-URGENT'"), only=orders).withColumnRenamed("id", "c_custkey")
 
 
 @query("SELECT coalesce(n_name, '') AS currency, count(*) AS apps FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 2) n ON c_nationkey = n_nationkey GROUP BY 1")
 def currency_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = read(spark, sf_dir, "nation").where("n_regionkey <> 2").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    apps = read(spark, sf_dir, "customer").select("c_nationkey").join(nation, "c_nationkey", "left")
-    return apps.groupBy(F.coalesce("n_name", F.lit("")).alias("currency")).agg(F.count("*").alias("apps"))
+    apps = read(spark, sf_dir, "nation").where("n_regionkey <> 2").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("currency"))
+    rows = landing.with_currency(read(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("app_id")), apps)
+    return rows.groupBy("currency").agg(F.count("*").alias("apps"))
 
 
 @query("""WITH n AS (SELECT DISTINCT p_brand AS n, regexp_replace(lower(p_brand), '[^a-z0-9]', '', 'g') AS p FROM part)
@@ -394,3 +399,124 @@ def extract_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
   CAST(sum(event_id) AS BIGINT) AS rows, CAST(sum(api_calls) AS BIGINT) AS api_calls, min(to_date) AS from_date, max(to_date) AS to_date FROM g WHERE status <> 'running' GROUP BY ROLLUP (extract)""")
 def run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.totals(_loads(spark, sf_dir).withColumns({"rows": F.col("event_id"), "from_date": F.col("to_date")}))
+
+
+def _folder(spark: SparkSession) -> str:
+    """A new folder that all executors share."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if "cluster" in spark.sparkContext.master or not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="reportlake-")
+    return f"{root.rstrip('/')}/landed-{uuid.uuid4().hex}"
+
+
+THIRDS = [(1, 10), (11, 20), (21, 31)]
+#: The views of the second third come without a readable date.
+BROKEN = ("view", 1)
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> tuple[str, list[list[Landed]]]:
+    """events as CSV files that have landed, one for every event type and third of the month; waves of them."""
+    folder = _folder(spark)
+    third = F.when(F.dayofmonth("date") <= 10, 0).when(F.dayofmonth("date") <= 20, 1).otherwise(2)
+    rows = _events(spark, sf_dir).withColumns({"job": F.concat_ws("-", "_extract", third), "amount": money("value")})
+    each = rows.groupBy("job", "date", "app_id").agg(F.count("*").alias("n"), F.sum("amount").alias("v"))
+    day = F.when(F.col("job") == F.lit("-".join(map(str, BROKEN))), "soon").otherwise(F.col("date").cast("string"))
+    cells = each.select("job", day.alias("Date"), F.concat(F.lit("user"), "app_id").alias("Media Source (pid)"), F.format_number("n", 0).alias("Impressions"), F.concat(F.lit("$"), F.col("v").cast("string")).alias("Total Cost"))
+    cells.repartition("job").write.partitionBy("job").option("header", True).csv(f"{folder}/reports")
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/reports/job=*/part-*")
+    waves: list[list[Landed]] = [[] for _ in THIRDS]
+    for f in place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place):
+        path = f.getPath().toString()
+        extract, k = path.rsplit("/", 2)[1].removeprefix("job=").rsplit("-", 1)
+        first, last = THIRDS[int(k)]
+        waves[int(k)].append(Landed(path, extract, "app", "daily", date(2024, 1, first), date(2024, 1, last), chunk_days=10, is_long=True))
+    return folder, [sorted(w, key=lambda j: j.extract) for w in waves]
+
+
+def _loaded(spark: SparkSession, sf_dir: str, times: int) -> tuple[Destination, str]:
+    folder, waves = _landed(spark, sf_dir)
+    table, now = Destination(spark, f"landed_{uuid.uuid4().hex}", f"{folder}/table"), datetime(2024, 2, 1)
+    for k in range(times):
+        load_waves(spark, waves, table, f"{folder}/ledger", f"run{k}", now, exclude=["user1"], locks=ledger.Locks(spark, f"{folder}/locks", f"run{k}", "query"))
+    return table, f"{folder}/ledger"
+
+
+W_SQL = E_SQL + """,
+w AS (SELECT _extract, app_id, date, CASE WHEN day(date) <= 10 THEN 0 WHEN day(date) <= 20 THEN 1 ELSE 2 END AS k, count(*) AS n, sum(CAST(value AS DECIMAL(18,2))) AS v FROM e GROUP BY ALL)"""
+
+
+@query(f"""WITH {W_SQL} SELECT _extract, 'user' || app_id AS media_source, date, CAST(strftime(date, '%Y%m') AS INTEGER) AS pid, n AS impressions, CAST(v AS DOUBLE) AS total_cost
+FROM w WHERE app_id <> '1' AND NOT (_extract = 'view' AND k > 0)""")
+def landed_wave(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files loaded in waves, twice over: broken reports and what follows them stay out, nothing comes double."""
+    return _loaded(spark, sf_dir, 2)[0].rows().select("_extract", "media_source", "date", "pid", "impressions", "total_cost")
+
+
+@query(f"""WITH {W_SQL}, j AS (SELECT _extract AS extract, k, count(*) FILTER (app_id <> '1') AS n FROM w GROUP BY ALL),
+s AS (SELECT *, CASE WHEN extract = 'view' AND k = 1 THEN 'failed' WHEN extract = 'view' AND k = 2 THEN 'skipped' ELSE 'success' END AS status FROM j)
+SELECT extract, make_date(2024, 1, CAST(k * 10 + 1 AS INTEGER)) AS from_date, status, CASE WHEN status = 'success' THEN n ELSE 0 END AS rows, CASE WHEN status = 'skipped' THEN 0 ELSE 1 END AS api_calls, true AS timed FROM s
+UNION ALL SELECT extract, make_date(2024, 1, CAST(k * 10 + 1 AS INTEGER)), 'running', 0, 0, false FROM s WHERE status <> 'skipped'""")
+def ledger_after_wave(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger of one load: a row of every job before and after."""
+    rows = ledger.read_loads(spark, _loaded(spark, sf_dir, 1)[1])
+    return rows.select("extract", "from_date", "status", "rows", "api_calls", (F.col("duration_ms") >= 0).alias("d"), "finished_at").select("extract", "from_date", "status", "rows", "api_calls", F.coalesce(F.col("d") & F.col("finished_at").isNotNull(), F.lit(False)).alias("timed"))
+
+
+@query("SELECT p_name AS campaign, p_type, count(*) AS n, CAST(sum(p_size) AS BIGINT) AS size FROM part GROUP BY ALL")
+def unknown_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of no known header, kept as a map."""
+    raw = read(spark, sf_dir, "part").select(F.lit("2024-01-01").alias("c0"), F.col("p_name").alias("c1"), F.col("p_type").alias("c2"), F.col("p_size").cast("string").alias("c3"))
+    rows = parse_report(["Date", "Campaign (c)", "Part Type", "Size"], raw, CONTEXT, keep_unknown=True).rows
+    extra = lambda n: maps.looked_up(F.col("extra"), n, "")
+    return rows.groupBy("campaign", extra("Part Type").alias("p_type")).agg(F.count("*").alias("n"), F.sum(extra("Size").cast("long")).alias("size"))
+
+
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS platform, n_name AS currency, 'UTC' AS time_zone FROM customer JOIN nation ON c_nationkey = n_nationkey
+WHERE lower(c_mktsegment) IN ('building', 'machinery') AND c_custkey <> 5""")
+def app_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The account's apps from pages of JSON."""
+    nation = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("currency"))
+    known = read(spark, sf_dir, "customer").join(nation, "c_nationkey")
+    attributes = F.struct(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("platform"), "currency", F.lit("UTC").alias("time_zone"))
+    item = F.struct(F.col("c_custkey").cast("string").alias("id"), attributes.alias("attributes"))
+    pages = known.groupBy(F.floor(F.col("c_custkey") / 100)).agg(F.collect_list(item).alias("data"), F.count("*").alias("n"))
+    folder = _folder(spark)
+    pages.select(F.to_json(F.struct("data", F.struct(F.col("n").alias("total_items")).alias("meta"))).alias("value")).repartition(4).write.option("maxRecordsPerFile", 1).text(folder)
+    return landing.pick_apps(landing.read_app_pages(spark, folder), ["Building", "MACHINERY"], exclude=["5"])
+
+
+EXTRACTS = [
+    ("click", None, None, None, True, date(2024, 1, 1), 5, 2),
+    ("signup", ["Building", "MACHINERY"], None, ["3"], None, date(2024, 1, 10), 3, 4),
+    ("purchase", [], ["1", "2", "3", "4", "99"], ["4", "1"], True, date(2023, 12, 28), 8, 3),
+    ("error", None, None, None, False, date(2024, 1, 1), 5, 2),
+]
+_EXTRACTS_SQL = "VALUES ('click', CAST(NULL AS VARCHAR[]), CAST(NULL AS VARCHAR[]), ['1'], DATE '2024-01-01', 5, 2), ('signup', ['building', 'machinery'], NULL, ['1', '3'], DATE '2024-01-10', 3, 4), ('purchase', NULL, ['1', '2', '3', '4', '99'], ['1', '4'], DATE '2023-12-28', 8, 3)"
+
+
+@query(f"""WITH {P_SQL}, x(name, platforms, apps, barred, start, lookback, d) AS ({_EXTRACTS_SQL}),
+a AS (SELECT CAST(c_custkey AS VARCHAR) AS id, lower(c_mktsegment) AS platform, coalesce(n_name, '') AS currency FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 2) n ON c_nationkey = n_nationkey),
+y AS (SELECT x.*, a.id, a.currency, p.watermark AS m FROM x JOIN a ON (platforms IS NULL OR list_contains(platforms, platform)) AND (apps IS NULL OR list_contains(apps, id)) AND NOT list_contains(barred, id) LEFT JOIN p ON p.extract = x.name AND p.app_id = a.id),
+w AS (SELECT *, greatest(start, CASE WHEN m IS NULL THEN start ELSE least(DATE '2024-01-31' - lookback, m - (lookback - 1)) END) AS f FROM y),
+k AS (SELECT *, unnest(range((datediff('day', DATE '1970-01-01', f) + 719163) // d, (datediff('day', DATE '1970-01-01', DATE '2024-01-31') + 719163) // d + 1)) AS wave FROM w)
+SELECT name, currency, CAST(wave AS INTEGER) AS wave, count(*) AS jobs, min(greatest(f, CAST(DATE '1970-01-01' + CAST(wave * d - 719163 AS INTEGER) AS DATE))) AS from_date,
+  max(least(DATE '2024-01-31', CAST(DATE '1970-01-01' + CAST(wave * d + d - 1 - 719163 AS INTEGER) AS DATE))) AS to_date FROM k GROUP BY ALL""")
+def planned_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extracts x apps x chunks, with the app's currency."""
+    nation = read(spark, sf_dir, "nation").where("n_regionkey <> 2").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("currency"))
+    apps = read(spark, sf_dir, "customer").join(nation, "c_nationkey", "left").select(F.col("c_custkey").cast("string").alias("id"), F.col("c_mktsegment").alias("platform"), "currency")
+    extracts = spark.createDataFrame(EXTRACTS, "name string, platforms array<string>, apps array<string>, exclude_apps array<string>, enabled boolean, start date, lookback int, chunk_days int")
+    jobs = windows.plan_jobs(extracts, apps, _loads(spark, sf_dir), TODAY, default_exclude=["1"])
+    return jobs.groupBy("name", "currency", "wave").agg(F.count("*").alias("jobs"), F.min("from_date").alias("from_date"), F.max("to_date").alias("to_date"))
+
+
+@query("""WITH x AS (SELECT p_type AS t, p_partkey AS k, p_brand, p_size, regexp_replace(lower(p_brand), '[^a-z0-9]', '', 'g') AS s FROM part)
+SELECT a.t AS "table", a.k AS base, b.k AS other, b.p_brand AS media_source FROM x a JOIN x b ON a.t = b.t AND a.p_size = 1 AND b.p_size <> 1
+WHERE NOT (starts_with(a.s, b.s) OR starts_with(b.s, a.s) OR starts_with(b.s, 'brand1') OR starts_with('brand1', b.s))""")
+def double_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as extracts, their type as table; size 1 pulls all sources but its own brand and brands of 1."""
+    all_ = F.col("p_size") == 1
+    extracts = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("name"), F.col("p_type").alias("table"), F.when(~all_, F.col("p_brand")).alias("media_source"), F.when(all_, F.array("p_brand", F.lit("BRAND 1"), F.lit("-"))).alias("exclude_media_sources"))
+    return checks.double_owners(extracts)

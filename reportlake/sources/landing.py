@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Reports whose first lines are read at a time.
+READERS = 16
 
 #: How reports are written: quoted cells may hold line breaks, quotes are doubled.
 CSV = {"multiLine": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "enforceSchema": True, "mode": "PERMISSIVE"}
@@ -17,15 +22,30 @@ def read_report(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:
     header line is an error. Short records are filled with nulls, cells beyond the header are dropped, blank lines
     are no records.
     """
-    first = spark.read.option("wholetext", True).text(path).select(F.trim("value").alias("v")).where("v <> ''").limit(1)
-    if first.isEmpty():
+    head = spark.read.options(**CSV).csv(path).limit(1).first()  # stops after the first record
+    if head is None or not any((h or "").strip() for h in head):
         raise ValueError(f"empty report: {path}")
-    head = spark.read.options(**CSV).csv(path).limit(1).first()
     names = [(h or "").lstrip("\ufeff") for h in head]
     schema = ", ".join(f"c{i} string" for i in range(len(names)))
     return names, spark.read.options(**CSV | {"header": True}).schema(schema).csv(path)
 
 
+def first_lines(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """The first line of every file (blank for an empty one), of which no more than a buffer is read."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def read(path: str) -> str:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(place.getFileSystem(conf).open(place), "UTF-8"))
+        try:
+            return lines.readLine() or ""
+        finally:
+            lines.close()
+
+    with ThreadPoolExecutor(READERS) as pool:
+        return list(pool.map(read, paths))
+
+
 def read_app_pages(spark: SparkSession, path: str) -> DataFrame:
     """The account's apps from paged JSON responses, sorted by id: id, name, platform, currency, time_zone."""
     attributes = "struct<name:string,platform:string,currency:string,time_zone:string>"
@@ -34,10 +54,22 @@ def read_app_pages(spark: SparkSession, path: str) -> DataFrame:
     return app.select("a.id", "a.attributes.*").orderBy("id")
 
 
-def pick_apps(apps: DataFrame, platforms: list[str] | None = None, exclude: list[str] | None = None, only: list[str] | None = None) -> DataFrame:
-    """Apps of the given platforms (any case; none given: all), without the excluded, of the given ids only."""
+def pick_apps(apps: DataFrame, platforms: Sequence[str] | None = None, exclude: Sequence[str] | DataFrame | None = None, only: Sequence[str] | DataFrame | None = None) -> DataFrame:
+    """Apps of the given platforms (any case; none given: all), without the excluded, of the given ids only.
+
+    Ids come as a list or, if they are many, as a table with a column ``id``.
+    """
     if platforms:
         apps = apps.where(F.lower("platform").isin([p.lower() for p in platforms]))
-    if exclude:
-        apps = apps.where(~F.col("id").isin(exclude))
-    return apps.where(F.col("id").isin(only)) if only else apps
+    for ids, kind in ((exclude, "left_anti"), (only, "left_semi")):
+        if isinstance(ids, DataFrame):
+            apps = apps.join(ids.select("id"), "id", kind)
+        elif ids:
+            apps = apps.where(F.col("id").isin(list(ids)) if kind == "left_semi" else ~F.col("id").isin(list(ids)))
+    return apps
+
+
+def with_currency(rows: DataFrame, apps: DataFrame, app: str = "app_id") -> DataFrame:
+    """Adds ``currency``, that of the row's app in the account's list; blank for apps it lacks or without one."""
+    known = apps.select(F.col("id").alias(app), "currency")
+    return rows.join(known, app, "left").withColumn("currency", F.coalesce("currency", F.lit("")))

@@ -2,12 +2,12 @@
 
 import json
 import uuid
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 
 from reportlake.operators import ledger
-from reportlake.operators.load import Landed, load_wave
+from reportlake.operators.load import Landed, load_wave, load_waves
 from reportlake.operators.store import Destination
 from reportlake.plans.selection import selected
 from reportlake.plans.summary import to_json
@@ -43,7 +43,7 @@ def state(t):
 def test_waves(spark, lake):
     t, loads, folder = lake
     first = wave(folder, "1", "2026-09-01,US,x,c,5,1,9.5\n2026-09-02,US,x,c,6,,\n2026-10-09,US,late,c,1,1,1\n", "2026-09-01,DE,y,c,7,2,3\n", "Date,Country\nbad,US\n")
-    assert load_wave(spark, first, t, loads, "r1", NOW, exclude=["none"]) == {0: ("success", 2, None), 1: ("success", 1, None), 2: ("failed", 0, "1 rows without a readable date")}
+    assert load_wave(spark, first, t, loads, "r1", NOW, exclude=["none"]) == {0: ("success", 2, None), 1: ("success", 1, None), 2: ("failed", 0, "row 2: 'bad' is no date (1 such rows)")}
     one = [("app1", "2026-09-01", "x", 5, 9.5, "EUR"), ("app1", "2026-09-02", "x", 6, None, "EUR"), ("app2", "2026-09-01", "y", 7, 3.0, "EUR")]
     assert state(t) == one
     load_wave(spark, first, t, loads, "r2", NOW)
@@ -59,6 +59,74 @@ def test_waves(spark, lake):
     assert not doc["ok"] and doc["total"]["success"] == 2 and doc["failures"][0]["extract"] == "fb"
 
 
+def test_ledger_rows_before_and_after(spark, lake):
+    t, loads, folder = lake
+    ledger.ensure(spark, loads)
+    assert ledger.read_loads(spark, loads).count() == 0
+    load_wave(spark, wave(folder, "1", "2026-09-01,US,x,c,5,1,9\n", c="Country\nUS\n"), t, loads, "r", NOW)
+    rows = ledger.read_loads(spark, loads).collect()
+    assert sorted(r["status"] for r in rows) == ["failed", "running", "running", "running", "success", "success"]
+    assert all((r["finished_at"] is None) == (r["status"] == "running") == (r["duration_ms"] is None) for r in rows)
+    assert all(r["duration_ms"] >= 0 and r["api_calls"] == 1 for r in rows if r["status"] != "running")
+
+
+def test_row_number_of_a_bad_date(spark, lake):
+    t, loads, folder = lake
+    jobs = wave(folder, "1", "2026-09-01,US,x,c,5,,\n2026-09-02,US,x,c,5,,\n2026-9-3,US,x,c,5,,\nlater,US,x,c,1,,\n")
+    got = load_wave(spark, jobs, t, loads, "r", NOW)
+    assert got[0] == ("failed", 0, "row 4: '2026-9-3' is no date (2 such rows)") and got[1][0] == "success"
+
+
+def test_a_failed_chunk_holds_back_later_chunks_of_its_pair(spark, lake):
+    t, loads, folder = lake
+    job = lambda name, body, app, day: Landed(land(folder, name, HEAD + body), "std", app, "daily", date(2026, 9, day), date(2026, 9, day))
+    good = lambda day: f"2026-09-0{day},US,x,c,{day},,\n"
+    waves = [[job("a1", "never,US,x,c,1,,\n", "app1", 1), job("b1", good(1), "app2", 1), job("a2", good(2), "app1", 2)], [job("a3", good(3), "app1", 3), job("b2", good(2), "app2", 2)]]
+    got = load_waves(spark, waves, t, loads, "r", NOW)
+    assert [[r[0] for r in w.values()] for w in got] == [["failed", "success", "skipped"], ["skipped", "success"]]
+    assert [(s[0], s[3]) for s in state(t)] == [("app2", 1), ("app2", 2)]
+    rows = ledger.read_loads(spark, loads)
+    assert {(r["app_id"], str(r["watermark"])) for r in ledger.watermarks(rows).collect()} == {("app2", "2026-09-02")}
+    assert rows.where("status = 'skipped' AND skip_reason = 'earlier chunk failed'").count() == 2
+
+
+def test_a_rebuild_error_fails_its_jobs(spark, lake, monkeypatch):
+    t, loads, folder = lake
+    monkeypatch.setattr(t, "rebuild", lambda *a: 1 / 0)
+    got = load_wave(spark, wave(folder, "1", "2026-09-01,US,x,c,5,,\n"), t, loads, "r", NOW)
+    assert [r[0] for r in got.values()] == ["failed", "failed"] and got[0][2].startswith("rebuild: division")
+    assert ledger.read_loads(spark, loads).where("status = 'failed' AND api_calls = 1").count() == 2
+
+
+def test_the_table_is_locked_meanwhile(spark, lake):
+    t, loads, folder = lake
+    mine, other = (ledger.Locks(spark, f"file://{folder}/locks", r, "me") for r in ("r1", "r2"))
+    assert other.acquire(f"table:{t.name}", NOW, 600)
+    jobs = wave(folder, "1", "2026-09-01,US,x,c,5,,\n")
+    with pytest.raises(ledger.LockHeld, match="r2"):
+        load_wave(spark, jobs, t, loads, "r1", NOW, locks=mine)
+    assert state(t) == []
+    later = NOW + timedelta(seconds=5)
+    assert other.release(f"table:{t.name}", later)
+    load_wave(spark, jobs, t, loads, "r1", later + timedelta(seconds=5), locks=mine)
+    assert len(state(t)) == 1 and mine.holder(f"table:{t.name}", later) is None
+
+
+def test_guard_by_day_and_vacuum(spark, lake):
+    t, loads, folder = lake
+    load_wave(spark, wave(folder, "1", "2026-09-01,US,x,c,5,,\n2026-09-02,US,x,c,6,,\n"), t, loads, "r1", NOW)
+    load_wave(spark, wave(folder, "2", "2026-09-01,US,x,c,7,,\n"), t, loads, "r2", NOW, per_day=True)
+    assert [(s[1], s[3]) for s in state(t)] == [("2026-09-01", 7), ("2026-09-02", 6)]
+    plan = t.rows(t.touched(spark.sql("SELECT DATE '2026-09-01' AS date")))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(pid" in plan
+    assert t.vacuum() == 1 and len(state(t)) == 2 and t.vacuum() == 0
+
+
+def test_run_ids_sort_by_time():
+    a, b = ledger.new_run_id(NOW), ledger.new_run_id(datetime(2026, 9, 5, 9))
+    assert a < b and a.startswith("20260905T080000Z-") and len(a) == len(b) == 23
+
+
 def test_broken_reports_fail_alone(spark, lake):
     t, loads, folder = lake
     jobs = wave(folder, "1", "2026-09-01,US,x,c,5,1,9\n", c="Country\nUS\n")
