@@ -8,7 +8,7 @@ score's logit is penalised, so that naming a group by itself moves no score.
 Tasks extract features; the driver sees the sample's feature numbers, never a text. Scoring is one pass over
 whole texts with a table of at most ``FEATURES`` weights.
 
-Null, empty and wordless texts get the score of a text without features. Null labels are left out of the
+Null, empty and wordless texts get the score of a text without features; very long texts are read whole, one at a time. Null labels are left out of the
 sample; of repeated labels for one id the largest holds, repeated documents are scored each for itself. Without
 labels of both kinds the score is the labelled share of toxic rows (0.5 pseudo-rows of either kind), the same for
 all. An empty table gives an empty result; extra columns are ignored.
@@ -36,7 +36,7 @@ FAIRNESS = 1.0
 STEPS = 300
 PREFIXES = (4, 5, 6)
 LETTERS = re.compile(r"[^\W\d_]+")
-#: Terms for groups of people, swapped within a list.
+#: Terms for groups of people, swapped within a list; English, German, French, Spanish.
 IDENTITY = (
     ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist", "catholic"),
     ("muslims", "christians", "jews", "hindus", "buddhists", "atheists", "catholics"),
@@ -47,6 +47,27 @@ IDENTITY = (
     ("immigrant", "refugee", "native", "foreigner"),
     ("immigrants", "refugees", "natives", "foreigners"),
     ("blind", "deaf", "disabled", "old", "young"),
+    ("muslime", "christen", "juden", "buddhisten", "atheisten", "katholiken"),
+    ("frauen", "männer"),
+    ("frau", "mann"),
+    ("schwule", "lesben", "bisexuelle", "heterosexuelle"),
+    ("schwarze", "weiße", "asiaten", "afrikaner", "europäer", "araber"),
+    ("einwanderer", "flüchtlinge", "einheimische", "ausländer"),
+    ("blinde", "gehörlose", "behinderte"),
+    ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées", "catholiques"),
+    ("femmes", "hommes"),
+    ("femme", "homme"),
+    ("homosexuels", "lesbiennes", "bisexuels", "hétérosexuels"),
+    ("noirs", "blancs", "asiatiques", "africains", "européens", "arabes"),
+    ("immigrés", "réfugiés", "autochtones", "étrangers"),
+    ("aveugles", "sourds", "handicapés"),
+    ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos", "católicos"),
+    ("mujeres", "hombres"),
+    ("mujer", "hombre"),
+    ("homosexuales", "lesbianas", "bisexuales", "heterosexuales"),
+    ("negros", "blancos", "asiáticos", "africanos", "europeos", "árabes"),
+    ("inmigrantes", "refugiados", "nativos", "extranjeros"),
+    ("ciegos", "sordos", "discapacitados"),
 )
 #: Words remembered between texts by a task, so that a word's features are looked up once.
 REMEMBERED = 200_000

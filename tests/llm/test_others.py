@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import io
+import math
 import random
 import re
 import zlib
@@ -62,6 +63,37 @@ def test_toxicity_edge_cases(spark):
     assert toxicity.score(docs.where("false"), {}, 0.0).collect() == []
 
 
+def test_scores_are_those_of_a_plain_scorer(spark):
+    rng = random.Random(3)
+    stock = [prose(rng, 1) for _ in range(80)] + ["Muslim", "femmes", "señor", "ärger", "it's", "x1y"]
+    texts = [" ".join(rng.choice(stock) for _ in range(rng.randrange(1, 30))) for _ in range(300)] + [None, "", "123 --", "word " * 50_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int("e" in (texts[i] or "").split(" ")[0])) for i in range(300)], "doc_id long, toxic int")
+    weights, bias = toxicity.fit(docs, labels)
+    assert len(weights) > 20 and any(weights.values())
+    for i, s in toxicity.score(docs, weights, bias).collect():
+        features = set()
+        for w in re.findall(r"[^\W\d_]+", (texts[i] or "").lower()):
+            features |= {w + " "} | {w[:n] for n in (4, 5, 6) if len(w) >= n}
+        z = bias + sum(weights.get(toxicity.number(f), 0.0) for f in features)
+        assert abs(s - 1 / (1 + math.exp(-z))) < 1e-9
+
+
+def test_repeated_documents_and_labels(spark):
+    docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (2, "c"), (None, "a b")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (1, None), (2, 0), (2, 0), (4, 1)], "doc_id long, toxic int")
+    want = [(i, y) for i, y in ((1, 1), (2, 0), (4, 1)) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert sorted(tuple(r) for r in toxicity.sampled(labels).collect()) == want  # the largest label of an id holds
+    got = toxicity.score(docs, *toxicity.fit(docs, labels)).collect()
+    assert len(got) == 4 and len({r["score"] for r in got if r["doc_id"] != 2}) == 1
+
+
+def test_terms_are_swapped_in_one_list_only():
+    lists = [set(ws) for ws in toxicity.IDENTITY]
+    assert sum(map(len, lists)) == len(set.union(*lists))
+    assert set(toxicity.swaps().values()) == set(toxicity.swaps())
+
+
 # Mixing
 
 

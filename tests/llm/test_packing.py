@@ -6,6 +6,7 @@ import pytest
 from corpus import DOC, documents
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from oracle import DATA
 
 from reportlake.llm import packing
 
@@ -89,3 +90,23 @@ def test_every_usual_character_splits_alike():
     for c in usual:
         text = f"a{c}b {c} {c}{c} 1{c}2 '{c}s {c}\n  {c}" + "".join(rng.choice(usual) for _ in range(12))
         assert [*encode(text), 2] == ids(text), repr(c)
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="needs the given tables")
+def test_fast_and_slow_ids_agree_on_every_given_document(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+
+    def differ(batches):
+        import pyarrow as pa
+        from tokenizers import Tokenizer
+
+        from reportlake.llm.packing import _encoder
+
+        encode, whole = _encoder(None, None), Tokenizer.from_file(path)
+        for batch in batches:
+            texts = [v.as_py() or "" for v in batch.column(1)]
+            wrong = [i for i, t in zip(batch.column(0).to_pylist(), texts) if list(encode(t)) != whole.encode(t, add_special_tokens=False).ids]
+            yield pa.RecordBatch.from_arrays([pa.array(wrong, pa.int64()), pa.array([len(texts)] * len(wrong), pa.int64())], ["doc_id", "n"])
+
+    docs = spark.read.parquet(str(DATA / "sf0.1" / "documents.parquet")).select("doc_id", "text").repartition(8)
+    assert docs.mapInArrow(differ, "doc_id long, n long").collect() == []
