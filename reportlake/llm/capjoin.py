@@ -10,7 +10,7 @@ the table's number of dimensions; so recall does not fall as labels grow, while
 slowly (of 64 dimensions, from some 45 to 90 at 30 million vectors in a label).
 
 Equal vectors collapse first and count by their number. Caps are cut into blocks of at most ``BLOCK`` vectors, and
-every two blocks of a cap meet in a group of their own. A group gives out, for each vector, how many others it
+every two blocks of a cap meet in a group of their own; a task takes many groups at a time. A group gives out, for each vector, how many others it
 links with here for the first time (a link counts in the smallest direction both exceed) and those links that join
 what it has not joined yet, never all pairs.
 
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import functools
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -84,8 +85,7 @@ def plan(n: int, threshold: float = THRESHOLD, d: int = 64) -> tuple[float, int]
         cost = (1 + share * n / BUCKET) * share / both if both > 0 else math.inf
         if cost < (best[0] if best else math.inf):
             b = max(2, math.ceil(math.sqrt(SHARED / rotations(d) / both)))
-            if rotations(d) * b * b < 2**31:  # numbers of directions are ints
-                best = cost, cosine * math.sqrt(d), b
+            best = cost, cosine * math.sqrt(d), b
         share *= 2
     return best[1:]
 
@@ -150,7 +150,7 @@ def list_decode(unit: np.ndarray, t: float, code: list, least: int = LEAST_CAPS)
 
 
 def _units(values: pa.Array) -> np.ndarray:
-    v = np.asarray(values.values, np.float64).reshape(len(values), -1) if len(values) else np.empty((0, 1))
+    v = np.asarray(values.flatten(), np.float64).reshape(len(values), -1) if len(values) else np.empty((0, 1))
     v = v / np.abs(v).max(axis=1, keepdims=True)
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
@@ -166,55 +166,108 @@ def _caps(reps: DataFrame, n: int, threshold: float) -> DataFrame:
                     t, b = plan(n, threshold, int(d))
                     known[d] = t, codes(int(d), b)
                 caps = list_decode(_units(part.column("v")), *known[d])
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(caps, pa.list_(pa.int32()))], [*part.schema.names, "caps"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(caps, pa.list_(pa.int64()))], [*part.schema.names, "caps"])
 
-    return reps.mapInArrow(run, f"id long, label long, d int, weight long, v {dict(reps.dtypes)['v']}, caps array<int>")
+    return reps.mapInArrow(run, f"rep long, id long, label long, d int, weight long, v {dict(reps.dtypes)['v']}, caps array<bigint>")
 
 
 def _verify(threshold: float):
-    def run(rows: pa.Table) -> pa.Table:
-        rows = rows.combine_chunks()
-        cap, i, j = (rows.column(c)[0].as_py() for c in ("cap", "i", "j"))
-        ids, weight, block = (np.asarray(rows.column(c)) for c in ("id", "weight", "block"))
-        unit = _units(rows.column("v").chunk(0) if rows.num_rows else pa.array([], pa.list_(pa.float64())))
-        caps = [np.asarray(v.values) for v in rows.column("caps")]
-        caps = [v[v < cap] for v in caps]
-        x, y = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        near = unit[x] @ unit[y].T >= threshold
-        if i == j:
-            near &= ~np.eye(len(x), dtype=bool)
-        if near.any():
-            seen, back = np.unique(np.concatenate(caps) if caps else [], return_inverse=True)
-            if len(seen):  # pairs that share a smaller direction are counted there
-                have = np.zeros((len(ids), len(seen)), np.float32)
-                have[np.repeat(np.arange(len(ids)), [len(v) for v in caps]), back] = 1
-                near &= (have[x] @ have[y].T) == 0
-        count = np.zeros(len(ids), np.int64)
-        count[x] += near @ weight[y]
-        if i != j:
-            count[y] += near.T @ weight[x]
-        root = list(range(len(ids)))
-
-        def find(k: int) -> int:
-            while root[k] != k:
-                root[k] = root[root[k]]
-                k = root[k]
-            return k
-
-        a, b = [], []
-        for p, q in zip(*np.nonzero(near)):
-            u, v = find(x[p]), find(y[q])
-            if u != v:
-                root[u] = v
-                a.append(ids[x[p]])
-                b.append(ids[y[q]])
-        some = count > 0
-        kind = [0] * int(some.sum()) + [1] * len(a)
-        return pa.table({"kind": pa.array(kind, pa.int32()), "a": pa.array([*ids[some], *a], pa.int64()), "b": pa.array([*count[some], *b], pa.int64())})
+    """Links within caps: rows sorted by cap and blocks, whole groups of them at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            rows = pa.Table.from_batches(held)
+            new = _opens(rows)
+            if len(new) > 1:
+                yield _links(rows.slice(0, new[-1]), new[:-1], threshold)
+                held = rows.slice(new[-1]).to_batches()
+        if held:
+            rows = pa.Table.from_batches(held)
+            yield _links(rows, _opens(rows), threshold)
 
     return run
 
 
+GROUP = ("label", "d", "cap", "i", "j")
+
+
+def _opens(rows: pa.Table) -> np.ndarray:
+    """Where a group begins."""
+    keys = [np.asarray(rows.column(c)) for c in GROUP]
+    return np.flatnonzero(np.append(rows.num_rows > 0, np.logical_or.reduce([k[1:] != k[:-1] for k in keys])))
+
+
+def _links(rows: pa.Table, opens: np.ndarray, threshold: float) -> pa.RecordBatch:
+    """(kind 0: rep, number of others linked here for the first time; kind 1: ids that links of a group join)."""
+    rows = rows.combine_chunks()
+    d, cap, i, j, block, rep, ids, weight = (np.asarray(rows.column(c)) for c in ("d", "cap", "i", "j", "block", "rep", "id", "weight"))
+    lists = rows.column("caps").chunk(0) if rows.num_rows else pa.array([], pa.list_(pa.int64()))
+    caps, at = np.asarray(lists.flatten()), np.append(0, np.cumsum(np.asarray(lists.value_lengths(), np.int64)))
+    count = np.zeros(len(ids), np.int64)
+    joined: list[np.ndarray] = [np.empty((2, 0), np.int64)]
+    units, last = None, (0, 0)
+    for s, e in zip(opens.tolist(), np.append(opens[1:], len(ids)).tolist()):
+        if e - s < 2:
+            continue
+        if not last[0] <= s < last[1]:  # vectors of equal dimensions, as far as they go
+            end = s + int(np.argmax(np.append(d[s:] != d[s], True)))
+            units, last = _units(rows.column("v").chunk(0).slice(s, end - s)), (s, end)
+        unit = units[s - last[0] : e - last[0]]
+        if i[s] == j[s]:
+            x = y = np.arange(s, e)
+            near = unit @ unit.T >= threshold
+            np.fill_diagonal(near, False)
+        else:
+            first = block[s:e] == i[s]
+            x, y = s + np.flatnonzero(first), s + np.flatnonzero(~first)
+            near = unit[first] @ unit[~first].T >= threshold
+        p, q = np.nonzero(near)
+        if not len(p):
+            continue
+        p, q = x[p], y[q]
+        used, back = np.unique(np.concatenate([p, q]), return_inverse=True)
+        u, v = back[: len(p)], back[len(p) :]
+        fresh = ~_share(used, cap[s], caps, at)[u, v]  # the others are counted in a smaller direction
+        p, q, u, v = p[fresh], q[fresh], u[fresh], v[fresh]
+        count += _sums(p, weight[q], len(ids))
+        if i[s] != j[s]:
+            count += _sums(q, weight[p], len(ids))
+        low = _lowest(u, v, len(used))
+        some = low != np.arange(len(used))
+        joined.append(np.stack([ids[used[some]], ids[used[low[some]]]]))
+    some = np.flatnonzero(count)
+    a, b = np.concatenate(joined, axis=1)
+    kind = np.repeat(np.array([0, 1], np.int32), [len(some), len(a)])
+    return pa.RecordBatch.from_arrays([pa.array(kind), pa.array(np.concatenate([rep[some], a])), pa.array(np.concatenate([count[some], b]))], ["kind", "a", "b"])
+
+
+def _sums(at: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
+    return np.bincount(at, value, n).astype(np.int64)
+
+
+def _share(rows: np.ndarray, cap: int, caps: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which of the rows exceed a common direction smaller than ``cap``."""
+    lists = [c[c < cap] for c in (caps[at[r] : at[r + 1]] for r in rows)]
+    seen, back = np.unique(np.concatenate(lists), return_inverse=True)
+    have = np.zeros((len(rows), len(seen)), np.float32)
+    have[np.repeat(np.arange(len(rows)), [len(c) for c in lists]), back] = 1
+    return have @ have.T > 0
+
+
+def _lowest(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
+    """The smallest number that each of n can reach by the links (u, v)."""
+    low = np.arange(n)
+    while True:
+        before = low.copy()
+        np.minimum.at(low, u, before[v])
+        np.minimum.at(low, v, before[u])
+        low = low[low]
+        if (low == before).all():
+            return low
+
+
 def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label", threshold: float = THRESHOLD) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row."""
     spark = vectors.sparkSession
@@ -229,24 +282,27 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     rows = vectors.select(F.col(key).cast("long").alias("vec_id"), F.col(label).cast("long").alias("label"), v.alias("v"), F.when(usable, mark).alias("mark"))
     rows = scratch.save(rows, "rows")
     same = rows.where("mark IS NOT NULL").groupBy("mark").agg(F.min("vec_id").alias("id"), F.count("*").alias("weight"), F.first("label").alias("label"), F.first("v").alias("v"))
-    reps = scratch.save(same.select("mark", "id", "label", F.size("v").alias("d"), "weight", "v"), "reps")
+    # A rep's id may stand for several marks if ids repeat, so reps have numbers of their own.
+    reps = scratch.save(same.select("mark", F.monotonically_increasing_id().alias("rep"), "id", "label", F.size("v").alias("d"), "weight", "v"), "reps")
     largest = reps.groupBy("label", "d").count().agg(F.max("count")).first()[0] or 0
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=2000):
-        # A rep's id may stand for several marks if ids repeat; then the marks share a component.
         caps = scratch.save(_caps(reps.drop("mark"), largest, threshold), "caps")
-        entries = caps.select("id", "label", "d", F.explode("caps").alias("cap"))
+        entries = caps.select("rep", "label", "d", F.explode("caps").alias("cap"))
         sizes = scratch.save(entries.groupBy("label", "d", "cap").agg(F.count("*").alias("n")).where("n > 1").withColumn("k", F.ceil(F.col("n") / BLOCK).cast("int")), "sizes")
-        held = caps.select("*", F.explode("caps").alias("cap")).join(sizes, ["label", "d", "cap"])
-        held = held.withColumn("block", F.pmod(F.xxhash64("id"), F.col("k")).cast("int"))
+        # Numbers alone are joined on caps; the vectors come in once, when it is known which of their caps hold others.
+        met = scratch.save(entries.join(sizes, ["label", "d", "cap"]).groupBy("rep").agg(F.collect_list(F.struct("cap", "k")).alias("met")), "met")
+        held = caps.join(met, "rep").select("*", F.inline("met")).drop("met")
+        held = held.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("k")).cast("int"))
         # Block x meets every block y: in the group of both, the smaller number first.
         held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-        held = held.select("label", "d", "cap", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "weight", "v", "caps")
-        found = held.groupBy("label", "d", "cap", "i", "j").applyInArrow(_verify(threshold), "kind int, a long, b long")
-        found = scratch.save(found, "found")
-    counts = found.where("kind = 0").groupBy(F.col("a").alias("id")).agg(F.sum("b").alias("links"))
+        held = held.select("label", "d", "cap", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "id", "weight", "v", "caps")
+        dealt = held.repartition(*GROUP).sortWithinPartitions(*GROUP)
+        found = scratch.save(dealt.mapInArrow(_verify(threshold), "kind int, a long, b long"), "found")
+        scratch.drop("caps", "sizes", "met")
+    counts = found.where("kind = 0").groupBy(F.col("a").alias("rep")).agg(F.sum("b").alias("links"))
     comps = components(found.where("kind = 1").select("a", "b"), scratch)
     # The narrow result of every copy class, met by the class's mark; hot classes are split by adaptive execution.
-    info = reps.select("mark", "id", "weight").join(counts, "id", "left").join(comps, "id", "left")
+    info = reps.select("mark", "rep", "id", "weight").join(counts, "rep", "left").join(comps, "id", "left")
     info = scratch.save(info.select("mark", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n"), F.coalesce("component", "id").alias("c")), "info")
     out = rows.select("vec_id", "mark").join(info, "mark", "left")
     component = F.coalesce("c", "vec_id")

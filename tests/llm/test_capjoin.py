@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from oracle import DATA, assert_same
 
@@ -97,6 +98,30 @@ def test_recall_does_not_fall_with_labels_and_dimensions(d, n):
     assert shared.mean() > 0.9 * capjoin.SHARED
 
 
+def test_numbers_of_directions_beyond_32_bits():
+    """With 10 ** 10 vectors in a label a code has so many directions that their numbers need 64 bits."""
+    _, b = capjoin.plan(10**10)
+    assert capjoin.rotations(64) * b * b > 2**31
+    rng = np.random.default_rng(1)
+    u = rng.standard_normal((3, 64))
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    d, big = 64, 50_000  # two splits are enough to pass 2 ** 31
+    code = capjoin.codes(d, 300)[:2]
+    code = [(r, o, np.tile(x, (-(-big // 300), 1))[:big], np.tile(y, (-(-big // 300), 1))[:big]) for r, o, x, y in code]
+    best = [max(v) for v in capjoin.list_decode(u, 9.0, code, 4)]
+    assert max(best) > 2**31 and pa.array([[max(best)]], pa.list_(pa.int64())).to_pylist() == [[max(best)]]
+
+
+def test_repeated_ids_and_ties(spark):
+    rng = np.random.default_rng(6)
+    a, b, c = ([float(np.float32(x)) for x in rng.standard_normal(16)] for _ in range(3))
+    near = [x + 0.01 for x in a]
+    rows = [(1, a, 0), (1, a, 0), (2, near, 0), (1, b, 0), (3, b, 0), (4, c, 0), (5, a, 1)]
+    got = sorted(tuple(r) for r in capjoin.near_duplicates(spark.createDataFrame(rows, VEC).selectExpr("*", "1 AS rep", "2 AS cap", "3 AS block")).collect())
+    # Copies count each; rows of one id keep counts of their own and share a component.
+    assert got == [(1, 1, 1, True), (1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 1, 1, False), (4, 0, 4, True), (5, 0, 5, True)]
+
+
 def test_one_dimension(spark):
     rows = [(i, [float(x)], 0) for i, x in enumerate([1, 2, 2, -1, -3])]
     assert {r[0]: tuple(r[1:]) for r in capjoin.near_duplicates(spark.createDataFrame(rows, VEC)).collect()} == brute(rows)
