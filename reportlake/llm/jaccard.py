@@ -10,14 +10,18 @@ A token is the 64-bit hash of five consecutive words. Steps, each a Spark job ov
    smallest id that has it and with the one most like the others, and join the hub they are most similar to.
 4. The matrix: (token, group) entries of the prefixes, dealt by token. Groups that share an entry are candidate
    pairs, unless they are all of one component.
-5. A group's token union is its hub's tokens and at most so many more for each member as its worst member has,
-   which bounds the overlap of any two members of two groups. Only pairs of groups whose bound can reach 3/4 are
-   opened, block by block, and only links that join something are given out.
+5. Each such group's token union is stored, a row for each group and token with the number of members that have it.
+   The documents that ask a group meet the union by an equi-join on group and token, which bounds what they have in
+   common with any member. Only groups whose bound can reach 3/4 are opened, by the documents that reach it, block by
+   block, and only links that join something are given out. Groups of one document are compared as they are.
 
 All links between different components are found, so the components are exact; no partner is capped. Hashes of
 64 bits stand for shingles.
 
-Null texts and texts without words have no tokens and link with nothing. Texts of fewer than five words have one
+Texts are hashed twice for the order and the prefixes; after that only the token sets of documents that are compared
+are made, and these meet by shuffles at every size.
+
+Null texts and texts without words have no tokens and link with nothing; very long texts are read whole. Texts of fewer than five words have one
 token, the whole sequence. Repeated ids are one document (its links are those of any of its rows). Null ids are
 left unlinked, each its own row with a null component. Empty tables give an empty result; extra columns are
 ignored.
@@ -33,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportlake.llm.common import Scratch, settings, shuffle_partitions, small, table
+from reportlake.llm.common import Scratch, settings, shuffle_partitions, table
 from reportlake.llm.graph import components
 
 WIDTH = 5
@@ -42,6 +46,8 @@ PERCENT = 75
 HASHES = 8
 #: Tokens that at least so many of ``COUNTED`` documents in a row share are counted for the order ...
 COMMON, COUNTED = 3, 8000
+#: Groups of a token that are paired at a time, and pairs that a task counts before it hands them on.
+PAIRED, COUNTED_PAIRS = 512, 500_000
 #: ... and so many of the most frequent are remembered. The order decides speed only, never the result.
 REMEMBERED = 1_000_000
 BATCH = 1000
@@ -156,7 +162,7 @@ def token_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary()))], ["id", "n", "tokens"])
 
-    wanted = docs.join(small(ids.withColumnRenamed("id", "doc_id")), "doc_id", "left_semi")
+    wanted = docs.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
     return _batches(wanted, run, "id long, n long, tokens binary")
 
 
@@ -177,8 +183,8 @@ def overlaps(pairs: DataFrame, sets: DataFrame, scratch: Scratch, name: str) ->
 
     # The sets of the b side travel once for each pair, to where the sets of the a side are.
     pairs = scratch.save(pairs, f"{name}_pairs")
-    sets_a = sets.join(small(scratch.save(pairs.select(F.col("a").alias("id")).distinct(), f"{name}_a")), "id", "left_semi")
-    left = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb")).join(small(pairs), "b")
+    sets_a = sets.join(scratch.save(pairs.select(F.col("a").alias("id")).distinct(), f"{name}_a"), "id", "left_semi")
+    left = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb")).join(pairs, "b")
     full = left.join(sets_a.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta")), "a")
     names = [c for c in full.columns if c not in ("ta", "tb")]
     fields = ", ".join(f"`{c}` {full.schema[c].dataType.simpleString()}" for c in names)
@@ -189,9 +195,9 @@ LINKED = f"100 * both >= {PERCENT} * (na + nb - both)"
 
 
 def groups(reps: DataFrame, docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Verified links (a, b) of hubs, and (id, hub, extra, core) of every member.
+    """Verified links (a, b) of hubs, and (id, hub, core) of every member.
 
-    A member is ``core`` if it links with its hub; ``extra`` counts its tokens that the hub lacks.
+    A member is ``core`` if it links with its hub.
     """
     buckets = reps.select("doc_id", "n", F.posexplode("low").alias("k", "v"))
     # A document whose minimum hashes are widespread lies in the middle of its like: it makes the best hub.
@@ -212,9 +218,9 @@ def groups(reps: DataFrame, docs: DataFrame, scratch: Scratch) -> tuple[DataFram
     sets = scratch.save(token_sets(docs, ids), "hub_sets")
     met = overlaps(near, sets, scratch, "hub_overlaps")
     alike = F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))
-    rank = F.struct(F.expr(LINKED).alias("core"), alike.alias("alike"), (-F.col("a")).alias("i"), (F.col("nb") - F.col("both")).alias("extra"))
+    rank = F.struct(F.expr(LINKED).alias("core"), alike.alias("alike"), (-F.col("a")).alias("i"))
     chosen = met.where(alike >= LOOSE).groupBy("b").agg(F.max(rank).alias("h"))
-    member = chosen.select(F.col("b").alias("id"), (-F.col("h.i")).alias("hub"), F.col("h.extra").alias("extra"), F.col("h.core").alias("core"))
+    member = chosen.select(F.col("b").alias("id"), (-F.col("h.i")).alias("hub"), F.col("h.core").alias("core"))
     return met.where(LINKED).select("a", "b"), scratch.save(member, "members")
 
 
@@ -266,28 +272,39 @@ def matrix_pairs(entries: DataFrame) -> DataFrame:
         t, g, c, lo, hi = (np.concatenate(x)[by] for x in held)
         begin = np.flatnonzero(np.append(True, t[1:] != t[:-1]))
         end = np.append(begin[1:], len(t))
-        many = (end - begin) > 1
-        found: dict[tuple[int, int], int] = {}
-        for i, j in zip(begin[many].tolist(), end[many].tolist()):
-            for k in range(i, j - 1):
-                rest = slice(k + 1, j)
-                near = (c[rest] != c[k]) & (100 * hi[rest] >= PERCENT * lo[k]) & (100 * hi[k] >= PERCENT * lo[rest])
-                for other in g[rest][near].tolist():
-                    key = (int(g[k]), other)
-                    found[key] = found.get(key, 0) + 1
-            if len(found) > 200_000:
-                yield _counted(found)
-                found = {}
-        if found:
+        two = begin[end - begin == 2]
+        found = [_near(two, two + 1, g, c, lo, hi)]
+        n = len(found[0][0])
+        for i, j in zip(begin[end - begin > 2].tolist(), end[end - begin > 2].tolist()):
+            for k in range(i, j - 1, PAIRED):  # a block of the token's groups against all behind it
+                one, other = np.arange(k, min(k + PAIRED, j)), np.arange(k + 1, j)
+                for first in range(0, len(other), PAIRED):
+                    x, y = np.meshgrid(one, other[first : first + PAIRED], indexing="ij")
+                    found.append(_near(x[x < y], y[x < y], g, c, lo, hi))
+                    n += len(found[-1][0])
+                    if n > COUNTED_PAIRS:
+                        yield _counted(found)
+                        found, n = [], 0
+        if n:
             yield _counted(found)
 
     packed = entries.select("grp", "comp", "head", "lo", "hi").mapInArrow(pack, "part int, t binary, i binary, g binary, c binary, lo binary, hi binary")
     return packed.repartitionById(parts, "part").mapInArrow(pair, "g long, h long, shared long").groupBy("g", "h").agg(F.sum("shared").alias("shared"))
 
 
-def _counted(found: dict[tuple[int, int], int]) -> pa.RecordBatch:
-    g, h = zip(*found)
-    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (g, h, list(found.values()))], ["g", "h", "shared"])
+def _near(x: np.ndarray, y: np.ndarray, g: np.ndarray, c: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of pairs of entries (x, y) the groups that are of different components and of sizes that a link may have."""
+    ok = (c[x] != c[y]) & (100 * hi[y] >= PERCENT * lo[x]) & (100 * hi[x] >= PERCENT * lo[y])
+    return g[x[ok]], g[y[ok]]
+
+
+def _counted(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """Each pair once, with how often it was found."""
+    g, h = (np.concatenate(x) for x in zip(*found))
+    by = np.lexsort((h, g))
+    g, h = g[by], h[by]
+    opens = np.flatnonzero(np.append(len(g) > 0, (g[1:] != g[:-1]) | (h[1:] != h[:-1])))
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (g[opens], h[opens], np.diff(np.append(opens, len(g))))], ["g", "h", "shared"])
 
 
 def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -300,26 +317,26 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
         sizes = scratch.save(described.select("doc_id", "n", "mark"), "sizes")
         filled = sizes.where("n > 0 AND doc_id IS NOT NULL")
         same = scratch.save(filled.groupBy("mark").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("top")), "same")
-        heads = described.where("n > 0").join(small(same.select("doc_id", "mark")), ["doc_id", "mark"], "left_semi")
+        heads = described.where("n > 0").join(same.select("doc_id", "mark"), ["doc_id", "mark"], "left_semi")
         heads = scratch.save(heads.select("doc_id", "mark", "n", "low", "head"), "heads")
         scratch.drop("described")
         reps = scratch.save(heads.select("doc_id", "mark", "n", "low").distinct(), "reps")
         links, member = groups(reps, docs, scratch)
         comp = scratch.save(components(links, scratch, "first"), "comp0")
         # Documents without a hub are groups of their own, and so are hubs that joined no other.
-        label = small(comp.select(F.col("id").alias("grp"), F.col("component").alias("comp")))
+        label = comp.select(F.col("id").alias("grp"), F.col("component").alias("comp"))
 
         def place(rows: DataFrame) -> DataFrame:
-            out = rows.join(small(member.withColumnRenamed("id", "doc_id")), "doc_id", "left")
-            out = out.withColumns({"grp": F.coalesce("hub", "doc_id"), "extra": F.coalesce("extra", F.lit(0)), "core": F.coalesce("core", F.lit(True))})
+            out = rows.join(member.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+            out = out.withColumns({"grp": F.coalesce("hub", "doc_id"), "core": F.coalesce("core", F.lit(True))})
             return out.join(label, "grp", "left").withColumn("comp", F.coalesce("comp", "grp"))
 
         mixed = scratch.save(member.where("NOT core").select(F.col("hub").alias("grp"), F.lit(True).alias("mixed")).distinct(), "mixed")
         # Pairs within one component need no look, unless a group also has members that its hub does not link.
-        placed = scratch.save(place(reps.select("doc_id", "n")).select("doc_id", "n", "grp", "extra", "core", "comp"), "placed")
+        placed = scratch.save(place(reps.select("doc_id", "n")).select("doc_id", "n", "grp", "core", "comp"), "placed")
         sizes_of = scratch.save(placed.groupBy("grp").agg(F.min("n").alias("lo"), F.max("n").alias("hi")).where("lo < hi"), "spans")
-        entries = place(heads.select("doc_id", "n", "head")).join(small(sizes_of), "grp", "left").withColumns({"lo": F.coalesce("lo", "n"), "hi": F.coalesce("hi", "n")})
-        entries = entries.join(small(mixed), "grp", "left").withColumn("comp", F.when(F.col("mixed"), -1 - F.col("grp")).otherwise(F.col("comp")))
+        entries = place(heads.select("doc_id", "n", "head")).join(sizes_of, "grp", "left").withColumns({"lo": F.coalesce("lo", "n"), "hi": F.coalesce("hi", "n")})
+        entries = entries.join(mixed, "grp", "left").withColumn("comp", F.when(F.col("mixed"), -1 - F.col("grp")).otherwise(F.col("comp")))
         pairs = scratch.save(matrix_pairs(entries), "matrix")
         scratch.drop("heads")
         own = mixed.select(F.col("grp").alias("g"), F.col("grp").alias("h"), F.lit(None).cast("long").alias("shared"))
@@ -329,54 +346,74 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     copies = filled.join(same.where("top > doc_id").select("mark", F.col("doc_id").alias("b")), "mark").select(F.col("doc_id").alias("a"), "b").where("a <> b")
     final = scratch.save(components(edges.unionByName(copies), scratch, "last"), "comp1")
     out = sizes.select("doc_id", F.col("n").alias("n_shingles"))
-    return out.join(small(final.withColumnRenamed("id", "doc_id")), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    return out.join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def _spread(rows: DataFrame, sets: DataFrame, columns: str) -> DataFrame:
+    """``rows`` with a row for each token of the document ``id``: (columns, token)."""
+    names = [c.split()[0] for c in columns.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens_ = [np.frombuffer(v.as_buffer(), np.int64) for v in batch.column(len(names))]
+            if tokens_:
+                n = [len(t) for t in tokens_]
+                kept = [pa.array(np.repeat(np.asarray(batch.column(i)), n)) for i in range(len(names))]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(np.concatenate(tokens_))], [*names, "token"])
+
+    return rows.join(sets, "id").select(*names, "tokens").mapInArrow(run, columns + ", token long")
 
 
 def _opened(pairs: DataFrame, grouped: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     """Links (a, b) that join the components of pairs of groups, and those of a group's loose members.
 
-    Qualifying pairs are opened in blocks of a bounded number of tokens: a block holds some of one group's
-    members and the queries that meet them, and gives out only links that join what it has not joined yet.
+    The documents that ask a group are first met with its token union. Qualifying ones are opened in blocks of a bounded
+    number of tokens: a block holds some of the group's members and some of the queries, and gives out only links that
+    join what it has not joined yet.
     """
     touched = scratch.save(pairs.select(F.col("g").alias("grp")).unionByName(pairs.select(F.col("h").alias("grp"))).distinct(), "touched")
-    grouped = scratch.save(grouped.join(small(touched), "grp", "left_semi"), "grouped")
+    grouped = scratch.save(grouped.join(touched, "grp", "left_semi"), "grouped")
     solo = (F.count("*") == 1) & (F.min("doc_id") == F.col("grp"))
-    info = scratch.save(grouped.groupBy("grp", "comp").agg(F.max("extra").alias("e"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.count("*").alias("c"), F.sum("n").alias("t"), F.count_if(~F.col("core")).alias("l"), solo.alias("solo")), "info")
+    info = scratch.save(grouped.groupBy("grp", "comp").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.count("*").alias("c"), F.sum("n").alias("t"), F.count_if(~F.col("core")).alias("l"), solo.alias("solo")), "info")
     one, two = (info.select(*[F.col(c).alias(p if c == "grp" else c + p) for c in info.columns]) for p in "gh")
-    sized = pairs.join(small(one), "g").join(small(two), "h").where(f"100 * hig >= {PERCENT} * loh AND 100 * hih >= {PERCENT} * log")
+    sized = pairs.join(one, "g").join(two, "h").where(f"100 * hig >= {PERCENT} * loh AND 100 * hih >= {PERCENT} * log")
     # Common tokens lie in both prefixes, or behind the one that ends first, among three quarters of its set. What is
     # shared and these must make up a link of sizes that the groups have.
     most, least = F.greatest("hig", "hih"), F.least("log", "loh")
     can = (100 * least <= PERCENT * most) | (4 * 175 * F.col("shared") + 225 * most >= 300 * least)
     sized = sized.where(F.col("shared").isNull() | can)
-    sized = sized.withColumns({"a": F.col("g"), "b": F.col("h")})
-    sized = scratch.save(sized.select("a", "b", "g", "h", "eg", "eh", "log", "loh", "cg", "ch", "lg", "lh", (F.col("compg") == F.col("comph")).alias("same"), (F.col("solog") & F.col("soloh")).alias("single")), "sized")
-    hubs = scratch.save(sized.select(F.col("a").alias("id")).unionByName(sized.select(F.col("b").alias("id"))).distinct(), "bound_ids")
-    sets = scratch.save(token_sets(docs, hubs), "bound_sets")
-    bound = overlaps(sized, sets, scratch, "bounds").where(f"100 * (both + eg + eh) >= {PERCENT} * greatest(log, loh)")
-    singles = bound.where("single").where(LINKED).select("a", "b")
-    open_ = bound.where("NOT single")
+    sized = scratch.save(sized.select("g", "h", "cg", "ch", "lg", "lh", (F.col("compg") == F.col("comph")).alias("same"), (F.col("solog") & F.col("soloh") & (F.col("g") != F.col("h"))).alias("single")), "sized")
+    singles, several = sized.where("single").select(F.col("g").alias("a"), F.col("h").alias("b")), sized.where("NOT single")
     # Who asks whom: of two components the smaller group; within one component only the loose members.
     small_first = F.col("cg") <= F.col("ch")
-    asks = open_.where("NOT same").select(F.when(small_first, F.col("g")).otherwise(F.col("h")).alias("q"), F.when(small_first, F.col("h")).otherwise(F.col("g")).alias("t"), F.lit(False).alias("loose"))
+    asks = several.where("NOT same").select(F.when(small_first, F.col("g")).otherwise(F.col("h")).alias("q"), F.when(small_first, F.col("h")).otherwise(F.col("g")).alias("t"), F.lit(False).alias("loose"))
     for p, q in ("gh", "hg"):
-        asks = asks.unionByName(open_.where(f"same AND l{p} > 0").select(F.col(p).alias("q"), F.col(q).alias("t"), F.lit(True).alias("loose")))
+        asks = asks.unionByName(several.where(f"same AND l{p} > 0").select(F.col(p).alias("q"), F.col(q).alias("t"), F.lit(True).alias("loose")))
     asks = scratch.save(asks.distinct(), "asks")
     members = grouped.select("grp", "doc_id", "n", "core")
-    queries = asks.join(members.withColumnRenamed("grp", "q"), "q").where("NOT loose OR NOT core").select("t", F.col("doc_id").alias("id"), "n").distinct()
+    queries = asks.join(members.withColumnRenamed("grp", "q"), "q").where("NOT loose OR NOT core").select("t", F.col("doc_id").alias("id"), "n", (F.col("q") == F.col("t")).cast("int").alias("own")).distinct()
     queries = scratch.save(queries, "queries")
+    asked = scratch.save(queries.select("t").distinct(), "asked")
+    targets = scratch.save(members.select(F.col("grp").alias("t"), F.col("doc_id").alias("id"), "core").join(asked, "t", "left_semi"), "targets")
+    ids = singles.select(F.col("a").alias("id")).unionByName(singles.select(F.col("b").alias("id"))).unionByName(queries.select("id")).unionByName(targets.select("id"))
+    sets = scratch.save(token_sets(docs, scratch.save(ids.distinct(), "open_ids")), "open_sets")
+    links = overlaps(singles, sets, scratch, "singles").where(LINKED).select("a", "b")
+    sets = sets.drop("n")
+    again = scratch.spark.read.parquet(scratch.path("open_sets")).drop("n")  # else both sides would name the same columns
+    # The matrix: each group's token union, and how many members have a token. What a query has in common with all of a
+    # group bounds what it has with any member; in its own group its own tokens do not count.
+    union = scratch.save(_spread(targets.select("t", "id"), sets, "t long").groupBy("t", "token").agg(F.count("*").alias("c")), "unions")
+    common = _spread(queries.select("t", "id", "own"), sets, "t long, id long, own int").join(union, ["t", "token"]).where("c > own").groupBy("t", "id").agg(F.count("*").alias("both"))
+    bound = common.join(info.select(F.col("grp").alias("t"), "lo"), "t").join(queries.groupBy("t", "id").agg(F.min("n").alias("n")), ["t", "id"])
+    queries = scratch.save(queries.join(scratch.save(bound.where(f"{100 + PERCENT} * both >= {PERCENT} * (n + lo)").select("t", "id"), "bounds"), ["t", "id"], "left_semi"), "opening")
     cuts = queries.groupBy("t").agg(F.ceil(F.sum("n") / BLOCK).alias("kq")).join(info.select(F.col("grp").alias("t"), F.ceil(F.col("t") / BLOCK).alias("kt")), "t")
     cuts = scratch.save(cuts, "cuts")
-    targets = scratch.save(cuts.join(members.withColumnRenamed("grp", "t"), "t").select("t", "kq", "kt", F.col("doc_id").alias("id"), "core"), "targets")
-    ids = scratch.save(queries.select("id").unionByName(targets.select("id")).distinct(), "open_ids")
-    sets = scratch.save(token_sets(docs, ids), "open_sets").drop("n")
-    again = scratch.spark.read.parquet(scratch.path("open_sets")).drop("n")  # else both sides would name the same columns
     part = lambda k: F.pmod(F.xxhash64("id"), F.col(k)).cast("int")
     every = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1).cast("array<int>"))
     left = queries.join(cuts, "t").select("t", part("kq").alias("i"), every("kt").alias("j"), "id").join(sets, "id")
-    right = targets.select("t", every("kq").alias("i"), part("kt").alias("j"), "id", "core").join(again, "id")
+    right = targets.join(cuts, "t").select("t", every("kq").alias("i"), part("kt").alias("j"), "id", "core").join(again, "id")
     blocks = left.groupBy("t", "i", "j").cogroup(right.groupBy("t", "i", "j")).applyInArrow(_block, "a long, b long")
-    return singles.unionByName(scratch.save(blocks, "opened"))
+    return links.unionByName(scratch.save(blocks, "opened"))
 
 
 def _block(queries: pa.Table, members: pa.Table) -> pa.Table:

@@ -41,7 +41,7 @@ def test_against_brute_force(spark):
     assert any(i != c for i, (_, c) in want.items())
 
 
-def test_a_cluster_at_the_threshold(spark):
+def test_a_cluster_at_the_threshold(spark, monkeypatch):
     """Near copies most of which do not link with the centre: groups with loose members are opened in blocks."""
     import random
 
@@ -53,13 +53,52 @@ def test_a_cluster_at_the_threshold(spark):
         for _ in range(rng.randint(2, 7)):
             w[rng.randrange(len(w))] = f"r{rng.randrange(10**6)}"
         rows.append((k, " ".join(w), "en", "s", 0))
-    block, jaccard.BLOCK = jaccard.BLOCK, 900
-    try:
-        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(spark.createDataFrame(rows, DOC)).collect()}
-    finally:
-        jaccard.BLOCK = block
+    monkeypatch.setattr(jaccard, "BLOCK", 900)
+    saved, save = {}, Scratch.save
+    monkeypatch.setattr(Scratch, "save", lambda self, df, name: saved.setdefault(name, save(self, df, name)))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(spark.createDataFrame(rows, DOC)).collect()}
     assert got == brute(rows)
     assert len({c for _, c in got.values()}) > 1
+    # The unions hold each token of a group once, with its members; bounds let documents through that opening must judge.
+    union = saved["unions"].collect()
+    assert len({(r["t"], r["token"]) for r in union}) == len(union) and max(r["c"] for r in union) > 5
+    assert 0 < saved["bounds"].count() <= saved["queries"].count() and saved["cuts"].where("kt > 1").count() > 0
+    assert saved["opened"].count() > 0
+
+
+def test_unions_keep_groups_shut(spark, monkeypatch):
+    """Two clusters that share a third of their tokens: candidates by prefix, but no document reaches the other union."""
+    import random
+
+    rng = random.Random(6)
+    shared = [f"s{i}" for i in range(40)]
+    rows = []
+    for k in range(30):
+        w = [f"{'ab'[k % 2]}{i}" for i in range(60)] + shared
+        w[rng.randrange(60)] = f"r{k}"
+        rows.append((k, " ".join(w), "en", "s", 0))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(spark.createDataFrame(rows, DOC)).collect()}
+    assert got == brute(rows) and {c for _, c in got.values()} == {0, 1}
+
+
+def test_many_groups_of_a_token_are_paired_in_blocks(spark, monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    n = 60
+    g, c, lo = np.arange(n), rng.integers(0, 9, n), rng.integers(5, 12, n)
+    x, y = np.triu_indices(n, 1)
+    found = list(zip(*(v.tolist() for v in jaccard._near(x, y, g, c, lo, lo))))
+    want = [(a, b) for a in range(n) for b in range(a + 1, n) if c[a] != c[b] and 100 * lo[b] >= 75 * lo[a] and 100 * lo[a] >= 75 * lo[b]]
+    assert sorted(found) == want
+    heads = [rng.integers(0, 12, 6).astype(np.uint64) for _ in range(n)]
+    entries = spark.createDataFrame([(int(a), int(b), int(v), int(v), bytearray(np.sort(h).tobytes())) for a, b, v, h in zip(g, c, lo, heads)], "grp long, comp long, lo long, hi long, head binary")
+    got = {(r["g"], r["h"]): r["shared"] for r in jaccard.matrix_pairs(entries).collect()}
+    both = {(a, b): len(set(heads[a].tolist()) & set(heads[b].tolist())) for a, b in want}
+    assert got == {k: v for k, v in both.items() if v}
+    assert jaccard._counted([(np.array([2, 1, 2]), np.array([3, 5, 3]))]).to_pydict() == {"g": [1, 2], "h": [5, 3], "shared": [1, 2]}
+    assert pa.types.is_int64(jaccard._counted([(g[:0], g[:0])]).schema.field("g").type)
 
 
 def test_repeated_and_null_ids_and_empty(spark):
