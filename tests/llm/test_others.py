@@ -339,30 +339,87 @@ def test_sql(spark, name):
 # Pipeline
 
 
+def deduped(rows):
+    """Texts after line dedup, and lines removed, of (id, text, source) rows."""
+    key = lambda x: x.strip(" \t\n\x0b\x0c\r")
+    long_ = lambda x: len(re.findall(r"[^\x20\x09-\x0D]+", x)) >= 3
+    sites, first = {}, {}
+    for i, t, s in sorted(rows):
+        for x in (t or "").split("\n"):
+            if long_(x):
+                sites.setdefault(key(x), set()).add(s)
+                first.setdefault(key(x), i)
+    return {i: None if t is None else "\n".join(x for x in t.split("\n") if not (long_(x) and len(sites[key(x)]) >= 10 and first[key(x)] != i)) for i, t, s in rows}
+
+
 def test_pipeline_stages(spark, tmp_path):
+    """Every stage against a brute-force version of it, on what its predecessor kept."""
     import corpus_pipeline
     from test_jaccard import brute
+    from test_packing import check_layout, ids as token_ids
+
+    from reportlake.llm import quality
 
     rng = random.Random(9)
-    rows = documents() + [(500 + i, prose(rng, 60), "x", f"s{i % 5}", 7) for i in range(30)]
-    df = spark.createDataFrame(rows, DOC).selectExpr("*", "'mine' AS kept", "1 AS n_words", "'z' AS _hits")
+    prosy = lambda n: " ".join(rng.choice(quality.STOP_WORDS) if rng.random() < 0.3 else prose(rng, 1) for _ in range(n))
+    boiler = "Share this page with friends"
+    rows = documents() + [(500 + i, "\n".join([prosy(60), *[boiler] * (i < 15), prosy(20)]), "x", f"s{i % 12}", 7) for i in range(40)]
+    df = spark.createDataFrame([(i, t, g, s or "none", n) for i, t, g, s, n in rows], DOC).selectExpr("*", "'mine' AS kept", "1 AS n_words", "'z' AS _hits", "2 AS passes", "'y' AS _row")
     df.write.parquet(str(tmp_path / "documents.parquet"))
     docs, kept = spark.read.parquet(str(tmp_path / "documents.parquet")), []
     columns = docs.columns
     for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
         stage(spark, docs, str(tmp_path)).write.parquet(str(tmp_path / f"{i}"))
-        before, docs = docs, spark.read.parquet(str(tmp_path / f"{i}"))
+        docs = spark.read.parquet(str(tmp_path / f"{i}"))
         kept.append(docs)
         if i < 4:
-            assert docs.columns == columns and {r[0] for r in docs.select("kept").collect()} == {"mine"}
-    ids = [[r["doc_id"] for r in d.select("doc_id").collect()] for d in kept]
-    assert set(ids[0]) >= set(range(500, 530)) and sorted(ids[0]) == sorted(ids[1])
-    stay = {i for i, (_, c) in brute([(r["doc_id"], r["text"]) for r in kept[1].collect()]).items() if i == c}
-    assert sorted(ids[2]) == sorted(stay)
-    assert set(ids[3]) <= stay and len(ids[3]) > len(set(ids[3]))
-    total = kept[4].agg(F.sum("length")).first()[0]
-    assert total == packing.tokenise(kept[3]).agg(F.sum("length")).first()[0]
-    none = docs.limit(0)
+            assert docs.columns == columns and {tuple(r) for r in docs.select("kept", "passes", "_row").collect()} == {("mine", 2, "y")}
+    text = [{r["doc_id"]: r["text"] for r in d.select("doc_id", "text").collect()} for d in kept[:4]]
+    source = {i: s or "none" for i, _, _, s, _ in rows}
+    # 1: the verdicts of the same rules and rounds in SQL; texts as they were
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    names = [c[0] for c in con.execute(quality.oracle_op6()).description]
+    verdict = {r[names.index("doc_id")]: r[names.index("kept")] for r in con.execute(quality.oracle_op6()).fetchall()}
+    assert set(text[0]) == {i for i, k in verdict.items() if k} and 0 < len(text[0]) < len(rows)
+    assert text[0] == {i: t for i, t, *_ in rows if i in text[0]} and set(text[0]) >= set(range(500, 540))
+    # 2: each line
+    assert text[1] == deduped([(i, t, source[i]) for i, t in text[0].items()]) != text[0]
+    assert all(r["n_chars"] == len(r["text"] or "") for r in kept[1].collect() if text[0][r["doc_id"]] != r["text"])
+    # 3: one document of each group
+    stay = {i for i, (_, c) in brute(list(text[1].items())).items() if i == c}
+    assert text[2] == {i: t for i, t in text[1].items() if i in stay} and len(stay) < len(text[1])
+    # 4: words taken by source, near the targets; no document more than twice, texts unchanged
+    times = {}
+    for r in kept[3].select("doc_id").collect():
+        times[r[0]] = times.get(r[0], 0) + 1
+    words = {i: len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t in text[2].items()}
+    size, taken, most = {}, {}, {}
+    for i, n in words.items():
+        size[source[i]], most[source[i]] = size.get(source[i], 0) + n, max(n, most.get(source[i], 0))
+        taken[source[i]] = taken.get(source[i], 0) + n * times.get(i, 0)
+    goal = dict(zip(sorted(size), mixing.targets([size[s] for s in sorted(size)], [(5, 2, 1)[k % 3] for k in range(len(size))])))
+    assert all(abs(taken[s] - goal[s]) <= most[s] for s in size) and max(times.values()) <= 2
+    assert text[3] == {i: t for i, t in text[2].items() if i in times}
+    # 5: every copy's ids, piece by piece, gapless in their sequences
+    pieces = kept[4].collect()
+    check_layout(pieces, 1024)
+    assert sum(r["length"] for r in pieces) == sum(n * len(token_ids(text[3][i])) for i, n in times.items())
+    crcs = sorted((i, k) for i, n in times.items() for k in [zlib.crc32(np.array(token_ids(text[3][i]), "<u4").tobytes())] * n if len(token_ids(text[3][i])) <= 1024)
+    assert sorted((r["doc_id"], r["ids_crc32"]) for r in pieces if len(token_ids(text[3][r["doc_id"]])) <= 1024) == crcs
     empty = spark.createDataFrame([], DOC)
     for name, stage in corpus_pipeline.STAGES:
-        assert stage(spark, empty, str(tmp_path)).collect() == none.collect() == []
+        assert stage(spark, empty, str(tmp_path)).collect() == []
+
+
+def test_pipeline_keeps_unlike_texts_of_one_id(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(2)
+    a, b, c = prose(rng, 50), prose(rng, 50), prose(rng, 50)
+    rows = [(1, a, "x", "s", 1), (1, b, "x", "s", 2), (2, a + " more", "x", "s", 3), (None, c, "x", "s", 4), (None, c, "x", "s", 5), (None, b, "x", "s", 6), (None, "", "x", "s", 7), (None, None, "x", "s", 8)]
+    out = corpus_pipeline.jaccard_join(spark, spark.createDataFrame(rows, DOC).selectExpr("*", "'p' AS _place", "'n' AS _number"), str(tmp_path))
+    got = sorted((r["doc_id"] or 0, r["text"] or "", r["_place"], r["_number"]) for r in out.collect())
+    assert got == sorted([(1, a, "p", "n"), (1, b, "p", "n"), (0, c, "p", "n"), (0, "", "p", "n"), (0, "", "p", "n")])
