@@ -8,8 +8,8 @@ from __future__ import annotations
 
 import csv
 import time
-from collections.abc import Iterable, Sequence
-from contextlib import nullcontext
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import ExitStack, contextmanager, nullcontext
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 from functools import reduce
@@ -104,6 +104,19 @@ def _after_failures(jobs: Sequence[Landed], failed: Iterable[int]) -> dict[int,
     return {i: "earlier chunk failed" for i, j in enumerate(jobs) if j.from_date > holes.get((j.extract, j.app_id), date.max)}
 
 
+@contextmanager
+def prepared(tables: Iterable[Destination], locks: Locks, now: datetime, seconds: int = 3600, force: bool = False) -> Iterator[None]:
+    """Locks all tables of a run, in the order of their names, and creates or checks each; all are given back at the end.
+
+    A table that is held or does not fit stops the run, and what was locked before it is given back.
+    """
+    with ExitStack() as stack:
+        for table in sorted(tables, key=lambda t: t.name):
+            stack.enter_context(locks.held(f"table:{table.name}", now, seconds, force))
+            table.ensure()
+        yield
+
+
 def load_wave(spark: SparkSession, jobs: Sequence[Landed], table: Destination, ledger: str, run_id: str, now: datetime, exclude: Iterable[str] = (), allow_empty: bool = False, keep_unknown: bool = False, per_day: bool = False, locks: Locks | None = None, lock_seconds: int = 3600) -> dict[int, tuple[str, int, str | None]]:
     """Loads the reports and returns (status, rows, reason) by job: success, skipped or failed.
 
@@ -111,7 +124,7 @@ def load_wave(spark: SparkSession, jobs: Sequence[Landed], table: Destination, l
     the rebuild fails all that it was to load; chunks behind a failed one of their pair are skipped. With ``locks`` the
     table is locked meanwhile; without, the caller sees to it that no other run rebuilds it.
     """
-    with locks.held(f"table:{table.name}", now, lock_seconds) if locks else nullcontext():
+    with prepared([table], locks, now, lock_seconds) if locks else nullcontext():
         table.ensure()
         begin = time.monotonic()
         _log(spark, jobs, dict.fromkeys(range(len(jobs)), ("running", 0, None)), ledger, run_id, now, None)

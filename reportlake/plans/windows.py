@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from reportlake.functions.dates import chunk_index, from_ordinal, length
+from reportlake.functions.dates import chunk_index, first_of_previous_month, from_ordinal, length
 from reportlake.operators.ledger import watermarks
 
 
@@ -31,10 +31,11 @@ def pairs_of(extracts: DataFrame, apps: DataFrame, default_exclude: Sequence[str
 
 
 def plan_jobs(extracts: DataFrame, apps: DataFrame, loads: DataFrame, today: date, default_exclude: Sequence[str] = (), **options: object) -> DataFrame:
-    """Extracts x apps x chunks: every job of a run. Start, lookback and chunk_days are columns of ``extracts``."""
+    """Extracts x apps x chunks: every job of a run. Start (null: the first of last month), lookback and chunk_days are
+    columns of ``extracts``."""
     pairs = pairs_of(extracts, apps, default_exclude)
     marks = watermarks(loads).withColumnRenamed("extract", "name")
-    windows = with_windows(pairs.join(marks, ["name", "app_id"], "left"), today, F.col("start"), F.col("lookback"), **options)
+    windows = with_windows(pairs.join(marks, ["name", "app_id"], "left"), today, F.coalesce("start", first_of_previous_month(F.lit(today))), F.col("lookback"), **options)
     return with_chunks(windows, F.col("chunk_days"))
 
 

@@ -489,11 +489,11 @@ def app_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 EXTRACTS = [
     ("click", None, None, None, True, date(2024, 1, 1), 5, 2),
-    ("signup", ["Building", "MACHINERY"], None, ["3"], None, date(2024, 1, 10), 3, 4),
+    ("signup", ["Building", "MACHINERY"], None, ["3"], None, None, 3, 4),
     ("purchase", [], ["1", "2", "3", "4", "99"], ["4", "1"], True, date(2023, 12, 28), 8, 3),
     ("error", None, None, None, False, date(2024, 1, 1), 5, 2),
 ]
-_EXTRACTS_SQL = "VALUES ('click', CAST(NULL AS VARCHAR[]), CAST(NULL AS VARCHAR[]), ['1'], DATE '2024-01-01', 5, 2), ('signup', ['building', 'machinery'], NULL, ['1', '3'], DATE '2024-01-10', 3, 4), ('purchase', NULL, ['1', '2', '3', '4', '99'], ['1', '4'], DATE '2023-12-28', 8, 3)"
+_EXTRACTS_SQL = "VALUES ('click', CAST(NULL AS VARCHAR[]), CAST(NULL AS VARCHAR[]), ['1'], DATE '2024-01-01', 5, 2), ('signup', ['building', 'machinery'], NULL, ['1', '3'], DATE '2023-12-01', 3, 4), ('purchase', NULL, ['1', '2', '3', '4', '99'], ['1', '4'], DATE '2023-12-28', 8, 3)"
 
 
 @query(f"""WITH {P_SQL}, x(name, platforms, apps, barred, start, lookback, d) AS ({_EXTRACTS_SQL}),

@@ -7,7 +7,7 @@ from datetime import date, datetime, timedelta
 import pytest
 
 from reportlake.operators import ledger
-from reportlake.operators.load import Landed, load_wave, load_waves
+from reportlake.operators.load import Landed, load_wave, load_waves, prepared
 from reportlake.operators.store import Destination
 from reportlake.plans.selection import selected
 from reportlake.plans.summary import to_json
@@ -112,6 +112,20 @@ def test_the_table_is_locked_meanwhile(spark, lake):
     assert len(state(t)) == 1 and mine.holder(f"table:{t.name}", later) is None
 
 
+def test_tables_of_a_run_are_locked_together(spark, lake):
+    t, _, folder = lake
+    other = Destination(spark, f"e{uuid.uuid4().hex}", f"file://{folder}/other")
+    mine, theirs = (ledger.Locks(spark, f"file://{folder}/locks", r, "me") for r in ("r1", "r2"))
+    with prepared([t, other], mine, NOW):
+        assert all(mine.holder(f"table:{x.name}", NOW)["run_id"] == "r1" for x in (t, other))
+        assert other.rows().count() == 0
+    assert theirs.acquire(f"table:{other.name}", NOW, 600)
+    with pytest.raises(ledger.LockHeld), prepared([t, other], mine, NOW):
+        raise AssertionError
+    assert mine.holder(f"table:{t.name}", NOW) is None
+    spark.sql(f"DROP TABLE {other.name}")
+
+
 def test_guard_by_day_and_vacuum(spark, lake):
     t, loads, folder = lake
     load_wave(spark, wave(folder, "1", "2026-09-01,US,x,c,5,,\n2026-09-02,US,x,c,6,,\n"), t, loads, "r1", NOW)
