@@ -53,12 +53,11 @@ def _distinct_drop(a: Column) -> Column:
     return F.size(a) - F.size(F.array_distinct(a))
 
 
-def _window_hashes(words: Column) -> Column:
-    """A 64-bit hash per window of five words, in order."""
-    h = F.transform(words, lambda w: F.xxhash64(w))
-    shifted = [h] + [F.slice(h, k + 1, F.greatest(F.size(h), F.lit(1))) for k in range(1, WINDOW)]
-    zipped = F.arrays_zip(*shifted)
-    return F.transform(F.slice(zipped, 1, F.greatest(F.size(h) - (WINDOW - 1), F.lit(0))), lambda x: F.xxhash64(x))
+def _window_hashes(hashes: Column) -> Column:
+    """A 64-bit hash per window of five words, in order, from the words' hashes (a column, not an expression: every window
+    looks its words up)."""
+    window = F.transform(hashes, lambda x, i: F.xxhash64(x, *[F.get(hashes, i + k) for k in range(1, WINDOW)]))
+    return F.slice(window, 1, F.greatest(F.size(hashes) - (WINDOW - 1), F.lit(0)))
 
 
 #: Up to so many different repeated windows, their places are found by membership; beyond it by sorting.
@@ -94,26 +93,27 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds MEASURES (long) to every row, in one pass."""
     t = F.coalesce(named(text), F.lit(""))
     keep = [named(c) for c in without(docs, *MEASURES)]
-    t_, w, l, g, r = fresh(docs, "_t", "_w", "_l", "_g", "_r")
+    t_, w, h, l, g, r = fresh(docs, "_t", "_w", "_h", "_l", "_g", "_r")
     out = docs.select(*keep, t.alias(t_), words_of(named(text)).alias(w))
-    has_word = lambda x: F.length(F.translate(x, GAP_CHARS, "")) > 0
-    out = out.select(*keep, t_, w, F.filter(F.split(t_, "\n"), has_word).alias(l), _window_hashes(F.col(w)).alias(g))
+    has_word = lambda x: F.btrim(x, F.lit(GAP_CHARS)) != ""
+    out = out.select(*keep, t_, w, F.filter(F.split(t_, "\n"), has_word).alias(l), F.transform(w, lambda x: F.xxhash64(x)).alias(h))
+    out = out.select(*keep, t_, w, l, _window_hashes(F.col(h)).alias(g))
     nothing = F.array().cast("array<bigint>")
     out = out.select(*keep, t_, w, l, g, F.when(_distinct_drop(F.col(g)) > 0, _repeated(F.col(g))).otherwise(nothing).alias(r))
-    bare = F.length(t_)
+    found = lambda pattern: F.regexp_count(F.col(t_), F.lit(pattern)).cast("long")
     stop = F.array(*[F.lit(w) for w in dict.fromkeys(STOP_WORDS)])
     some = F.size(r)
     repeats = F.when(some == 0, 0).when(some <= FEW, _steps(_places_of_few(F.col(g), F.col(r)))).otherwise(_steps(_places_of_many(F.col(g))))
     out = out.select(
         *keep,
         F.size(w).cast("long").alias("n_words"),
-        F.length(F.translate(t_, GAP_CHARS, "")).cast("long").alias("word_chars"),
-        (bare - F.length(F.translate(t_, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+        found(f"[{SYMBOLS}]").alias("n_symbols"),
         _distinct_drop(F.col(l)).cast("long").alias("n_dup_lines"),
         repeats.cast("long").alias("n_repeat_words"),
         F.size(l).cast("long").alias("n_lines"),
-        (bare - F.length(F.translate(t_, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))).cast("long").alias("n_upper"),
-        (bare - F.length(F.translate(t_, "!", ""))).cast("long").alias("n_shouts"),
+        found("[A-Z]").alias("n_upper"),
+        found("!").alias("n_shouts"),
         F.size(F.array_intersect(w, stop)).cast("long").alias("n_stop"),
     )
     return out

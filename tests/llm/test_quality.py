@@ -42,7 +42,7 @@ def test_extra_columns_empty_table_and_repeats(spark):
 def test_columns_of_any_name_stay(spark):
     df = spark.createDataFrame(documents(), DOC)
     plain = quality.judge(df)
-    names = "_w _l _g _t _r _row".split()
+    names = "_w _l _g _h _t _r _row".split()
     out = quality.judge(df.selectExpr("*", *[f"'my {n}' AS {n}" for n in names], "'dot' AS `a.b`"))
     assert sorted(map(str, out.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
     assert all(r[n] == f"my {n}" for r in out.collect() for n in names)
