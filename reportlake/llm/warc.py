@@ -79,16 +79,18 @@ class _Window:
     """Reads a file forward by blocks and keeps only what lies at or after a position."""
 
     def __init__(self, file, begin: int) -> None:
-        self.file, self.at, self.data, self.ended = file, begin, b"", False
+        self.file, self.at, self.data, self.ended = file, begin, bytearray(), False
         file.seek(begin)
 
     def more(self) -> bool:
         got = b"" if self.ended else self.file.read(BLOCK)
-        self.data, self.ended = self.data + got, not got
+        self.data += got  # in place: a long record is not copied for each of its blocks
+        self.ended = not got
         return bool(got)
 
     def skip(self, to: int) -> None:
-        self.data, self.at = self.data[to - self.at :], to
+        del self.data[: to - self.at]
+        self.at = to
 
 
 def scan_range(file, begin: int, end: int) -> Iterator[bytes]:
@@ -118,29 +120,31 @@ def scan_range(file, begin: int, end: int) -> Iterator[bytes]:
 def _member(w: _Window) -> tuple[bytes, int] | None:
     """The member at the window's start, inflated, and its length; None if none with a WARC header starts there.
 
-    Once a WARC header is seen, a member that breaks or ends early is an error.
+    Once a WARC header is seen, a member that breaks or ends early is an error, and what is read of it is let go.
     """
-    unpack, out, used = zlib.decompressobj(31), [], 0
+    unpack, out, begin, at = zlib.decompressobj(31), [], w.at, w.at
     checked = False
     while not unpack.eof:
-        if used >= len(w.data) and not w.more():
+        if at >= w.at + len(w.data) and not w.more():
             if checked:
-                raise ValueError(f"record at byte {w.at} is truncated")
+                raise ValueError(f"record at byte {begin} is truncated")
             return None
-        part = w.data[used : used + BLOCK]
+        part = w.data[at - w.at : at - w.at + BLOCK]
         try:
             out.append(unpack.decompress(part))
         except zlib.error as e:
             # What a part inflates to before it breaks is lost with the error, so the header is looked for anew.
             if checked or _begins(w.data[:BLOCK]):
-                raise ValueError(f"record at byte {w.at} is damaged: {e}") from e
+                raise ValueError(f"record at byte {begin} is damaged: {e}") from e
             return None
-        used += len(part) - len(unpack.unused_data)
+        at += len(part) - len(unpack.unused_data)
+        if checked:
+            w.skip(at)
         if not checked and (unpack.eof or sum(map(len, out)) >= 5):
             if not b"".join(out).startswith(b"WARC/"):
                 return None
             checked = True
-    return b"".join(out), used
+    return b"".join(out), at - begin
 
 
 def _begins(data: bytes) -> bool:
