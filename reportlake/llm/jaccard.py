@@ -56,7 +56,7 @@ AGREE = 3
 #: Documents this similar to a hub are in its group, linked or not.
 LOOSE = 0.4
 #: Tokens on either side of a block in which groups are opened; a longer document is a block by itself.
-BLOCK = 40_000
+BLOCK = 16_000
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 MIX, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 SALTS = np.array([xxhash.xxh64_intdigest(bytes([k])) | 1 for k in range(HASHES)], dtype=np.uint64)
@@ -74,6 +74,11 @@ class WordHashes(dict):
 
 def tokens(text: str | None, known: WordHashes) -> np.ndarray:
     """The document's set: sorted distinct 64-bit hashes."""
+    return np.unique(shingles(text, known))
+
+
+def shingles(text: str | None, known: WordHashes) -> np.ndarray:
+    """Hashes of the document's shingles, one after the other."""
     words = (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
     n = len(words)
     if not n:
@@ -84,7 +89,7 @@ def tokens(text: str | None, known: WordHashes) -> np.ndarray:
     for k in range(1, width):
         acc = acc * MIX + h[k : n - width + 1 + k]
     acc = (acc ^ (acc >> np.uint64(29))) * MIX2 + np.uint64(width)
-    return np.unique(acc ^ (acc >> np.uint64(32)))
+    return acc ^ (acc >> np.uint64(32))
 
 
 def prefix_length(n: int) -> int:
@@ -108,7 +113,7 @@ def common_tokens(docs: DataFrame, scratch: Scratch) -> np.ndarray:
 
         for batch in batches:
             for v in batch.column(1):
-                got.append(tokens(v.as_py(), known))
+                got.append(shingles(v.as_py(), known))  # a repeat in one document counts again, which does no harm here
                 size += len(got[-1])
                 if len(got) >= COUNTED or size >= 500 * COUNTED:  # some 30 MB of hashes at most
                     yield often()
