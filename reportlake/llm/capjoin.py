@@ -275,10 +275,12 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     # Single precision travels as such; cosines are computed in double from the same values.
     single = vectors.schema[vector].dataType.simpleString() == "array<float>"
     v = F.col(vector) if single else F.col(vector).cast("array<double>")
+    x_type = "float" if single else "double"
     good = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists(v, lambda x: x != 0)
     usable = F.coalesce(good, F.lit(False)) & F.col(label).isNotNull() & F.col(key).isNotNull()
-    # -0.0 + 0.0 is 0.0, so that equal vectors have equal text.
-    mark = F.md5(F.concat_ws("/", F.col(label).cast("string"), F.transform(v, lambda x: x + F.lit(0.0)).cast("string")))
+    # -0.0 + 0.0 is 0.0, so that equal vectors have equal marks; of 128 bits, and the dimensions count.
+    plain = F.transform(v, lambda x: x + F.lit(0.0).cast(x_type))
+    mark = F.concat_ws("/", *[F.xxhash64(F.lit(k), F.col(label), F.size(v), plain).cast("string") for k in (1, 2)])
     rows = vectors.select(F.col(key).cast("long").alias("vec_id"), F.col(label).cast("long").alias("label"), v.alias("v"), F.when(usable, mark).alias("mark"))
     rows = scratch.save(rows, "rows")
     same = rows.where("mark IS NOT NULL").groupBy("mark").agg(F.min("vec_id").alias("id"), F.count("*").alias("weight"), F.first("label").alias("label"), F.first("v").alias("v"))
