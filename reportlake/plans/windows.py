@@ -73,12 +73,21 @@ def waves(jobs: DataFrame) -> DataFrame:
     return jobs.groupBy("wave").agg(F.count("*").alias("jobs"), F.count_if("is_long").alias("long_jobs"), F.min("from_date").alias("from_date"), F.max("to_date").alias("to_date"))
 
 
-def paced(jobs: DataFrame, interval_seconds: int, app_budget: int) -> DataFrame:
-    """Adds the earliest second of dispatch (one call per key and interval) and whether the app's long budget holds it."""
+def paced(jobs: DataFrame, interval_seconds: int, app_budget: int, account_budget: int | None = None, reserve: int = 0) -> DataFrame:
+    """Adds the earliest second of dispatch (one call per key and interval) and whether the long budgets hold it: the
+    app's, and the account's without its ``reserve``. Waves come first, then extracts and apps by name."""
     key = W.partitionBy("app_id", "report_type").orderBy("wave", "extract")
     app = W.partitionBy("app_id", "is_long").orderBy("wave", "extract", "report_type")
     nth = F.row_number().over(app)
-    return jobs.withColumns({"not_before": (F.row_number().over(key) - 1) * interval_seconds, "in_budget": ~F.col("is_long") | (nth <= app_budget)})
+    out = jobs.withColumns({"not_before": (F.row_number().over(key) - 1) * interval_seconds, "in_budget": ~F.col("is_long") | (nth <= app_budget)})
+    if account_budget is None:
+        return out
+    # Ranks over the whole account: within each wave, behind all long calls of the waves before (a row a wave).
+    before = F.coalesce(F.sum("n").over(W.orderBy("wave").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    waves_ = jobs.groupBy("wave").agg(F.count_if("is_long").alias("n")).select("wave", before.alias("_before"))
+    nth = F.col("_before") + F.row_number().over(W.partitionBy("wave", "is_long").orderBy("extract", "app_id", "report_type"))
+    held = ~F.col("is_long") | (nth <= account_budget - reserve)
+    return out.join(waves_, "wave").withColumn("in_budget", F.col("in_budget") & held).drop("_before")
 
 
 def estimate(jobs: DataFrame, interval_seconds: int, seconds_per_call: int = 2) -> DataFrame:

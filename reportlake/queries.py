@@ -256,6 +256,13 @@ def paced_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.paced(_jobs(spark, sf_dir), 65, 6).select("extract", "app_id", "wave", "not_before", "in_budget")
 
 
+@query(f"""WITH {J_SQL} SELECT extract, app_id, wave, to_date - from_date + 1 < 3 OR (row_number() OVER (PARTITION BY app_id, to_date - from_date + 1 >= 3 ORDER BY wave, extract) <= 6
+  AND row_number() OVER (PARTITION BY to_date - from_date + 1 >= 3 ORDER BY wave, extract, app_id) <= 110) AS in_budget FROM j""")
+def paced_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both long budgets: of each app and, less a reserve, of the account."""
+    return windows.paced(_jobs(spark, sf_dir), 65, 6, account_budget=120, reserve=10).select("extract", "app_id", "wave", "in_budget")
+
+
 @query(f"WITH {J_SQL}, n AS (SELECT app_id, count(*) AS n FROM j GROUP BY app_id) SELECT CAST(sum(n) AS BIGINT) AS calls, max(n) AS busiest, CAST(greatest(max(n) * 65, sum(n) * 2) AS BIGINT) AS seconds FROM n")
 def plan_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.estimate(_jobs(spark, sf_dir), 65)
