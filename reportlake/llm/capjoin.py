@@ -166,9 +166,9 @@ def _caps(reps: DataFrame, n: int, threshold: float) -> DataFrame:
                     t, b = plan(n, threshold, int(d))
                     known[d] = t, codes(int(d), b)
                 caps = list_decode(_units(part.column("v")), *known[d])
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(caps, pa.list_(pa.int64()))], [*part.schema.names, "caps"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("rep", "label", "d")), pa.array(caps, pa.list_(pa.int64()))], ["rep", "label", "d", "caps"])
 
-    return reps.mapInArrow(run, f"rep long, id long, label long, d int, weight long, v {dict(reps.dtypes)['v']}, caps array<bigint>")
+    return reps.select("rep", "label", "d", "v").mapInArrow(run, "rep long, label long, d int, caps array<bigint>")
 
 
 def _verify(threshold: float):
@@ -229,7 +229,7 @@ def _links(rows: pa.Table, opens: np.ndarray, threshold: float) -> pa.RecordBatc
         p, q = x[p], y[q]
         used, back = np.unique(np.concatenate([p, q]), return_inverse=True)
         u, v = back[: len(p)], back[len(p) :]
-        fresh = ~_share(used, cap[s], caps, at)[u, v]  # the others are counted in a smaller direction
+        fresh = ~_share(used, caps, at)[u, v]  # the others are counted in a smaller direction
         p, q, u, v = p[fresh], q[fresh], u[fresh], v[fresh]
         count += _sums(p, weight[q], len(ids))
         if i[s] != j[s]:
@@ -247,9 +247,9 @@ def _sums(at: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(at, value, n).astype(np.int64)
 
 
-def _share(rows: np.ndarray, cap: int, caps: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Which of the rows exceed a common direction smaller than ``cap``."""
-    lists = [c[c < cap] for c in (caps[at[r] : at[r + 1]] for r in rows)]
+def _share(rows: np.ndarray, caps: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which of the rows exceed a common direction among those that they carry."""
+    lists = [caps[at[r] : at[r + 1]] for r in rows]
     seen, back = np.unique(np.concatenate(lists), return_inverse=True)
     have = np.zeros((len(rows), len(seen)), np.float32)
     have[np.repeat(np.arange(len(rows)), [len(c) for c in lists]), back] = 1
@@ -288,12 +288,14 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     reps = scratch.save(same.select("mark", F.monotonically_increasing_id().alias("rep"), "id", "label", F.size("v").alias("d"), "weight", "v"), "reps")
     largest = reps.groupBy("label", "d").count().agg(F.max("count")).first()[0] or 0
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=2000):
-        caps = scratch.save(_caps(reps.drop("mark"), largest, threshold), "caps")
+        caps = scratch.save(_caps(reps, largest, threshold), "caps")
         entries = caps.select("rep", "label", "d", F.explode("caps").alias("cap"))
         sizes = scratch.save(entries.groupBy("label", "d", "cap").agg(F.count("*").alias("n")).where("n > 1").withColumn("k", F.ceil(F.col("n") / BLOCK).cast("int")), "sizes")
         # Numbers alone are joined on caps; the vectors come in once, when it is known which of their caps hold others.
-        met = scratch.save(entries.join(sizes, ["label", "d", "cap"]).groupBy("rep").agg(F.collect_list(F.struct("cap", "k")).alias("met")), "met")
-        held = caps.join(met, "rep").select("*", F.inline("met")).drop("met")
+        met = scratch.save(entries.join(sizes, ["label", "d", "cap"]).groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("cap", "k"))).alias("met")), "met")
+        # With each of its caps a vector carries the smaller ones, in which its links may have been counted.
+        held = reps.drop("mark").join(met, "rep").select("*", F.posexplode("met").alias("nth", "one"))
+        held = held.select("rep", "id", "label", "d", "weight", "v", "one.cap", "one.k", F.slice(F.col("met.cap"), 1, F.col("nth")).alias("caps"))
         held = held.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("k")).cast("int"))
         # Block x meets every block y: in the group of both, the smaller number first.
         held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
