@@ -13,9 +13,13 @@ NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 DAY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 
 
+#: Unicode white space.
+SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def trimmed(c: Column) -> Column:
     """Without Unicode white space at either end."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def to_text(c: Column) -> Column:

@@ -155,3 +155,13 @@ def test_app_pages(spark, tmp_path):
     assert [r["id"] for r in apps.collect()] == ["a", "b", "c"]
     assert [r["id"] for r in pick_apps(apps, ["ANDROID"], exclude=["c"]).collect()] == ["a"]
     assert pick_apps(apps, only=["b", "zz"]).count() == 1
+
+
+def test_all_unicode_white_space_is_trimmed(spark):
+    from pyspark.sql import functions as F
+
+    from reportlake.functions.coerce import trimmed
+
+    cells = [f"{chr(c)}a{chr(c)}b{chr(c)}{chr(c)}" for c in range(0x3001) if not 0xD800 <= c < 0xE000] + ["", " 　", "x"]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cells)], "i int, c string")
+    assert df.where(trimmed(F.col("c")) != F.regexp_replace("c", r"(?U)^\s+|\s+$", "")).collect() == []
