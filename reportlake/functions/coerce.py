@@ -10,7 +10,7 @@ BLANKS = ("", "N/A")
 NULLS = ("", "N/A", "null", "None", "NULL", "-")
 #: What Python's float() takes, short of underscores, nan and infinities.
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-DAY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+DAY = r"^(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 
 
 #: Unicode white space.
@@ -33,20 +33,26 @@ def _parsed(cleaned: Column) -> Column:
     return F.when(F.abs(value) < float("inf"), value)
 
 
+def _bare(c: Column, signs: str) -> Column:
+    for s in signs:
+        c = F.replace(c, F.lit(s), F.lit(""))
+    return c
+
+
 def to_number(c: Column) -> Column:
     """A rate or an amount: separators, percent and dollar signs go, percents are not scaled; null if unreadable."""
     t = trimmed(c)
-    return F.when(~t.isin(*NULLS), _parsed(trimmed(F.regexp_replace(t, "[,%$]", ""))))
+    return F.when(~t.isin(*NULLS), _parsed(trimmed(_bare(t, ",%$"))))
 
 
 def to_count(c: Column) -> Column:
     """A non-negative whole number, cut at the point; null if unreadable, negative or over 2**63 - 1."""
     t = trimmed(c)
-    value = F.when(~t.isin(*NULLS), _parsed(F.regexp_replace(t, ",", "")))
+    value = F.when(~t.isin(*NULLS), _parsed(_bare(t, ",")))
     return F.when(value >= 0, value.try_cast("bigint"))
 
 
 def to_day(c: Column) -> Column:
     """A yyyy-MM-dd date; null for anything else, which fails the whole report."""
     t = trimmed(c)
-    return F.when(t.rlike(DAY), F.try_to_date(t, "yyyy-MM-dd"))
+    return F.when(t.rlike(DAY), t.try_cast("date"))

@@ -165,3 +165,15 @@ def test_all_unicode_white_space_is_trimmed(spark):
     cells = [f"{chr(c)}a{chr(c)}b{chr(c)}{chr(c)}" for c in range(0x3001) if not 0xD800 <= c < 0xE000] + ["", " 　", "x"]
     df = spark.createDataFrame([(i, c) for i, c in enumerate(cells)], "i int, c string")
     assert df.where(trimmed(F.col("c")) != F.regexp_replace("c", r"(?U)^\s+|\s+$", "")).collect() == []
+
+
+def test_days_are_real_dates(spark):
+    from pyspark.sql import functions as F
+
+    from reportlake.functions.coerce import to_day
+
+    good = {"2024-02-29": "2024-02-29", " 2024-12-31 ": "2024-12-31", "0001-01-01": "0001-01-01"}
+    bad = ["2023-02-29", "2024-13-01", "2024-00-10", "2024-01-32", "0000-01-01", "2024-1-1", "2024-01-01T00:00", "12024-01-01", "", None]
+    df = spark.createDataFrame([(c,) for c in [*good, *bad]], "c string")
+    got = {r["c"]: r["d"] for r in df.select("c", to_day(F.col("c")).cast("string").alias("d")).collect()}
+    assert got == good | dict.fromkeys(bad)
