@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reportlake.llm import capjoin, jaccard, linededup, mixing, packing, preference, quality, suffix, toxicity, warc
+from reportlake.llm import capjoin, jaccard, linededup, merkle, mixing, packing, preference, quality, suffix, toxicity, warc
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +28,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_line_dedup": linededup.op8_line_dedup,
         "op9_preference": preference.op9_preference,
         "op10_warc": warc.op10_warc,
+        "op11_merkle_manifest": merkle.op11_merkle_manifest,
         "pipeline": pipeline,
     }
 
@@ -41,4 +42,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_line_dedup": linededup.ORACLE,
         "op9_preference": preference.ORACLE,
         "op10_warc": warc.ORACLE,
+        "op11_merkle_manifest": merkle.oracle_op11(),
     }

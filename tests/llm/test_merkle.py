@@ -1,0 +1,113 @@
+"""The Merkle manifest against a plain tree, and its proofs."""
+
+import zlib
+from hashlib import sha256
+
+import numpy as np
+import pytest
+from corpus import DOC, documents, prose
+from oracle import DATA, assert_same
+from pyspark.sql import functions as F
+
+from reportlake.llm import merkle
+
+H = lambda s: sha256(s.encode()).hexdigest()
+
+
+def enc(v):
+    return "-" if v is None else f"{len(str(v).encode())}:{v}"
+
+
+def tree(nodes):
+    """Levels of a tree of 16, up to one node."""
+    levels = [nodes]
+    while len(levels[-1]) > 1:
+        levels.append([H("".join(levels[-1][i : i + 16])) for i in range(0, len(levels[-1]), 16)])
+    return levels
+
+
+def others(levels, i):
+    out = []
+    for level in levels[:-1]:
+        lo = i // 16 * 16
+        out.append((level[lo:i], level[i + 1 : lo + 16]))
+        i //= 16
+    return out
+
+
+def plain(rows):
+    """(doc_id, leaf, subroot, root, proof, folded) by the definition."""
+    fields = lambda r, t: "".join(map(enc, (r[0], r[3], r[2], r[4], t)))
+    lower = lambda t: t and t.translate(str.maketrans(merkle.UPPER, merkle.LOWER))
+    by = {}
+    for r in rows:
+        shown = lower(r[1]) if r[0] is not None and zlib.crc32(str(r[0]).encode()) % 5 == 0 else r[1]
+        by.setdefault(r[3], []).append((r[0] is not None, r[0] or 0, H(fields(r, r[1])), H(fields(r, shown))))
+    names = sorted(by, key=lambda s: (s is not None, (s or "").encode()))
+    trees = [tree([x[2] for x in sorted(by[s])]) for s in names]
+    top = tree([t[-1][0] for t in trees])
+    out = []
+    for k, s in enumerate(names):
+        for i, x in enumerate(sorted(by[s])):
+            path, d = others(trees[k], i) + others(top, k), x[3]
+            for a, b in path:
+                d = H("".join(a) + d + "".join(b))
+            out.append((x[1] if x[0] else None, x[2], trees[k][-1][0], top[-1][0], H("".join("".join(a + b) for a, b in path)), d))
+    return sorted(map(str, out))
+
+
+def op11(spark, rows, tmp_path):
+    spark.createDataFrame(rows, DOC).selectExpr("*", "'x' AS leaf", "1 AS idx", "2 AS g").write.parquet(f"{tmp_path}/documents.parquet")
+    return merkle.op11_merkle_manifest(spark, str(tmp_path))
+
+
+def same(spark, rows, tmp_path):
+    got = op11(spark, rows, tmp_path).collect()
+    assert sorted(str(tuple(r)[:6]) for r in got) == plain(rows)
+    assert all(r["verified"] == (r["folded_root"] == r["root"]) for r in got)
+    return got
+
+
+def test_tree_of_odd_rows(spark, tmp_path):
+    rng = __import__("random").Random(1)
+    rows = documents() + [(None, None, None, None, None), (None, "A", None, "", 0), (3, "other TEXT", "en", "s3", 1), (-7, "Ä" + prose(rng, 20_000), "de", "ß", 9)]
+    rows += [(500, "one ROW", "en", "same", 7)] * 300  # equal rows, more than a block
+    rows += [(1000 + i, f"Row {i}", "en", "hot", i) for i in range(4200)] + [(9000 + i, "", "en", f"\U0001f600{i}", 0) for i in range(40)]
+    got = same(spark, rows, tmp_path)
+    changed = {r["doc_id"] for r in got if not r["verified"]}
+    text = {r[0]: r[1] for r in rows}
+    assert 0 < len(changed) and all(zlib.crc32(str(i).encode()) % 5 == 0 and text[i] != text[i].lower() for i in changed)
+
+
+@pytest.mark.parametrize("rows", [[(1, "Ab", None, None, 2)], [(5, "X", "en", "a", 1), (6, None, "en", "b", None)]])
+def test_few_rows(spark, tmp_path, rows):
+    same(spark, rows, tmp_path)
+
+
+def test_empty_table(spark, tmp_path):
+    assert op11(spark, [], tmp_path).collect() == []
+
+
+def test_a_proof_tells_any_change(spark):
+    rows = spark.createDataFrame([(i, f"s{i % 2}", H(str(i))) for i in range(600)], "doc_id long, source string, leaf string")
+    got = merkle.manifest(rows)
+    assert got.columns == ["doc_id", "source", "leaf", "subroot", "root", "lefts", "rights"]
+    fold = lambda leaf: merkle.folded(leaf, F.col("lefts"), F.col("rights")) == F.col("root")
+    assert got.where(fold(F.col("leaf"))).count() == 600 and got.where(fold(F.sha2("leaf", 256))).isEmpty()
+    assert {len(r[0]) for r in got.select("lefts").collect()} == {4}  # three levels of 300, one of two subroots
+
+
+def test_levels_of_a_block():
+    leaves = np.array([H(str(i)) for i in range(100)], "S64").view(np.uint8).reshape(-1, 64)
+    text = lambda level: [r.tobytes().decode() for r in level]
+    assert [text(x) for x in merkle.climb(leaves, True)] == tree(text(leaves))
+    assert [len(x) for x in merkle.climb(leaves[:1], False)] == [1, 1, 1] and len(merkle.climb(leaves[:1], True)) == 1
+    levels = merkle.climb(leaves, True)
+    for i in (0, 17, 99):
+        assert list(zip(*merkle.siblings(levels, i))) == [("".join(a), "".join(b)) for a, b in others(tree(text(leaves)), i)]
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="needs the given tables")
+def test_against_sql(spark):
+    sf = str(DATA / "sf0.001")
+    assert_same(merkle.op11_merkle_manifest(spark, sf), sf, merkle.oracle_op11())
