@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reportlake.llm import capjoin, jaccard, linededup, merkle, mixing, packing, preference, quality, suffix, toxicity, warc
+from reportlake.llm import capjoin, interaction, jaccard, langid, linededup, merkle, mixing, packing, preference, quality, suffix, toxicity, warc
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_preference": preference.op9_preference,
         "op10_warc": warc.op10_warc,
         "op11_merkle_manifest": merkle.op11_merkle_manifest,
+        "op12_filter_audit": interaction.op12_filter_audit,
+        "op13_language_id": langid.op13_language_id,
         "pipeline": pipeline,
     }
 
@@ -43,4 +45,5 @@ def oracle_sql() -> dict[str, str]:
         "op9_preference": preference.ORACLE,
         "op10_warc": warc.ORACLE,
         "op11_merkle_manifest": merkle.oracle_op11(),
+        "op12_filter_audit": interaction.ORACLE,
     }
