@@ -126,15 +126,23 @@ def parsed(texts: list[bytes], parsers: list[Parser]) -> np.ndarray:
     return out
 
 
-def sample(docs: DataFrame) -> DataFrame:
-    """(lang, h, text): at most ``TEXTS`` different texts of every language, those up to ``LONGEST`` bytes first, by hash.
+def sample(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(lang, h, long, text): at most ``TEXTS`` different texts of every language, those up to ``LONGEST`` bytes first, by hash.
 
-    Only hashes and sizes are aggregated and ranked, a task's first ones of each language at a time; then the chosen texts are read.
+    Only hashes are aggregated, and only those low enough for their language's number of texts are ranked: some
+    ``4 * TEXTS`` of either length, whatever the corpus. Then the chosen texts are read.
     """
     able = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     able = able.select("lang", "text", F.xxhash64("text").alias("h"), (F.octet_length("text") > LONGEST).alias("long"))
-    place = F.row_number().over(W.partitionBy("lang").orderBy("long", "h"))
-    chosen = able.groupBy("lang", "h").agg(F.min("long").alias("long")).withColumn("k", place).where(F.col("k") <= TEXTS).select("lang", "h")
+    texts = scratch.save(able.groupBy("lang", "h").agg(F.min("long").alias("long")), "texts")
+    counts = scratch.save(texts.groupBy("lang").agg(F.count_if(~F.col("long")).alias("shorts"), F.count_if("long").alias("longs")), "counts")
+    if (many := counts.count()) > LANGUAGES:
+        raise ValueError(f"{many} languages, more than {LANGUAGES}")
+    at = F.pmod("h", F.lit(1 << 40))
+    few = lambda n: at * n < F.lit(4 * TEXTS << 40)
+    low = F.when(~F.col("long"), few(F.col("shorts"))).otherwise((F.col("shorts") < 4 * TEXTS) & few(F.col("longs")))
+    place = F.row_number().over(W.partitionBy("lang").orderBy("long", at, "h"))
+    chosen = texts.join(F.broadcast(counts), "lang").where(low).withColumn("k", place).where(F.col("k") <= TEXTS).select("lang", "h")
     # At most TEXTS rows a language: broadcast, so that the texts of the corpus stay where they are.
     return able.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h", "long").agg(F.min("text").alias("text"))
 
@@ -151,11 +159,8 @@ def learned(docs: DataFrame, scratch: Scratch) -> list[tuple[str, int, np.ndarra
         states, symbols, to = automaton(bytes(whole))
         return pa.table({"lang": rows.column("lang")[:1], "n": pa.array([len(whole)], pa.int64()), "states": [states.tobytes()], "symbols": [symbols.tobytes()], "to": [to.tobytes()]})
 
-    built = sample(docs).groupBy("lang").applyInArrow(build, "lang string, n long, states binary, symbols binary, to binary")
-    built = scratch.save(built, "automata").where("n > 0")
-    if (many := built.count()) > LANGUAGES:
-        raise ValueError(f"{many} languages, more than {LANGUAGES}")
-    rows = built.orderBy("lang").collect()
+    built = sample(docs, scratch).groupBy("lang").applyInArrow(build, "lang string, n long, states binary, symbols binary, to binary")
+    rows = scratch.save(built, "automata").where("n > 0").orderBy("lang").collect()
     return [(r["lang"], r["n"], np.frombuffer(r["states"], np.int32), np.frombuffer(r["symbols"], np.uint8), np.frombuffer(r["to"], np.int32)) for r in rows]
 
 
