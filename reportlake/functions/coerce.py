@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Cells that mean nothing. A dimension keeps the words None, null and - as they are.
-BLANKS = ("", "N/A")
-NULLS = ("", "N/A", "null", "None", "NULL", "-")
+# Fixed value: the cell that means nothing. A dimension keeps the words None, null and - as they are.
+EMPTY_MARK = "^N/A$"
 #: What Python's float() takes, short of underscores, nan and infinities.
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+#: The same, but a minus only before zero. No marker of a null (N/A, null, None, NULL, -) matches either.
+COUNT = r"^(?:[+]?([0-9]+\.?[0-9]*|\.[0-9]+)|-(0+\.?0*|\.0+))([eE][+-]?[0-9]+)?$"
 DAY = r"^(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 
 
@@ -22,37 +23,31 @@ def trimmed(c: Column) -> Column:
     return F.btrim(c, F.lit(SPACES))
 
 
-def to_text(c: Column) -> Column:
-    """A dimension: trimmed; blank for null and for empty markers."""
-    t = trimmed(c)
-    return F.when(t.isNull() | t.isin(*BLANKS), "").otherwise(t)
-
-
-def _parsed(cleaned: Column) -> Column:
-    value = F.when(cleaned.rlike(NUMBER), cleaned.try_cast("double"))
-    return F.when(F.abs(value) < float("inf"), value)
-
-
 def _bare(c: Column, signs: str) -> Column:
     for s in signs:
         c = F.replace(c, F.lit(s), F.lit(""))
     return c
 
 
+# Each cell is one chain of calls without branches: Spark evaluates what a branch repeats once more for every mention.
+
+
+def to_text(c: Column) -> Column:
+    """A dimension: trimmed; blank for null and for empty markers."""
+    return F.coalesce(F.regexp_replace(trimmed(c), EMPTY_MARK, ""), F.lit(""))
+
+
 def to_number(c: Column) -> Column:
     """A rate or an amount: separators, percent and dollar signs go, percents are not scaled; null if unreadable."""
-    t = trimmed(c)
-    return F.when(~t.isin(*NULLS), _parsed(trimmed(_bare(t, ",%$"))))
+    value = F.regexp_extract(trimmed(_bare(c, ",%$")), NUMBER, 0).try_cast("double")
+    return F.get(F.filter(F.array(value), lambda v: F.abs(v) < float("inf")), F.lit(0))
 
 
 def to_count(c: Column) -> Column:
     """A non-negative whole number, cut at the point; null if unreadable, negative or over 2**63 - 1."""
-    t = trimmed(c)
-    value = F.when(~t.isin(*NULLS), _parsed(_bare(t, ",")))
-    return F.when(value >= 0, value.try_cast("bigint"))
+    return F.regexp_extract(_bare(trimmed(c), ","), COUNT, 0).try_cast("double").try_cast("bigint")
 
 
 def to_day(c: Column) -> Column:
     """A yyyy-MM-dd date; null for anything else, which fails the whole report."""
-    t = trimmed(c)
-    return F.when(t.rlike(DAY), t.try_cast("date"))
+    return F.regexp_extract(trimmed(c), DAY, 0).try_cast("date")

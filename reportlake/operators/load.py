@@ -1,37 +1,34 @@
 """Waves of landed reports into the destination: parse, guard, rebuild, then the ledger.
 
-Reports are read together, one scan for all files of equal headers, so a wave of a thousand files is a few jobs. The
+Reports are read together, one scan for all files, so a wave of a thousand files is a few jobs. The
 ledger's success rows are written after the rebuild: a crash in between pulls the days again instead of skipping them.
 """
 
 from __future__ import annotations
 
-import csv
 import time
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import ExitStack, contextmanager, nullcontext
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportlake.functions.dates import duration_ms
 from reportlake.operators.ledger import Locks, append
-from reportlake.operators.parse import Context, parse_report
+from reportlake.operators.parse import Context, parse_scan
 from reportlake.operators.rebuild import covered_days, guarded
-from reportlake.operators.store import Destination
-from reportlake.schema import LEDGER
-from reportlake.sources.headers import read_header
-from reportlake.sources.landing import CSV, first_lines
+from reportlake.operators.store import Destination, PartialRebuild
+from reportlake.schema import LEDGER, pid_of
+from reportlake.sources.scan import LEVELS, reports_at
 
 
 @dataclass(frozen=True)
 class Landed:
-    """A report that has landed, and what was asked for."""
+    """A report that has landed, and what was asked for; without a path it has not landed."""
 
-    path: str
+    path: str | None
     extract: str
     app_id: str
     report_type: str
@@ -49,50 +46,21 @@ class Landed:
 EXCERPT = 300
 
 
-def _plain(path) -> F.Column:
-    """File URIs are written with one slash or three."""
-    return F.regexp_replace(path, "^file:/+", "file:/")
+#: Why a job without a file fails.
+NOT_LANDED = "no report has landed"
 
 
-def read_wave(spark: SparkSession, jobs: Sequence[Landed], run_id: str, loaded_at: datetime, keep_unknown: bool = False) -> tuple[DataFrame, dict[int, str], list[str]]:
-    """Destination rows with ``job`` (its place in ``jobs``), errors by job, and warnings.
+def read_wave(spark: SparkSession, jobs: Sequence[Landed], run_id: str, loaded_at: datetime, keep_unknown: bool = False) -> DataFrame:
+    """Destination rows with ``job`` (its place in ``jobs``).
 
-    Of the files only the first lines are looked at beforehand. Rows carry ``_nth``, which rises with the lines of a file,
-    and ``_day``, the date's cell as it came.
+    One scan reads all files, each by its own header. Rows carry ``_nth``, their place in the file, ``_day``, the date's cell as
+    it came, and ``problem``, why a file cannot be read (its only row then).
     """
-    conf = spark._jsc.hadoopConfiguration()
-
-    def qualified(p: str) -> str:
-        path = spark._jvm.org.apache.hadoop.fs.Path(p)
-        return path.getFileSystem(conf).makeQualified(path).toString()
-
-    places = spark.createDataFrame([(i, qualified(j.path), j.extract, j.app_id, j.report_type, j.category, j.is_retargeting, j.from_date, j.to_date) for i, j in enumerate(jobs)], "job int, p string, _e string, _a string, _t string, _c string, _r boolean, _from date, _to date")
-    places = places.withColumn("p", _plain(F.col("p")))
-    heads = first_lines(spark, [j.path for j in jobs])
-    errors, groups, warnings = {}, {}, []
-    for i, j in enumerate(jobs):
-        names = next(csv.reader([heads[i].lstrip("\ufeff").rstrip("\r")]), [])
-        if not names:
-            errors[i] = "empty report"
-        else:
-            groups.setdefault((tuple(names), j.currency), []).append(i)
-    parts = []
-    for (names, currency), members in groups.items():
-        days = [k for k, h in enumerate(names) if read_header(h).column == "date"]
-        schema = ", ".join(f"c{k} string" for k in range(len(names)))
-        raw = spark.read.options(**CSV | {"header": True}).schema(schema).csv([jobs[i].path for i in members])
-        # A file is read by one task, so the numbers of its rows follow each other.
-        raw = raw.select("*", _plain(F.col("_metadata.file_path")).alias("p"), F.monotonically_increasing_id().alias("_nth"), F.col(f"c{days[-1]}" if days else "c0").alias("_day"))
-        raw = raw.join(F.broadcast(places), "p").select(*[f"c{k}" for k in range(len(names))], "_nth", "_day", *[c for c in places.columns if c != "p"])
-        context = Context(F.col("_a"), F.col("_t"), F.col("_c"), F.col("_r"), F.col("_e"), run_id, loaded_at, currency)
-        try:
-            parsed = parse_report(names, raw, context, keep_unknown=keep_unknown, carry=("job", "_from", "_to", "_nth", "_day"))
-        except ValueError as e:
-            errors |= dict.fromkeys(members, str(e))
-            continue
-        warnings += parsed.warnings
-        parts.append(parsed.all_rows)
-    return reduce(DataFrame.unionByName, parts) if parts else None, errors, warnings
+    landed = [(i, j) for i, j in enumerate(jobs) if j.path]
+    places = spark.createDataFrame([(i, j.path, j.extract, j.app_id, j.report_type, j.category, j.is_retargeting, j.from_date, j.to_date, j.currency) for i, j in landed], "job int, path string, _e string, _a string, _t string, _c string, _r boolean, _from date, _to date, _hint string")
+    scanned = reports_at(spark, [j.path for _, j in landed]).drop(*LEVELS).withColumnsRenamed({"nth": "_nth"}).withColumn("_day", F.col("date"))
+    context = Context(F.col("_a"), F.col("_t"), F.col("_c"), F.col("_r"), F.col("_e"), run_id, loaded_at)
+    return parse_scan(scanned.join(places, "path"), context, F.col("_hint"), keep_unknown, carry=("job", "_from", "_to", "_nth", "_day", "problem"))
 
 
 def _after_failures(jobs: Sequence[Landed], failed: Iterable[int]) -> dict[int, str]:
@@ -120,8 +88,8 @@ def prepared(tables: Iterable[Destination], locks: Locks, now: datetime, seconds
 def load_wave(spark: SparkSession, jobs: Sequence[Landed], table: Destination, ledger: str, run_id: str, now: datetime, exclude: Iterable[str] = (), allow_empty: bool = False, keep_unknown: bool = False, per_day: bool = False, locks: Locks | None = None, lock_seconds: int = 3600) -> dict[int, tuple[str, int, str | None]]:
     """Loads the reports and returns (status, rows, reason) by job: success, skipped or failed.
 
-    The ledger gets a row of every job before (running) and after. A report that cannot be read fails alone, an error of
-    the rebuild fails all that it was to load; chunks behind a failed one of their pair are skipped. With ``locks`` the
+    The ledger gets a row of every job before (running) and after. A report that cannot be read, or has not landed, fails
+    alone; a partition that cannot be replaced fails the jobs with days in it, an error before that all; chunks behind a failed one of their pair are skipped. With ``locks`` the
     table is locked meanwhile; without, the caller sees to it that no other run rebuilds it.
     """
     with prepared([table], locks, now, lock_seconds) if locks else nullcontext():
@@ -152,52 +120,53 @@ def load_waves(spark: SparkSession, waves: Iterable[Sequence[Landed]], table: De
 
 
 def _load(spark: SparkSession, jobs: Sequence[Landed], table: Destination, run_id: str, now: datetime, exclude: tuple[str, ...], allow_empty: bool, keep_unknown: bool, per_day: bool) -> dict[int, tuple[str, int, str | None]]:
-    rows, errors, _ = read_wave(spark, jobs, run_id, now, keep_unknown)
-    names = [f.name for f in table.schema]
-    if rows is not None:
-        rows = rows.persist()
+    rows = read_wave(spark, jobs, run_id, now, keep_unknown).persist()
     try:
-        kept: dict[int, int] = {}
-        if rows is not None:
-            inside, out = F.col("date").between(F.col("_from"), F.col("_to")), F.col("media_source").isin(*exclude)
-            bad = F.col("date").isNull()
-            first_bad = F.min_by("_day", F.when(bad, F.col("_nth")))
-            counts = rows.groupBy("job").agg(F.count_if(bad).alias("bad"), F.count_if(inside & ~out).alias("n"), (F.min(F.when(bad, F.col("_nth"))) - F.min("_nth") + 2).alias("line"), first_bad.alias("cell")).collect()
-            errors |= {r["job"]: f"row {r['line']}: {r['cell'] or ''!r} is no date ({r['bad']} such rows)" for r in counts if r["bad"]}
-            kept = {r["job"]: r["n"] for r in counts}
+        inside, out = F.col("date").between(F.col("_from"), F.col("_to")), F.col("media_source").isin(*exclude)
+        bad = F.col("date").isNull() & F.col("problem").isNull()
+        first_bad = F.when(bad, F.col("_nth"))
+        told = [F.max("problem").alias("problem"), F.count_if(bad).alias("bad"), F.count_if(inside & ~out).alias("n"), F.min(first_bad).alias("line"), F.min_by("_day", first_bad).alias("cell")]
+        counts = rows.groupBy("job").agg(*told).collect()  # a row a job
+        errors = {i: NOT_LANDED for i, j in enumerate(jobs) if not j.path}
+        errors |= {r["job"]: r["problem"] or f"row {r['line']}: {r['cell'] or ''!r} is no date ({r['bad']} such rows)" for r in counts if r["problem"] or r["bad"]}
+        kept = {r["job"]: r["n"] for r in counts}
         result = {i: ("failed", 0, e) for i, e in errors.items()}
         result |= {i: ("skipped", 0, why) for i, why in _after_failures(jobs, errors).items() if i not in errors}
         good = [i for i in range(len(jobs)) if i not in result]
         if good:
             asked = spark.createDataFrame([(jobs[i].extract, jobs[i].app_id, jobs[i].from_date, jobs[i].to_date) for i in good], "_extract string, app_id string, from_date date, to_date date")
-            if rows is None:
-                fresh = spark.createDataFrame([], table.schema)
-            else:
-                fresh = rows.where(inside & ~out & F.col("job").isin(good)).select(*names)
+            fresh = rows.where(inside & ~out & ~F.col("job").isin(list(result))).select(*[f.name for f in table.schema])
             try:
                 result |= _rebuild(jobs, good, kept, table, asked, fresh, allow_empty, per_day)
             except Exception as e:  # whatever stops the rebuild fails its jobs, whose calls are spent
                 result |= {i: ("failed", 0, f"rebuild: {e}") for i in good}
         return result
     finally:
-        if rows is not None:
-            rows.unpersist()
+        rows.unpersist()
 
 
 def _rebuild(jobs: Sequence[Landed], good: list[int], kept: dict[int, int], table: Destination, asked: DataFrame, fresh: DataFrame, allow_empty: bool, per_day: bool) -> dict[int, tuple[str, int, str | None]]:
     coverage = covered_days(asked)
     existing = table.rows(table.touched(coverage)).select("date", "_extract", "app_id")
     marked = guarded(coverage, existing, fresh, asked, per_day).persist()
+    broken: dict[int, str] = {}
     try:
         held = set() if allow_empty else {tuple(r) for r in marked.where("guarded").select("_extract", "app_id", "date").collect()}
         table.rebuild(marked.where(F.lit(allow_empty) | ~F.col("guarded")).drop("guarded"), fresh)
+    except PartialRebuild as e:  # partitions are swapped one by one: jobs of those that were are loaded
+        broken = e.failed
     finally:
         marked.unpersist()
     result = {}
     for i in good:
         j = jobs[i]
-        stuck = kept.get(i, 0) == 0 and any(e == j.extract and a == j.app_id and j.from_date <= d <= j.to_date for e, a, d in held)
-        result[i] = ("skipped", 0, "empty answer over existing rows") if stuck else ("success", kept.get(i, 0), None)
+        days = [j.from_date + timedelta(d) for d in range((j.to_date - j.from_date).days + 1)]
+        stuck = kept.get(i, 0) == 0 and any((j.extract, j.app_id, d) in held for d in days)
+        lost = next((p for p in sorted({pid_of(d, table.granularity) for d in days}) if p in broken), None)
+        if lost is not None and not stuck:
+            result[i] = ("failed", 0, f"rebuild of partition {lost}: {broken[lost]}")
+        else:
+            result[i] = ("skipped", 0, "empty answer over existing rows") if stuck else ("success", kept.get(i, 0), None)
     return result
 
 
@@ -209,5 +178,5 @@ def _log(spark: SparkSession, jobs: Sequence[Landed], result: dict[int, tuple[st
 def _entry(j: Landed, status: str, n: int, reason: str | None, run_id: str, start: datetime, end: datetime | None, calls: bool) -> tuple:
     reason = reason[:EXCERPT] if reason else None
     error, skip = (reason, None) if status == "failed" else (None, reason)
-    spent = j.api_calls if calls and status != "running" else 0
+    spent = j.api_calls if calls and j.path and status != "running" else 0
     return (run_id, j.extract, j.app_id, j.report_type, j.from_date, j.to_date, j.chunk_days, int(j.is_long), status, n, spent, None, start, end, None, error, skip, "1")

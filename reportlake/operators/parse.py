@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reportlake.functions.coerce import to_count, to_day, to_number, to_text
-from reportlake.functions.maps import event_map
+from reportlake.functions.maps import event_map, paired_map
 from reportlake.schema import COLUMN_NAMES, COUNTS, DIMENSIONS, MAPS, METRICS
-from reportlake.sources.headers import SALES, Header, read_header, report_currency, report_format
+from reportlake.sources.headers import CELLS, SALES, Header, read_header, report_currency, report_format
 
 
 @dataclass(frozen=True)
@@ -76,31 +76,48 @@ def parse_report(headers: Sequence[str], raw: DataFrame, context: Context, days:
     notes += [f"several columns for {c}" for c in by_column if sum(r.column == c and r.kind == "column" for r in read) > 1]
     if unknown:
         notes.insert(0, "unknown headers: " + ", ".join(unknown))
+    legs = {name: event_map(_legs(name, read, cells), kind) for name, kind in MAPS.items()}
+    if keep_unknown:
+        legs["extra"] = event_map([(h, to_text(c)) for h, r, c in zip(headers, read, cells) if r.kind == "unknown"], "string")
+    if "campaign" not in by_column and "campaign_name" in by_column:  # decided by the headers, not by each row
+        by_column["campaign"] = by_column["campaign_name"]
+    rows = raw.select(*_destination(by_column, legs, context, F.lit(currency)), *carry)
+    return Parsed(rows, report_format(headers), currency, unknown, notes, days, tuple(exclude))
+
+
+def _destination(cells: dict[str, Column], legs: dict[str, Column], context: Context, currency: Column) -> list[Column]:
+    """The destination's columns from text cells by column; columns without a cell are blank or null."""
     out: dict[str, Column] = {
         "app_id": F.lit(context.app_id),
-        "date": to_day(by_column["date"]),
+        "date": to_day(cells["date"]),
         "report_type": F.lit(context.report_type),
         "category": F.lit(context.category),
         "is_retargeting": F.lit(context.is_retargeting).cast("int"),
-        "currency": F.lit(currency),
+        "currency": currency,
         "_extract": F.lit(context.extract),
         "_run_id": F.lit(context.run_id),
         "_loaded_at": F.lit(context.loaded_at).cast("timestamp_ntz"),
     }
     for name in DIMENSIONS:
-        out[name] = to_text(by_column[name]) if name in by_column else F.lit("")
-    if "campaign" not in by_column:  # decided by the headers, not by each row
-        out["campaign"] = out["campaign_name"]
+        out[name] = to_text(cells[name]) if name in cells else F.lit("")
     for name in METRICS:
+        cell = cells.get(name)
         kind = "bigint" if name in COUNTS else "double"
-        cell = by_column.get(name)
         out[name] = F.lit(None).cast(kind) if cell is None else to_count(cell) if name in COUNTS else to_number(cell)
+    return [(out | legs)[c].alias(c) for c in COLUMN_NAMES]
+
+
+def parse_scan(scanned: DataFrame, context: Context, currency: Column, keep_unknown: bool = False, carry: Sequence[str] = ()) -> DataFrame:
+    """Destination rows of scanned reports (``sources.scan``), whose header each file has of its own.
+
+    ``currency`` is the hint where a report's sales headers name none or several. The context's texts may be columns.
+    """
+    legs = {}
     for name, kind in MAPS.items():
-        out[name] = event_map(_legs(name, read, cells), kind)
-    if keep_unknown:
-        out["extra"] = event_map([(h, to_text(c)) for h, r, c in zip(headers, read, cells) if r.kind == "unknown"], "string")
-    rows = raw.select(*[out[c].alias(c) for c in COLUMN_NAMES], *carry)
-    return Parsed(rows, report_format(headers), currency, unknown, notes, days, tuple(exclude))
+        read = to_text if name == "extra" else to_number if name == SALES else to_count
+        legs[name] = paired_map(F.col(name), read, kind) if name != "extra" or keep_unknown else event_map([], kind)
+    known = F.coalesce("sales_currency", currency, F.lit(""))
+    return scanned.select(*_destination({c: F.col(c) for c in CELLS}, legs, context, known), *carry)
 
 
 def _legs(column: str, read: Sequence[Header], cells: Sequence[Column]) -> list[tuple[str, Column]]:

@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,12 +18,29 @@ from reportlake.operators.rebuild import rebuilt
 from reportlake.schema import COVERAGE, DESTINATION, GRANULARITIES, SORT_KEY, partition_id, schema_problems
 
 
+#: Rows of one task of a rebuild, which it sorts, and of the file it writes.
+ROWS_PER_SLICE = 2_000_000
+
+
+def _held(rows: DataFrame) -> bool:
+    """Whether rows come from the cache already."""
+    return rows.is_cached or "InMemoryRelation" in rows._jdf.queryExecution().withCachedData().toString()
+
+
+class PartialRebuild(RuntimeError):
+    """Some partitions point to their new files (``done``), others could not be made to (``failed``: error by partition)."""
+
+    def __init__(self, done: list[tuple[int, int, int, str]], failed: dict[int, str]) -> None:
+        super().__init__("; ".join(f"partition {p}: {e}" for p, e in failed.items()))
+        self.done, self.failed = done, failed
+
+
 class Destination:
-    def __init__(self, spark: SparkSession, name: str, root: str, granularity: str = "month", schema: T.StructType = DESTINATION, day: str = "date", keys: Sequence[str] = COVERAGE, sort: Sequence[str] = SORT_KEY) -> None:
+    def __init__(self, spark: SparkSession, name: str, root: str, granularity: str = "month", schema: T.StructType = DESTINATION, day: str = "date", keys: Sequence[str] = COVERAGE, sort: Sequence[str] = SORT_KEY, rows_per_slice: int = ROWS_PER_SLICE) -> None:
         if granularity not in GRANULARITIES:
             raise ValueError(f"granularity is {' or '.join(GRANULARITIES)}, not {granularity!r}")
         self.spark, self.name, self.root, self.granularity = spark, qualified(name), root.rstrip("/"), granularity
-        self.schema, self.day, self.keys, self.sort = schema, day, tuple(keys), tuple(sort)
+        self.schema, self.day, self.keys, self.sort, self.rows_per_slice = schema, day, tuple(keys), tuple(sort), rows_per_slice
 
     def ensure(self) -> None:
         """Creates the table, or checks its columns and granularity; never alters it."""
@@ -55,38 +72,68 @@ class Destination:
     def rebuild(self, coverage: DataFrame, fresh: DataFrame) -> list[tuple[int, int, int, str]]:
         """Replaces the covered keys by ``fresh``: (partition, kept, fresh, action) of every partition touched.
 
-        Fresh rows in a partition that the coverage does not touch are an error: they would not replace anything.
+        Fresh rows in a partition that the coverage does not touch are an error: they would not replace anything. If
+        partitions cannot be pointed to their new files, the others still are, and ``PartialRebuild`` names both.
         """
-        pid = partition_id(self.day, self.granularity).alias("pid")
         touched = self.touched(coverage)
-        incoming = {r["pid"]: r["n"] for r in fresh.groupBy(pid).agg(F.count("*").alias("n")).collect()}
-        if stray := sorted(set(incoming) - set(touched)):
-            raise ValueError(f"fresh rows outside the covered partitions: {stray}")
-        if not touched:
-            return []
         names = [f.name for f in self.schema]
-        state = rebuilt(self.rows(touched).select(*names), coverage, fresh.select(*names), self.keys).drop("is_fresh").withColumn("pid", pid)
-        version = f"{self.root}/versions/{uuid.uuid4().hex}"
-        # One shuffle by partition and a few slices of the key within it; then sorted for pruning.
-        dealt = state.repartition("pid", F.pmod(F.xxhash64(self.sort[0]), F.lit(8))).sortWithinPartitions("pid", *self.sort)
-        dealt.write.partitionBy("pid").parquet(version)
-        schema = T.StructType([*self.schema.fields, T.StructField("pid", T.IntegerType())])
-        total = {r["pid"]: r["n"] for r in self.spark.read.schema(schema).parquet(version).groupBy("pid").agg(F.count("*").alias("n")).collect()}
-        here, out = self.partitions(), []
+        pid = partition_id(self.day, self.granularity).alias("pid")
+        # Read once: its rows are counted, sampled for the ranges, and written from here.
+        mine = None if _held(fresh) else fresh.persist()
+        try:
+            n = fresh.count()
+            if not touched and not n:
+                return []
+            state = rebuilt(self.rows(touched).select(*names), coverage, fresh.select(*names), self.keys).withColumn("pid", pid)
+            version = f"{self.root}/versions/{uuid.uuid4().hex}"
+            counts = self._write(state, touched, version, n + self.rows(touched).count())
+        finally:
+            if mine is not None:
+                mine.unpersist()
+        if counts["stray"]:
+            raise ValueError(f"{counts['stray']} fresh rows outside the covered partitions, the first in {counts['first']}")
+        here, done, failed = self.partitions(), [], {}
         for p in touched:
-            n = total.get(p, 0)
-            if n:
-                self.spark.sql(f"ALTER TABLE {self.name} ADD IF NOT EXISTS PARTITION (pid = {p})")
-                self.spark.sql(f"ALTER TABLE {self.name} PARTITION (pid = {p}) SET LOCATION '{version}/pid={p}'")
-                action = "replace"
-            elif p in here:
-                self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION (pid = {p})")
-                action = "drop"
-            else:
-                action = "noop"
-            out.append((p, n - incoming.get(p, 0), incoming.get(p, 0), action))
+            kept, new = counts[f"kept{p}"], counts[f"fresh{p}"]
+            action = "replace" if kept + new else "drop" if p in here else "noop"
+            try:
+                self._swap(p, action, version)
+                done.append((p, kept, new, action))
+            except Exception as e:  # one partition's failure leaves the others as they are told
+                failed[p] = str(e)
         self.spark.catalog.refreshTable(self.name)
-        return out
+        if failed:
+            raise PartialRebuild(done, failed)
+        return done
+
+    def slices(self, rows: int) -> int:
+        """Tasks, and about as many files, that rows are written by."""
+        return max(1, -(-rows // self.rows_per_slice))
+
+    def _write(self, state: DataFrame, touched: Sequence[int], version: str, rows: int) -> dict[str, int]:
+        """Writes the new state and counts it as it passes, so that nothing is read again.
+
+        It is dealt by ranges of partition and sort key, whose bounds Spark samples: an app that fills most of a
+        partition is cut at its days, sources and so on, and at last by a hash of the row.
+        """
+        plain = [f"`{f.name}`" for f in self.schema if not isinstance(f.dataType, T.MapType)]
+        by = ["pid", *self.sort, F.xxhash64(*plain)]
+        dealt = state.repartitionByRange(self.slices(rows), *by).sortWithinPartitions("pid", *self.sort)
+        fresh, stray = F.col("is_fresh"), F.col("is_fresh") & ~(F.col("pid").isin(*touched) if touched else F.lit(False))
+        counted = [F.count_if(stray).alias("stray"), F.min(F.when(stray, F.col("pid"))).alias("first")]
+        for p in touched:
+            here = F.col("pid") == p
+            counted += [F.count_if(here & ~fresh).alias(f"kept{p}"), F.count_if(here & fresh).alias(f"fresh{p}")]
+        seen = Observation()
+        dealt.observe(seen, *counted).drop("is_fresh").write.partitionBy("pid").parquet(version)
+        return seen.get
+
+    def _swap(self, p: int, action: str, version: str) -> None:
+        if action == "replace":
+            self.spark.sql(f"ALTER TABLE {self.name} ADD IF NOT EXISTS PARTITION (pid = {p})")
+            self.spark.sql(f"ALTER TABLE {self.name} PARTITION (pid = {p}) SET LOCATION '{version}/pid={p}'")
+        elif action == "drop":
+            self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION (pid = {p})")
 
     def vacuum(self) -> int:
         """Deletes the version folders that no partition points to, and says how many; run it when no query reads them."""

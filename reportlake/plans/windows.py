@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from reportlake.functions.dates import chunk_index, first_of_previous_month, from_ordinal, length
+from reportlake.functions.dates import chunk_index, first_of_previous_month, from_ordinal, length, ordinal
 from reportlake.operators.ledger import watermarks
 
 
@@ -69,6 +69,20 @@ def with_chunks(windows: DataFrame, chunk_days: int | Column, long_from: int = 3
     return out.withColumns({"days": length(F.col("from_date"), F.col("to_date"))}).withColumn("is_long", F.col("days") >= long_from)
 
 
+def aligned_waves(jobs: DataFrame, chunk_days: str = "chunk_days") -> DataFrame:
+    """Jobs of unequal chunk lengths with waves by date: the chunk's last day decides, in buckets of the longest length.
+
+    Chunks of one length keep their index. A job in an earlier wave ends before every job in a later one does, so no
+    job runs before one that lies wholly before it, and a wave spans less than two of the longest chunks.
+    """
+    longest = jobs.agg(F.max(chunk_days)).first()[0]
+    if longest is None:
+        return jobs
+    # Of a chunk that the window cut short, the day at which it would have ended.
+    end = (F.floor(ordinal(F.col("from_date")) / F.col(chunk_days)) + 1) * F.col(chunk_days) - 1
+    return jobs.withColumn("wave", F.floor(end / F.lit(longest)).cast("int"))
+
+
 def waves(jobs: DataFrame) -> DataFrame:
     return jobs.groupBy("wave").agg(F.count("*").alias("jobs"), F.count_if("is_long").alias("long_jobs"), F.min("from_date").alias("from_date"), F.max("to_date").alias("to_date"))
 

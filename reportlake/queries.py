@@ -7,22 +7,24 @@ for extract definitions.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from reportlake.cluster import shared_dir
 from reportlake.functions import coerce, dates, maps
 from reportlake.operators import ledger, rebuild
+from reportlake.operators.execute import carry_out
 from reportlake.operators.load import Landed, load_waves
-from reportlake.operators.parse import Context, parse_report
+from reportlake.operators.parse import Context, parse_report, parse_scan
 from reportlake.operators.store import Destination
 from reportlake.plans import checks, selection, summary, windows
-from reportlake.schema import partition_id
-from reportlake.sources import landing
+from reportlake.schema import LEDGER, partition_id
+from reportlake.sources import landing, scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -410,12 +412,7 @@ def run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _folder(spark: SparkSession) -> str:
     """A new folder that all executors share."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if "cluster" in spark.sparkContext.master or not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="reportlake-")
-    return f"{root.rstrip('/')}/landed-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/landed-{uuid.uuid4().hex}"
 
 
 THIRDS = [(1, 10), (11, 20), (21, 31)]
@@ -430,7 +427,8 @@ def _landed(spark: SparkSession, sf_dir: str) -> tuple[str, list[list[Landed]]]:
     rows = _events(spark, sf_dir).withColumns({"job": F.concat_ws("-", "_extract", third), "amount": money("value")})
     each = rows.groupBy("job", "date", "app_id").agg(F.count("*").alias("n"), F.sum("amount").alias("v"))
     day = F.when(F.col("job") == F.lit("-".join(map(str, BROKEN))), "soon").otherwise(F.col("date").cast("string"))
-    cells = each.select("job", day.alias("Date"), F.concat(F.lit("user"), "app_id").alias("Media Source (pid)"), F.format_number("n", 0).alias("Impressions"), F.concat(F.lit("$"), F.col("v").cast("string")).alias("Total Cost"))
+    # A header cell that holds a line break stands before others, as exports have them.
+    cells = each.select("job", day.alias("Date"), F.concat(F.lit("user"), "app_id").alias("Media Source (pid)"), F.lit("x\ny").alias("My\nMetric"), F.format_number("n", 0).alias("Impressions"), F.concat(F.lit("$"), F.col("v").cast("string")).alias("Total Cost"))
     cells.repartition("job").write.partitionBy("job").option("header", True).csv(f"{folder}/reports")
     place = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/reports/job=*/part-*")
     waves: list[list[Landed]] = [[] for _ in THIRDS]
@@ -442,14 +440,22 @@ def _landed(spark: SparkSession, sf_dir: str) -> tuple[str, list[list[Landed]]]:
     return folder, [sorted(w, key=lambda j: j.extract) for w in waves]
 
 
-def _loaded(spark: SparkSession, sf_dir: str, again: bool) -> tuple[Destination, str]:
-    """The waves loaded, and if asked for the first of them once more."""
+def _kept(spark: SparkSession, table: Destination) -> DataFrame:
+    """A table's rows, written as they are, and the table dropped from the catalog: its files stay until their folder goes."""
+    path = f"{table.root}/result"
+    table.rows().write.parquet(path)
+    spark.sql(f"DROP TABLE {table.name}")
+    return spark.read.parquet(path)
+
+
+def _loaded(spark: SparkSession, sf_dir: str, again: bool) -> tuple[DataFrame, str]:
+    """The rows of the waves loaded, and if asked for of the first of them once more; and the ledger."""
     folder, waves = _landed(spark, sf_dir)
     table, now = Destination(spark, f"landed_{uuid.uuid4().hex}", f"{folder}/table"), datetime(2024, 2, 1)
     for k, part in enumerate([waves, waves[:1]] if again else [waves]):
         locks = None if again else ledger.Locks(spark, f"{folder}/locks", f"run{k}", "query")
         load_waves(spark, part, table, f"{folder}/ledger", f"run{k}", now, exclude=["user1"], locks=locks)
-    return table, f"{folder}/ledger"
+    return _kept(spark, table), f"{folder}/ledger"
 
 
 W_SQL = E_SQL + """,
@@ -460,7 +466,7 @@ w AS (SELECT _extract, app_id, date, CASE WHEN day(date) <= 10 THEN 0 WHEN day(d
 FROM w WHERE app_id <> '1' AND NOT (_extract = 'view' AND k > 0)""")
 def landed_wave(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV files loaded in waves, one of them twice: broken reports and what follows them stay out, nothing comes double."""
-    return _loaded(spark, sf_dir, again=True)[0].rows().select("_extract", "media_source", "date", "pid", "impressions", "total_cost")
+    return _loaded(spark, sf_dir, again=True)[0].select("_extract", "media_source", "date", "pid", "impressions", "total_cost")
 
 
 @query(f"""WITH {W_SQL}, j AS (SELECT _extract AS extract, k, count(*) FILTER (app_id <> '1') AS n FROM w GROUP BY ALL),
@@ -529,3 +535,96 @@ def double_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
     all_ = F.col("p_size") == 1
     extracts = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("name"), F.col("p_type").alias("table"), F.when(~all_, F.col("p_brand")).alias("media_source"), F.when(all_, F.array("p_brand", F.lit("BRAND 1"), F.lit("-"))).alias("exclude_media_sources"))
     return checks.double_owners(extracts)
+
+
+#: Apps that users stand for, and days of the month at which reports begin.
+APPS = 8
+
+
+def _land(reports: DataFrame, root: str) -> None:
+    """Writes rows with the five columns of a report and cells ``d`` (day), ``u`` (user), ``n``, ``v`` as landed CSV files."""
+    cells = reports.select(*scan.LEVELS, F.col("d").cast("string").alias("Date"), F.concat(F.lit("user"), "u").alias("Media Source (pid)"), F.lit("x\ny").alias("My\nMetric"), F.format_number("n", 0).alias("Impressions"), F.concat(F.lit("$"), F.col("v").cast("string")).alias("Total Cost"))
+    cells.repartition(*scan.LEVELS).write.partitionBy(*scan.LEVELS).option("header", True).csv(root)
+
+
+def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events by type, app, day and user: counts and amounts."""
+    rows = _events(spark, sf_dir).select(F.col("_extract").alias("extract"), F.concat(F.lit("app"), F.col("app_id").cast("long") % APPS).alias("app_id"), F.lit("daily").alias("report_type"), F.col("date").alias("d"), F.col("app_id").alias("u"), money("value").alias("v"))
+    return rows.groupBy("extract", "app_id", "report_type", "d", "u").agg(F.count("*").alias("n"), F.sum("v").alias("v"))
+
+
+A_SQL = E_SQL + f""",
+y AS (SELECT _extract AS extract, 'app' || CAST(app_id AS BIGINT) % {APPS} AS app_id, date AS d, app_id AS u, count(*) AS n, sum(CAST(value AS DECIMAL(18,2))) AS v FROM e GROUP BY ALL)"""
+
+
+@query(f"""WITH {A_SQL}, t AS (SELECT *, CASE WHEN day(d) <= 10 THEN 0 WHEN day(d) <= 20 THEN 1 ELSE 2 END AS k FROM y)
+SELECT extract, app_id, count(DISTINCT k) AS files, count(*) AS n, CAST(sum(n) AS BIGINT) AS impressions, CAST(sum(v) AS DOUBLE) AS cost, min(d) AS first_day, max(d) AS last_day
+FROM t WHERE extract IN ('click', 'purchase') AND app_id <> 'app3' AND k >= 1 GROUP BY ALL""")
+def report_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports of a type, app and third of the month, scanned with filters that only some of the files pass."""
+    root, k = _folder(spark), F.when(F.dayofmonth("d") <= 10, 0).when(F.dayofmonth("d") <= 20, 1).otherwise(2)
+    first, last = (F.array(*[F.lit(date(2024, 1, days[i])) for days in THIRDS])[k] for i in (0, 1))
+    _land(_daily(spark, sf_dir).withColumns({"from_date": first, "to_date": last}), root)
+    found = scan.landed_reports(spark, root).where("extract IN ('click', 'purchase') AND app_id <> 'app3' AND to_date >= DATE'2024-01-11'")
+    context = Context(F.col("app_id"), F.col("report_type"), "standard", False, F.col("extract"), "run", datetime(2024, 2, 1))
+    rows = parse_scan(found, context, F.lit("USD"), carry=["path"])
+    return rows.groupBy(F.col("_extract").alias("extract"), "app_id").agg(F.count_distinct("path").alias("files"), F.count("*").alias("n"), F.sum("impressions").alias("impressions"), F.sum(money("total_cost")).cast("double").alias("cost"), F.min("date").alias("first_day"), F.max("date").alias("last_day"))
+
+
+#: Extracts of a plan with unequal chunk lengths; the views are pulled by nobody.
+PLAN = [("click", 10), ("purchase", 5), ("signup", 20), ("error", 5)]
+_PLAN_SQL = "VALUES " + ", ".join(f"('{n}', {d})" for n, d in PLAN)
+#: The report that has not landed: of signups, app 2, the chunk of this day.
+GAP = ("purchase", "app2", date(2024, 1, 12))
+_ORD = "(datediff('day', DATE '1970-01-01', {}) + 719163)"
+K_SQL = f"""x(extract, c) AS ({_PLAN_SQL}), a AS (SELECT 'app' || i AS app_id, i FROM range({APPS}) r(i)),
+k AS (SELECT extract, c, app_id, i, unnest(range({_ORD.format("DATE '2024-01-01'")} // c, {_ORD.format("DATE '2024-01-31'")} // c + 1)) AS w FROM x, a),
+j AS (SELECT extract, c, app_id, i, (w * c + c - 1) // 20 AS wave, greatest(DATE '2024-01-01', CAST(DATE '1970-01-01' + CAST(w * c - 719163 AS INTEGER) AS DATE)) AS from_date,
+  least(DATE '2024-01-31', CAST(DATE '1970-01-01' + CAST(w * c + c - 1 - 719163 AS INTEGER) AS DATE)) AS to_date FROM k)"""
+
+
+def _plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extracts x apps of the events x chunks, nothing loaded so far."""
+    apps = _daily(spark, sf_dir).select(F.col("app_id").alias("id")).distinct().select("id", F.lit("web").alias("platform"), F.concat(F.lit("C"), F.substring("id", 4, 1)).alias("currency"))
+    none = "CAST(NULL AS ARRAY<STRING>)"
+    extracts = spark.createDataFrame([(n, START, 3, d) for n, d in PLAN], "name string, start date, lookback int, chunk_days int").selectExpr("*", f"{none} AS platforms", f"{none} AS apps", f"{none} AS exclude_apps", "true AS enabled")
+    return windows.plan_jobs(extracts, apps, spark.createDataFrame([], LEDGER), TODAY)
+
+
+@query(f"""WITH {A_SQL}, {K_SQL}, l AS (SELECT DISTINCT extract, app_id, d FROM y),
+s AS (SELECT j.*, CASE WHEN (extract, app_id) = ('{GAP[0]}', '{GAP[1]}') AND DATE '{GAP[2]}' BETWEEN from_date AND to_date THEN 'missing'
+  WHEN EXISTS (SELECT 1 FROM l WHERE l.extract = j.extract AND l.app_id = j.app_id AND d BETWEEN from_date AND to_date) THEN 'landed' ELSE 'missing' END AS state FROM j WHERE app_id IN (SELECT app_id FROM y)),
+h AS (SELECT *, min(CASE WHEN state = 'missing' THEN from_date END) OVER (PARTITION BY extract, app_id) AS hole FROM s),
+o AS (SELECT *, CASE WHEN state = 'missing' AND NOT coalesce(EXISTS (SELECT 1 FROM h b WHERE b.extract = h.extract AND b.app_id = h.app_id AND b.state = 'missing' AND b.wave < h.wave), false) THEN 'failed'
+  WHEN state = 'landed' AND (hole IS NULL OR from_date < hole) THEN 'success' ELSE 'skipped' END AS status FROM h)
+SELECT o.extract, o.app_id, o.from_date, o.to_date, state, status, CASE WHEN status = 'success' THEN count(d) ELSE 0 END AS rows, CASE WHEN status = 'success' THEN CAST(coalesce(sum(n), 0) AS BIGINT) ELSE 0 END AS impressions,
+  CASE WHEN status = 'success' THEN 'C' || i END AS currency FROM o LEFT JOIN y ON y.extract = o.extract AND y.app_id = o.app_id AND d BETWEEN from_date AND to_date GROUP BY o.extract, o.app_id, o.from_date, o.to_date, state, status, i
+UNION ALL SELECT 'view', app_id, DATE '2024-01-01', DATE '2024-01-31', 'unasked', NULL, NULL, 0, NULL FROM y WHERE extract = 'view' GROUP BY app_id""")
+def carried_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From plan to destination: planned jobs met with landed files, loaded in waves; a missing report holds its pair back."""
+    root, plan = _folder(spark), _plan(spark, sf_dir)
+    jobs = plan.select(F.col("name").alias("extract"), "app_id", "from_date", "to_date")
+    daily = _daily(spark, sf_dir)
+    there = daily.join(jobs, ["extract", "app_id"]).where(F.col("d").between(F.col("from_date"), F.col("to_date")))
+    there = there.where(~((F.col("extract") == GAP[0]) & (F.col("app_id") == GAP[1]) & F.lit(GAP[2]).between(F.col("from_date"), F.col("to_date"))))
+    views = daily.where("extract = 'view'").withColumns({"from_date": F.lit(START), "to_date": F.lit(TODAY)})
+    _land(there.unionByName(views), f"{root}/landing")
+    table = Destination(spark, f"carried_{uuid.uuid4().hex}", f"{root}/table")
+    told = carry_out(spark, plan, f"{root}/landing", table, f"{root}/ledger", "run", datetime(2024, 2, 1), unasked=True)
+    rows = _kept(spark, table).select(F.col("_extract").alias("extract"), "app_id", "date", "impressions", F.col("currency").alias("c"))
+    met = told.join(rows, ["extract", "app_id"], "left").groupBy("extract", "app_id", "from_date", "to_date", "state", "status", "rows")
+    mine = F.col("date").between(F.col("from_date"), F.col("to_date"))
+    return met.agg(F.coalesce(F.sum(F.when(mine, F.col("impressions"))), F.lit(0)).alias("impressions"), F.max(F.when(mine, F.col("c"))).alias("currency"))
+
+
+@query(f"""WITH {K_SQL.replace(f"range({APPS})", "range(1)")}, b AS (SELECT k AS wave, k * 20 AS a, k * 20 + 19 AS b FROM range({_ORD.format("DATE '2024-01-01'")} // 20 - 1, {_ORD.format("DATE '2024-01-31'")} // 20 + 3) r(k)),
+m AS (SELECT b.wave, j.extract, j.from_date, j.to_date FROM (SELECT *, {_ORD.format("from_date")} // c * c + c - 1 AS e FROM j) j JOIN b ON j.e BETWEEN b.a AND b.b)
+SELECT CAST(wave AS INTEGER) AS wave, count(*) AS jobs, min(from_date) AS from_date, max(to_date) AS to_date, (SELECT count(*) FROM m x JOIN m z ON x.wave < z.wave AND x.from_date > z.to_date) AS inversions FROM m GROUP BY wave""")
+def date_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Waves of chunks of 5, 10 and 20 days, ordered by date: how many jobs run before one that lies wholly before them."""
+    jobs = windows.aligned_waves(_plan(spark, sf_dir).where("app_id = 'app0'").select("name", "chunk_days", "from_date", "to_date"))
+    waves = jobs.groupBy("wave").agg(F.count("*").alias("jobs"), F.min("from_date").alias("from_date"), F.max("to_date").alias("to_date"), F.max("from_date").alias("_last"))
+    # The last day at which a job of an earlier wave begins; the window is over waves.
+    before = waves.select("wave", F.max("_last").over(W.orderBy("wave").rowsBetween(W.unboundedPreceding, -1)).alias("_before"))
+    wrong = jobs.join(before, "wave").where("_before > to_date").count()
+    return waves.drop("_last").withColumn("inversions", F.lit(wrong).cast("long"))

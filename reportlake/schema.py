@@ -5,6 +5,8 @@ Dimensions are never null (blank instead), metrics are null when missing, map co
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +44,11 @@ def partition_id(day: Column | str, granularity: str = "month") -> Column:
     return F.date_format(day, GRANULARITIES[granularity]).cast("int")
 
 
+def pid_of(day: date, granularity: str = "month") -> int:
+    """``partition_id`` of one day, on the driver."""
+    return int(f"{day.year:04d}{day.month:02d}" + (f"{day.day:02d}" if granularity == "day" else ""))
+
+
 def schema_problems(found: T.StructType, expected: T.StructType = DESTINATION) -> list[str]:
     """Missing and mistyped columns of a table; columns beyond the expected ones are fine."""
     types = {f.name: f.dataType for f in found}

@@ -33,6 +33,8 @@ KNOWN = {
     "Adgroup Name": "adgroup",
     "Adgroup Id": "adgroup_id",
 }
+#: Columns that cells are read into.
+CELLS = tuple(dict.fromkeys(KNOWN.values()))
 # The legs of an event's triple of columns.
 USERS, COUNTER, SALES = "event_unique_users", "event_counter", "event_sales"
 LEGS = (("Unique users", USERS), ("Event counter", COUNTER), ("Sales in ([A-Z]{3})", SALES))

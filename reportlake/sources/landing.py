@@ -3,47 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Reports whose first lines are read at a time.
-READERS = 16
-
-#: How reports are written: quoted cells may hold line breaks, quotes are doubled.
-CSV = {"multiLine": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "enforceSchema": True, "mode": "PERMISSIVE"}
-
+from reportlake.sources.scan import first_record, reports_at
 
 def read_report(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:
     """Headers, and all records as text columns c0, c1, ... in their order.
 
     Columns are named by place, so that repeated headers stay apart. A byte order mark goes; a file without a
-    header line is an error. Short records are filled with nulls, cells beyond the header are dropped, blank lines
+    header is an error. Short records are filled with blanks, cells beyond the header are dropped, blank lines
     are no records.
     """
-    head = spark.read.options(**CSV).csv(path).limit(1).first()  # stops after the first record
-    if head is None or not any((h or "").strip() for h in head):
+    names = spark.createDataFrame([(path,)], "p string").select(F.udf(lambda p: first_record(p), "array<string>")("p")).first()[0]
+    if not names:
         raise ValueError(f"empty report: {path}")
-    names = [(h or "").lstrip("\ufeff") for h in head]
-    schema = ", ".join(f"c{i} string" for i in range(len(names)))
-    return names, spark.read.options(**CSV | {"header": True}).schema(schema).csv(path)
-
-
-def first_lines(spark: SparkSession, paths: Sequence[str]) -> list[str]:
-    """The first line of every file (blank for an empty one), of which no more than a buffer is read."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-
-    def read(path: str) -> str:
-        place = jvm.org.apache.hadoop.fs.Path(path)
-        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(place.getFileSystem(conf).open(place), "UTF-8"))
-        try:
-            return lines.readLine() or ""
-        finally:
-            lines.close()
-
-    with ThreadPoolExecutor(READERS) as pool:
-        return list(pool.map(read, paths))
+    return names, reports_at(spark, [path], "cells").select(*[F.col("cells")[i].alias(f"c{i}") for i in range(len(names))])
 
 
 def read_app_pages(spark: SparkSession, path: str) -> DataFrame:

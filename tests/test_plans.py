@@ -4,7 +4,7 @@ from datetime import date
 
 from reportlake.plans import checks, windows
 from reportlake.schema import LEDGER
-from reportlake.sources import landing
+from reportlake.sources import landing, scan
 
 APPS = [("a1", "android", "USD"), ("a2", "iOS", None), ("a3", "Android", "EUR"), ("a4", None, "EUR")]
 EXTRACT = "name string, platforms array<string>, apps array<string>, exclude_apps array<string>, enabled boolean, start date, lookback int, chunk_days int"
@@ -50,7 +50,8 @@ def test_apps_by_table_or_list(spark):
     assert sorted((r["app_id"], r["currency"]) for r in landing.with_currency(jobs, apps(spark)).collect()) == [("a1", "USD"), ("a2", ""), ("zz", "")]
 
 
-def test_first_lines(spark, tmp_path):
-    for name, body in (("a", "x,y\n1,2\n"), ("b", ""), ("c", "ä,\"b\nc\"\n")):
-        (tmp_path / name).write_text(body)
-    assert landing.first_lines(spark, [f"file://{tmp_path}/{n}" for n in "abc"]) == ["x,y", "", 'ä,"b']
+def test_first_record(tmp_path):
+    bodies = {"a": b"x,y\n1,2\n", "b": b"", "c": 'ä,"b\nc"\n'.encode(), "d": b"\xef\xbb\xbf\n  \nx\n", "e": b"one", "f": b"\xff,y"}
+    for name, body in bodies.items():
+        (tmp_path / name).write_bytes(body)
+    assert [scan.first_record(f"file://{tmp_path}/{n}") for n in bodies] == [["x", "y"], [], ["ä", "b\nc"], ["x"], ["one"], ["\ufffd", "y"]]
