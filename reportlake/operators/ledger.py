@@ -1,18 +1,18 @@
-"""The load ledger (append only) and the locks (latest row per key holds), read by Spark."""
+"""The load ledger (append only) and rows of locks (the latest of a key holds), read by Spark."""
 
 from __future__ import annotations
 
 import secrets
-import time
-from contextlib import contextmanager
-from datetime import datetime, timedelta
-from typing import Any
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from reportlake.schema import LEDGER, LOCKS
+from reportlake.operators.locks import LockHeld, Locks
+from reportlake.schema import LEDGER
+
+__all__ = ["LockHeld", "Locks", "active_locks", "append", "contiguous_watermarks", "ensure", "latest", "long_calls", "new_run_id", "read_loads", "recent", "watermarks"]
 
 
 def watermarks(loads: DataFrame) -> DataFrame:
@@ -71,57 +71,3 @@ def read_loads(spark: SparkSession, path: str) -> DataFrame:
 def new_run_id(now: datetime) -> str:
     """Sorts by time; six random hexadecimal digits tell runs of one second apart."""
     return f"{now:%Y%m%dT%H%M%SZ}-{secrets.token_hex(3)}"
-
-
-class LockHeld(RuntimeError):
-    """Another run holds the lock."""
-
-
-class Locks:
-    """Advisory locks in an append-only folder: write, then confirm by reading back who came last."""
-
-    def __init__(self, spark: SparkSession, path: str, run_id: str, owner: str) -> None:
-        self.spark, self.path, self.run_id, self.owner = spark, path, run_id, owner
-        ensure(spark, path, LOCKS)
-
-    def rows(self) -> DataFrame:
-        return self.spark.read.schema(LOCKS).parquet(self.path)
-
-    def _write(self, key: str, status: str, now: datetime, timeout: int) -> None:
-        # Always behind what is there, so that the order of rows is that of the writes.
-        last = self.rows().where(F.col("lock_key") == key).agg(F.max("updated_at")).first()[0]
-        now = max(now, last + timedelta(microseconds=1)) if last else now
-        append(self.spark.createDataFrame([(key, self.run_id, status, self.owner, now, now, timeout)], LOCKS), self.path)
-
-    def holder(self, key: str, now: datetime) -> dict | None:
-        """Who holds the key, with age and staleness by the holder's own timeout."""
-        row = active_locks(self.rows().where(F.col("lock_key") == key), F.lit(now).cast("timestamp_ntz")).first()
-        return row.asDict() if row else None
-
-    def acquire(self, key: str, now: datetime, timeout: int, force: bool = False) -> bool:
-        """Takes a free or stale lock (``force``: any); False if another run holds it or came in between."""
-        held = self.holder(key, now)
-        if held and held["run_id"] != self.run_id and not held["stale"] and not force:
-            return False
-        self._write(key, "running", now, timeout)
-        return self.holder(key, now)["run_id"] == self.run_id
-
-    def release(self, key: str, now: datetime, force: bool = False) -> bool:
-        """Gives the lock back; only the run that holds it may, or anyone with ``force``. False if none was held."""
-        held = self.holder(key, now)
-        if not held or (held["run_id"] != self.run_id and not force):
-            return False
-        self._write(key, "released", now, held["timeout_seconds"])
-        return True
-
-    @contextmanager
-    def held(self, key: str, now: datetime, timeout: int, force: bool = False) -> Any:
-        """Holds the lock inside; an error if another run has it. It is given back whatever happens inside."""
-        if not self.acquire(key, now, timeout, force):
-            holder = self.holder(key, now) or {}
-            raise LockHeld(f"{key} is held by run {holder.get('run_id')} of {holder.get('owner')} for {holder.get('age_seconds')} seconds")
-        begin = time.monotonic()
-        try:
-            yield
-        finally:
-            self.release(key, now + timedelta(seconds=time.monotonic() - begin))

@@ -1,0 +1,196 @@
+"""Plans met with landed files, outcomes per partition, slices by size, waves by date."""
+
+import statistics
+import uuid
+from datetime import date, datetime, timedelta
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from reportlake.operators import ledger
+from reportlake.operators.execute import carry_out, jobs_of, matched
+from reportlake.operators.load import Landed, load_wave
+from reportlake.operators.store import Destination, PartialRebuild
+from reportlake.plans import windows
+from reportlake.sources import scan
+from test_scan import land
+
+NOW = datetime(2026, 10, 5, 8)
+ROW = "date date, _extract string, app_id string, media_source string, n bigint"
+D = date.fromisoformat
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    t = Destination(spark, f"x{uuid.uuid4().hex}", f"file://{tmp_path}/dest")
+    yield t
+    spark.sql(f"DROP TABLE IF EXISTS {t.name}")
+
+
+@pytest.fixture
+def plain(spark, tmp_path):
+    t = Destination(spark, f"y{uuid.uuid4().hex}", f"file://{tmp_path}/plain", schema=StructType.fromDDL(ROW), sort=("app_id", "date", "media_source"), rows_per_slice=1000)
+    t.ensure()
+    yield t
+    spark.sql(f"DROP TABLE IF EXISTS {t.name}")
+
+
+def keys(rows):
+    return rows.select("date", "_extract", "app_id").distinct()
+
+
+def hot(spark, n=10_000):
+    """A month of which one app has 90 %."""
+    app = F.when(F.col("id") % 10 == 0, F.concat(F.lit("app"), (F.col("id") % 70).cast("string"))).otherwise("hot")
+    return spark.range(n).select(F.date_add(F.lit(D("2026-09-01")), (F.col("id") % 30).cast("int")).alias("date"), F.lit("e").alias("_extract"), app.alias("app_id"), F.concat(F.lit("s"), (F.col("id") % 7).cast("string")).alias("media_source"), F.col("id").alias("n"))
+
+
+def test_a_hot_app_is_cut(spark, plain):
+    rows = hot(spark)
+    assert plain.rebuild(keys(rows), rows) == [(202609, 0, 10_000, "replace")]
+    files = plain.rows().groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n"), F.min("app_id").alias("a"), F.max("app_id").alias("b")).collect()
+    sizes = [r["n"] for r in files]
+    assert len(sizes) == 10 and max(sizes) <= 2 * statistics.median(sizes) and sum(sizes) == 10_000
+    assert sum(r["a"] == r["b"] == "hot" for r in files) >= 7  # ranges of the sort key, not a mixture
+
+
+def test_slices_follow_the_rows(plain):
+    assert [plain.slices(n) for n in (0, 1, 1000, 1001, 10**9)] == [1, 1, 1, 2, 10**6]
+
+
+def test_rows_of_one_sort_key_are_cut(spark, plain):
+    rows = spark.range(6000).select(F.lit(D("2026-09-01")).alias("date"), F.lit("e").alias("_extract"), F.lit("a").alias("app_id"), F.lit("s").alias("media_source"), F.col("id").alias("n"))
+    plain.rebuild(keys(rows), rows)
+    sizes = [r["n"] for r in plain.rows().groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 6 and max(sizes) <= 2 * statistics.median(sizes)
+
+
+def test_fresh_is_read_once_and_counted_as_written(spark, plain):
+    rows, seen = hot(spark, 3000), spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    plain.rebuild(keys(rows), rows.mapInArrow(passed, ROW))
+    assert seen.value == 3000
+    again = rows.where("app_id <> 'hot'")
+    got = plain.rebuild(keys(again), again.mapInArrow(passed, ROW))
+    assert got == [(202609, 2700, 300, "replace")] and seen.value == 3300 and plain.rows().count() == 3000
+
+
+def test_partitions_fail_alone(spark, plain, monkeypatch):
+    rows = hot(spark, 300).withColumn("date", F.date_add("date", 15))  # two months
+    swap = plain._swap
+
+    def broken(p, *a):
+        if p == 202610:
+            raise RuntimeError("no such place")
+        swap(p, *a)
+
+    monkeypatch.setattr(plain, "_swap", broken)
+    with pytest.raises(PartialRebuild, match="202610: no such place") as e:
+        plain.rebuild(keys(rows), rows)
+    assert [d[0] for d in e.value.done] == [202609] and e.value.failed == {202610: "no such place"}
+    assert plain.partitions() == {202609}
+
+
+def job(root, extract, app, first, last, body="", **more):
+    return Landed(land(root, "Date,Clicks\n" + body, extract, app, "daily", first, last), extract, app, "daily", first, last, **more)
+
+
+def test_only_jobs_of_failed_partitions_fail(spark, table, tmp_path, monkeypatch):
+    days = [(D("2026-09-01"), D("2026-09-02")), (D("2026-09-29"), D("2026-10-02")), (D("2026-10-03"), D("2026-10-04"))]
+    jobs = [job(tmp_path, "e", f"app{k}", a, b, f"{a},1\n{b},2\n") for k, (a, b) in enumerate(days)]
+    swap = table._swap
+    monkeypatch.setattr(table, "_swap", lambda p, *a: swap(p, *a) if p == 202609 else 1 / 0)
+    loads = f"file://{tmp_path}/ledger"
+    got = load_wave(spark, jobs, table, loads, "r", NOW)
+    assert [got[k][:2] for k in range(3)] == [("success", 2), ("failed", 0), ("failed", 0)]
+    assert got[1][2] == got[2][2] == "rebuild of partition 202610: division by zero"
+    marks = ledger.watermarks(ledger.read_loads(spark, loads)).collect()
+    assert [(r["app_id"], str(r["watermark"])) for r in marks] == [("app0", "2026-09-02")]
+    monkeypatch.undo()
+    assert {r[0] for r in load_wave(spark, jobs, table, loads, "r2", NOW).values()} == {"success"}  # again puts all right
+    assert table.rows().agg(F.sum("clicks")).first()[0] == 9
+
+
+def plan_of(spark, apps=("a1", "a2"), chunk=2, start="2026-09-01", today="2026-09-08"):
+    extracts = spark.createDataFrame([("e", None, None, None, True, D(start), 2, chunk)], "name string, platforms array<string>, apps array<string>, exclude_apps array<string>, enabled boolean, start date, lookback int, chunk_days int")
+    known = spark.createDataFrame([(a, "ios", f"CU{a[-1]}") for a in apps], "id string, platform string, currency string")
+    return windows.plan_jobs(extracts, known, spark.createDataFrame([], ledger.LEDGER), D(today))
+
+
+def test_plan_to_destination(spark, table, tmp_path):
+    root, plan = tmp_path / "landing", plan_of(spark)
+    chunks = sorted({(r["from_date"], r["to_date"]) for r in plan.collect()})
+    assert len(chunks) == 4 and plan.count() == 8
+    for k, (a, b) in enumerate(chunks):
+        for app in ("a1", "a2"):
+            if (app, k) != ("a2", 1):
+                land(root, f"Date,Clicks\n{b},{k + 1}\n", "e", app, "daily", a, b)
+    land(root, f"Date,Clicks\n{chunks[0][1]},100\n", "e", "a1", "daily", *chunks[0], name="s.csv")  # written again
+    land(root, "Date\n", "e", "zz", "daily", *chunks[0])
+    land(root, "Date\n", "other", "a1", "daily", *chunks[0])
+    loads = f"file://{tmp_path}/ledger"
+    told = carry_out(spark, plan, f"file://{root}", table, loads, "r1", NOW)
+    got = {(r["app_id"], r["from_date"]): (r["state"], r["status"], r["rows"], r["reason"]) for r in told.collect()}
+    first = [c[0] for c in chunks]
+    assert {k: v[:3] for k, v in got.items()} == {
+        **{("a1", d): ("landed", "success", 1) for d in first},
+        ("a2", first[0]): ("landed", "success", 1),
+        ("a2", first[1]): ("missing", "failed", 0),
+        ("a2", first[2]): ("landed", "skipped", 0),
+        ("a2", first[3]): ("landed", "skipped", 0),
+        ("zz", first[0]): ("unasked", None, None),
+    }
+    assert got["a2", first[1]][3] == "no report has landed"
+    assert {(r["app_id"], r["currency"]) for r in table.rows().collect()} == {("a1", "CU1"), ("a2", "CU2")}
+    assert table.rows().where("app_id = 'a1'").agg(F.sum("clicks")).first()[0] == 100 + 2 + 3 + 4
+    assert ledger.read_loads(spark, loads).where("status = 'failed'").select("api_calls").first()[0] == 0
+    marks = {r["app_id"]: r["watermark"] for r in ledger.watermarks(ledger.read_loads(spark, loads)).collect()}
+    assert marks == {"a1": D("2026-09-08"), "a2": chunks[0][1]}
+    land(root, f"Date,Clicks\n{chunks[1][1]},9\n", "e", "a2", "daily", *chunks[1])
+    told = carry_out(spark, plan, f"file://{root}", table, loads, "r2", NOW, unasked=True)
+    states = {(r["extract"], r["state"]): r["n"] for r in told.groupBy("extract", "state").agg(F.count("*").alias("n")).collect()}
+    assert states == {("e", "landed"): 8, ("e", "unasked"): 1, ("other", "unasked"): 1} and told.where("status <> 'success'").isEmpty()
+
+
+def test_nothing_planned_and_nothing_landed(spark, table, tmp_path):
+    args = (f"file://{tmp_path}/none", table, f"file://{tmp_path}/ledger", "r", NOW)
+    assert carry_out(spark, plan_of(spark).where("false"), *args).collect() == []
+    got = carry_out(spark, plan_of(spark, ("a1",)), *args).collect()
+    assert [(r["state"], r["status"]) for r in got] == [("missing", "failed"), *[("missing", "skipped")] * 3]
+
+
+def test_matched_is_a_full_join(spark):
+    day = D("2026-09-01")
+    plan = spark.createDataFrame([("e", "a", "daily", day, day), ("e", "b", "daily", day, day)], "extract string, app_id string, report_type string, from_date date, to_date date")
+    files = spark.createDataFrame([("p1", "e", "a", "daily", day, day, 1, NOW), ("p0", "e", "a", "daily", day, day, 2, NOW), ("q", "e", "a", "weekly", day, day, 1, NOW)], scan.LISTING)
+    assert sorted((r["app_id"], r["report_type"], r["state"], r["path"]) for r in matched(plan, files).collect()) == [("a", "daily", "landed", "p1"), ("a", "weekly", "unasked", "q"), ("b", "daily", "missing", None)]
+
+
+def test_jobs_keep_their_category(spark):
+    plan = plan_of(spark).withColumns({"report_type": F.lit(None).cast("string"), "category": F.lit("facebook"), "is_retargeting": F.lit(True)})
+    assert {(r["extract"], r["report_type"], r["category"], r["is_retargeting"]) for r in jobs_of(plan).collect()} == {("e", "daily", "facebook", True)}
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.integers(1, 40), min_size=1, max_size=4), st.dates(date(2020, 1, 1), date(2030, 1, 1)), st.integers(0, 90))
+def test_waves_run_in_the_order_of_days(spark, lengths, first, days):
+    pairs = spark.createDataFrame([(i, n, first, first + timedelta(days)) for i, n in enumerate(lengths)], "pair int, chunk_days int, from_date date, to_date date")
+    jobs = windows.aligned_waves(windows.with_chunks(pairs, F.col("chunk_days"))).collect()
+    for x in jobs:
+        for y in jobs:
+            assert not (x["wave"] < y["wave"] and (x["from_date"] > y["to_date"] or (x["pair"] == y["pair"] and x["from_date"] > y["from_date"])))
+    spans = {}
+    for r in jobs:
+        a, b = spans.get(r["wave"], (r["from_date"], r["to_date"]))
+        spans[r["wave"]] = (min(a, r["from_date"]), max(b, r["to_date"]))
+    assert all((b - a).days + 1 < 2 * max(lengths) + (max(lengths) == 1) for a, b in spans.values())
+    if len(set(lengths)) == 1:
+        assert all(r["wave"] == r["from_date"].toordinal() // lengths[0] for r in jobs)
