@@ -50,7 +50,7 @@ class Destination:
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema)
             self.spark.sql(f"CREATE TABLE {self.name} ({columns}, pid INT) USING parquet PARTITIONED BY (pid) LOCATION '{self.root}/table' TBLPROPERTIES ('granularity' = '{self.granularity}')")
             return
-        problems = schema_problems(self.spark.table(self.name).schema, self.schema)
+        problems = schema_problems(self.spark.table(self.name).schema, self.schema, self.name)
         found = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()}
         if found.get("granularity") != self.granularity:
             problems.append(f"partitioned by {found.get('granularity')}, expected {self.granularity}")

@@ -109,3 +109,29 @@ def estimate(jobs: DataFrame, interval_seconds: int, seconds_per_call: int = 2)
     per_key = jobs.groupBy("app_id", "report_type").agg(F.count("*").alias("n"))
     out = per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("calls"), F.coalesce(F.max("n"), F.lit(0)).alias("busiest"))
     return out.withColumn("seconds", F.greatest(F.col("busiest") * interval_seconds, F.col("calls") * seconds_per_call))
+
+
+def budget_flags(jobs: DataFrame, used: DataFrame, app_budget: int, account_budget: int, reserve: int = 0) -> DataFrame:
+    """Long calls that a plan would have made at its end, against the budgets less the reserve: (app_id, calls, budget,
+    exceeds), a row for every app with long jobs and one without an app for the account.
+
+    ``used``: (app_id, calls) made so far today, the account's total in the row without an app (``ledger.long_calls``).
+    """
+    planned = jobs.where("is_long").rollup("app_id").agg(F.count("*").alias("n"), F.grouping("app_id").alias("_all"))
+    spent = used.select("app_id", F.col("calls").alias("_used"))
+    met = planned.join(spent, planned["app_id"].eqNullSafe(spent["app_id"]), "left").select(planned["app_id"], "n", "_all", F.coalesce("_used", F.lit(0)).alias("_used"))
+    budget = F.when(F.col("_all") == 1, account_budget).otherwise(app_budget) - reserve
+    calls = F.col("n") + F.col("_used")
+    return met.select("app_id", calls.alias("calls"), budget.alias("budget"), (calls > budget).alias("exceeds"))
+
+
+def render(jobs: DataFrame, used: DataFrame, interval_seconds: int, app_budget: int, account_budget: int, reserve: int = 0) -> list[str]:
+    """The plan as text: extracts, budgets with EXCEEDS where one is passed, and the least time."""
+    name = "name" if "name" in jobs.columns else "extract"
+    by = jobs.groupBy(name).agg(F.count_distinct("app_id").alias("apps"), F.min("from_date").alias("a"), F.max("to_date").alias("b"), F.count("*").alias("n"), F.count_if("is_long").alias("l"))
+    lines = [f"{r[name]}: apps={r['apps']} window={r['a']}..{r['b']} chunks={r['n']} long_calls={r['l']}" for r in by.orderBy(name).collect()]
+    flags = budget_flags(jobs, used, app_budget, account_budget, reserve).orderBy(F.asc_nulls_first("app_id")).collect()
+    told = lambda r: f"{'account' if r['app_id'] is None else 'app ' + r['app_id']} long calls: {r['calls']} / {r['budget']}" + " EXCEEDS" * r["exceeds"]
+    lines += [told(r) for r in flags]
+    whole = estimate(jobs if "report_type" in jobs.columns else jobs.withColumn("report_type", F.lit("daily")), interval_seconds).first()
+    return [*lines, f"total calls: {whole['calls']} ({sum(r['calls'] for r in flags if r['app_id'] is None)} long with those made); at least {whole['seconds'] / 60:.1f} min"]

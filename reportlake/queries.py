@@ -25,6 +25,7 @@ from reportlake.operators.store import Destination
 from reportlake.plans import checks, selection, summary, windows
 from reportlake.schema import LEDGER, partition_id
 from reportlake.sources import landing, scan
+from reportlake.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -207,38 +208,41 @@ def empty_guard_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _guard(spark, sf_dir, per_day=True)
 
 
-# Cells with what they must read as: text, count, number, day.
-CELLS = ["12,000", " 12.9 ", "-3", "N/A", "None", "null", "-", "", "2.83%", "$1,204.50", "5d", "1_000", "nan", "inf", "1e3", "2026-09-01", "2026-9-1", "20260901", "2026-02-30", " x "]
-_VALUES = ", ".join(f"({i}, '{c}')" for i, c in enumerate(CELLS))
+# Amounts, rates, dates and words of the events as exports write them, a kind for every eighth.
+_V = "CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR)"
+_CELL_SQL = f"""CASE event_id % 8 WHEN 0 THEN '  $' || {_V} || ' ' WHEN 1 THEN {_V} || '%' WHEN 2 THEN CAST(event_id // 8 AS VARCHAR) || ',' || '007' WHEN 3 THEN ' N/A' WHEN 4 THEN '-' || {_V}
+  WHEN 5 THEN ' ' || event_type || ' ' WHEN 6 THEN CAST(CAST(ts AS DATE) AS VARCHAR) ELSE {_V} || 'd' END"""
 _TRIM = r"regexp_replace(cell, '^[\s\x{00A0}]+|[\s\x{00A0}]+$', '', 'g')"
 _NUM = r"'^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$'"
 
 
-@query(rf"""WITH c AS (SELECT *, {_TRIM} AS t FROM (VALUES {_VALUES}) v(id, cell)), n AS (SELECT *, t IN ('', 'N/A', 'null', 'None', 'NULL', '-') AS nil, replace(t, ',', '') AS u, regexp_replace(t, '[,%$]', '', 'g') AS f FROM c)
+@query(rf"""WITH c AS (SELECT *, {_TRIM} AS t FROM (SELECT event_id AS id, {_CELL_SQL} AS cell FROM events)), n AS (SELECT *, t IN ('', 'N/A', 'null', 'None', 'NULL', '-') AS nil, replace(t, ',', '') AS u, regexp_replace(t, '[,%$]', '', 'g') AS f FROM c)
 SELECT id, CASE WHEN t IN ('', 'N/A') THEN '' ELSE t END AS as_text,
   CASE WHEN NOT nil AND regexp_matches(u, {_NUM}) AND CAST(u AS DOUBLE) >= 0 THEN CAST(trunc(CAST(u AS DOUBLE)) AS BIGINT) END AS as_count,
   CASE WHEN NOT nil AND regexp_matches(f, {_NUM}) THEN CAST(f AS DOUBLE) END AS as_number,
   CASE WHEN regexp_matches(t, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$') THEN TRY_CAST(t AS DATE) END AS as_day FROM n""")
 def coerce_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = spark.createDataFrame(list(enumerate(CELLS)), "id int, cell string")
+    v, k = money("value").cast("string"), F.col("event_id") % 8
+    kinds = [F.concat(F.lit("  $"), v, F.lit(" ")), F.concat(v, F.lit("%")), F.concat(F.floor(F.col("event_id") / 8).cast("string"), F.lit(",007")), F.lit(" N/A"), F.concat(F.lit("-"), v), F.concat(F.lit(" "), "event_type", F.lit(" ")), F.to_date("ts").cast("string"), F.concat(v, F.lit("d"))]
+    c = F.coalesce(*[F.when(k == i, x) for i, x in enumerate(kinds)])
+    cells = read(spark, sf_dir, "events").select(F.col("event_id").alias("id"), c.alias("cell"))
     c = F.col("cell")
     return cells.select("id", coerce.to_text(c).alias("as_text"), coerce.to_count(c).alias("as_count"), coerce.to_number(c).alias("as_number"), coerce.to_day(c).alias("as_day"))
 
 
 @query("SELECT event_type, count(*) AS n, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS k_sum, max(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS k_max FROM events GROUP BY event_type")
 def props_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("long")
+    k = coerce.to_count(F.get_json_object("props", "$.k"))
     return read(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.sum(k).alias("k_sum"), F.max(k).alias("k_max"))
 
 
-SPANS = [(1, "2026-09-01", "2026-09-05"), (2, "2026-08-31", "2026-09-01"), (3, "2026-02-27", "2026-03-02"), (4, "2026-09-05", "2026-09-01")]
-
-
-@query(f"""WITH s AS (SELECT id, CAST(a AS DATE) AS a, CAST(b AS DATE) AS b FROM (VALUES {", ".join(map(str, SPANS))}) v(id, a, b)),
+@query("""WITH s AS (SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS a, CAST(CAST(o_orderdate AS DATE) + CAST(o_custkey % 12 - 2 AS INTEGER) AS DATE) AS b FROM orders),
 k AS (SELECT *, unnest(range((datediff('day', DATE '1970-01-01', a) + 719163) // 3, (datediff('day', DATE '1970-01-01', b) + 719163) // 3 + 1)) AS w FROM s WHERE a <= b)
 SELECT id, CAST(w AS INTEGER) AS wave, greatest(a, CAST(DATE '1970-01-01' + CAST(w * 3 - 719163 AS INTEGER) AS DATE)) AS from_date, least(b, CAST(DATE '1970-01-01' + CAST(w * 3 + 2 - 719163 AS INTEGER) AS DATE)) AS to_date FROM k""")
 def chunk_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spans = spark.createDataFrame(SPANS, "id int, a string, b string").select("id", F.to_date("a").alias("from_date"), F.to_date("b").alias("to_date"))
+    """Windows of up to nine days from every order's day, some the wrong way round, in chunks of three."""
+    day = F.to_date("o_orderdate")
+    spans = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), day.alias("from_date"), F.date_add(day, (F.col("o_custkey") % 12 - 2).cast("int")).alias("to_date"))
     return windows.with_chunks(spans.where("from_date <= to_date"), 3).select("id", "wave", "from_date", "to_date")
 
 
@@ -488,6 +492,16 @@ def unknown_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("campaign", extra("Part Type").alias("p_type")).agg(F.count("*").alias("n"), F.sum(extra("Size").cast("long")).alias("size"))
 
 
+PAGE = 100
+
+
+def _write_pages(items: DataFrame, folder: str, total: int) -> None:
+    """(c_custkey, item) as the JSON pages of an app list, which are told apart by their offsets."""
+    pages = items.groupBy((F.floor(F.col("c_custkey") / PAGE) * PAGE).alias("offset")).agg(F.collect_list("item").alias("data"))
+    body = F.to_json(F.struct("data", F.struct(F.lit(total).alias("total_items")).alias("meta")))
+    pages.select("offset", body.alias("value")).write.partitionBy("offset").text(folder)
+
+
 @query("""SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS platform, n_name AS currency, 'UTC' AS time_zone FROM customer JOIN nation ON c_nationkey = n_nationkey
 WHERE lower(c_mktsegment) IN ('building', 'machinery') AND c_custkey <> 5""")
 def app_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -496,9 +510,8 @@ def app_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = read(spark, sf_dir, "customer").join(nation, "c_nationkey")
     attributes = F.struct(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("platform"), "currency", F.lit("UTC").alias("time_zone"))
     item = F.struct(F.col("c_custkey").cast("string").alias("id"), attributes.alias("attributes"))
-    pages = known.groupBy(F.floor(F.col("c_custkey") / 100)).agg(F.collect_list(item).alias("data"), F.count("*").alias("n"))
     folder = _folder(spark)
-    pages.select(F.to_json(F.struct("data", F.struct(F.col("n").alias("total_items")).alias("meta"))).alias("value")).repartition(4).write.option("maxRecordsPerFile", 1).text(folder)
+    _write_pages(known.select("c_custkey", item.alias("item")), folder, known.count())
     return landing.pick_apps(landing.read_app_pages(spark, folder), ["Building", "MACHINERY"], exclude=["5"])
 
 
@@ -628,3 +641,63 @@ def date_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = waves.select("wave", F.max("_last").over(W.orderBy("wave").rowsBetween(W.unboundedPreceding, -1)).alias("_before"))
     wrong = jobs.join(before, "wave").where("_before > to_date").count()
     return waves.drop("_last").withColumn("inversions", F.lit(wrong).cast("long"))
+
+
+@query(f"""WITH p AS (SELECT c_custkey // {PAGE} * {PAGE} AS "from", count(*) AS n FROM customer GROUP BY 1)
+SELECT 'hole' AS kind, "from", "from" + {PAGE} AS "to" FROM p WHERE ("from" // {PAGE}) % 4 = 1 AND n = {PAGE} UNION ALL SELECT 'hole', "from", "from" + n FROM p WHERE ("from" // {PAGE}) % 4 = 1 AND n < {PAGE}""")
+def page_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where an app list's pages do not follow each other: every fourth page has not landed, and one came twice."""
+    known, folder = read(spark, sf_dir, "customer"), _folder(spark)
+    items = known.select("c_custkey", F.struct(F.col("c_custkey").cast("string").alias("id")).alias("item"))
+    _write_pages(items.where(F.floor(F.col("c_custkey") / PAGE) % 4 != 1), folder, known.count())
+    _write_pages(items.where(F.col("c_custkey") < PAGE), f"{folder}/again", known.count())
+    return landing.page_faults(landing.app_pages(spark, folder)).select("kind", F.col("from").cast("long").alias("from"), F.col("to").cast("long").alias("to"))
+
+
+@query(f"""WITH {E_SQL}, r AS (SELECT date, _extract, app_id, value FROM e WHERE date < DATE '2024-01-15' UNION ALL SELECT date, _extract, app_id, value * 2 FROM e WHERE date >= DATE '2024-01-15')
+SELECT date, _extract, app_id, CAST(strftime(date, '%Y%m') AS INTEGER) AS pid, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS amount FROM r GROUP BY ALL""")
+def stream_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days that land twice as a stream, stopped and restarted from its checkpoint, its last batch replayed: the last pull of a day holds, once."""
+    root, rows = _folder(spark), _events(spark, sf_dir).select(*KEYS, "event_id", "value")
+    schema = rows.schema
+    table = Destination(spark, f"stream_{uuid.uuid4().hex}", f"{root}/table", schema=schema, sort=("app_id", "date"))
+    table.ensure()
+
+    def land(part: DataFrame) -> None:
+        part.write.mode("append").parquet(f"{root}/landing")
+
+    def run() -> None:
+        incremental.rebuild_from_stream(incremental.landed(spark, f"{root}/landing", schema), table, f"{root}/checkpoint").awaitTermination()
+
+    land(rows.where("date <= DATE'2024-01-20'"))
+    run()
+    land(rows.where("date >= DATE'2024-01-15'").withColumn("value", F.col("value") * 2))
+    run()
+    incremental.forget_last_commit(spark, f"{root}/checkpoint")
+    run()
+    out = _kept(spark, table)
+    return out.groupBy(*KEYS, "pid").agg(F.count("*").alias("n"), F.sum(money("value")).cast("double").alias("amount"))
+
+
+@query(f"WITH {G_SQL} SELECT extract, app_id, status, count(*) AS n, CAST(sum(api_calls) AS BIGINT) AS calls, max(to_date) AS last FROM g GROUP BY ALL")
+def ledger_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ledger of many small files merged into one, with rows added before, between and after two merges and a sweep."""
+    path, rows = f"{_folder(spark)}/ledger", _loads(spark, sf_dir)
+    schema = rows.schema
+    parts = [rows.where(F.dayofmonth("to_date") % 3 == k) for k in range(3)]
+    parts[0].repartition(40).write.parquet(path)
+    ledger.compact(spark, path, schema)
+    parts[1].repartition(40).write.mode("append").parquet(path)
+    ledger.compact(spark, path, schema)
+    ledger.sweep(spark, path)
+    parts[2].write.mode("append").parquet(path)
+    return ledger.read_loads(spark, path, schema).groupBy("extract", "app_id", "status").agg(F.count("*").alias("n"), F.sum("api_calls").cast("long").alias("calls"), F.max("to_date").alias("last"))
+
+
+@query(f"""WITH {J_SQL}, u AS (SELECT app_id, CAST(sum(api_calls) AS BIGINT) AS calls FROM g WHERE is_long = 1 AND status <> 'running' AND started_at >= TIMESTAMP '2024-01-15' GROUP BY ROLLUP (app_id)),
+n AS (SELECT app_id, count(*) AS n, grouping(app_id) AS a FROM j WHERE to_date - from_date + 1 >= 3 GROUP BY ROLLUP (app_id))
+SELECT n.app_id, n + coalesce(calls, 0) AS calls, CASE WHEN a = 1 THEN 115 ELSE 19 END AS budget, n + coalesce(calls, 0) > CASE WHEN a = 1 THEN 115 ELSE 19 END AS exceeds FROM n LEFT JOIN u ON n.app_id IS NOT DISTINCT FROM u.app_id""")
+def plan_budgets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long calls of a plan and of the ledger against the budgets of each app and of the account."""
+    used = ledger.long_calls(_loads(spark, sf_dir), F.lit(datetime(2024, 1, 15)).cast("timestamp_ntz"))
+    return windows.budget_flags(_jobs(spark, sf_dir), used, 24, 120, reserve=5)

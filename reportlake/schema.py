@@ -11,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reportlake.functions.names import quoted
+
 # The destination's columns in their contractual order.
 DIMENSIONS = ("agency", "media_source", "campaign", "campaign_name", "campaign_id", "adset", "adset_id", "adgroup", "adgroup_id", "country")
 COUNTS = ("impressions", "clicks", "installs", "sessions", "loyal_users")
@@ -49,13 +51,20 @@ def pid_of(day: date, granularity: str = "month") -> int:
     return int(f"{day.year:04d}{day.month:02d}" + (f"{day.day:02d}" if granularity == "day" else ""))
 
 
-def schema_problems(found: T.StructType, expected: T.StructType = DESTINATION) -> list[str]:
+def alter_text(table: str, found: T.StructType, expected: T.StructType = DESTINATION) -> str | None:
+    """The statement that adds a table's missing columns; None if it has all. ``table`` is a quoted name."""
+    there = {f.name for f in found}
+    missing = [f"{f.name if f.name.isidentifier() else quoted(f.name)} {f.dataType.simpleString()}" for f in expected if f.name not in there]
+    return f"ALTER TABLE {table} ADD COLUMNS ({', '.join(missing)})" if missing else None
+
+
+def schema_problems(found: T.StructType, expected: T.StructType = DESTINATION, table: str = "t") -> list[str]:
     """Missing and mistyped columns of a table; columns beyond the expected ones are fine."""
     types = {f.name: f.dataType for f in found}
     out = []
     for f in expected:
         if f.name not in types:
-            out.append(f"missing column {f.name}: ALTER TABLE ... ADD COLUMNS ({f.name} {f.dataType.simpleString()})")
+            out.append(f"missing column {f.name}: {alter_text(table, found, T.StructType([f]))}")
         elif not _alike(types[f.name], f.dataType):
             out.append(f"column {f.name} is {types[f.name].simpleString()}, expected {f.dataType.simpleString()}")
     return out

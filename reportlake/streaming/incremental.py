@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from reportlake.files import files_at
 from reportlake.operators.store import Destination
 
 
@@ -36,3 +37,13 @@ def late_counts(events: DataFrame, time: str, key: str, window: str, lateness: s
 def landed(spark: SparkSession, path: str, schema: object) -> DataFrame:
     """A stream of the Parquet files that land in a folder."""
     return spark.readStream.schema(schema).parquet(path)
+
+
+def forget_last_commit(spark: SparkSession, checkpoint: str) -> bool:
+    """Takes back that the last batch of a stopped stream was done, so that it runs again; False if there is none."""
+    files = files_at(spark, f"{checkpoint}/commits")
+    done = sorted((n for n in files.names("") if n.isdigit()), key=int)
+    for n in done[-1:]:
+        files.delete(n)
+        files.delete(f".{n}.crc")
+    return bool(done)

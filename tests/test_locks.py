@@ -7,7 +7,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from reportlake.operators.locks import HadoopFiles, LocalFiles, LockHeld, Locks
+from reportlake.files import HadoopFiles, LocalFiles
+from reportlake.operators.locks import LockHeld, Locks
 
 T = datetime(2026, 9, 1, 8)
 at = lambda m: T + timedelta(minutes=m)

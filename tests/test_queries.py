@@ -21,3 +21,14 @@ def test_query(spark, name):
 
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
+
+
+def test_without_a_library_of_the_optional_part(tmp_path):
+    """A library that only the training-data operators need is missing: every other query is there."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = "import sys; sys.modules['reportlake.llm.queries'] = None\nimport __spark_entry__ as e\nprint(len(e.queries()), any(q.startswith('op') for q in e.queries()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parent.parent, capture_output=True, text=True, timeout=120)
+    assert out.stdout.split()[-2:] == [str(len(QUERIES)), "False"] and "left out" in out.stderr
