@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
 import uuid
 from contextlib import contextmanager
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reportlake.cluster import shared_dir, ship
+
 #: Words are maximal runs of anything but space, tab, line feed, vertical tab, form feed, carriage return.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 GAP_PATTERN = r"[\x20\x09-\x0D]+"
@@ -26,39 +24,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir; where that is unset a fresh local one, on a local master only."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        scala = spark.sparkContext._jsc.sc().getCheckpointDir()
-        found = scala.get() if scala.isDefined() else None
-    if not found:
-        if not is_local(spark):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="reportlake-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def is_local(spark: SparkSession) -> bool:
-    """Whether the driver is the only executor."""
-    master = spark.sparkContext.master
-    return master.startswith("local") and "cluster" not in master
-
-
-def ship(spark: SparkSession) -> None:
-    """Sends this package to the Python workers, once, unless they find it by PYTHONPATH or their folder anyway."""
-    root, context = Path(__file__).resolve().parents[2], spark.sparkContext
-    found = [Path(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if is_local(spark):
-        found.append(Path.cwd())  # local workers start in the driver's folder
-    if root in (p.resolve() for p in found) or getattr(context, "_reportlake_shipped", False):
-        return
-    base = os.path.join(tempfile.mkdtemp(prefix="reportlake-"), "reportlake_code")
-    context.addPyFile(shutil.make_archive(base, "zip", root, "reportlake"))
-    context._reportlake_shipped = True
-
-
 class Scratch:
     """Tables written once to the shared folder, so that a lost executor costs no recomputation of earlier steps.
 

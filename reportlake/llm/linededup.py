@@ -36,10 +36,15 @@ def line_hash(line: Column) -> Column:
     return F.xxhash64(F.btrim(line, F.lit(GAP_CHARS)))
 
 
+def _own(key: Column, text: Column) -> Column:
+    """A key for each text without an id, so that such rows are no group of their own; 0 for all others."""
+    return F.when(key.isNull(), F.xxhash64(text)).otherwise(F.lit(0).cast("long"))
+
+
 def shown_lines(docs: DataFrame, text: str, key: str, site: str) -> DataFrame:
-    """(doc, site, line) for every line that is long enough to be compared."""
-    lines = docs.select(named(key).alias("doc"), F.coalesce(named(site), F.lit("\0")).alias("site"), F.explode(F.split(named(text), "\n")).alias("l"))
-    return lines.where(n_words_of(F.col("l")) >= MIN_WORDS).select("doc", "site", line_hash(F.col("l")).alias("line"))
+    """(doc, own, site, line) for every line that is long enough to be compared; ``own`` tells rows without an id apart by their text."""
+    lines = docs.select(named(key).alias("doc"), _own(named(key), named(text)).alias("own"), F.coalesce(named(site), F.lit("\0")).alias("site"), F.explode(F.split(named(text), "\n")).alias("l"))
+    return lines.where(n_words_of(F.col("l")) >= MIN_WORDS).select("doc", "own", "site", line_hash(F.col("l")).alias("line"))
 
 
 def boilerplate(lines: DataFrame, scratch: Scratch, min_sites: int = MIN_SITES) -> DataFrame:
@@ -62,12 +67,12 @@ def remove_boilerplate(docs: DataFrame, text: str = "text", key: str = "doc_id",
     lines = scratch.save(shown_lines(docs, text, key, site), "shown")
     found = boilerplate(lines, scratch, min_sites)
     found = small(found, broadcast_lines)
-    hits = lines.join(found, "line").where(~F.col("doc").eqNullSafe(F.col("first"))).groupBy("doc").agg(F.collect_set("line").alias("_hits"))
+    hits = lines.join(found, "line").where(~F.col("doc").eqNullSafe(F.col("first"))).groupBy("doc", "own").agg(F.collect_set("line").alias("_hits"))
     hits = scratch.save(hits, "hits")
     # Always by a shuffle of the documents: a broadcast would only fit while few of them show boilerplate. The rows
     # travel as structs, so their columns may have any names.
-    rows = docs.select(named(key).alias("_key"), named(text).alias("_text"), F.struct(*[named(c) for c in columns if c != text]).alias("_row"))
-    joined = rows.join(hits.hint("merge"), F.col("_key").eqNullSafe(F.col("doc")), "left")
+    rows = docs.select(named(key).alias("_key"), _own(named(key), named(text)).alias("_own"), named(text).alias("_text"), F.struct(*[named(c) for c in columns if c != text]).alias("_row"))
+    joined = rows.join(hits.hint("merge"), F.col("_key").eqNullSafe(F.col("doc")) & (F.col("_own") == F.col("own")), "left")
     split = F.split(F.col("_text"), "\n")
     tested = F.transform(split, lambda x: F.struct(x.alias("l"), line_hash(x).alias("h"), (n_words_of(x) >= MIN_WORDS).alias("w")))
     kept = F.transform(F.filter(tested, lambda x: ~(x["w"] & F.array_contains("_hits", x["h"]))), lambda x: x["l"])

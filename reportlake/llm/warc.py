@@ -8,7 +8,8 @@ Reader: files are cut into byte ranges, one row each, dealt to tasks. A task loo
 takes a candidate as a member only if it inflates to a WARC header, owns every record that starts inside its
 range (and reads past the end to finish the last), and holds one record at a time.
 
-Null html is an empty payload; null urls are written as an empty target. Rows repeated with the same id are
+A very long payload is one record, read and inflated in blocks; a task holds it once, beside its row (up to the 2 GB of a
+JVM string). Null html is an empty payload; null urls are written as an empty target. Rows repeated with the same id are
 each written; those with the largest id of their payload are all responses. A null id is written as no id and
 read back as null; it never is a response that others refer to unless no row of the payload has an id, when all
 are responses. Empty tables give no file and no row. Extra columns are ignored.

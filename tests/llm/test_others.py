@@ -55,6 +55,32 @@ def test_counterfactuals_keep_identity_terms_neutral(spark):
     assert gap[5.0] < 0.35 * gap[0.0] and s[2] > 0.3
 
 
+def test_neutral_mentions_at_the_weight_in_use(spark):
+    """Groups that toxic texts of the sample name far more often, a quarter of these told by nothing else."""
+    rng = random.Random(5)
+    stock, bad = [prose(rng, 1) for _ in range(300)], ["vile", "scum", "filth", "vermin"]
+    groups = {"muslim": "christian", "jewish": "christian", "gay": "straight", "women": "men"}
+    rows, labels = [], []
+    for i in range(1200):
+        words, group, toxic = [rng.choice(stock) for _ in range(14)], rng.choice(list(groups)), i % 4 == 0
+        if toxic and rng.random() < 0.75:
+            words.append(rng.choice(bad))
+        words.append(group if rng.random() < (0.9 if toxic else 0.12) else groups[group])
+        rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    text = lambda *w: " ".join([rng.choice(stock) for _ in range(14)] + list(w))
+    neutral = [(k, text(list(groups)[k % 4])) for k in range(400)]
+    toxic = [(1000 + k, text(bad[k % 4], list(groups.values())[k % 4])) for k in range(200)]
+    probe, wrong, caught = spark.createDataFrame(neutral + toxic, "doc_id long, text string"), {}, {}
+    for fairness in (0.0, toxicity.FAIRNESS):
+        s = toxicity.score(probe, *toxicity.fit(docs, marks, fairness=fairness)).where(F.col("score") >= toxicity.THRESHOLD).collect()
+        wrong[fairness], caught[fairness] = sum(r["doc_id"] < 1000 for r in s), sum(r["doc_id"] >= 1000 for r in s)
+    assert wrong[0.0] > 200 and wrong[toxicity.FAIRNESS] < 40  # measured: 237 and 18 of 400
+    assert caught[toxicity.FAIRNESS] >= max(195, caught[0.0])
+
+
 def test_toxicity_edge_cases(spark):
     docs = spark.createDataFrame(documents(), DOC).selectExpr("*", "1 AS y", "'x' AS toxic")
     none = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")
@@ -113,6 +139,39 @@ def test_tree_is_exact(quotas, shards, seed):
     assert max(sizes) - min(sizes) <= shards
 
 
+def test_targets_of_a_table(spark):
+    rng = random.Random(8)
+    for sizes in ([10, 10, 10], [0, 5], [7, 100, 3, 50], [0, 0], [], [1], [rng.randrange(1, 10**12) for _ in range(40)], [2**k for k in range(30)]):
+        weights = [(5, 2, 1)[k % 3] for k in range(len(sizes))]
+        df = spark.createDataFrame(list(zip(sizes, weights)), "words long, w int")
+        left, weight = mixing.water_level(df, sum(sizes))
+        want = mixing.targets(sizes, weights)
+        assert [min(2 * n, left * w / weight) if weight else 2 * n for n, w in zip(sizes, weights)] == want
+
+
+def test_tree_of_very_many_sources(spark):
+    """100,000 sources over 1,024 shards: exact in both directions, a third of all blocks in one source, the driver sees no cell."""
+    n, shards = 100_000, 1024
+    quota = F.when(F.col("id") == 77, n).otherwise(F.col("id") % 5)
+    cells = spark.range(n).select(F.col("id").alias("_s"), quota.alias("quota"))
+    scratch = Scratch(spark, "tree")
+    tree = scratch.save(mixing.split_cells(cells, shards, 3, scratch), "tree")
+    assert tree.groupBy("_s").agg(F.sum("n").alias("n")).join(cells.where("quota > 0"), "_s", "full").where("NOT n <=> quota").isEmpty()
+    total = n + sum(k % 5 for k in range(n)) - 77 % 5
+    per = [r["n"] for r in tree.groupBy("shard").agg(F.sum("n").alias("n")).collect()]
+    assert len(per) == shards and sum(per) == total and max(per) - min(per) <= 11
+    hot = [r["n"] for r in tree.where("_s = 77").collect()]
+    assert len(hot) == shards and abs(sum(hot) / shards - n / shards) < 1e-9 and max(hot) < 1.5 * n / shards
+    again = mixing.split_cells(cells, shards, 3, Scratch(spark, "tree"))
+    assert again.exceptAll(tree).isEmpty()
+
+
+def test_levels_of_the_tree_agree_in_the_mean(spark, monkeypatch):
+    cells = spark.createDataFrame([(0, 300), (1, 100), (5000, 240)], "_s long, quota long")
+    got = [r["n"] for seed in range(12) for r in mixing.split_cells(cells, 40, seed, Scratch(spark, "tree")).where("_s = 1 AND shard < 20").collect()]
+    assert abs(sum(got) / 12 - 50) < 6
+
+
 def test_hypergeometric_mean():
     rng = np.random.default_rng(0)
     got = [mixing.hypergeometric(rng, [30, 70], 40) for _ in range(2000)]
