@@ -46,8 +46,8 @@ PERCENT = 75
 HASHES = 8
 #: Tokens that at least so many of ``COUNTED`` documents in a row share are counted for the order ...
 COMMON, COUNTED = 3, 8000
-#: Groups of a token that are paired at a time, and pairs that a task counts before it hands them on.
-PAIRED, COUNTED_PAIRS = 512, 500_000
+#: Groups of a token that are paired at a time, pairs that a task counts before it hands them on, and entries of a task.
+PAIRED, COUNTED_PAIRS, ENTRIES = 512, 500_000, 2_000_000
 #: ... and so many of the most frequent are remembered. The order decides speed only, never the result.
 REMEMBERED = 1_000_000
 BATCH = 1000
@@ -229,14 +229,17 @@ def groups(reps: DataFrame, docs: DataFrame, scratch: Scratch) -> tuple[DataFram
     return met.where(LINKED).select("a", "b"), scratch.save(member, "members")
 
 
-def matrix_pairs(entries: DataFrame) -> DataFrame:
+def matrix_pairs(entries: DataFrame, scratch: Scratch | None = None, tokens_in_all: int = 0) -> DataFrame:
     """Pairs of groups (g, h) of different components and near sizes, with how many tokens they share, from (grp, comp,
     lo, hi, head) rows; lo and hi are the sizes of the group's smallest and largest set.
 
-    Tasks pack entries by token range, each (token, group) once; the next tasks sort theirs by token and pair the
-    groups of a token. Nothing but pairs of different components is ever emitted.
+    Tasks pack entries by token range, each (token, group) once; the next tasks, of at most some ``ENTRIES`` of them, sort
+    theirs by token and pair the groups of a token. A token of more than ``PAIRED`` groups is not paired there: its groups
+    are cut into blocks, and every pair of blocks is a row of its own, dealt to any task. Nothing but pairs of different
+    components is ever emitted as a candidate.
     """
-    parts = shuffle_partitions(entries.sparkSession)
+    scratch = scratch or Scratch(entries.sparkSession, "matrix")
+    parts = max(shuffle_partitions(entries.sparkSession), -(-tokens_in_all // ENTRIES))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -280,21 +283,56 @@ def matrix_pairs(entries: DataFrame) -> DataFrame:
         two = begin[end - begin == 2]
         found = [_near(two, two + 1, g, c, lo, hi)]
         n = len(found[0][0])
-        for i, j in zip(begin[end - begin > 2].tolist(), end[end - begin > 2].tolist()):
-            for k in range(i, j - 1, PAIRED):  # a block of the token's groups against all behind it
-                one, other = np.arange(k, min(k + PAIRED, j)), np.arange(k + 1, j)
-                for first in range(0, len(other), PAIRED):
-                    x, y = np.meshgrid(one, other[first : first + PAIRED], indexing="ij")
-                    found.append(_near(x[x < y], y[x < y], g, c, lo, hi))
-                    n += len(found[-1][0])
-                    if n > COUNTED_PAIRS:
-                        yield _counted(found)
-                        found, n = [], 0
+        several = (end - begin > 2) & (end - begin <= PAIRED)
+        for i, j in zip(begin[several].tolist(), end[several].tolist()):
+            x, y = np.triu_indices(j - i, 1)
+            found.append(_near(x + i, y + i, g, c, lo, hi))
+            n += len(found[-1][0])
+            if n > COUNTED_PAIRS:
+                yield _paired(_counted(found))
+                found, n = [], 0
         if n:
-            yield _counted(found)
+            yield _paired(_counted(found))
+        frequent = end - begin > PAIRED
+        for i, j in zip(begin[frequent].tolist(), end[frequent].tolist()):
+            blocks = [np.stack([v[k : min(k + PAIRED, j)] for v in (g, c, lo, hi)]).tobytes() for k in range(i, j, PAIRED)]
+            token = int(t[i].view(np.int64))
+            for k in range(len(blocks)):  # one batch holds a block's pairs with up to 64 others
+                for first in range(k, len(blocks), 64):
+                    others = range(first, min(first + 64, len(blocks)))
+                    yield _blocks([token] * len(others), [k] * len(others), list(others), [blocks[k]] * len(others), [blocks[m] if m > k else b"" for m in others])
+
+    def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x, y in zip(batch.column(0), batch.column(1)):
+                one = np.frombuffer(x.as_buffer(), np.int64).reshape(4, -1)
+                other = np.frombuffer(y.as_buffer(), np.int64).reshape(4, -1)
+                n = one.shape[1]
+                if other.shape[1]:
+                    i, j = (v.ravel() for v in np.meshgrid(np.arange(n), n + np.arange(other.shape[1]), indexing="ij"))
+                else:  # the block with itself
+                    i, j = np.triu_indices(n, 1)
+                found = _near(i, j, *np.concatenate([one, other], axis=1))
+                if len(found[0]):
+                    yield _counted([found])
 
     packed = entries.select("grp", "comp", "head", "lo", "hi").mapInArrow(pack, "part int, t binary, i binary, g binary, c binary, lo binary, hi binary")
-    return packed.repartitionById(parts, "part").mapInArrow(pair, "g long, h long, shared long").groupBy("g", "h").agg(F.sum("shared").alias("shared"))
+    paired = packed.repartitionById(parts, "part").mapInArrow(pair, "g long, h long, shared long, token long, i int, j int, x binary, y binary")
+    paired = scratch.save(paired, "paired")
+    rows = paired.where("x IS NOT NULL").repartition(parts, "token", "i", "j")
+    crossed = rows.select("x", "y").mapInArrow(cross, "g long, h long, shared long")
+    return paired.where("x IS NULL").select("g", "h", "shared").unionByName(crossed).groupBy("g", "h").agg(F.sum("shared").alias("shared"))
+
+
+def _paired(batch: pa.RecordBatch) -> pa.RecordBatch:
+    n = batch.num_rows
+    rest = [pa.nulls(n, k) for k in (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())]
+    return pa.RecordBatch.from_arrays([*batch.columns, *rest], ["g", "h", "shared", "token", "i", "j", "x", "y"])
+
+
+def _blocks(token: list[int], i: list[int], j: list[int], x: list[bytes], y: list[bytes]) -> pa.RecordBatch:
+    n = len(token)
+    return pa.RecordBatch.from_arrays([*[pa.nulls(n, pa.int64())] * 3, pa.array(token, pa.int64()), pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(x, pa.binary()), pa.array(y, pa.binary())], ["g", "h", "shared", "token", "i", "j", "x", "y"])
 
 
 def _near(x: np.ndarray, y: np.ndarray, g: np.ndarray, c: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -342,8 +380,9 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
         sizes_of = scratch.save(placed.groupBy("grp").agg(F.min("n").alias("lo"), F.max("n").alias("hi")).where("lo < hi"), "spans")
         entries = place(heads.select("doc_id", "n", "head")).join(sizes_of, "grp", "left").withColumns({"lo": F.coalesce("lo", "n"), "hi": F.coalesce("hi", "n")})
         entries = entries.join(mixed, "grp", "left").withColumn("comp", F.when(F.col("mixed"), -1 - F.col("grp")).otherwise(F.col("comp")))
-        pairs = scratch.save(matrix_pairs(entries), "matrix")
-        scratch.drop("heads")
+        n = heads.agg(F.coalesce(F.sum(F.octet_length("head")), F.lit(0))).first()[0] // 8
+        pairs = scratch.save(matrix_pairs(entries, scratch, n), "matrix")
+        scratch.drop("heads", "paired")
         own = mixed.select(F.col("grp").alias("g"), F.col("grp").alias("h"), F.lit(None).cast("long").alias("shared"))
         more = _opened(pairs.unionByName(own), placed, docs, scratch)
     edges = links.unionByName(more)
