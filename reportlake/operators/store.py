@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,6 +69,21 @@ class Destination:
         out = self.spark.table(self.name)
         return out if pids is None else out.where(F.col("pid").isin(*pids) if pids else F.lit(False))
 
+    def count(self, *conditions: Column | str) -> int:
+        """Rows that meet all conditions; those on ``pid`` prune."""
+        rows = self.rows()
+        for c in conditions:
+            rows = rows.where(c)
+        return rows.count()
+
+    def drop_partition(self, pid: int) -> bool:
+        """Drops a partition; False if there is none."""
+        there = pid in self.partitions()
+        if there:
+            self._swap(pid, "drop", "")
+            self.spark.catalog.refreshTable(self.name)
+        return there
+
     def rebuild(self, coverage: DataFrame, fresh: DataFrame) -> list[tuple[int, int, int, str]]:
         """Replaces the covered keys by ``fresh``: (partition, kept, fresh, action) of every partition touched.
 

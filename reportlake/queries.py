@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -701,3 +701,96 @@ def plan_budgets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long calls of a plan and of the ledger against the budgets of each app and of the account."""
     used = ledger.long_calls(_loads(spark, sf_dir), F.lit(datetime(2024, 1, 15)).cast("timestamp_ntz"))
     return windows.budget_flags(_jobs(spark, sf_dir), used, 24, 120, reserve=5)
+
+
+_GONE = "strftime(date, '%m') IN ('02', '07')"
+
+
+@query(f"""WITH {L_SQL}, m AS (SELECT pid, count(*) AS n, count(*) FILTER (_extract = 'R') AS returned, CAST(sum(quantity) AS DOUBLE) AS quantity FROM l WHERE NOT ({_GONE}) AND NOT (_extract = 'N' AND pid % 100 = 12) GROUP BY pid)
+SELECT pid, n, returned, quantity, true AS there FROM m UNION ALL SELECT DISTINCT pid, 0, 0, NULL, false FROM l WHERE pid NOT IN (SELECT pid FROM m)""")
+def store_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table in a database of its own: filled, keys of December emptied, partitions dropped, then counted."""
+    rows = _lines(spark, sf_dir).select("date", "_extract", F.col("app_id").cast("string").alias("app_id"), "quantity")
+    name = f"d{uuid.uuid4().hex}"
+    table = Destination(spark, f"{name}.lines", f"{_folder(spark)}/table", schema=rows.schema, sort=("app_id", "date"))
+    table.ensure()
+    table.ensure()  # checks its columns and granularity
+    table.rebuild(rows.select(*KEYS).distinct(), rows)
+    every = sorted(table.partitions())
+    table.rebuild(rows.where("_extract = 'N' AND month(date) = 12").select(*KEYS).distinct(), rows.where("false"))
+    table.rebuild(rows.where("false").select(*KEYS), rows.where("false"))  # nothing covered: nothing changes
+    for pid in every:
+        if pid % 100 in (2, 7):
+            table.drop_partition(pid)
+    there, left = table.partitions(), table.count()
+    out = _kept(spark, table)
+    spark.sql(f"DROP DATABASE {name}")
+    if out.count() != left:
+        raise RuntimeError(f"{left} rows counted, {out.count()} stored")
+    pids = spark.createDataFrame([(p, p in there) for p in every], "pid int, there boolean")
+    sums = out.groupBy("pid").agg(F.count("*").alias("n"), F.count_if(F.col("_extract") == "R").alias("returned"), F.sum("quantity").cast("double").alias("quantity"))
+    return pids.join(sums, "pid", "left").select("pid", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("returned", F.lit(0)).alias("returned"), "quantity", "there")
+
+
+#: Days whose rows come with an unreadable date.
+_BAD = (9, 17)
+
+
+@query(f"""WITH {A_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY extract, app_id ORDER BY d, u) + 1 AS line, day(d) IN {_BAD} AS bad FROM y)
+SELECT extract, app_id, CASE WHEN count(*) FILTER (bad) > 0 THEN 'failed' ELSE 'success' END AS status, CASE WHEN count(*) FILTER (bad) > 0 THEN 0 ELSE count(*) END AS rows,
+  CASE WHEN count(*) FILTER (bad) > 0 THEN substr('row ' || min(line) FILTER (bad) || ': ' || chr(39) || strftime(arg_min(d, line) FILTER (bad), '%d') || repeat('?', 400), 1, 300) END AS error
+FROM r GROUP BY ALL""")
+def bad_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports with unreadable dates: the ledger names the first of their rows, in at most 300 characters."""
+    root = _folder(spark)
+    bad = F.dayofmonth("d").isin(*_BAD)
+    day = F.when(bad, F.concat(F.date_format("d", "dd"), F.lit("?" * 400))).otherwise(F.col("d").cast("string"))
+    rows = _daily(spark, sf_dir).withColumns({"from_date": F.lit(START), "to_date": F.lit(TODAY)})
+    cells = rows.select(*scan.LEVELS, day.alias("Date"), F.concat(F.lit("user"), "u").alias("Media Source (pid)"), F.col("n").cast("string").alias("Impressions"), "d", "u")
+    cells = cells.repartition(*scan.LEVELS).sortWithinPartitions(*scan.LEVELS, "d", "u").drop("d", "u")
+    cells.write.partitionBy(*scan.LEVELS).option("header", True).csv(f"{root}/landing")
+    jobs = [Landed(r["path"], r["extract"], r["app_id"], r["report_type"], r["from_date"], r["to_date"]) for r in scan.landed_files(spark, f"{root}/landing").collect()]
+    table = Destination(spark, f"bad_{uuid.uuid4().hex}", f"{root}/table")
+    load_waves(spark, [jobs], table, f"{root}/ledger", "run", datetime(2024, 2, 1))
+    spark.sql(f"DROP TABLE {table.name}")
+    return ledger.read_loads(spark, f"{root}/ledger").where("status <> 'running'").select("extract", "app_id", "status", "rows", "error")
+
+
+@query("SELECT p_partkey AS name, p_size AS chunk_days FROM part WHERE p_size >= 3")
+def long_chunk_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as extracts, their size as the length of chunks: those whose calls are long."""
+    return checks.long_chunks(read(spark, sf_dir, "part").select(F.col("p_partkey").alias("name"), F.col("p_size").alias("chunk_days")), 3)
+
+
+@query(f"""WITH {G_SQL}, t AS (SELECT extract, count(*) FILTER (status = 'success') AS success, count(*) FILTER (status = 'failed') AS failed, CAST(sum(api_calls) AS BIGINT) AS api_calls, min(to_date) AS from_date FROM g WHERE status <> 'running' GROUP BY ROLLUP (extract))
+SELECT coalesce(extract, '') AS extract, success, failed, api_calls, CAST(from_date AS VARCHAR) AS from_date, (SELECT count(*) = 0 FROM g WHERE status = 'failed') AS ok, (SELECT least(10, count(*)) FROM g WHERE status = 'failed') AS failures FROM t""")
+def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run's summary as JSON, and read back."""
+    loads = _loads(spark, sf_dir).withColumns({"run_id": F.lit("run"), "rows": F.col("event_id"), "from_date": F.col("to_date"), "error": F.lit("no answer")})
+    doc = summary.to_json(loads, "run")
+    each = "struct<extract:string,success:bigint,failed:bigint,api_calls:bigint,from_date:string>"
+    told = spark.createDataFrame([(doc,)], "j string").select(F.from_json("j", f"ok boolean, total {each}, extracts array<{each}>, failures array<struct<extract:string>>").alias("d")).select("d.*")
+    rows = told.select("ok", F.size("failures").cast("long").alias("failures"), F.explode(F.concat("extracts", F.array("total"))).alias("r"))
+    return rows.select(F.coalesce("r.extract", F.lit("")).alias("extract"), "r.success", "r.failed", "r.api_calls", "r.from_date", "ok", "failures")
+
+
+@query("""WITH u AS (SELECT event_type, list_sort(list(DISTINCT user_id)) AS us FROM events GROUP BY event_type)
+SELECT event_type AS lock_key, 'user' || us[2] AS run_id, 60 AS age_seconds, false AS stale FROM u WHERE event_type < 'purchase'
+UNION ALL SELECT event_type, 'user' || us[-1], 3660, true FROM u WHERE event_type > 'purchase'""")
+def lock_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Locks of the event types as their users take them: refused, given back, taken over and forced; then listed."""
+    root, now = f"{_folder(spark)}/locks", datetime(2024, 2, 1)
+    users = read(spark, sf_dir, "events").groupBy("event_type").agg(F.min("user_id").alias("a"), F.max("user_id").alias("z"))
+    second = read(spark, sf_dir, "events").join(users, "event_type").where("user_id > a").groupBy("event_type", "a", "z").agg(F.min("user_id").alias("b"))
+    for r in second.collect():  # one row an event type
+        a, b, z = (ledger.Locks(spark, root, f"user{r[c]}", "query") for c in "abz")
+        key, hour = r["event_type"], timedelta(hours=1)
+        if not a.acquire(key, now - 2 * hour, 600) or b.acquire(key, now - 2 * hour, 600) or b.release(key, now - 2 * hour):
+            raise RuntimeError(f"{key}: a lock that is held was given away")
+        if key < "purchase":
+            b.acquire(key, now - timedelta(minutes=1), 600)  # the holder's own time is over
+        elif key > "purchase":
+            z.acquire(key, now - timedelta(seconds=3660), 600, force=True)
+        else:
+            a.release(key, now - hour)
+    return ledger.Locks(spark, root, "reader", "query").active(now).select("lock_key", "run_id", F.col("age_seconds").cast("int").alias("age_seconds"), "stale")
