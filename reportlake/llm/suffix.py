@@ -313,7 +313,8 @@ def find_groups(docs: DataFrame, scratch: Scratch, every: bool = True) -> tuple[
     """ANCHOR rows of the anchors found twice or more, and the GROUP rows of their maximal repeats, of documents (doc,
     data) each with a key of its own. A group's row stands for all occurrences of one class of contexts; without
     ``every`` a row may stand for a class in all its groups of one task, which is what the cuts need."""
-    found = find_anchors(docs)
+    # Written once: the texts are not hashed again to meet the anchors that are found twice.
+    found = scratch.save(find_anchors(docs), "found")
     twice = scratch.save(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "twice")
     rows = scratch.save(found.join(twice, "h").select("h", "context", "doc", "at", "back", "ahead"), "anchors")
     first = F.min(F.struct("doc", "at")).alias("f")
@@ -321,7 +322,7 @@ def find_groups(docs: DataFrame, scratch: Scratch, every: bool = True) -> tuple[
     same = scratch.save(same.select("h", "context", "f.doc", "f.at", "back", "ahead", "weight"), "same")
     several = scratch.save(same.groupBy("h").agg(F.count("*").alias("m")).where("m > 1"), "several")
     classes = scratch.save(same.join(several, "h", "left").withColumn("m", F.coalesce("m", F.lit(1).cast("long"))), "classes")
-    scratch.drop("twice", "same", "several")
+    scratch.drop("found", "twice", "same", "several")
     # An anchor of one class is a suffix array of one leaf: its context is the group.
     name = F.xxhash64("h", "context", "doc", "at").alias("group")
     alone = classes.where("m = 1").select(name, "h", "context", "doc", "at", "back", "ahead", F.lit(True).alias("leads"))
