@@ -48,6 +48,8 @@ HASHES = 8
 COMMON, COUNTED = 3, 8000
 #: Groups of a token that are paired at a time, pairs that a task counts before it hands them on, and entries of a task.
 PAIRED, COUNTED_PAIRS, ENTRIES = 512, 500_000, 2_000_000
+#: Groups of a frequent token in one row, and how an entry of one is written: group, component, sizes (of fewer than 2**31 tokens).
+BLOCKED, ENTRY = 4096, (np.int64, np.int64, np.int32, np.int32)
 #: ... and so many of the most frequent are remembered. The order decides speed only, never the result.
 REMEMBERED = 1_000_000
 BATCH = 1000
@@ -235,7 +237,7 @@ def matrix_pairs(entries: DataFrame, scratch: Scratch | None = None, tokens_in_a
 
     Tasks pack entries by token range, each (token, group) once; the next tasks, of at most some ``ENTRIES`` of them, sort
     theirs by token and pair the groups of a token. A token of more than ``PAIRED`` groups is not paired there: its groups
-    are cut into blocks, and every pair of blocks is a row of its own, dealt to any task. Nothing but pairs of different
+    are cut into blocks of ``BLOCKED``, and every pair of blocks is a row of its own, dealt to any task. Nothing but pairs of different
     components is ever emitted as a candidate.
     """
     scratch = scratch or Scratch(entries.sparkSession, "matrix")
@@ -295,35 +297,49 @@ def matrix_pairs(entries: DataFrame, scratch: Scratch | None = None, tokens_in_a
             yield _paired(_counted(found))
         frequent = end - begin > PAIRED
         for i, j in zip(begin[frequent].tolist(), end[frequent].tolist()):
-            blocks = [np.stack([v[k : min(k + PAIRED, j)] for v in (g, c, lo, hi)]).tobytes() for k in range(i, j, PAIRED)]
+            blocks = [b"".join(v[k : min(k + BLOCKED, j)].astype(kind).tobytes() for v, kind in zip((g, c, lo, hi), ENTRY)) for k in range(i, j, BLOCKED)]
             token = int(t[i].view(np.int64))
-            for k in range(len(blocks)):  # one batch holds a block's pairs with up to 64 others
-                for first in range(k, len(blocks), 64):
-                    others = range(first, min(first + 64, len(blocks)))
+            for k in range(len(blocks)):  # one batch holds a block's pairs with up to 16 others
+                for first in range(k, len(blocks), 16):
+                    others = range(first, min(first + 16, len(blocks)))
                     yield _blocks([token] * len(others), [k] * len(others), list(others), [blocks[k]] * len(others), [blocks[m] if m > k else b"" for m in others])
 
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for x, y in zip(batch.column(0), batch.column(1)):
-                one = np.frombuffer(x.as_buffer(), np.int64).reshape(4, -1)
-                other = np.frombuffer(y.as_buffer(), np.int64).reshape(4, -1)
-                n = one.shape[1]
-                if other.shape[1]:
-                    i, j = (v.ravel() for v in np.meshgrid(np.arange(n), n + np.arange(other.shape[1]), indexing="ij"))
-                else:  # the block with itself
-                    i, j = np.triu_indices(n, 1)
-                found = _near(i, j, *np.concatenate([one, other], axis=1))
-                if len(found[0]):
-                    yield _counted([found])
+                one, other = _entries(x.as_buffer()), _entries(y.as_buffer())
+                n, m = len(one[0]), len(other[0])
+                both = [np.concatenate(v) for v in zip(one, other)]
+                for first in range(0, n, PAIRED):  # some of the block's groups against those behind them, and the other block's
+                    last = min(first + PAIRED, n)
+                    if m:
+                        i, j = (v.ravel() for v in np.meshgrid(np.arange(first, last), n + np.arange(m), indexing="ij"))
+                    else:
+                        i, j = (v.ravel() for v in np.meshgrid(np.arange(first, last), np.arange(first, n), indexing="ij"))
+                        i, j = i[i < j], j[i < j]
+                    found = _near(i, j, *both)
+                    if len(found[0]):
+                        yield _counted([found])
 
     packed = entries.select("grp", "comp", "head", "lo", "hi").mapInArrow(pack, "part int, t binary, i binary, g binary, c binary, lo binary, hi binary")
     paired = packed.repartitionById(parts, "part").mapInArrow(pair, "g long, h long, shared long, token long, i int, j int, x binary, y binary")
     paired = scratch.save(paired, "paired")
-    rows = paired.where("x IS NOT NULL").repartition(parts, "token", "i", "j")
-    crossed = rows.select("x", "y").mapInArrow(cross, "g long, h long, shared long")
+    # Rows of up to 100 kB: few of them to an Arrow batch.
+    with settings(entries.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch=16):
+        rows = paired.where("x IS NOT NULL").repartition(parts, "token", "i", "j")
+        crossed = scratch.save(rows.select("x", "y").mapInArrow(cross, "g long, h long, shared long"), "crossed")
     return paired.where("x IS NULL").select("g", "h", "shared").unionByName(crossed).groupBy("g", "h").agg(F.sum("shared").alias("shared"))
 
 
+def _entries(block: pa.Buffer) -> list[np.ndarray]:
+    """Groups, components and sizes of a block."""
+    n, at, out = len(block) // sum(np.dtype(k).itemsize for k in ENTRY), 0, []
+    for kind in ENTRY:
+        out.append(np.frombuffer(block, kind, n, at).astype(np.int64))
+        at += n * np.dtype(kind).itemsize
+    return out
+
+
 def _paired(batch: pa.RecordBatch) -> pa.RecordBatch:
     n = batch.num_rows
     rest = [pa.nulls(n, k) for k in (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())]
@@ -382,7 +398,7 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
         entries = entries.join(mixed, "grp", "left").withColumn("comp", F.when(F.col("mixed"), -1 - F.col("grp")).otherwise(F.col("comp")))
         n = heads.agg(F.coalesce(F.sum(F.octet_length("head")), F.lit(0))).first()[0] // 8
         pairs = scratch.save(matrix_pairs(entries, scratch, n), "matrix")
-        scratch.drop("heads", "paired")
+        scratch.drop("heads", "paired", "crossed")
         own = mixed.select(F.col("grp").alias("g"), F.col("grp").alias("h"), F.lit(None).cast("long").alias("shared"))
         more = _opened(pairs.unionByName(own), placed, docs, scratch)
     edges = links.unionByName(more)

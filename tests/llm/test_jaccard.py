@@ -138,16 +138,16 @@ def test_one_token_in_very_many_groups_is_many_rows(spark):
     import numpy as np
     from pyspark.sql import functions as F
 
-    n, token = 1700, np.uint64(7).tobytes()
-    # Sizes that no link bridges, but within each twenty groups.
-    size = (F.pow(F.lit(1.4), F.floor(F.col("id") / 20)) * 10).cast("long")
+    n, token = 4500, np.uint64(7).tobytes()
+    # Sizes that no link bridges, but within each hundred groups.
+    size = (F.pow(F.lit(1.4), F.floor(F.col("id") / 100)) * 10).cast("long")
     entries = spark.range(n).select(F.col("id").alias("grp"), F.col("id").alias("comp"), F.lit(token).alias("head"), size.alias("lo"), size.alias("hi")).repartition(8)
     scratch = Scratch(spark, "matrix")
     got = jaccard.matrix_pairs(entries, scratch)
     paired = spark.read.parquet(scratch.path("paired"))
-    blocks = -(-n // jaccard.PAIRED)
-    assert paired.where("x IS NOT NULL").count() == blocks * (blocks + 1) // 2 and paired.where("x IS NULL").isEmpty()
-    want = {(a, b) for a in range(n) for b in range(a + 1, min(n, (a // 20 + 1) * 20))}
+    blocks = -(-n // jaccard.BLOCKED)
+    assert blocks == 2 and paired.where("x IS NOT NULL").count() == blocks * (blocks + 1) // 2 and paired.where("x IS NULL").isEmpty()
+    want = {(a, b) for a in range(n) for b in range(a + 1, min(n, (a // 100 + 1) * 100))}
     assert {(r["g"], r["h"]) for r in got.where("shared = 1").collect()} == want and got.count() == len(want)
 
 
@@ -161,5 +161,5 @@ def test_blocks_of_a_frequent_token_are_spread(spark):
     assert jaccard.matrix_pairs(rows, scratch).isEmpty()  # all of one component: compared, and none a candidate
     blocks = spark.read.parquet(scratch.path("paired")).where("x IS NOT NULL").repartition(16, "token", "i", "j")
     dealt = [r["count"] for r in blocks.groupBy(F.spark_partition_id()).count().collect()]
-    k = -(-n // jaccard.PAIRED)
-    assert sum(dealt) == k * (k + 1) // 2 and len(dealt) == 16 and max(dealt) < 2 * sum(dealt) / 16
+    k = -(-n // jaccard.BLOCKED)
+    assert sum(dealt) == k * (k + 1) // 2 == 15 and len(dealt) > 5 and max(dealt) <= 4
