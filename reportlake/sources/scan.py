@@ -47,8 +47,10 @@ PAIRS = "array<struct<name:string,cell:string>>"
 ROWS = f"{FILE}, problem string, notes string, sales_currency string, nth bigint, {', '.join(f'{c} string' for c in CELLS)}, {', '.join(f'{c} {PAIRS}' for c in LEGS)}"
 #: Bytes of files that one task reads, unless a single file is larger.
 PARTITION_BYTES = 32 << 20
-#: Longest record.
-BLOCK = 8 << 20
+#: Bytes that a file is read by, of which Arrow holds up to 32 blocks ahead, and by which one with longer records is: the longest record.
+BLOCK, LONGEST = 1 << 20, 8 << 20
+#: Most rows of a batch handed to Spark, all of whose columns are made at once.
+BATCH = 16_384
 EMPTY, NO_DATE = "empty report", "report has no Date column"
 
 Test = Callable[[object], bool]
@@ -159,7 +161,25 @@ def first_record(path: str) -> list[str]:
 
 
 def records(path: str, width: int) -> Iterator[tuple[np.ndarray, list[pa.Array]]]:
-    """Batches of the records behind the header: their numbers in the file (the header's is 1), and a column a cell."""
+    """Batches of the records behind the header: their numbers in the file (the header's is 1), and a column a cell.
+
+    What a task holds is bounded whatever the file's size: few small blocks, and batches of at most ``BATCH`` rows. At a
+    record that no small block holds, the file is read anew by large ones, and what has been given out is passed over.
+    """
+    done = [1, 0]  # numbers of the last whole and the last ragged record given out
+    for block in (BLOCK, LONGEST):
+        try:
+            for numbers, columns in _records(path, width, block, done):
+                for i in range(0, len(numbers), BATCH):
+                    yield numbers[i : i + BATCH], [c.slice(i, BATCH) for c in columns]
+            return
+        except pa.ArrowInvalid as e:
+            if block == LONGEST or "straddl" not in str(e):
+                raise
+
+
+def _records(path: str, width: int, block: int, done: list[int]) -> Iterator[tuple[np.ndarray, list[pa.Array]]]:
+    """``records`` by blocks of one size, behind those that are ``done``, which it keeps up to date."""
     odd: list[tuple[int, list[str]]] = []
     given: set[int] = set()
     blank: list[int] = []
@@ -175,35 +195,42 @@ def records(path: str, width: int) -> Iterator[tuple[np.ndarray, list[pa.Array]]
         return "skip"
 
     def shifted(numbers: np.ndarray) -> np.ndarray:
-        return numbers - np.searchsorted(blank, numbers)
+        return numbers - np.searchsorted(blank, numbers) if blank else numbers
+
+    def taken() -> list[tuple[int, list[str]]]:
+        more = [o for o in odd if o[0] > done[1]]
+        done[1] = max([done[1], *[n for n, _ in odd[-1:]]])
+        odd.clear()
+        return more
 
     names = [f"c{i}" for i in range(width)]
     options = {
-        "read_options": pa.csv.ReadOptions(use_threads=False, block_size=BLOCK, column_names=names),
+        "read_options": pa.csv.ReadOptions(use_threads=False, block_size=block, column_names=names),
         "parse_options": pa.csv.ParseOptions(newlines_in_values=True, invalid_row_handler=ragged),
         "convert_options": pa.csv.ConvertOptions(column_types=dict.fromkeys(names, pa.string()), strings_can_be_null=False),
     }
     at = 0  # the last number used
     with _text(path) as data:
         for batch in pa.csv.open_csv(data, **options):
-            numbers = []
-            while len(numbers) < batch.num_rows:
-                at += 1
-                if at in given:
-                    given.discard(at)
-                else:
-                    numbers.append(at)
+            n = batch.num_rows
+            numbers = np.arange(at + 1, at + 1 + n + len(given))
+            if given:  # numbers of ragged records are theirs
+                numbers = numbers[~np.isin(numbers, list(given))][:n]
+            if n:
+                at = int(numbers[-1])
+                given = {g for g in given if g > at}
             columns = [batch.column(i) for i in range(width)]
-            if odd:
-                more, odd[:] = list(odd), []
-                numbers += [n for n, _ in more]
-                columns = [pa.concat_arrays([c, pa.array([r[i] for _, r in more], pa.string())]) for i, c in enumerate(columns)]
-            keep = np.array(numbers) > 1
+            keep = numbers > done[0]
             if not keep.all():
-                columns = [c.filter(pa.array(keep)) for c in columns]
-            yield shifted(np.array(numbers)[keep]), columns
-    if odd:
-        yield shifted(np.array([n for n, _ in odd])), [pa.array([r[i] for _, r in odd], pa.string()) for i in range(width)]
+                numbers, columns = numbers[keep], [c.filter(pa.array(keep)) for c in columns]
+            done[0] = max(done[0], at)
+            if more := taken():
+                numbers = np.concatenate([numbers, [n for n, _ in more]])
+                columns = [pa.concat_arrays([c, pa.array([r[i] for _, r in more], pa.string())]) for i, c in enumerate(columns)]
+            if len(numbers):
+                yield shifted(numbers), columns
+    if more := taken():
+        yield shifted(np.array([n for n, _ in more])), [pa.array([r[i] for _, r in more], pa.string()) for i in range(width)]
 
 
 def _pairs(names: list[str], columns: list[pa.Array], n: int) -> pa.Array:

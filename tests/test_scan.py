@@ -151,3 +151,25 @@ def test_plain_paths_and_options(spark, root):
     some = [r["path"] for r in scan.landed_files(spark, str(root)).where("app_id = 'app1'").collect()]
     assert scan.reports_at(spark, some).where("extract IS NULL").count() == 10
     assert json.loads(json.dumps(some)) == some and scan.reports_at(spark, []).count() == 0
+
+
+def test_what_a_reading_task_holds_is_bounded(tmp_path, monkeypatch):
+    """Blocks are small and batches short, whatever the file's size; a record that no small block holds comes all the same, once."""
+    monkeypatch.setattr(scan, "BLOCK", 4096)
+    monkeypatch.setattr(scan, "BATCH", 50)
+    long = "z" * 20_000
+    body = [f"2026-09-01,a{i},b" if i % 7 else f"2026-09-01,a{i}" if i % 2 else " " for i in range(900)]
+    body[600] = f'2026-09-01,"{long}\n",b'
+    (tmp_path / "r.csv").write_text("Date,Media Source (pid),Country\n" + "\n".join(body) + "\n")
+    got = list(scan.records(f"file://{tmp_path}/r.csv", 3))
+    assert max(len(n) for n, _ in got) <= 50 and all(len(n) == len(c) for n, columns in got for c in columns)
+    read = sorted((int(n), *(c[i].as_py() for c in columns)) for n, columns in got for i, n in enumerate(n))
+    cells = [(x.split(",") + [""])[:3] for x in body if x.strip()]
+    want = [(k + 2, *c) for k, c in enumerate(["2026-09-01", f"{long}\n", "b"] if long in "".join(c) else c for c in cells)]
+    assert [r[0] for r in read] == [w[0] for w in want] and read == want
+
+
+def test_the_batches_of_a_report_are_short(tmp_path):
+    (tmp_path / "r.csv").write_text("Date,Clicks,Own\n" + "2026-09-01,1,x\n" * 100_000)
+    sizes = [b.num_rows for b in scan.report(scan.File(f"file://{tmp_path}/r.csv"))]
+    assert sum(sizes) == 100_000 and max(sizes) <= 16_384
