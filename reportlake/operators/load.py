@@ -60,7 +60,9 @@ def read_wave(spark: SparkSession, jobs: Sequence[Landed], run_id: str, loaded_a
     places = spark.createDataFrame([(i, j.path, j.extract, j.app_id, j.report_type, j.category, j.is_retargeting, j.from_date, j.to_date, j.currency) for i, j in landed], "job int, path string, _e string, _a string, _t string, _c string, _r boolean, _from date, _to date, _hint string")
     scanned = reports_at(spark, [j.path for _, j in landed]).drop(*LEVELS).withColumnsRenamed({"nth": "_nth"}).withColumn("_day", F.col("date"))
     context = Context(F.col("_a"), F.col("_t"), F.col("_c"), F.col("_r"), F.col("_e"), run_id, loaded_at)
-    return parse_scan(scanned.join(places, "path"), context, F.col("_hint"), keep_unknown, carry=("job", "_from", "_to", "_nth", "_day", "problem"))
+    # Files differ in size, and a large one is read by one task: what its cells say is worked out by row, not by file.
+    dealt = scanned.join(F.broadcast(places), "path").drop("path").repartition("job", "_nth")
+    return parse_scan(dealt, context, F.col("_hint"), keep_unknown, carry=("job", "_from", "_to", "_nth", "_day", "problem"))
 
 
 def _after_failures(jobs: Sequence[Landed], failed: Iterable[int]) -> dict[int, str]:

@@ -19,7 +19,7 @@ from reportlake.schema import COVERAGE, DESTINATION, GRANULARITIES, SORT_KEY, pa
 
 
 #: Rows of one task of a rebuild, which it sorts, and of the file it writes.
-ROWS_PER_SLICE = 2_000_000
+ROWS_PER_SLICE = 250_000
 
 
 def _held(rows: DataFrame) -> bool:

@@ -444,14 +444,18 @@ def _landed(spark: SparkSession, sf_dir: str) -> tuple[str, list[list[Landed]]]:
     return folder, [sorted(w, key=lambda j: j.extract) for w in waves]
 
 
-def _kept(spark: SparkSession, table: Destination) -> DataFrame:
-    """A table's rows, written as they are, and the table dropped from the catalog: its files stay until their folder goes."""
+def _kept(spark: SparkSession, table: Destination, *columns: str) -> DataFrame:
+    """A table's rows (all columns, or those asked for), written as they are, and the table dropped from the catalog: its files stay until their folder goes."""
     path = f"{table.root}/result"
-    table.rows().write.parquet(path)
+    table.rows().select(*columns or "*").write.parquet(path)
     spark.sql(f"DROP TABLE {table.name}")
     return spark.read.parquet(path)
 
 
+#: What is asked of the rows loaded.
+LOADED = ("_extract", "media_source", "date", "pid", "impressions", "total_cost")
+
+
 def _loaded(spark: SparkSession, sf_dir: str, again: bool) -> tuple[DataFrame, str]:
     """The rows of the waves loaded, and if asked for of the first of them once more; and the ledger."""
     folder, waves = _landed(spark, sf_dir)
@@ -459,7 +463,7 @@ def _loaded(spark: SparkSession, sf_dir: str, again: bool) -> tuple[DataFrame, s
     for k, part in enumerate([waves, waves[:1]] if again else [waves]):
         locks = None if again else ledger.Locks(spark, f"{folder}/locks", f"run{k}", "query")
         load_waves(spark, part, table, f"{folder}/ledger", f"run{k}", now, exclude=["user1"], locks=locks)
-    return _kept(spark, table), f"{folder}/ledger"
+    return _kept(spark, table, *LOADED), f"{folder}/ledger"
 
 
 W_SQL = E_SQL + """,
@@ -470,7 +474,7 @@ w AS (SELECT _extract, app_id, date, CASE WHEN day(date) <= 10 THEN 0 WHEN day(d
 FROM w WHERE app_id <> '1' AND NOT (_extract = 'view' AND k > 0)""")
 def landed_wave(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV files loaded in waves, one of them twice: broken reports and what follows them stay out, nothing comes double."""
-    return _loaded(spark, sf_dir, again=True)[0].select("_extract", "media_source", "date", "pid", "impressions", "total_cost")
+    return _loaded(spark, sf_dir, again=True)[0].select(*LOADED)
 
 
 @query(f"""WITH {W_SQL}, j AS (SELECT _extract AS extract, k, count(*) FILTER (app_id <> '1') AS n FROM w GROUP BY ALL),

@@ -5,9 +5,10 @@ import uuid
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from reportlake.operators import ledger
-from reportlake.operators.load import Landed, load_wave, load_waves, prepared
+from reportlake.operators.load import Landed, load_wave, load_waves, prepared, read_wave
 from reportlake.operators.store import Destination
 from reportlake.plans.selection import selected
 from reportlake.plans.summary import to_json
@@ -163,3 +164,20 @@ def test_selection(spark):
     names = lambda *s: {r["name"] for r in selected(df, *s, path="path", tags="tags").collect()}
     assert names("*") == {"a_one", "b_two"} and names("tag:daily") == {"a_one", None}
     assert names("y/* a_*", "tag:daily") == {"b_two"} and names("[ab]_t?o") == {"b_two"}
+
+
+def test_rows_of_one_large_report_are_dealt(spark, tmp_path):
+    """Cells are worked out by row: no task has all of a report, though one task reads its file."""
+    path = land(tmp_path, "big", HEAD + "".join(f"2026-09-01,US,s{i},c,1,1,1\n" for i in range(4000)))
+    jobs = [Landed(path, "std", "app1", "daily", date(2026, 9, 1), date(2026, 9, 2))]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = read_wave(spark, jobs, "r", NOW)
+        most = rows.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert most[1] == 4000 and most[0] < 2000
+
+
+def test_a_rebuild_of_a_large_report_has_several_tasks(lake):
+    assert lake[0].slices(1_500_000) >= 6
