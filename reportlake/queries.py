@@ -608,6 +608,11 @@ def _plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.plan_jobs(extracts, apps, spark.createDataFrame([], LEDGER), TODAY)
 
 
+def _by_day(rows: DataFrame) -> DataFrame:
+    """A row a pair and day: a pair has many jobs, each of which meets all of these."""
+    return rows.groupBy(F.col("_extract").alias("extract"), "app_id", "date").agg(F.sum("impressions").alias("impressions"), F.max("currency").alias("c"))
+
+
 @query(f"""WITH {A_SQL}, {K_SQL}, l AS (SELECT DISTINCT extract, app_id, d FROM y),
 s AS (SELECT j.*, CASE WHEN (extract, app_id) = ('{GAP[0]}', '{GAP[1]}') AND DATE '{GAP[2]}' BETWEEN from_date AND to_date THEN 'missing'
   WHEN EXISTS (SELECT 1 FROM l WHERE l.extract = j.extract AND l.app_id = j.app_id AND d BETWEEN from_date AND to_date) THEN 'landed' ELSE 'missing' END AS state FROM j WHERE app_id IN (SELECT app_id FROM y)),
@@ -628,7 +633,7 @@ def carried_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     _land(there.unionByName(views), f"{root}/landing")
     table = Destination(spark, f"carried_{uuid.uuid4().hex}", f"{root}/table")
     told = carry_out(spark, plan, f"{root}/landing", table, f"{root}/ledger", "run", datetime(2024, 2, 1), unasked=True)
-    rows = _kept(spark, table).select(F.col("_extract").alias("extract"), "app_id", "date", "impressions", F.col("currency").alias("c"))
+    rows = _by_day(_kept(spark, table, "_extract", "app_id", "date", "impressions", "currency"))
     met = told.join(rows, ["extract", "app_id"], "left").groupBy("extract", "app_id", "from_date", "to_date", "state", "status", "rows")
     mine = F.col("date").between(F.col("from_date"), F.col("to_date"))
     return met.agg(F.coalesce(F.sum(F.when(mine, F.col("impressions"))), F.lit(0)).alias("impressions"), F.max(F.when(mine, F.col("c"))).alias("currency"))

@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from reportlake import queries
 from reportlake.operators import ledger
 from reportlake.operators.execute import carry_out, jobs_of, matched
 from reportlake.operators.load import Landed, load_wave
@@ -194,3 +195,10 @@ def test_waves_run_in_the_order_of_days(spark, lengths, first, days):
     assert all((b - a).days + 1 < 2 * max(lengths) + (max(lengths) == 1) for a, b in spans.values())
     if len(set(lengths)) == 1:
         assert all(r["wave"] == r["from_date"].toordinal() // lengths[0] for r in jobs)
+
+
+def test_carried_rows_meet_jobs_by_day(spark):
+    """The query joins days, not rows, with the jobs of their pair."""
+    day = D("2026-09-01")
+    rows = spark.createDataFrame([("std", "app1", day, n, "USD") for n in range(500)] + [("std", "app1", day, None, "EUR")], "_extract string, app_id string, date date, impressions bigint, currency string")
+    assert [tuple(r) for r in queries._by_day(rows).collect()] == [("std", "app1", day, 124750, "USD")]
