@@ -1,7 +1,11 @@
 """Planning of extracts x apps x chunks, checks across extracts, app lists."""
 
+import re
+from collections import Counter
 from datetime import date
 
+from pyspark.sql import functions as F
+
 from reportlake.plans import checks, windows
 from reportlake.schema import LEDGER
 from reportlake.sources import landing, scan
@@ -41,6 +45,30 @@ def test_checks_across_extracts(spark):
     assert [tuple(r) for r in checks.long_chunks(chunks, 3).collect()] == [("b", 3)]
 
 
+def test_owners_in_any_blocks(spark):
+    """Every pair of a table once for each of its rows, whatever the blocks: names and tables that are null, repeated rows, sources of no letters."""
+    schema = "name string, table string, media_source string, exclude_media_sources array<string>"
+    barred = [None, [], ["Face book", None, ""], ["-"], ["YA", "fb_ads"], ["ya", "FB ads", "ya"]]
+    rows = [(None if i == 4 else f"base{i}", "tu"[i % 2], None, e) for i, e in enumerate(barred * 2)] + [("base0", "t", None, None), ("lost", None, None, None), ("alone", "v", None, None)]
+    sources = ["facebook", "Facebook!", "yandex", "y", "", "--", "fbads", "other"]
+    rows += [(None if i == 3 else f"one{i}", "tu"[i // 8 % 2], m, ["other"]) for i, m in enumerate(sources * 4)] + [("one0", "t", "facebook", None), ("lost", None, "y", None), ("alone", "w", "y", None)]
+    plain = lambda s: re.sub("[^a-z0-9]", "", s.lower())
+    out = lambda x, m: any(plain(e) and plain(m) and (plain(e).startswith(plain(m)) or plain(m).startswith(plain(e))) for e in x or [] if e is not None)
+    expected = Counter((t, a, b, m) for a, t, no, x in rows if no is None and t for b, u, m, _ in rows if m is not None and u == t and not out(x, m))
+    df = spark.createDataFrame(rows, schema)
+    assert sum(expected.values()) > 100
+    for blocks in ({}, {"block": 3}, {"block": 1}):
+        assert Counter(tuple(r) for r in checks.double_owners(df, **blocks).collect()) == expected
+
+
+def test_owners_of_one_table_come_from_many_tasks(spark):
+    """A single table with two extracts of all sources and 40,000 of one: no task makes half of its pairs."""
+    base = F.col("id") < 2
+    df = spark.range(40_002, numPartitions=1).select(F.col("id").alias("name"), F.lit("t").alias("table"), F.when(~base, F.lit("src")).alias("media_source"), F.when(base, F.array(F.lit("other"))).alias("exclude_media_sources"))
+    made = checks.double_owners(df).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in made) == 80_000 and max(r["count"] for r in made) < 40_000
+
+
 def test_apps_by_table_or_list(spark):
     ids = lambda df: sorted(r["id"] for r in df.collect())
     some = spark.createDataFrame([("a1",), ("a3",), ("a1",)], "id string")
