@@ -95,6 +95,53 @@ def test_stray_rows_and_mismatches_are_errors(spark, make):
         Destination(spark, "x", "/tmp", "week")
 
 
+def watched(spark, frame):
+    """The rows, and how many have been read of them."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    return frame.mapInArrow(passed, frame.schema), seen
+
+
+def test_coverage_is_read_once(spark, make):
+    t = loaded(spark, make())
+    keys, seen = watched(spark, cover(spark, ("2026-09-01", "fb", "app1"), ("2026-09-01", "fb", "app1"), ("2026-09-02", "fb", "app1")))
+    assert t.rebuild(keys, rows(spark, ("2026-09-01", "fb", "app1", "new"))) == [(202609, 3, 1, "replace")] and seen.value == 3
+
+
+def test_coverage_made_of_the_fresh_rows_reads_them_once(spark, make):
+    t = loaded(spark, make())
+    fresh, seen = watched(spark, rows(spark, ("2026-09-01", "fb", "app1", "new"), ("2026-10-01", "fb", "app1", "new")))
+    assert t.rebuild(fresh.select("date", "_extract", "app_id").distinct(), fresh) == [(202609, 4, 1, "replace"), (202610, 0, 1, "replace")] and seen.value == 2
+
+
+def test_rows_are_watched_only_for_partitions_that_are_there(spark, make, monkeypatch):
+    t, frame, given = make(), type(spark.range(0)), []
+    observe = frame.observe
+    monkeypatch.setattr(frame, "observe", lambda self, seen, *e: given.append(len(e)) or observe(self, seen, *e))
+    assert loaded(spark, t).partitions() == {202608, 202609} and given == []
+    t.rebuild(cover(spark, ("2026-09-01", "fb", "app1"), ("2026-10-01", "fb", "app1")), rows(spark, ("2026-10-01", "fb", "app1", "x")))
+    assert given == [1] and len(state(t)) == 6
+
+
+def test_null_keys_and_repeated_rows(spark, make):
+    t, day = make(), date(2026, 9, 1)
+    old = spark.createDataFrame([(day, None, "a", "x", None), (day, None, "a", "x", None), (day, "e", None, None, {}), (day, "e", "a", "x", {})], ROW)
+    keys = old.select("date", "_extract", "app_id")
+    t.rebuild(keys, old)
+    # A null key covers nothing, so its rows stay; a fresh row without a day has no partition and is in none.
+    fresh = spark.createDataFrame([(day, "e", None, "y", {}), (day, "e", "a", "y", {}), (day, "e", "a", "y", {}), (None, "e", "a", "y", {})], ROW)
+    assert t.rebuild(keys, fresh) == [(202609, 3, 3, "replace")]
+    stored = t.rows().groupBy("_extract", "app_id", "media_source").agg(F.count("*").alias("n")).collect()
+    assert sorted(map(str, map(tuple, stored))) == sorted(map(str, [(None, "a", "x", 2), ("e", None, None, 1), ("e", None, "y", 1), ("e", "a", "y", 2)]))
+    with pytest.raises(ValueError, match="1 fresh rows outside the covered partitions, the first in None"):
+        t.rebuild(keys.where("false"), fresh.where("date is null"))
+
+
 def test_pruning_by_partition(spark, make):
     t = loaded(spark, make())
     plan = t.rows([202609])._jdf.queryExecution().executedPlan().toString()
