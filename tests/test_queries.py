@@ -19,6 +19,22 @@ def test_query(spark, name):
     assert_same(QUERIES[name](spark, sf_dir), sf_dir, SQL[name])
 
 
+@pytest.fixture
+def counted(spark, monkeypatch):
+    """The input files of every frame whose rows are counted."""
+    frame, files = type(spark.range(0)), []
+    count = frame.count
+    monkeypatch.setattr(frame, "count", lambda self: files.extend(self.inputFiles()) or count(self))
+    return files
+
+
+def test_stored_rows_are_read_once(spark, counted):
+    """What a table's life leaves is counted by partition in one pass, beside the table's own count."""
+    sf_dir = str(DATA / "sf0.001")
+    assert_same(QUERIES["store_lifecycle"](spark, sf_dir), sf_dir, SQL["store_lifecycle"])
+    assert counted and not [f for f in counted if "/result/" in f]
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
 
