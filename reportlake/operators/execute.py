@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportlake.operators.load import Landed, load_waves
-from reportlake.operators.store import Destination
+from reportlake.operators.store import Destination, held
 from reportlake.plans.windows import aligned_waves
 from reportlake.sources.scan import LEVELS, landed_files
 
@@ -54,9 +54,15 @@ def carry_out(spark: SparkSession, plan: DataFrame, root: str, table: Destinatio
     the whole root is listed, and reports of no job are told too. The driver holds a row a job, as the plan's scheduler must; no row of a report.
     ``options`` are those of ``load_wave``.
     """
-    jobs = jobs_of(plan)
-    files = landed_files(spark, root) if unasked else asked_files(spark, jobs, root)
-    rows = matched(jobs, files).orderBy("wave", *LEVELS).collect()
+    # Read once, from the ledger and the app list: for the longest chunk, the days asked for and the jobs, which the driver holds afterwards.
+    mine = None if held(plan) else plan.persist()
+    try:
+        jobs = jobs_of(plan)
+        files = landed_files(spark, root) if unasked else asked_files(spark, jobs, root)
+        rows = matched(jobs, files).orderBy("wave", *LEVELS).collect()
+    finally:
+        if mine is not None:
+            mine.unpersist()
     waves: dict[int, list[Landed]] = {}
     for r in rows:
         if r["state"] != "unasked":

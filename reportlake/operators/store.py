@@ -22,7 +22,7 @@ from reportlake.schema import COVERAGE, DESTINATION, GRANULARITIES, SORT_KEY, pa
 ROWS_PER_SLICE = 250_000
 
 
-def _held(rows: DataFrame) -> bool:
+def held(rows: DataFrame) -> bool:
     """Whether rows come from the cache already."""
     return rows.is_cached or "InMemoryRelation" in rows._jdf.queryExecution().withCachedData().toString()
 
@@ -94,9 +94,9 @@ class Destination:
         pid = partition_id(self.day, self.granularity).alias("pid")
         keyed = coverage.select(*dict.fromkeys((self.day, *self.keys))).distinct()
         # Read once: its rows are counted, sampled for the ranges, and written from here; a coverage made of them reads them here too.
-        mine = None if _held(fresh) else fresh.persist()
+        mine = None if held(fresh) else fresh.persist()
         # Read once: its keys tell the partitions, and then which old rows stay.
-        covered = coverage if _held(coverage) else keyed.persist()
+        covered = coverage if held(coverage) else keyed.persist()
         try:
             touched = self.touched(covered)
             came = self._came(fresh, touched)

@@ -161,6 +161,32 @@ def test_plan_to_destination(spark, table, tmp_path):
     assert states == {("e", "landed"): 8, ("e", "unasked"): 1, ("other", "unasked"): 1} and told.where("status <> 'success'").isEmpty()
 
 
+@pytest.mark.parametrize("unasked", [True, False])
+def test_a_plan_is_read_once(spark, table, tmp_path, unasked):
+    plan, seen = plan_of(spark, ("a1",)), spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    watched = plan.mapInArrow(passed, plan.schema)
+    got = carry_out(spark, watched, f"file://{tmp_path}/none", table, f"file://{tmp_path}/ledger", "r", NOW, unasked=unasked).collect()
+    assert [(r["state"], r["status"]) for r in got] == [("missing", "failed"), *[("missing", "skipped")] * 3]
+    assert seen.value == 4 and not watched.is_cached
+
+
+def test_a_plan_with_repeated_and_nameless_jobs(spark, table, tmp_path):
+    """A job that comes twice is told twice; one without an app meets no report."""
+    plan = plan_of(spark, ("a1",), chunk=8)
+    odd = plan.unionByName(plan).unionByName(plan.withColumn("app_id", F.lit(None).cast("string")))
+    first, last = plan.orderBy("from_date").select("from_date", "to_date").first()
+    land(tmp_path / "landing", f"Date,Clicks\n{last},1\n", "e", "a1", "daily", first, last)
+    told = carry_out(spark, odd, f"file://{tmp_path}/landing", table, f"file://{tmp_path}/ledger", "r", NOW)
+    jobs = [(r["app_id"], r["state"], r["status"]) for r in told.collect() if (r["from_date"], r["to_date"]) == (first, last)]
+    assert sorted(jobs, key=str) == sorted(([("a1", "landed", "success")] * 2 + [(None, "missing", "failed")]), key=str)
+
+
 def test_nothing_planned_and_nothing_landed(spark, table, tmp_path):
     args = (f"file://{tmp_path}/none", table, f"file://{tmp_path}/ledger", "r", NOW)
     assert carry_out(spark, plan_of(spark).where("false"), *args).collect() == []
