@@ -7,7 +7,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from reportlake.operators import ledger
+from reportlake.operators import ledger, load
 from reportlake.operators.load import Landed, load_wave, load_waves, prepared, read_wave
 from reportlake.operators.store import Destination
 from reportlake.plans.selection import selected
@@ -137,6 +137,28 @@ def test_guard_by_day_and_vacuum(spark, lake):
     assert t.vacuum() == 1 and len(state(t)) == 2 and t.vacuum() == 0
 
 
+def test_the_guard_reads_only_what_it_can_hold_back(spark, lake, monkeypatch):
+    """Old rows are read for it in partitions of jobs that brought nothing; where all brought rows (and none is asked by the day) in none."""
+    t, loads, folder = lake
+    months = [(date(2026, 9, 1), date(2026, 9, 2)), (date(2026, 10, 1), date(2026, 10, 2))]
+
+    def jobs(tag, *bodies):
+        return [Landed(land(folder, f"{tag}{k}", HEAD + b), "std", f"app{k}", "daily", *days) for k, (days, b) in enumerate(zip(months, bodies))]
+
+    full = ["2026-09-01,US,x,c,1,,\n", "2026-10-01,US,x,c,2,,\n"]
+    load_wave(spark, jobs("a", *full), t, loads, "r1", NOW)
+    read, guard = [], load.guarded
+    monkeypatch.setattr(load, "guarded", lambda coverage, existing, *a: read.append(existing.count()) or guard(coverage, existing, *a))
+    assert [r[0] for r in load_wave(spark, jobs("b", *full), t, loads, "r2", NOW).values()] == ["success"] * 2 and read == [0]
+    assert load_wave(spark, jobs("c", full[0], ""), t, loads, "r3", NOW) == {0: ("success", 1, None), 1: ("skipped", 0, "empty answer over existing rows")} and read == [0, 1]
+    assert [r[0] for r in load_wave(spark, jobs("d", *full), t, loads, "r4", NOW, per_day=True).values()] == ["success"] * 2 and read == [0, 1, 2]
+    assert t.rows().agg(F.sum("installs")).first()[0] == 3
+    # Jobs that overlap: the empty one's days are guarded, but the other's answer replaces those that it covers too.
+    two = [Landed(land(folder, "e0", HEAD), "std", "app0", "daily", *months[0]), Landed(land(folder, "e1", HEAD + "2026-09-03,US,y,c,5,,\n"), "std", "app0", "daily", date(2026, 9, 1), date(2026, 9, 3))]
+    assert load_wave(spark, two, t, loads, "r5", NOW) == {0: ("skipped", 0, "empty answer over existing rows"), 1: ("success", 1, None)}
+    assert {r["installs"] for r in t.rows([202609]).collect()} == {5}
+
+
 def test_run_ids_sort_by_time():
     a, b = ledger.new_run_id(NOW), ledger.new_run_id(datetime(2026, 9, 5, 9))
     assert a < b and a.startswith("20260905T080000Z-") and len(a) == len(b) == 23
