@@ -456,14 +456,14 @@ def _kept(spark: SparkSession, table: Destination, *columns: str) -> DataFrame:
 LOADED = ("_extract", "media_source", "date", "pid", "impressions", "total_cost")
 
 
-def _loaded(spark: SparkSession, sf_dir: str, again: bool) -> tuple[DataFrame, str]:
-    """The rows of the waves loaded, and if asked for of the first of them once more; and the ledger."""
+def _loaded(spark: SparkSession, sf_dir: str, again: bool) -> tuple[Destination, str]:
+    """The table into which the waves are loaded, and if asked for the first of them once more; and the ledger."""
     folder, waves = _landed(spark, sf_dir)
     table, now = Destination(spark, f"landed_{uuid.uuid4().hex}", f"{folder}/table"), datetime(2024, 2, 1)
     for k, part in enumerate([waves, waves[:1]] if again else [waves]):
         locks = None if again else ledger.Locks(spark, f"{folder}/locks", f"run{k}", "query")
         load_waves(spark, part, table, f"{folder}/ledger", f"run{k}", now, exclude=["user1"], locks=locks)
-    return _kept(spark, table, *LOADED), f"{folder}/ledger"
+    return table, f"{folder}/ledger"
 
 
 W_SQL = E_SQL + """,
@@ -474,7 +474,7 @@ w AS (SELECT _extract, app_id, date, CASE WHEN day(date) <= 10 THEN 0 WHEN day(d
 FROM w WHERE app_id <> '1' AND NOT (_extract = 'view' AND k > 0)""")
 def landed_wave(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV files loaded in waves, one of them twice: broken reports and what follows them stay out, nothing comes double."""
-    return _loaded(spark, sf_dir, again=True)[0].select(*LOADED)
+    return _kept(spark, _loaded(spark, sf_dir, again=True)[0], *LOADED).select(*LOADED)
 
 
 @query(f"""WITH {W_SQL}, j AS (SELECT _extract AS extract, k, count(*) FILTER (app_id <> '1') AS n FROM w GROUP BY ALL),
@@ -483,7 +483,9 @@ SELECT extract, make_date(2024, 1, CAST(k * 10 + 1 AS INTEGER)) AS from_date, st
 UNION ALL SELECT extract, make_date(2024, 1, CAST(k * 10 + 1 AS INTEGER)), 'running', 0, 0, false FROM s WHERE status <> 'skipped'""")
 def ledger_after_wave(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger of one load: a row of every job before and after."""
-    rows = ledger.read_loads(spark, _loaded(spark, sf_dir, again=False)[1])
+    table, loads = _loaded(spark, sf_dir, again=False)
+    spark.sql(f"DROP TABLE {table.name}")  # its files stay until their folder goes; its rows are not asked for
+    rows = ledger.read_loads(spark, loads)
     return rows.select("extract", "from_date", "status", "rows", "api_calls", (F.col("duration_ms") >= 0).alias("d"), "finished_at").select("extract", "from_date", "status", "rows", "api_calls", F.coalesce(F.col("d") & F.col("finished_at").isNotNull(), F.lit(False)).alias("timed"))
 
 

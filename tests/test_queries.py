@@ -4,6 +4,7 @@ import pytest
 from oracle import DATA, assert_same
 
 import __spark_entry__
+from reportlake import queries
 from reportlake.queries import QUERIES, SQL
 
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="needs the given tables")
@@ -35,6 +36,15 @@ def test_stored_rows_are_read_once(spark, counted):
     assert counted and not [f for f in counted if "/result/" in f]
 
 
+def test_the_ledger_alone_copies_no_rows(spark, monkeypatch):
+    """Rows of the loaded table are written again for the query that returns them, not for the one that returns the ledger."""
+    copied, kept, sf_dir = [], queries._kept, str(DATA / "sf0.001")
+    monkeypatch.setattr(queries, "_kept", lambda spark, table, *c: copied.append(c) or kept(spark, table, *c))
+    tables = {t.name for t in spark.catalog.listTables()}
+    assert_same(QUERIES["ledger_after_wave"](spark, sf_dir), sf_dir, SQL["ledger_after_wave"])
+    assert not copied and {t.name for t in spark.catalog.listTables()} == tables
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
 
